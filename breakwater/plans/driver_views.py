@@ -7,6 +7,7 @@ constructors and the table references differ.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import SparkSession
 
@@ -126,7 +127,7 @@ def view_sql(engine: str, table: Callable[[str], str] = str) -> dict[str, str]:
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     """All six views as DataFrames over the Parquet files in ``sf_dir``."""
     texts = view_sql("spark", lambda name: f"parquet.`{sf_dir}/{name}.parquet`")
-    return Tables(**{name: spark.sql(text) for name, text in texts.items()})
+    return Tables(**{name: partial(spark.sql, text) for name, text in texts.items()})
 
 
 def with_views(query: str) -> str:

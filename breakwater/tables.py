@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ class MissingTable(LookupError):
 class Tables(Mapping[str, DataFrame]):
     """Loaded tables by name, with tolerance for columns an export lacks."""
 
-    def __init__(self, **frames: DataFrame):
+    def __init__(self, **frames: DataFrame | Callable[[], DataFrame]):
+        """A table may be given as a function; it is called when the table is first read."""
         unknown = set(frames) - set(KNOWN_TABLES)
         if unknown:
             raise ValueError(f"not tables of this model: {sorted(unknown)}")
@@ -27,13 +29,18 @@ class Tables(Mapping[str, DataFrame]):
     def from_catalog(cls, spark: SparkSession, database: str) -> Tables:
         """Every known table that exists in ``database``."""
         present = [t for t in KNOWN_TABLES if spark.catalog.tableExists(f"{database}.{t}")]
-        return cls(**{t: spark.table(f"{database}.{t}") for t in present})
+        return cls(**{t: partial(spark.table, f"{database}.{t}") for t in present})
 
     def __getitem__(self, name: str) -> DataFrame:
-        try:
-            return self._frames[name]
-        except KeyError:
-            raise MissingTable(f"table {name!r} is not loaded") from None
+        if name not in self._frames:
+            raise MissingTable(f"table {name!r} is not loaded")
+        frame = self._frames[name]
+        if not isinstance(frame, DataFrame):
+            frame = self._frames[name] = frame()
+        return frame
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._frames
 
     def __iter__(self):
         return iter(self._frames)
@@ -50,7 +57,8 @@ class Tables(Mapping[str, DataFrame]):
         when such a column is both asked for and absent.
         """
         frame = self[name]
-        absent = [c for c in columns if c not in frame.columns]
+        available = set(frame.columns)
+        absent = [c for c in columns if c not in available]
         if name == "vulnerabilities" and "assets" in self._frames:
             borrowed = [c for c in absent if c in ASSET_ATTRIBUTES and c in self["assets"].columns]
             if borrowed:
