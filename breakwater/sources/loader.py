@@ -22,6 +22,7 @@ from breakwater.sources import files as footers
 from breakwater.sources import prefixes
 
 _VERSION = "breakwater.version"
+FED = "fed by a stream"
 
 
 @dataclass
@@ -62,8 +63,10 @@ def load(
         return report
     work = _plan(spark, listed, list(skip), report)
     for table in dict.fromkeys(row.table_name for row in work):
-        mine = [row for row in work if row.table_name == table]
+        mine = [row for row in work if row.table_name == table and row.readable]
         current = current_version(spark, database, table) if append else None
+        if current == FED:
+            raise ValueError(f"{table} is fed by a stream and takes no append loads")
         frame = _combine(spark, mine, spark.table(current).schema if current else None, by, report)
         if frame is None:
             report.warnings.append(f"{table}: no file could be read, table left as it was")
@@ -79,7 +82,7 @@ def load(
 
 
 def _plan(spark: SparkSession, listed: list[tuple[str, str]], skip: list[str], report: LoadReport) -> list[Row]:
-    """One row per readable file to load, in the order given; the rest becomes warnings."""
+    """One row per file to load, in the order given; whatever is amiss becomes a warning."""
     numbered = [(i, prefix, path) for i, (prefix, path) in enumerate(listed)]
     routed = prefixes.route(footers.spread(spark, numbered, "place long, prefix string, path string"), skip)
     wanted = routed.where(F.col("outcome") != prefixes.SKIP)
@@ -87,17 +90,13 @@ def _plan(spark: SparkSession, listed: list[tuple[str, str]], skip: list[str], r
     rows = wanted.join(probed, "path", "left").orderBy("place").collect()
     for prefix in dict.fromkeys(r.prefix for r in rows if r.outcome == prefixes.UNKNOWN):
         report.warnings.append(f"unknown prefix {prefix!r}, skipped")
-    good = []
-    for row in rows:
-        if row.outcome != prefixes.LOAD:
-            continue
+    work = [row for row in rows if row.outcome == prefixes.LOAD]
+    for row in work:
         if row.bytes is not None and row.bytes < footers.SMALL_FILE_BYTES:
             report.warnings.append(f"{row.path} (prefix {row.prefix}): unusually small, {row.bytes} bytes")
-        if row.readable:
-            good.append(row)
-        else:
+        if not row.readable:
             report.warnings.append(f"{row.path}: not readable, skipped: {row.error}")
-    return good
+    return work
 
 
 def _combine(
@@ -179,10 +178,10 @@ def current_version(spark: SparkSession, database: str, table: str) -> str | Non
     return spark.sql(f"SHOW TBLPROPERTIES {database}.{table} ('{_VERSION}')").first()["value"]
 
 
-def _point(spark: SparkSession, database: str, table: str, version: str) -> None:
+def point(spark: SparkSession, database: str, table: str, data: str, version: str) -> None:
+    """Make the table's view show ``data``, in one step."""
     spark.sql(
-        f"CREATE OR REPLACE VIEW {database}.{table} TBLPROPERTIES ('{_VERSION}' = '{version}') "
-        f"AS SELECT * FROM {version}"
+        f"CREATE OR REPLACE VIEW {database}.{table} TBLPROPERTIES ('{_VERSION}' = '{version}') AS SELECT * FROM {data}"
     )
 
 
@@ -190,7 +189,7 @@ def _replace(spark: SparkSession, database: str, table: str, frame: DataFrame) -
     stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S")
     version = f"{database}.{table}__{stamp}_{uuid.uuid4().hex[:8]}"
     frame.write.format("parquet").saveAsTable(version)
-    _point(spark, database, table, version)
+    point(spark, database, table, version, version)
     drop_versions(spark, database, table, keep=version)
 
 
@@ -200,7 +199,7 @@ def _insert(spark: SparkSession, database: str, table: str, version: str, frame:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {version} ADD COLUMNS ({columns})")
     frame.write.insertInto(version)
-    _point(spark, database, table, version)
+    point(spark, database, table, version, version)
 
 
 def drop_versions(spark: SparkSession, database: str, table: str, keep: str | None = None) -> None:
