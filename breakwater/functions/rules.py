@@ -85,8 +85,9 @@ def remediation_status() -> Column:
 
 
 def asset_risk() -> Column:
-    """Current risk score before the legacy one, capped at the top of the scale."""
-    return F.least(F.coalesce(F.col("riskScoreV2_0").cast("double"), F.col("riskScore")), F.lit(float(MAX_RISK)))
+    """Current risk score before the legacy one, capped at the top of the scale; NULL if neither is known."""
+    score = F.coalesce(F.col("riskScoreV2_0").cast("double"), F.col("riskScore"))
+    return F.when(score > MAX_RISK, float(MAX_RISK)).otherwise(score)
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -38,6 +38,9 @@ def _sorted(sql: str, order: str, limit: int) -> str:
 _PROVIDER = """case when awsInstanceId is not null then 'AWS' when azureResourceId is not null then 'Azure'
                when gcpObjectId is not null then 'GCP' else 'On-Premise' end"""
 
+_RISK = """case when coalesce(cast(a.riskScoreV2_0 as double), a.riskScore) > 1000 then 1000.0E0
+           else coalesce(cast(a.riskScoreV2_0 as double), a.riskScore) end"""
+
 ANALYSES: dict[str, Analysis] = {
     # assets
     "asset_inventory": Analysis(
@@ -499,11 +502,11 @@ ANALYSES: dict[str, Analysis] = {
     "risk_vs_count_discrepancy": Analysis(
         derived.risk_vs_count_discrepancy,
         _sorted(
-            """select assetId, hostName, risk, findings, round(r, 6) as risk_rank, round(c, 6) as count_rank,
+            f"""select assetId, hostName, risk, findings, round(r, 6) as risk_rank, round(c, 6) as count_rank,
                       round(abs(r - c), 6) as gap
                from (select *, percent_rank() over (order by risk) as r, percent_rank() over (order by findings) as c
                      from (select a.assetId, a.hostName,
-                                  least(coalesce(cast(a.riskScoreV2_0 as double), a.riskScore), 1000.0E0) as risk,
+                                  {_RISK} as risk,
                                   count(v.assetId) as findings
                            from assets a left join vulnerabilities v using (assetId) group by all)
                      where risk is not null)""",
@@ -547,11 +550,11 @@ ANALYSES: dict[str, Analysis] = {
     "priority_score": Analysis(
         derived.priority_score,
         _sorted(
-            """select *, if(epssscore > 0.5, 1, 0) + if(cvssV3Score >= 9, 1, 0) + if(hasExploits, 1, 0)
+            f"""select *, if(epssscore > 0.5, 1, 0) + if(cvssV3Score >= 9, 1, 0) + if(hasExploits, 1, 0)
                          + if(max_asset_risk > 800, 1, 0) + if(affected_assets > 5, 1, 0) as signals
                from (select v.vulnId, max(v.epssscore) as epssscore, max(v.cvssV3Score) as cvssV3Score,
                             bool_or(v.hasExploits) as hasExploits,
-                            max(least(coalesce(cast(a.riskScoreV2_0 as double), a.riskScore), 1000.0E0))
+                            max({_RISK})
                                 as max_asset_risk,
                             count(distinct v.assetId) as affected_assets
                      from vulnerabilities v left join assets a using (assetId) group by all)""",
