@@ -1,7 +1,8 @@
 """Analyses over the driver-table views, each with the SQL that checks it.
 
 Averages are rounded to six digits on both sides, because the order of a
-floating-point sum is not defined; the library itself returns them unrounded.
+floating-point sum is not defined, and arrays are compared as joined text; the
+library itself returns plain averages and arrays.
 """
 
 from __future__ import annotations
@@ -26,9 +27,12 @@ class Analysis(NamedTuple):
     run: Callable[[Tables], DataFrame]
     sql: str | None
     rounded: tuple[str, ...] = ()
+    joined: tuple[str, ...] = ()
 
     def result(self, t: Tables) -> DataFrame:
-        return self.run(t).withColumns({c: F.round(c, 6) for c in self.rounded})
+        return self.run(t).withColumns(
+            {c: F.round(c, 6) for c in self.rounded} | {c: F.array_join(c, ", ") for c in self.joined}
+        )
 
 
 def _sorted(sql: str, order: str, limit: int) -> str:
@@ -65,10 +69,12 @@ ANALYSES: dict[str, Analysis] = {
     "high_risk_assets": Analysis(
         assets.high_risk_assets,
         _sorted(
-            """select assetId, hostName, ip, osDescription, riskScore, sites, assetGroups
+            """select assetId, hostName, ip, osDescription, riskScore, array_to_string(sites, ', ') as sites,
+                      array_to_string(assetGroups, ', ') as assetGroups
                from assets where riskScore > 800""",
             "riskScore desc, assetId", 50,
         ),
+        joined=("sites", "assetGroups"),
     ),
     "assets_by_site": Analysis(
         lambda t: assets.assets_by_site(t, SITE),
@@ -116,9 +122,10 @@ ANALYSES: dict[str, Analysis] = {
     ),
     "cve_search": Analysis(
         lambda t: vulnerabilities.cve_search(t, CVE),
-        f"""select assetId, hostName, ip, osDescription, vulnId, title, cvssV3Score, severity, cves,
-                   firstFoundTimestamp
+        f"""select assetId, hostName, ip, osDescription, vulnId, title, cvssV3Score, severity,
+                   array_to_string(cves, ', ') as cves, firstFoundTimestamp
             from vulnerabilities where exists (select 1 from unnest(cves) as u(x) where x like '{CVE}')""",
+        joined=("cves",),
     ),
     "epss_prioritisation": Analysis(
         vulnerabilities.epss_prioritisation,
@@ -204,8 +211,9 @@ ANALYSES: dict[str, Analysis] = {
     ),
     "cve_search_flow": Analysis(
         lambda t: vulnerabilities.cve_search_flow(t, CVE),
-        f"""select assetId, hostName, vulnId, title, cvssV3Score, cves
+        f"""select assetId, hostName, vulnId, title, cvssV3Score, array_to_string(cves, ', ') as cves
             from vulnerabilities where exists (select 1 from unnest(cves) as u(x) where x like '{CVE}')""",
+        joined=("cves",),
     ),
     "cloud_breakdown": Analysis(
         vulnerabilities.cloud_breakdown,

@@ -8,6 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from breakwater.operators import derived
 from breakwater.plans import driver_views
@@ -26,6 +27,20 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _as_text(frame: DataFrame) -> DataFrame:
+    """Dates and arrays as text, the form in which both engines are compared."""
+    kinds = {f.name: f.dataType for f in frame.schema.fields}
+    return frame.withColumns(
+        {c: F.col(c).cast("string") for c, k in kinds.items() if isinstance(k, T.DateType)}
+        | {c: F.array_join(c, ", ") for c, k in kinds.items() if isinstance(k, T.ArrayType)}
+    )
+
+
+def _text_sql(sql: str, *, dates: tuple[str, ...] = (), arrays: tuple[str, ...] = ()) -> str:
+    shown = [f"cast({c} as varchar) as {c}" for c in dates] + [f"array_to_string({c}, ', ') as {c}" for c in arrays]
+    return f"select * replace ({', '.join(shown)}) from ({sql})"
+
+
 # -- routing -------------------------------------------------------------------
 
 _EVENT_PREFIX = """case event_type when 'view' then 'asset' when 'signup' then 'asset_scan_policy'
@@ -189,7 +204,7 @@ def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _MANIFEST_SQL = """
     select cast(o_orderkey as varchar) as id, concat('a-', o_custkey) as url, 'asset_policy/x' as prefix,
-           0 as item, 0 as position, 3 as copies from orders
+           0 as item, 0 as position, cast(3 as bigint) as copies from orders
     union all select cast(o_orderkey as varchar), concat('b-', o_orderkey), 'asset', 0, 1, 1
     from orders where o_orderkey % 2 = 0
     union all select cast(o_orderkey as varchar), concat('c-', o_orderkey), 'asset_policy/x', 1, 1, 1 from orders"""
@@ -201,7 +216,7 @@ def date_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(o_orderdate as date) as start_date",
         "date_add(cast(o_orderdate as date), cast(o_orderkey % 120 + 1 as int)) as end_date",
     )
-    return manifest.date_chunks(ranges)
+    return _as_text(manifest.date_chunks(ranges))
 
 
 _CHUNKS_SQL = """
@@ -246,7 +261,7 @@ _EXPORTS_SQL = f"""
 
 def ledger_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     exports = _exports(spark, sf_dir)
-    return ledger.reuse_decision(exports.select("export_date", "export_type").distinct(), exports)
+    return _as_text(ledger.reuse_decision(exports.select("export_date", "export_type").distinct(), exports))
 
 
 # -- SQL -----------------------------------------------------------------------
@@ -269,7 +284,7 @@ def eol_software(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = _read(spark, sf_dir, "part").selectExpr(
         "p_brand as vendor", "date_add(date'1995-01-01', cast(ascii(right(p_brand, 1)) * 45 as int)) as eol_date"
     )
-    return derived.eol_flagging(installed, listed, ["vendor"], AS_OF)
+    return _as_text(derived.eol_flagging(installed, listed, ["vendor"], AS_OF))
 
 
 CHECKS: dict[str, Check] = {
@@ -279,7 +294,9 @@ CHECKS: dict[str, Check] = {
     "snapshot_load": Check(snapshot_load, _SNAPSHOT_SQL),
     "append_load": Check(append_load, _APPEND_SQL),
     "manifest_files": Check(manifest_files, _MANIFEST_SQL),
-    "date_chunks": Check(date_chunks, _CHUNKS_SQL),
+    "date_chunks": Check(
+        date_chunks, _text_sql(_CHUNKS_SQL, dates=("start_date", "end_date", "chunk_start", "chunk_end"))
+    ),
     "json_rows": Check(
         lambda spark, sf_dir: catalog.json_rows(
             _read(spark, sf_dir, "orders").selectExpr(
@@ -303,10 +320,15 @@ CHECKS: dict[str, Check] = {
             )
         ),
     ),
-    "ledger_exports": Check(_exports, f"{_EXPORTS_SQL} select * from exports"),
+    "ledger_exports": Check(
+        lambda spark, sf_dir: _as_text(_exports(spark, sf_dir)),
+        _text_sql(
+            f"{_EXPORTS_SQL} select * from exports", dates=("export_date",), arrays=("parquet_urls", "local_files")
+        ),
+    ),
     "ledger_same_day": Check(
-        lambda spark, sf_dir: ledger.newest_complete(_exports(spark, sf_dir)),
-        f"""{_EXPORTS_SQL} select export_date, export_type, export_id, created_at from exports
+        lambda spark, sf_dir: _as_text(ledger.newest_complete(_exports(spark, sf_dir))),
+        f"""{_EXPORTS_SQL} select cast(export_date as varchar) as export_date, export_type, export_id, created_at from exports
             where status = 'COMPLETE'
             qualify row_number() over (partition by export_date, export_type
                                        order by created_at desc, export_id desc) = 1""",
@@ -317,24 +339,28 @@ CHECKS: dict[str, Check] = {
               select export_date, export_type, export_id from exports where status = 'COMPLETE'
               qualify row_number() over (partition by export_date, export_type
                                          order by created_at desc, export_id desc) = 1)
-            select r.export_date, r.export_type, if(r.export_type <> 'remediation', h.export_id, null)
+            select cast(r.export_date as varchar) as export_date, r.export_type, if(r.export_type <> 'remediation', h.export_id, null)
                        as reused_export_id,
                    reused_export_id is not null as reuse
             from (select distinct export_date, export_type from exports) r
             left join hits h on r.export_date = h.export_date and r.export_type = h.export_type""",
     ),
     "ledger_lookup": Check(
-        lambda spark, sf_dir: ledger.by_id(_exports(spark, sf_dir), "export-7"),
-        f"{_EXPORTS_SQL} select * from exports where export_id = 'export-7'",
+        lambda spark, sf_dir: _as_text(ledger.by_id(_exports(spark, sf_dir), "export-7")),
+        _text_sql(
+            f"{_EXPORTS_SQL} select * from exports where export_id = 'export-7'",
+            dates=("export_date",),
+            arrays=("parquet_urls", "local_files"),
+        ),
     ),
     "ledger_recent": Check(
-        lambda spark, sf_dir: ledger.recent(_exports(spark, sf_dir), 10, "policy"),
-        f"""{_EXPORTS_SQL} select export_id, export_date, created_at, status, file_count, row_count, export_type
+        lambda spark, sf_dir: _as_text(ledger.recent(_exports(spark, sf_dir), 10, "policy")),
+        f"""{_EXPORTS_SQL} select export_id, cast(export_date as varchar) as export_date, created_at, status, file_count, row_count, export_type
             from exports where export_type = 'policy' order by created_at desc, export_id limit 10""",
     ),
     "ledger_staleness": Check(
-        lambda spark, sf_dir: ledger.staleness(_exports(spark, sf_dir), "2024-01-03"),
-        f"""{_EXPORTS_SQL} select export_type, max(export_date) as last_export_date,
+        lambda spark, sf_dir: _as_text(ledger.staleness(_exports(spark, sf_dir), "2024-01-03")),
+        f"""{_EXPORTS_SQL} select export_type, cast(max(export_date) as varchar) as last_export_date,
                    cast(date '2024-01-03' - max(export_date) as integer) as age_days, age_days > 1 as stale
             from exports group by all""",
     ),
@@ -354,7 +380,7 @@ CHECKS: dict[str, Check] = {
     "eol_flagging": Check(
         eol_software,
         driver_views.with_views(
-            f"""select s.assetId, s.softwareName, s.vendor, e.eol_date
+            f"""select s.assetId, s.softwareName, s.vendor, cast(e.eol_date as varchar) as eol_date
                 from asset_software s
                 join (select p_brand as vendor,
                              max(date '1995-01-01' + cast(ascii(right(p_brand, 1)) * 45 as integer)) as eol_date

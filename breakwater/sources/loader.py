@@ -9,6 +9,7 @@ object stores would copy it. An append load inserts into the current version.
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -86,7 +87,11 @@ def _plan(spark: SparkSession, listed: list[tuple[str, str]], skip: list[str], r
     numbered = [(i, prefix, path) for i, (prefix, path) in enumerate(listed)]
     routed = prefixes.route(footers.spread(spark, numbered, "place long, prefix string, path string"), skip)
     wanted = routed.where(F.col("outcome") != prefixes.SKIP)
-    probed = footers.probe(wanted.where(F.col("outcome") == prefixes.LOAD).select("path").distinct())
+    probed = (
+        footers.probe(wanted.where(F.col("outcome") == prefixes.LOAD).select("path").distinct())
+        .withColumn("schema", F.xxhash64(F.to_json("columns")))
+        .drop("columns", "rows")
+    )
     rows = wanted.join(probed, "path", "left").orderBy("place").collect()
     for prefix in dict.fromkeys(r.prefix for r in rows if r.outcome == prefixes.UNKNOWN):
         report.warnings.append(f"unknown prefix {prefix!r}, skipped")
@@ -103,9 +108,9 @@ def _combine(
     spark: SparkSession, rows: list[Row], existing: T.StructType | None, by: str, report: LoadReport
 ) -> DataFrame | None:
     """All files of a table as one DataFrame: one scan per distinct source and file schema."""
-    groups: dict[tuple, list[str]] = {}
+    groups: dict[tuple[str | None, int], list[str]] = {}
     for row in rows:
-        groups.setdefault((row.source, tuple((c.name, c.type) for c in row.columns)), []).append(row.path)
+        groups.setdefault((row.source, row.schema), []).append(row.path)
     target: dict[str, T.DataType] = {f.name: f.dataType for f in existing.fields} if existing else {}
     frames = []
     for (source, _), paths in groups.items():
@@ -139,10 +144,10 @@ def _combine(
 
 def _scan(spark: SparkSession, paths: list[str], source: str | None) -> DataFrame:
     """One scan of files with one schema; a path given twice is read twice."""
-    rounds = max(paths.count(p) for p in set(paths))
+    times = Counter(paths)
     scans = [
-        spark.read.parquet(*[p for p in dict.fromkeys(paths) if paths.count(p) > i]) for i in range(rounds)
-    ] if rounds > 1 else [spark.read.parquet(*paths)]
+        spark.read.parquet(*[p for p, n in times.items() if n > i]) for i in range(max(times.values()))
+    ]
     frame = reduce(DataFrame.unionByName, scans)
     return frame if source is None else frame.withColumn("source", F.lit(source))
 
@@ -163,12 +168,12 @@ def _uncastable(
         .agg(*[hit.alias(c) for c, hit in lost.items()])
         .where(reduce(lambda a, b: a | b, [F.col(c) for c in lost]))
     )
-    found = [(row.file, [c for c in lost if row[c]]) for row in checked.collect()]
-    return {p: names for p in paths for file, names in found if _same_file(p, file)}
+    bad = {_place(row.file): [c for c in lost if row[c]] for row in checked.collect()}
+    return {p: bad[_place(p)] for p in paths if _place(p) in bad}
 
 
-def _same_file(path: str, uri: str) -> bool:
-    return path.split(":", 1)[-1].lstrip("/") == uri.split(":", 1)[-1].lstrip("/")
+def _place(path: str) -> str:
+    return path.split(":", 1)[-1].lstrip("/")
 
 
 def current_version(spark: SparkSession, database: str, table: str) -> str | None:
