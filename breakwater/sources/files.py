@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,32 +32,32 @@ def probe(paths: DataFrame) -> DataFrame:
     Footers say whether a file is readable and which columns and how many rows
     it has; no data pages are read. A bad file is a row with its error.
     """
-    return paths.select("path").mapInPandas(_footers, _PROBE)
-
-
-def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame(
-            [_footer(path) for path in batch["path"]],
-            columns=["path", "readable", "bytes", "rows", "columns", "error"],
-        )
-
-
-def _footer(path: str) -> tuple:
-    from pyarrow import fs
-    from pyarrow import parquet as pq
-
-    size = None
-    try:
-        uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and "://" not in path else path
-        system, name = fs.FileSystem.from_uri(uri)
-        size = system.get_file_info(name).size
-        with system.open_input_file(name) as source:
-            footer = pq.ParquetFile(source)
-            columns = [{"name": f.name, "type": str(f.type)} for f in footer.schema_arrow]
-            return path, True, size, footer.metadata.num_rows, columns, None
-    except Exception as problem:  # any unreadable file becomes a row of the report
-        return path, False, size, None, None, f"{type(problem).__name__}: {problem}"
+
+    # Inner functions travel to the executors whole, so these need not have this package installed.
+    def footer(path: str) -> tuple:
+        from pyarrow import fs
+        from pyarrow import parquet as pq
+
+        size = None
+        try:
+            local = path.startswith("file:/") and "://" not in path
+            system, name = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if local else path)
+            size = system.get_file_info(name).size
+            with system.open_input_file(name) as source:
+                found = pq.ParquetFile(source)
+                columns = [{"name": f.name, "type": str(f.type)} for f in found.schema_arrow]
+                return path, True, size, found.metadata.num_rows, columns, None
+        except Exception as problem:  # any unreadable file becomes a row of the report
+            return path, False, size, None, None, f"{type(problem).__name__}: {problem}"
+
+    def footers(batches):
+        import pandas as pd
+
+        names = ["path", "readable", "bytes", "rows", "columns", "error"]
+        for batch in batches:
+            yield pd.DataFrame([footer(path) for path in batch["path"]], columns=names)
+
+    return paths.select("path").mapInPandas(footers, _PROBE)
 
 
 def spread(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
