@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,32 +48,47 @@ def policy_compliance_flow(t: Tables) -> DataFrame:
     return benchmark_compliance(t).drop("errors", "not_applicable")
 
 
+def _failed(t: Tables, *columns: str) -> DataFrame:
+    return t.read("policies", *columns, "finalStatus").where(F.col("finalStatus") == FAIL)
+
+
+def _of_chosen(rows: DataFrame, chosen: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Rows whose keys are among ``chosen``, with its other columns.
+
+    ``chosen`` is the result of a top-k, so what is broadcast has k rows at most.
+    """
+    same = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys])
+    more = [F.col(f"c.{c}") for c in chosen.columns if c not in keys]
+    return rows.alias("r").join(F.broadcast(chosen).alias("c"), same).select("r.*", *more)
+
+
+def _with_guidance(t: Tables, best: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The greatest guidance text of the chosen rules.
+
+    Texts are long and repeat. They are read for the chosen rules alone, and
+    each task reduces them to the different ones, so none is shuffled twice
+    and no row carries its text through the count of assets.
+    """
+    texts = _of_chosen(_failed(t, *keys, "fixTexts").drop("finalStatus"), best, keys).distinct()
+    return texts.groupBy(*best.columns).agg(F.max("fixTexts").alias("fix_guidance"))
+
+
 def top_failed_rules(t: Tables, limit: int = 25) -> DataFrame:
     """Rules that fail on most assets."""
     keys = ("ruleNaturalId", "ruleTitle", "benchmarkTitle")
-    rows = (
-        t.read("policies", *keys, "assetId", "fixTexts", "finalStatus")
-        .where(F.col("finalStatus") == FAIL)
+    counts = (
+        _failed(t, *keys, "assetId")
         .groupBy(*keys)
-        .agg(
-            F.countDistinct("assetId").alias("affected_assets"),
-            F.count("*").alias("total_failures"),
-            F.max("fixTexts").alias("fix_guidance"),
-        )
+        .agg(F.countDistinct("assetId").alias("affected_assets"), F.count("*").alias("total_failures"))
     )
-    return top(rows, limit, "-affected_assets")
+    return top(_with_guidance(t, top(counts, limit, "-affected_assets"), keys), limit, "-affected_assets")
 
 
 def top_failed_rules_flow(t: Tables, limit: int = 25) -> DataFrame:
     """As ``top_failed_rules``, by title and without the total."""
     keys = ("ruleTitle", "benchmarkTitle")
-    rows = (
-        t.read("policies", *keys, "assetId", "fixTexts", "finalStatus")
-        .where(F.col("finalStatus") == FAIL)
-        .groupBy(*keys)
-        .agg(F.countDistinct("assetId").alias("affected_assets"), F.max("fixTexts").alias("fix_guidance"))
-    )
-    return top(rows, limit, "-affected_assets")
+    counts = _failed(t, *keys, "assetId").groupBy(*keys).agg(F.countDistinct("assetId").alias("affected_assets"))
+    return top(_with_guidance(t, top(counts, limit, "-affected_assets"), keys), limit, "-affected_assets")
 
 
 def asset_policy_comparison(t: Tables, limit: int = 50) -> DataFrame:
@@ -134,15 +151,25 @@ def agent_vs_scan(t: Tables) -> DataFrame:
 
 
 def failed_rules_guidance(t: Tables, limit: int = 20) -> DataFrame:
-    """Failed rules that come with guidance."""
-    keys = ("ruleNaturalId", "ruleTitle", "benchmarkTitle", "finalStatus", "fixTexts", "rationales")
-    rows = (
-        t.read("policies", *keys, "assetId")
+    """Failed rules that come with guidance.
+
+    Guidance and rationale are long, and every failing asset repeats them.
+    Assets are counted under the texts' SHA-256 digests; the texts themselves
+    are fetched for the best ``limit`` groups only.
+    """
+    short = ("ruleNaturalId", "ruleTitle", "benchmarkTitle", "finalStatus")
+    digests = ("fix_digest", "why_digest")
+    failed = (
+        t.read("policies", *short, "fixTexts", "rationales", "assetId")
         .where((F.col("finalStatus") == FAIL) & F.col("fixTexts").isNotNull())
-        .groupBy(*keys)
-        .agg(F.countDistinct("assetId").alias("affected_assets"))
+        .withColumns(dict(zip(digests, (F.sha2("fixTexts", 256), F.sha2("rationales", 256)))))
+    )
+    counts = failed.groupBy(*short, *digests).agg(F.countDistinct("assetId").alias("affected_assets"))
+    best = top(counts, limit, "-affected_assets", *short, *digests)
+    rows = _of_chosen(failed.drop("assetId"), best, (*short, *digests)).distinct()
+    return top(
+        rows.select(*short, "fixTexts", "rationales", "affected_assets"), limit, "-affected_assets"
     )
-    return top(rows, limit, "-affected_assets")
 
 
 def failed_sample(t: Tables, limit: int = 10) -> DataFrame:

@@ -325,7 +325,7 @@ ANALYSES: dict[str, Analysis] = {
             """select ruleNaturalId, ruleTitle, benchmarkTitle, finalStatus, fixTexts, rationales,
                       count(distinct assetId) as affected_assets
                from policies where fixTexts is not null and finalStatus = 'fail' group by all""",
-            "affected_assets desc, ruleNaturalId, ruleTitle, benchmarkTitle, fixTexts, rationales", 20,
+            "affected_assets desc, ruleNaturalId, ruleTitle, benchmarkTitle, sha256(fixTexts), sha256(rationales)", 20,
         ),
     ),
     "failed_sample": Analysis(policies.failed_sample, None),

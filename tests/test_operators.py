@@ -207,3 +207,22 @@ def test_worst_assets_of_repeated_attributes(spark):
     assert plain(rows.select("assetId", "hostName", "total_rules", "passed", "pass_rate_pct")) == [
         ("Z", None, 1, 0, 0.0), ("A", "h1", 4, 2, 50.0), ("A", "h2", 2, 1, 50.0),
     ]
+
+
+def test_guidance_of_rules_without_an_id_and_with_several_texts(spark):
+    rows = [
+        ("A", None, "rule", "b", "fail", "x", None), ("B", None, "rule", "b", "fail", "y", None),
+        ("C", None, "rule", "b", "fail", None, None), ("A", None, "rule", "b", "fail", "x", None),
+        ("A", "2", "other", "b", "fail", None, "why"), ("A", "2", "other", "b", "pass", "z", "why"),
+    ]
+    frame = spark.createDataFrame(
+        rows,
+        "assetId string, ruleNaturalId string, ruleTitle string, benchmarkTitle string, finalStatus string,"
+        " fixTexts string, rationales string",
+    )
+    tables = Tables(policies=frame)
+    assert plain(policies.top_failed_rules(tables)) == [(None, "rule", "b", 3, 4, "y"), ("2", "other", "b", 1, 1, None)]
+    assert plain(policies.top_failed_rules_flow(tables, limit=1)) == [("rule", "b", 3, "y")]
+    assert sorted(plain(policies.failed_rules_guidance(tables))) == [
+        (None, "rule", "b", "fail", "x", None, 1), (None, "rule", "b", "fail", "y", None, 1),
+    ]
