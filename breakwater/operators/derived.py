@@ -305,11 +305,19 @@ def high_risk_remediation_rate(t: Tables) -> DataFrame:
 
 def severity_by_cloud(t: Tables) -> DataFrame:
     """Findings by cloud provider and severity, on-premise assets left out."""
+    ids = ("awsInstanceId", "azureResourceId", "gcpObjectId")
+    borrowed = t.borrowed("vulnerabilities", *ids)
+    own = [i for i in ids if i not in borrowed]
+    per_asset = (
+        t.read("vulnerabilities", "assetId", *own, "severity")
+        .groupBy("assetId", *own, "severity")
+        .agg(F.count("*").alias("n"))
+    )
     rows = (
-        t.read("vulnerabilities", "awsInstanceId", "azureResourceId", "gcpObjectId", "severity")
-        .where(F.coalesce("awsInstanceId", "azureResourceId", "gcpObjectId").isNotNull())
+        t.borrow(per_asset, borrowed)
+        .where(F.coalesce(*ids).isNotNull())
         .groupBy(rules.cloud_provider().alias("cloud_provider"), "severity")
-        .agg(F.count("*").alias("count"))
+        .agg(F.sum("n").alias("count"))
     )
     return ordered(rows, "cloud_provider", "-count")
 

@@ -18,14 +18,24 @@ def _is_critical() -> Column:
     return F.col("severity") == "Critical"
 
 
+def _top(
+    t: Tables, columns: tuple[str, ...], condition: Column, limit: int, *keys: str, needed: tuple[str, ...] = ()
+) -> DataFrame:
+    """The first findings that meet a condition; it may read ``needed`` columns that are not shown."""
+    borrowed = t.borrowed(FINDINGS, *columns)
+    own = [c for c in columns if c not in borrowed]
+    rows = top(t.read(FINDINGS, *own, *needed).where(condition).select(*own), limit, *keys)
+    return top(t.borrow(rows, borrowed).select(*columns), limit, *keys) if borrowed else rows
+
+
 def _by_asset(t: Tables, *more: Column) -> DataFrame:
     """Findings, critical ones and exploitable ones per asset."""
-    return (
-        t.read(
-            FINDINGS, "assetId", "hostName", "ip", "osDescription", "severity", "hasExploits", "riskScoreV2_0",
-            "cvssV3Score",
-        )
-        .groupBy("assetId", "hostName", "ip", "osDescription")
+    keys = ("assetId", "hostName", "ip", "osDescription")
+    borrowed = t.borrowed(FINDINGS, *keys)
+    own = [k for k in keys if k not in borrowed]
+    rows = (
+        t.read(FINDINGS, *own, "severity", "hasExploits", "riskScoreV2_0", "cvssV3Score")
+        .groupBy(*own)
         .agg(
             F.count("*").alias("total_vulns"),
             F.count_if(_is_critical()).alias("critical_count"),
@@ -33,15 +43,35 @@ def _by_asset(t: Tables, *more: Column) -> DataFrame:
             *more,
         )
     )
+    return t.borrow(rows, borrowed).select(*keys, *[c for c in rows.columns if c not in keys])
+
+
+def _by_provider(t: Tables) -> DataFrame:
+    """Findings per asset with the cloud provider of the asset."""
+    ids = ("awsInstanceId", "azureResourceId", "gcpObjectId")
+    borrowed = t.borrowed(FINDINGS, *ids)
+    own = [i for i in ids if i not in borrowed]
+    per_asset = (
+        t.read(FINDINGS, "assetId", *own, "severity", "cvssV3Score")
+        .groupBy("assetId", *own)
+        .agg(
+            F.count("*").alias("findings"),
+            F.count_if(_is_critical()).alias("critical"),
+            F.sum("cvssV3Score").alias("score_sum"),
+            F.count("cvssV3Score").alias("scored"),
+        )
+    )
+    return t.borrow(per_asset, borrowed).withColumn("cloud_provider", rules.cloud_provider())
 
 
 def critical_exploitable(t: Tables, epss: float = 0.5, limit: int = 20) -> DataFrame:
     """Critical findings that are likely to be exploited."""
-    rows = t.read(
-        FINDINGS, "assetId", "hostName", "vulnId", "title", "cvssV3Score", "epssscore", "epsspercentile",
-        "hasExploits", "firstFoundTimestamp", "severity",
-    ).where(_is_critical() & (F.col("epssscore") > epss))
-    return top(rows.drop("severity"), limit, "-epssscore", "-cvssV3Score")
+    columns = (
+        "assetId", "hostName", "vulnId", "title", "cvssV3Score", "epssscore", "epsspercentile", "hasExploits",
+        "firstFoundTimestamp",
+    )
+    likely = _is_critical() & (F.col("epssscore") > epss)
+    return _top(t, columns, likely, limit, "-epssscore", "-cvssV3Score", needed=("severity",))
 
 
 def asset_vuln_summary(t: Tables, limit: int = 50) -> DataFrame:
@@ -117,13 +147,11 @@ def best_solution_availability(t: Tables) -> DataFrame:
 
 def actionable_vulns(t: Tables, limit: int = 50) -> DataFrame:
     """Findings that come with a fix to apply."""
-    rows = t.read(
-        FINDINGS, "assetId", "hostName", "vulnId", "title", "severity", "cvssV3Score", "bestSolutionType",
-        "bestSolutionSummary",
-    ).where(
-        F.col("bestSolutionType").isin(*rules.ACTIONABLE_SOLUTIONS) & F.col("bestSolutionSummary").isNotNull()
+    columns = (
+        "assetId", "hostName", "vulnId", "title", "severity", "cvssV3Score", "bestSolutionType", "bestSolutionSummary"
     )
-    return top(rows, limit, "-cvssV3Score")
+    fixable = F.col("bestSolutionType").isin(*rules.ACTIONABLE_SOLUTIONS) & F.col("bestSolutionSummary").isNotNull()
+    return _top(t, columns, fixable, limit, "-cvssV3Score")
 
 
 def critical_by_fix(t: Tables, limit: int = 25) -> DataFrame:
@@ -148,15 +176,13 @@ def critical_by_fix(t: Tables, limit: int = 25) -> DataFrame:
 def cloud_vulns(t: Tables) -> DataFrame:
     """Findings and assets per cloud provider."""
     rows = (
-        t.read(
-            FINDINGS, "awsInstanceId", "azureResourceId", "gcpObjectId", "assetId", "severity", "cvssV3Score"
-        )
-        .groupBy(rules.cloud_provider().alias("cloud_provider"))
+        _by_provider(t)
+        .groupBy("cloud_provider")
         .agg(
             F.countDistinct("assetId").alias("asset_count"),
-            F.count("*").alias("vuln_count"),
-            F.count_if(_is_critical()).alias("critical_vulns"),
-            F.avg("cvssV3Score").alias("avg_cvss"),
+            F.sum("findings").alias("vuln_count"),
+            F.sum("critical").alias("critical_vulns"),
+            F.try_divide(F.sum("score_sum"), F.sum("scored")).alias("avg_cvss"),
         )
     )
     return ordered(rows, "-critical_vulns")
@@ -165,23 +191,17 @@ def cloud_vulns(t: Tables) -> DataFrame:
 def cloud_breakdown(t: Tables) -> DataFrame:
     """Findings and assets per cloud provider, counts only."""
     return (
-        t.read(FINDINGS, "awsInstanceId", "azureResourceId", "gcpObjectId", "assetId")
-        .groupBy(rules.cloud_provider().alias("cloud_provider"))
-        .agg(F.count("*").alias("vuln_count"), F.countDistinct("assetId").alias("asset_count"))
+        _by_provider(t)
+        .groupBy("cloud_provider")
+        .agg(F.sum("findings").alias("vuln_count"), F.countDistinct("assetId").alias("asset_count"))
     )
 
 
 def reintroduced_vulns(t: Tables, limit: int = 50) -> DataFrame:
     """Findings that came back, newest first."""
-    rows = (
-        t.read(
-            FINDINGS, "assetId", "hostName", "vulnId", "title", "severity", "firstFoundTimestamp",
-            "reintroducedTimestamp",
-        )
-        .where(F.col("reintroducedTimestamp").isNotNull())
-        .withColumn("days_between", rules.days_between("firstFoundTimestamp", "reintroducedTimestamp"))
-    )
-    return top(rows, limit, "-reintroducedTimestamp")
+    columns = ("assetId", "hostName", "vulnId", "title", "severity", "firstFoundTimestamp", "reintroducedTimestamp")
+    rows = _top(t, columns, F.col("reintroducedTimestamp").isNotNull(), limit, "-reintroducedTimestamp")
+    return rows.withColumn("days_between", rules.days_between("firstFoundTimestamp", "reintroducedTimestamp"))
 
 
 def pci_report(t: Tables) -> DataFrame:
@@ -201,10 +221,9 @@ def pci_report(t: Tables) -> DataFrame:
 
 def risk_priority(t: Tables, epss: float = 0.5, limit: int = 20) -> DataFrame:
     """Critical findings that are likely to be, or already can be, exploited."""
-    rows = t.read(
-        FINDINGS, "assetId", "hostName", "vulnId", "title", "cvssV3Score", "epssscore", "hasExploits", "severity"
-    ).where(_is_critical() & ((F.col("epssscore") > epss) | F.col("hasExploits")))
-    return top(rows, limit, "-epssscore", "-cvssV3Score")
+    columns = ("assetId", "hostName", "vulnId", "title", "cvssV3Score", "epssscore", "hasExploits", "severity")
+    urgent = _is_critical() & ((F.col("epssscore") > epss) | F.col("hasExploits"))
+    return _top(t, columns, urgent, limit, "-epssscore", "-cvssV3Score")
 
 
 def severity_distribution(t: Tables) -> DataFrame:
@@ -224,10 +243,9 @@ def critical_sample(t: Tables, limit: int = 10) -> DataFrame:
 
 def known_exploits_top(t: Tables, limit: int = 20, severity: str | None = None) -> DataFrame:
     """Findings with a known exploit by score, optionally of one severity."""
-    rows = t.read(FINDINGS, "assetId", "vulnId", "title", "cvssV3Score", "hasExploits", "severity").where("hasExploits")
-    if severity is not None:
-        rows = rows.where(F.col("severity") == severity)
-    return top(rows, limit, "-cvssV3Score")
+    columns = ("assetId", "vulnId", "title", "cvssV3Score", "hasExploits", "severity")
+    known = F.col("hasExploits") if severity is None else F.col("hasExploits") & (F.col("severity") == severity)
+    return _top(t, columns, known, limit, "-cvssV3Score")
 
 
 def top_findings_per_asset(t: Tables, per_asset: int = 3) -> DataFrame:

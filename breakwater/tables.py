@@ -52,36 +52,38 @@ class Tables(Mapping[str, DataFrame]):
         """The named columns of a table.
 
         A documented column that this export lacks comes back as a typed NULL.
-        Asset attributes that ``vulnerabilities`` lacks come from ``assets``
-        (one row per asset, so findings never multiply); the join happens only
-        when such a column is both asked for and absent.
+        Asset attributes that ``vulnerabilities`` lacks come from ``assets``;
+        the join happens only when such a column is asked for.
         """
+        borrowed = self.borrowed(name, *columns)
         frame = self[name]
-        available = set(frame.columns)
-        absent = [c for c in columns if c not in available]
-        if name == "vulnerabilities" and "assets" in self._frames:
-            borrowed = [c for c in absent if c in ASSET_ATTRIBUTES and c in self["assets"].columns]
-            if borrowed:
-                owner = (
-                    self["assets"]
-                    .groupBy("assetId")
-                    .agg(F.max(F.struct(*borrowed)).alias("owner"))
-                    .select("assetId", "owner.*")
-                )
-                frame = frame.select(*[c for c in columns if c not in absent] + _key(columns)).join(
-                    owner, "assetId", "left"
-                )
         documented = {f.name: f.dataType for f in SCHEMAS[name].fields}
+        available = set(frame.columns)
         picked = []
-        for column in columns:
-            if column in frame.columns:
+        for column in dict.fromkeys([*columns, *(["assetId"] if borrowed else [])]):
+            if column in available:
                 picked.append(F.col(column))
-            elif column in documented:
-                picked.append(F.lit(None).cast(documented[column]).alias(column))
-            else:
+            elif column not in documented:
                 raise ValueError(f"{name} has no column {column!r}, and none is documented")
-        return frame.select(*picked)
+            elif column not in borrowed:
+                picked.append(F.lit(None).cast(documented[column]).alias(column))
+        own = frame.select(*picked)
+        return self.borrow(own, borrowed).select(*columns) if borrowed else own
+
+    def borrowed(self, name: str, *columns: str) -> list[str]:
+        """Those of the columns that ``vulnerabilities`` has to take from ``assets``."""
+        if name != "vulnerabilities" or "assets" not in self:
+            return []
+        absent = [c for c in columns if c in ASSET_ATTRIBUTES and c not in self[name].columns]
+        return [c for c in absent if c in self["assets"].columns]
 
+    def borrow(self, frame: DataFrame, columns: list[str]) -> DataFrame:
+        """Add attributes of the asset to rows with an ``assetId``, and no rows.
 
-def _key(columns: tuple[str, ...]) -> list[str]:
-    return [] if "assetId" in columns else ["assetId"]
+        Aggregates and top-k results borrow after they are computed, so a
+        frequent asset does not gather its findings in one task of the join.
+        """
+        if not columns:
+            return frame
+        owner = self["assets"].groupBy("assetId").agg(F.max(F.struct(*columns)).alias("owner"))
+        return frame.join(owner.select("assetId", "owner.*"), "assetId", "left")

@@ -226,3 +226,27 @@ def test_guidance_of_rules_without_an_id_and_with_several_texts(spark):
     assert sorted(plain(policies.failed_rules_guidance(tables))) == [
         (None, "rule", "b", "fail", "x", None, 1), (None, "rule", "b", "fail", "y", None, 1),
     ]
+
+
+def test_borrowed_attributes_give_the_same_answers(spark, sf_dir):
+    """Findings without asset attributes answer as findings that carry them."""
+    full = driver_views.tables(spark, sf_dir)
+    lean = Tables(
+        assets=full["assets"],
+        vulnerabilities=full["vulnerabilities"].drop(
+            "hostName", "ip", "osDescription", "awsInstanceId", "azureResourceId", "gcpObjectId"
+        ),
+    )
+    for analysis in (
+        vulnerabilities.critical_exploitable, vulnerabilities.asset_vuln_summary, vulnerabilities.asset_risk_summary,
+        vulnerabilities.actionable_vulns, vulnerabilities.cloud_vulns, vulnerabilities.cloud_breakdown,
+        vulnerabilities.reintroduced_vulns, vulnerabilities.risk_priority, derived.severity_by_cloud,
+        lambda t: vulnerabilities.cve_search(t, "%CVE-12%"), lambda t: vulnerabilities.cve_search_flow(t, "%CVE-12%"),
+    ):
+        expected, got = analysis(full), analysis(lean)
+        assert got.columns == expected.columns
+
+        def shown(frame):
+            return sorted(repr([round(v, 6) if isinstance(v, float) else v for v in r]) for r in frame.collect())
+
+        assert shown(got) == shown(expected)
