@@ -60,7 +60,7 @@ def view_sql(engine: str, table: Callable[[str], str] = str) -> dict[str, str]:
                    case when c_custkey % 3 = 0 then 'arm64' else 'x86_64' end as osArchitecture,
                    case when c_custkey % 2 = 0 then 'Server' else 'Workstation' end as osType,
                    {describe} as osDescription,
-                   (c_acctbal + 1000) / 10 as riskScore,
+                   cast(floor((c_acctbal + 1000) / 10) as double) as riskScore,
                    case when c_custkey % 4 <> 0 then cast(c_custkey * 37 % 1100 as integer) end as riskScoreV2_0,
                    {arr('n_name', 'r_name')} as sites, {arr('c_mktsegment', 'r_name')} as assetGroups,
                    {arr(tag('n_name', 'LOCATION'), tag('c_mktsegment', 'OWNER'))} as tags,

@@ -125,6 +125,13 @@ def _scratch_database(spark: SparkSession, name: str) -> str:
     return name
 
 
+def _then_dropped(spark: SparkSession, database: str, counts: DataFrame) -> DataFrame:
+    """A handful of counts, taken now, so that the check leaves no tables behind."""
+    kept = spark.createDataFrame(counts.collect(), counts.schema)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return kept
+
+
 def snapshot_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load the driver files twice; snapshots do not add up, and both policy sources share a table."""
     database = _scratch_database(spark, "breakwater_snapshot")
@@ -145,7 +152,7 @@ def snapshot_load(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "mystery": [path("nation")],
             },
         )
-    return reduce(
+    counts = reduce(
         DataFrame.unionByName,
         [
             spark.table(f"{database}.{table}")
@@ -160,6 +167,7 @@ def snapshot_load(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ],
     )
+    return _then_dropped(spark, database, counts)
 
 
 _SNAPSHOT_SQL = """
@@ -177,11 +185,12 @@ def append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunk = {"vulnerability_remediation/ivm": [f"{sf_dir}/lineitem.parquet"]}
     load(spark, database, chunk)
     load(spark, database, chunk, append=True)
-    return (
+    counts = (
         spark.table(f"{database}.vulnerability_remediation")
         .groupBy("l_returnflag")
         .agg(F.count("*").alias("row_count"), F.min("l_shipdate").alias("first_ship"))
     )
+    return _then_dropped(spark, database, counts)
 
 
 _APPEND_SQL = """

@@ -210,3 +210,10 @@ def test_json(spark, tmp_path):
     assert catalog.json_rows(frame).first().json == '{"a":1,"b":null,"c":"2024-01-02 03:04:05","d":[1,2]}'
     catalog.write_json(frame, str(tmp_path / "out"))
     assert spark.read.text(str(tmp_path / "out")).first().value == catalog.json_rows(frame).first().json
+
+
+def test_rows_are_clustered_within_files(spark, database, tmp_path):
+    mixed = {"assetId": list("ABCDEF"), "severity": ["Severe", "Critical", None, "Moderate", "Critical", "Severe"]}
+    load(spark, database, {"asset_vulnerability": [write(tmp_path, "v", mixed)]})
+    per_file = spark.table(f"{database}.vulnerabilities").select("severity").collect()
+    assert [r.severity for r in per_file] == [None, "Critical", "Critical", "Moderate", "Severe", "Severe"]
