@@ -21,9 +21,16 @@ def _sort_columns(frame: DataFrame, keys: tuple[str, ...]) -> list[Column]:
     ]
 
 
-def ordered(frame: DataFrame, *keys: str) -> DataFrame:
-    """All rows, sorted."""
-    return frame.orderBy(*_sort_columns(frame, keys))
+def ordered(frame: DataFrame, *keys: str, spread_by: tuple[str, ...] = ()) -> DataFrame:
+    """All rows, sorted.
+
+    A full sort samples its input to find the range of each partition, and so
+    computes it twice. That is cheap behind a shuffle, whose output is kept, but
+    would repeat a bare scan and filter; ``spread_by`` puts a shuffle of the
+    remaining rows in between.
+    """
+    rows = frame.repartition(*spread_by) if spread_by else frame
+    return rows.orderBy(*_sort_columns(frame, keys))
 
 
 def top(frame: DataFrame, n: int, *keys: str) -> DataFrame:

@@ -52,7 +52,7 @@ def assets_by_site(t: Tables, pattern: str = "%Production%") -> DataFrame:
     rows = t.read("assets", "assetId", "hostName", "ip", "osFamily", "riskScore", "sites").where(
         rules.any_like("sites", pattern)
     )
-    return ordered(rows.drop("sites"), "-riskScore")
+    return ordered(rows.drop("sites"), "-riskScore", spread_by=("assetId",))
 
 
 def os_category_distribution(t: Tables) -> DataFrame:

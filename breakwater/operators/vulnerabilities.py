@@ -103,7 +103,7 @@ def cve_search(t: Tables, pattern: str = "%CVE-2024-1234%") -> DataFrame:
         FINDINGS, "assetId", "hostName", "ip", "osDescription", "vulnId", "title", "cvssV3Score", "severity", "cves",
         "firstFoundTimestamp",
     ).where(rules.any_like("cves", pattern))
-    return ordered(rows, "-cvssV3Score")
+    return ordered(rows, "-cvssV3Score", spread_by=("assetId", "vulnId"))
 
 
 def cve_search_flow(t: Tables, pattern: str = "%CVE-2024%") -> DataFrame:

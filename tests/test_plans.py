@@ -92,3 +92,8 @@ def test_settings():
     assert settings(10**14)["spark.sql.shuffle.partitions"] == "50000"
     assert settings(10**12)["spark.sql.shuffle.partitions"] == str(-(-(10**12) // (128 * 2**20)))
     assert settings(1)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_a_full_sort_does_not_repeat_the_scan(no_broadcast, stored):
+    plan = plan_of(no_broadcast, vulnerabilities.cve_search(stored, "%x%"))
+    assert re.search(r"Exchange rangepartitioning.*\n.*Exchange hashpartitioning\(assetId", plan)
