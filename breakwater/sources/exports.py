@@ -35,6 +35,8 @@ def load_export(
     if export_type not in EXPORT_TYPES:
         raise ValueError(f"export_type is one of {', '.join(EXPORT_TYPES)}")
     header = manifest.select("id", "status").first()
+    if header is None:
+        raise ValueError("the manifest describes no export")
     if header.status not in READY:
         raise ValueError(f"export {header.id} is {header.status}, not complete")
     done = by_id(ledger.exports(), header.id).where(F.col("status") == COMPLETE)

@@ -31,7 +31,9 @@ def flatten(manifests: DataFrame) -> DataFrame:
     )
 
 
-def date_chunks(ranges: DataFrame, start: str = "start_date", end: str = "end_date", max_days: int = MAX_DAYS):
+def date_chunks(
+    ranges: DataFrame, start: str = "start_date", end: str = "end_date", max_days: int = MAX_DAYS
+) -> DataFrame:
     """Split every date range into chunks of at most ``max_days``: adds ``chunk_start, chunk_end``.
 
     Adjacent chunks share their boundary date. A range that does not start
