@@ -342,6 +342,16 @@ CHECKS: dict[str, Check] = {
             qualify row_number() over (partition by export_date, export_type
                                        order by created_at desc, export_id desc) = 1""",
     ),
+    "ledger_completed_on": Check(
+        lambda spark, sf_dir: _as_text(ledger.completed_on(_exports(spark, sf_dir), "2024-01-01", "policy")),
+        _text_sql(
+            f"""{_EXPORTS_SQL} select * from exports
+                where export_date = date '2024-01-01' and status = 'COMPLETE' and export_type = 'policy'
+                order by created_at desc, export_id limit 1""",
+            dates=("export_date",),
+            arrays=("parquet_urls", "local_files"),
+        ),
+    ),
     "ledger_reuse": Check(
         ledger_reuse,
         f"""{_EXPORTS_SQL}, hits as (
@@ -382,7 +392,7 @@ CHECKS: dict[str, Check] = {
         ),
         driver_views.with_views(_PARAMETERS.format(score="7.0", epss="0.5")),
     ),
-    "page_text": Check(
+    "clean_fix_text": Check(
         lambda spark, sf_dir: derived.clean_fix_text(_read(spark, sf_dir, "pages"), "html", "text").drop("html"),
         "select page_id, url, regexp_replace(html, '<[^>]*>', '', 'g') as text from pages",
     ),

@@ -234,6 +234,7 @@ def load_path(spark: SparkSession, database: str, path: str, mode: str = "full")
     found = (
         footers.probe(paths)
         .withColumn("prefix", footers.sniffed_prefix(F.transform("columns", lambda c: c["name"]), mode))
+        .select("path", "readable", "prefix", "error")
         .orderBy("path")
         .collect()
     )

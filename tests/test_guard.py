@@ -81,3 +81,21 @@ def test_order_is_kept(guarded):
 def test_other_sessions_are_untouched(spark, guarded):
     assert spark.conf.get("spark.sql.runSQLOnFiles") == "true"
     assert not spark.catalog.tableExists("assets")
+
+
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "select count(*) filter (where hasExploits) as n from vulnerabilities",
+        "select percentile_cont(0.5) within group (order by cvssV3Score) as n from vulnerabilities",
+        "select case when hasExploits then 'yes' else 'no' end as known, count(*) as n from vulnerabilities group by known",
+        "select source, count(distinct assetId) as n from policies group by source having n > 0",
+        "select count(*) as n from vulnerabilities where exists(cves, c -> c like '%CVE-1%')",
+        "select count(*) as n from vulnerabilities v where exists (select 1 from explode(v.cves) as t(c) where c like '%CVE-1%')",
+        "select max(datediff(timestamp_ntz'2030-01-01', firstFoundTimestamp)) as n from vulnerabilities",
+        "select date_trunc('week', lastRemoved) as w, count(*) as n from vulnerability_remediation group by w order by w desc",
+        "select row_number() over (partition by assetId order by epssscore desc) as n from vulnerabilities",
+    ],
+)
+def test_sql_that_the_analyses_are_made_of(guarded, sql):
+    assert guarded.query(sql).first().n > 0
