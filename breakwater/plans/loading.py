@@ -241,7 +241,7 @@ _CHUNKS_SQL = """
 def _ledger(engine: str) -> str:
     text, arr = ("string", "array") if engine == "spark" else ("varchar", "list_value")
     return f"""
-        select event_id as seq, concat('export-', cast(user_id as {text})) as export_id,
+        select event_id as seq, concat('export-', cast(user_id as {text}), '-', cast(day(ts) as {text})) as export_id,
                cast(ts as date) as export_date, ts as created_at,
                case event_type when 'purchase' then 'COMPLETE' when 'view' then 'COMPLETE' when 'error' then 'FAILED'
                     else 'PROCESSING' end as status,
@@ -343,10 +343,10 @@ CHECKS: dict[str, Check] = {
                                        order by created_at desc, export_id desc) = 1""",
     ),
     "ledger_completed_on": Check(
-        lambda spark, sf_dir: _as_text(ledger.completed_on(_exports(spark, sf_dir), "2024-01-01", "policy")),
+        lambda spark, sf_dir: _as_text(ledger.completed_on(_exports(spark, sf_dir), "2024-01-05", "policy")),
         _text_sql(
             f"""{_EXPORTS_SQL} select * from exports
-                where export_date = date '2024-01-01' and status = 'COMPLETE' and export_type = 'policy'
+                where export_date = date '2024-01-05' and status = 'COMPLETE' and export_type = 'policy'
                 order by created_at desc, export_id limit 1""",
             dates=("export_date",),
             arrays=("parquet_urls", "local_files"),
@@ -365,9 +365,9 @@ CHECKS: dict[str, Check] = {
             left join hits h on r.export_date = h.export_date and r.export_type = h.export_type""",
     ),
     "ledger_lookup": Check(
-        lambda spark, sf_dir: _as_text(ledger.by_id(_exports(spark, sf_dir), "export-7")),
+        lambda spark, sf_dir: _as_text(ledger.by_id(_exports(spark, sf_dir), "export-7-3")),
         _text_sql(
-            f"{_EXPORTS_SQL} select * from exports where export_id = 'export-7'",
+            f"{_EXPORTS_SQL} select * from exports where export_id = 'export-7-3'",
             dates=("export_date",),
             arrays=("parquet_urls", "local_files"),
         ),
@@ -378,9 +378,9 @@ CHECKS: dict[str, Check] = {
             from exports where export_type = 'policy' order by created_at desc, export_id limit 10""",
     ),
     "ledger_staleness": Check(
-        lambda spark, sf_dir: _as_text(ledger.staleness(_exports(spark, sf_dir), "2024-01-03")),
+        lambda spark, sf_dir: _as_text(ledger.staleness(_exports(spark, sf_dir), "2024-01-31")),
         f"""{_EXPORTS_SQL} select export_type, cast(max(export_date) as varchar) as last_export_date,
-                   cast(date '2024-01-03' - max(export_date) as integer) as age_days, age_days > 1 as stale
+                   cast(date '2024-01-31' - max(export_date) as integer) as age_days, age_days > 1 as stale
             from exports group by all""",
     ),
     "guarded_sql": Check(
