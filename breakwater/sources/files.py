@@ -40,8 +40,8 @@ def probe(paths: DataFrame) -> DataFrame:
 
         size = None
         try:
-            local = path.startswith("file:/") and "://" not in path
-            system, name = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if local else path)
+            local = path.startswith("file:")
+            system, name = fs.FileSystem.from_uri("/" + path[5:].lstrip("/") if local else path)
             size = system.get_file_info(name).size
             with system.open_input_file(name) as source:
                 found = pq.ParquetFile(source)

@@ -14,7 +14,9 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,7 +62,9 @@ def load(
     name, missing columns as NULL; ``by="position"`` matches columns by place,
     and then every file must have as many columns as the first. Values are cast
     to the types of the first file; a file with a value that cannot be cast is
-    left out as a whole, and so is an unreadable one.
+    left out as a whole, and so is one whose footer cannot be read. A file that
+    is damaged further in fails the load and leaves its table as it was, unless
+    the session sets ``spark.sql.files.ignoreCorruptFiles``.
     """
     if by not in ("name", "position"):
         raise ValueError("by is 'name' or 'position'")
@@ -124,23 +128,23 @@ def _combine(
         frame = _scan(spark, paths, source)
         if not target:
             target = {f.name: f.dataType for f in frame.schema.fields}
-        if by == "position":
-            if len(frame.columns) != len(target):
-                report.warnings.append(f"{len(frame.columns)} columns instead of {len(target)}, skipped: {paths}")
-                continue
-            frame = frame.toDF(*target)
+        if by == "position" and len(frame.columns) != len(target):
+            report.warnings.append(f"{len(frame.columns)} columns instead of {len(target)}, skipped: {paths}")
+            continue
+        spelled = {c.lower(): c for c in target}
+        names = list(target) if by == "position" else [spelled.get(c.lower(), c) for c in frame.columns]
+        frame = frame.toDF(*names)
         for f in frame.schema.fields:
             target.setdefault(f.name, f.dataType)
         changed = [f.name for f in frame.schema.fields if f.dataType != target[f.name]]
         if changed:
-            bad = _uncastable(spark, paths, frame, changed, target)
-            for path, names in bad.items():
-                report.warnings.append(f"{path}: values of {names} do not fit the table, skipped")
+            bad = _uncastable(spark, paths, names, changed, target)
+            for path, columns in bad.items():
+                report.warnings.append(f"{path}: values of {columns} do not fit the table, skipped")
             kept = [p for p in paths if p not in bad]
             if not kept:
                 continue
-            frame = _scan(spark, kept, source)
-            frame = frame.toDF(*target) if by == "position" else frame
+            frame = _scan(spark, kept, source).toDF(*names)
             frame = frame.withColumns({c: F.col(c).cast(target[c]) for c in changed})
         frames.append(frame)
     if not frames:
@@ -160,22 +164,19 @@ def _scan(spark: SparkSession, paths: list[str], source: str | None) -> DataFram
 
 
 def _uncastable(
-    spark: SparkSession, paths: list[str], frame: DataFrame, changed: list[str], target: dict[str, T.DataType]
+    spark: SparkSession, paths: list[str], names: list[str], changed: list[str], target: dict[str, T.DataType]
 ) -> dict[str, list[str]]:
     """Files that hold a value the target type cannot take, with the columns concerned."""
-    original = dict(zip(frame.columns, spark.read.parquet(paths[0]).columns))
-    lost = {
-        c: F.bool_or(F.col(original[c]).isNotNull() & F.col(original[c]).try_cast(target[c]).isNull())
-        for c in changed
-        if c in original
-    }
-    checked = (
-        spark.read.parquet(*dict.fromkeys(paths))
-        .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(*[hit.alias(c) for c, hit in lost.items()])
-        .where(reduce(lambda a, b: a | b, [F.col(c) for c in lost]))
-    )
-    bad = {_place(row.file): [c for c in lost if row[c]] for row in checked.collect()}
+    files = spark.read.parquet(*dict.fromkeys(paths))
+    original = {c: F.col(o) for c, o in zip(names, files.columns) if c in changed}
+    try:
+        lost = files.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+            *[F.bool_or(o.isNotNull() & o.try_cast(target[c]).isNull()).alias(c) for c, o in original.items()]
+        )
+    except AnalysisException:  # types without any conversion, such as a list for a number
+        return dict.fromkeys(paths, changed)
+    found = lost.where(reduce(lambda a, b: a | b, [F.col(c) for c in original])).collect()
+    bad = {_place(unquote(row.file)): [c for c in original if row[c]] for row in found}
     return {p: bad[_place(p)] for p in paths if _place(p) in bad}
 
 

@@ -217,3 +217,33 @@ def test_rows_are_clustered_within_files(spark, database, tmp_path):
     load(spark, database, {"asset_vulnerability": [write(tmp_path, "v", mixed)]})
     per_file = spark.table(f"{database}.vulnerabilities").select("severity").collect()
     assert [r.severity for r in per_file] == [None, "Critical", "Critical", "Moderate", "Severe", "Severe"]
+
+
+def test_paths_with_spaces_and_types_without_a_conversion(spark, database, tmp_path):
+    folder = tmp_path / "a folder"
+    folder.mkdir()
+    first = write(folder, "first file", {"assetId": ["A"], "port": [1]})
+    bad = write(folder, "bad file", {"assetId": ["B"], "port": ["z"]})
+    nested = write(folder, "nested", {"assetId": ["C"], "port": [[1, 2]]})
+    report = load(spark, database, {"asset_vulnerability": [first, bad, f"file://{nested}"]})
+    assert rows(spark, database, "vulnerabilities", "assetId", "port") == [("A", 1)]
+    assert sum("port" in w for w in report.warnings) == 2
+    assert load_path(spark, database, first).row_counts == {}  # no column tells its table
+
+
+def test_column_names_differing_in_case_are_one_column(spark, database, tmp_path):
+    load(spark, database, {"asset": [write(tmp_path, "a", ASSETS), write(tmp_path, "b", {"ASSETID": ["Z"], "IP": ["9"]})]})
+    assert spark.table(f"{database}.assets").columns == list(ASSETS)
+    assert ("Z", "9") in rows(spark, database, "assets", "assetId", "ip")
+
+
+def test_damage_past_the_footer_fails_and_keeps_the_table(spark, database, tmp_path):
+    load(spark, database, {"asset": [write(tmp_path, "a", ASSETS)]})
+    path = tmp_path / "torn.parquet"
+    write(tmp_path, "torn", {"assetId": [f"asset-{i}" for i in range(5000)], "ip": [str(i) for i in range(5000)]})
+    content = bytearray(path.read_bytes())
+    content[4:4000] = b"\xff" * 3996
+    path.write_bytes(content)
+    with pytest.raises(Exception):
+        load(spark, database, {"asset": [str(path)]})
+    assert spark.table(f"{database}.assets").count() == 2
