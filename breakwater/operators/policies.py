@@ -15,6 +15,9 @@ from breakwater.tables import Tables
 PASS, FAIL, ERROR, NOT_APPLICABLE = "pass", "fail", "error", "notApplicable"
 AGENT, SCAN = "agent", "scan"
 
+# A top-k result up to this many rows is broadcast; a longer one joins by shuffle.
+BROADCAST_ROWS = 10_000
+
 
 def _status(value: str, source: str | None = None) -> Column:
     hit = F.col("finalStatus") == value
@@ -52,25 +55,24 @@ def _failed(t: Tables, *columns: str) -> DataFrame:
     return t.read("policies", *columns, "finalStatus").where(F.col("finalStatus") == FAIL)
 
 
-def _of_chosen(rows: DataFrame, chosen: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Rows whose keys are among ``chosen``, with its other columns.
-
-    ``chosen`` is the result of a top-k, so what is broadcast has k rows at most.
-    """
+def _of_chosen(rows: DataFrame, chosen: DataFrame, limit: int, keys: tuple[str, ...]) -> DataFrame:
+    """Rows whose keys are among ``chosen``, a top-k result of ``limit`` rows at most, with its other columns."""
     same = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys])
     more = [F.col(f"c.{c}") for c in chosen.columns if c not in keys]
-    return rows.alias("r").join(F.broadcast(chosen).alias("c"), same).select("r.*", *more)
+    few = F.broadcast(chosen) if limit <= BROADCAST_ROWS else chosen
+    return rows.alias("r").join(few.alias("c"), same).select("r.*", *more)
 
 
-def _with_guidance(t: Tables, best: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """The greatest guidance text of the chosen rules.
+def _with_guidance(t: Tables, counts: DataFrame, limit: int, keys: tuple[str, ...]) -> DataFrame:
+    """The rules that fail on most assets, with the greatest guidance text of each.
 
     Texts are long and repeat. They are read for the chosen rules alone, and
     each task reduces them to the different ones, so none is shuffled twice
     and no row carries its text through the count of assets.
     """
-    texts = _of_chosen(_failed(t, *keys, "fixTexts").drop("finalStatus"), best, keys).distinct()
-    return texts.groupBy(*best.columns).agg(F.max("fixTexts").alias("fix_guidance"))
+    best = top(counts, limit, "-affected_assets")
+    texts = _of_chosen(_failed(t, *keys, "fixTexts").drop("finalStatus"), best, limit, keys).distinct()
+    return top(texts.groupBy(*best.columns).agg(F.max("fixTexts").alias("fix_guidance")), limit, "-affected_assets")
 
 
 def top_failed_rules(t: Tables, limit: int = 25) -> DataFrame:
@@ -81,14 +83,14 @@ def top_failed_rules(t: Tables, limit: int = 25) -> DataFrame:
         .groupBy(*keys)
         .agg(F.countDistinct("assetId").alias("affected_assets"), F.count("*").alias("total_failures"))
     )
-    return top(_with_guidance(t, top(counts, limit, "-affected_assets"), keys), limit, "-affected_assets")
+    return _with_guidance(t, counts, limit, keys)
 
 
 def top_failed_rules_flow(t: Tables, limit: int = 25) -> DataFrame:
     """As ``top_failed_rules``, by title and without the total."""
     keys = ("ruleTitle", "benchmarkTitle")
     counts = _failed(t, *keys, "assetId").groupBy(*keys).agg(F.countDistinct("assetId").alias("affected_assets"))
-    return top(_with_guidance(t, top(counts, limit, "-affected_assets"), keys), limit, "-affected_assets")
+    return _with_guidance(t, counts, limit, keys)
 
 
 def asset_policy_comparison(t: Tables, limit: int = 50) -> DataFrame:
@@ -166,7 +168,7 @@ def failed_rules_guidance(t: Tables, limit: int = 20) -> DataFrame:
     )
     counts = failed.groupBy(*short, *digests).agg(F.countDistinct("assetId").alias("affected_assets"))
     best = top(counts, limit, "-affected_assets", *short, *digests)
-    rows = _of_chosen(failed.drop("assetId"), best, (*short, *digests)).distinct()
+    rows = _of_chosen(failed.drop("assetId"), best, limit, (*short, *digests)).distinct()
     return top(
         rows.select(*short, "fixTexts", "rationales", "affected_assets"), limit, "-affected_assets"
     )

@@ -7,8 +7,7 @@ constructors and the table references differ.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
-from weakref import WeakKeyDictionary
+from functools import lru_cache, partial
 
 from pyspark.sql import SparkSession
 
@@ -125,20 +124,15 @@ def view_sql(engine: str, table: Callable[[str], str] = str) -> dict[str, str]:
     }
 
 
-_known: WeakKeyDictionary[SparkSession, dict[str, Tables]] = WeakKeyDictionary()
-
-
+@lru_cache(maxsize=4)
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     """All six views as DataFrames over the Parquet files in ``sf_dir``.
 
     A session lists the files and reads their schemas once, as it would for
     tables of the catalogue; the files do not change under it.
     """
-    seen = _known.setdefault(spark, {})
-    if sf_dir not in seen:
-        texts = view_sql("spark", lambda name: f"parquet.`{sf_dir}/{name}.parquet`")
-        seen[sf_dir] = Tables(**{name: partial(spark.sql, text) for name, text in texts.items()})
-    return seen[sf_dir]
+    texts = view_sql("spark", lambda name: f"parquet.`{sf_dir}/{name}.parquet`")
+    return Tables(**{name: partial(spark.sql, text) for name, text in texts.items()})
 
 
 def with_views(query: str) -> str:

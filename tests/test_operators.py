@@ -250,3 +250,10 @@ def test_borrowed_attributes_give_the_same_answers(spark, sf_dir):
             return sorted(repr([round(v, 6) if isinstance(v, float) else v for v in r]) for r in frame.collect())
 
         assert shown(got) == shown(expected)
+
+
+def test_long_top_lists_join_without_a_hint(spark, sf_dir):
+    tables = driver_views.tables(spark, sf_dir)
+    short, long = (plain(policies.top_failed_rules(tables, limit=n)) for n in (10_000, 10_001))
+    assert short == long and len(short) > 10
+    assert plain(policies.failed_rules_guidance(tables, 10_000)) == plain(policies.failed_rules_guidance(tables, 10_001))
