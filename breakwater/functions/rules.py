@@ -84,10 +84,14 @@ def remediation_status() -> Column:
     return F.when(F.col("lastRemoved").isNotNull(), REMEDIATED).otherwise(STILL_PRESENT)
 
 
+def capped(score: Column) -> Column:
+    """A risk score as it is shown: at most the top of the scale, NULL if unknown."""
+    return F.when(score > MAX_RISK, F.lit(MAX_RISK)).otherwise(score)
+
+
 def asset_risk() -> Column:
-    """Current risk score before the legacy one, capped at the top of the scale; NULL if neither is known."""
-    score = F.coalesce(F.col("riskScoreV2_0").cast("double"), F.col("riskScore"))
-    return F.when(score > MAX_RISK, float(MAX_RISK)).otherwise(score)
+    """Current risk score before the legacy one, as it is shown."""
+    return capped(F.coalesce(F.col("riskScoreV2_0").cast("double"), F.col("riskScore")))
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -101,7 +101,7 @@ def file_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "readable",
         "rows",
         (F.col("bytes") < files.SMALL_FILE_BYTES).alias("small"),
-        F.size("columns").alias("column_count"),
+        F.array_size("columns").alias("column_count"),
     )
 
 

@@ -25,7 +25,7 @@ _LATEST = ("status", "file_count", "row_count", "parquet_urls", "local_files", "
 
 
 def with_file_count(events: DataFrame) -> DataFrame:
-    return events.withColumn("file_count", F.coalesce(F.size("parquet_urls"), F.lit(0)))
+    return events.withColumn("file_count", F.coalesce(F.array_size("parquet_urls"), F.lit(0)))
 
 
 def current(events: DataFrame) -> DataFrame:
