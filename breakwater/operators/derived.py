@@ -18,17 +18,23 @@ _RULE = ("benchmarkTitle", "ruleNaturalId")
 def agent_scan_discrepancies(t: Tables) -> DataFrame:
     """Asset and rule pairs where the latest agent and scan results differ.
 
-    One aggregation per pair instead of a self join: pairs of results of the
-    same asset and rule are never enumerated.
+    Aggregations instead of a self join: pairs of results of the same asset and
+    rule are never enumerated. The first one keeps the latest time per result,
+    in a hash table without text buffers, so repeated assessments vanish before
+    the shuffle; the second picks the latest result of the few that remain.
     """
 
     def latest(source: str) -> Column:
-        when = F.struct("lastAssessmentTimestamp", "finalStatus")
-        return F.max(F.when(F.col("source") == source, when))["finalStatus"].alias(f"{source}_status")
+        result = F.when(F.col("source") == source, F.struct("at", "finalStatus"))
+        return F.max(result)["finalStatus"].alias(f"{source}_status")
 
-    rows = (
+    results = (
         t.read("policies", "assetId", *_RULE, "source", "finalStatus", "lastAssessmentTimestamp")
-        .groupBy("assetId", *_RULE)
+        .groupBy("assetId", *_RULE, "source", "finalStatus")
+        .agg(F.max("lastAssessmentTimestamp").alias("at"))
+    )
+    rows = (
+        results.groupBy("assetId", *_RULE)
         .agg(latest(AGENT), latest(SCAN))
         .where(F.col("agent_status") != F.col("scan_status"))
     )
