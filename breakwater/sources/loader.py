@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
@@ -74,25 +75,42 @@ def load(
     if not listed:
         return report
     work = _plan(spark, listed, list(skip), report)
-    for table in dict.fromkeys(row.table_name for row in work):
+    tables = list(dict.fromkeys(row.table_name for row in work))
+    fed = [t for t in tables if append and current_version(spark, database, t) == FED]
+    if fed:
+        raise ValueError(f"{', '.join(fed)}: fed by a stream, takes no append loads")
+
+    def load_table(table: str) -> LoadReport:
         mine = [row for row in work if row.table_name == table and row.readable]
-        current = current_version(spark, database, table) if append else None
-        if current == FED:
-            raise ValueError(f"{table} is fed by a stream and takes no append loads")
-        frame = _combine(spark, mine, spark.table(current).schema if current else None, by, report)
-        if frame is None:
-            report.warnings.append(f"{table}: no file could be read, table left as it was")
-            continue
-        if current:
-            _insert(spark, database, table, current, frame)
-        else:
-            _replace(spark, database, table, frame)
-        report.row_counts[table] = spark.table(f"{database}.{table}").count()
+        return _load_table(spark, database, table, mine, append, by)
+
+    # Tables do not depend on each other, so the last tasks of one leave no cores idle.
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        for part in pool.map(load_table, tables):
+            report.row_counts.update(part.row_counts)
+            report.warnings.extend(part.warnings)
     if report.total == 0:
         report.warnings.append(f"{len(listed)} file(s) but 0 rows loaded; prefixes: {sorted(prefix_files)}")
     return report
 
 
+def _load_table(
+    spark: SparkSession, database: str, table: str, rows: list[Row], append: bool, by: str
+) -> LoadReport:
+    report = LoadReport()
+    current = current_version(spark, database, table) if append else None
+    frame = _combine(spark, rows, spark.table(current).schema if current else None, by, report)
+    if frame is None:
+        report.warnings.append(f"{table}: no file could be read, table left as it was")
+        return report
+    if current:
+        _insert(spark, database, table, current, frame)
+    else:
+        _replace(spark, database, table, frame)
+    report.row_counts[table] = spark.table(f"{database}.{table}").count()
+    return report
+
+
 def _plan(spark: SparkSession, listed: list[tuple[str, str]], skip: list[str], report: LoadReport) -> list[Row]:
     """One row per file to load, in the order given; whatever is amiss becomes a warning."""
     numbered = [(i, prefix, path) for i, (prefix, path) in enumerate(listed)]
