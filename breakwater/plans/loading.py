@@ -337,7 +337,8 @@ CHECKS: dict[str, Check] = {
     ),
     "ledger_same_day": Check(
         lambda spark, sf_dir: _as_text(ledger.newest_complete(_exports(spark, sf_dir))),
-        f"""{_EXPORTS_SQL} select cast(export_date as varchar) as export_date, export_type, export_id, created_at from exports
+        f"""{_EXPORTS_SQL}
+            select cast(export_date as varchar) as export_date, export_type, export_id, created_at from exports
             where status = 'COMPLETE'
             qualify row_number() over (partition by export_date, export_type
                                        order by created_at desc, export_id desc) = 1""",
@@ -374,7 +375,9 @@ CHECKS: dict[str, Check] = {
     ),
     "ledger_recent": Check(
         lambda spark, sf_dir: _as_text(ledger.recent(_exports(spark, sf_dir), 10, "policy")),
-        f"""{_EXPORTS_SQL} select export_id, cast(export_date as varchar) as export_date, created_at, status, file_count, row_count, export_type
+        f"""{_EXPORTS_SQL}
+            select export_id, cast(export_date as varchar) as export_date, created_at, status, file_count, row_count,
+                   export_type
             from exports where export_type = 'policy' order by created_at desc, export_id limit 10""",
     ),
     "ledger_staleness": Check(
