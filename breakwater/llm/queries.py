@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from breakwater.llm import pieces
+from breakwater.llm import lines, pieces
 from breakwater.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,8 +23,16 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text judged line by line."""
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_sentencepiece": op1_sentencepiece}
+    return {
+        "op1_sentencepiece": op1_sentencepiece,
+        "op3_quality_rules": op3_quality_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
