@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from breakwater.llm import lines, pieces
+from breakwater.llm import lines, pieces, urls
 from breakwater.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,12 +28,18 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(table(spark, sf_dir, "documents"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by the rules, or by the globs where no rule fits."""
+    return urls.verdicts(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op3_quality_rules": op3_quality_rules,
+        "op8_url_filter": op8_url_filter,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_url_filter": urls.SQL}
