@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from breakwater.llm import lines, pieces, urls
+from breakwater.llm import lines, pieces, shards, urls
 from breakwater.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,11 +33,17 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.verdicts(table(spark, sf_dir, "pages"))
 
 
+def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of sixteen shards of nearly equal bytes."""
+    return shards.document_shards(table(spark, sf_dir, "documents"), 16)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op3_quality_rules": op3_quality_rules,
         "op8_url_filter": op8_url_filter,
+        "op9_kd_shards": op9_kd_shards,
     }
 
 
