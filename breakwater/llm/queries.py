@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from breakwater.llm import lines, pieces, secrets, shards, urls
+from breakwater.llm import fingerprints, lines, pieces, secrets, shards, urls
 from breakwater.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(table(spark, sf_dir, "documents"))
 
 
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text, its edited form and the text that follows, by fingerprint."""
+    return fingerprints.followed(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text scanned; values judged by who holds them in the whole corpus."""
     return secrets.report(table(spark, sf_dir, "documents"))
@@ -47,6 +52,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op3_quality_rules": op3_quality_rules,
+        "op6_fingerprint": op6_fingerprint,
         "op7_secret_scan": op7_secret_scan,
         "op8_url_filter": op8_url_filter,
         "op9_kd_shards": op9_kd_shards,
