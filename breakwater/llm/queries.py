@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from breakwater.llm import fingerprints, lines, pieces, secrets, shards, urls
+from breakwater.llm import ctw, fingerprints, lines, pieces, secrets, shards, urls
 from breakwater.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op2_ctw_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text scored by a model of the texts that are not held out."""
+    return ctw.scores(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text judged line by line."""
     return lines.report(table(spark, sf_dir, "documents"))
@@ -51,6 +56,7 @@ def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
+        "op2_ctw_score": op2_ctw_score,
         "op3_quality_rules": op3_quality_rules,
         "op6_fingerprint": op6_fingerprint,
         "op7_secret_scan": op7_secret_scan,
