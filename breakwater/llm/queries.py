@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from breakwater.llm import ctw, fingerprints, lines, pieces, secrets, shards, urls
+from breakwater.llm import ctw, fingerprints, jaccard, lines, pieces, secrets, shards, urls
 from breakwater.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,11 @@ def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.document_shards(table(spark, sf_dir, "documents"), 16)
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component its four-word shingles link it to."""
+    return jaccard.linked(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -62,6 +67,7 @@ def queries() -> dict[str, Query]:
         "op7_secret_scan": op7_secret_scan,
         "op8_url_filter": op8_url_filter,
         "op9_kd_shards": op9_kd_shards,
+        "op10_ngram_join": op10_ngram_join,
     }
 
 
