@@ -30,7 +30,7 @@ from breakwater.llm.common import shuffle_width, stored
 from breakwater.llm.words import split_words
 
 # Parameters: bytes of context; bytes joined before their grams are counted; distinct grams or words held by a
-# task before it hands them on. None of the bounds changes a result.
+# task before it hands them on. None of the bounds changes a result. A gram and a byte beside it fill 64 bits.
 DEPTH, SLICE, HELD = 6, 1_500_000, 2_000_000
 # The byte that ends a text and precedes it (no UTF-8 text has it), the end among the words, the
 # depth whose sums meet on the driver, and which documents are held out.
@@ -50,15 +50,14 @@ def held_out(doc_id: Column) -> Column:
 def grams(texts: list[bytes]) -> np.ndarray:
     """All grams of some texts: nearest byte of context on top, then the farther ones, the byte itself last."""
     pad = bytes([END]) * DEPTH
-    joined = np.frombuffer(b"".join([pad + t + pad[:1] for t in texts]), np.uint8)
+    joined = np.frombuffer(b"".join([pad + t + pad[:1] for t in texts]) + bytes(8), np.uint8)
     sizes = np.fromiter((len(t) + DEPTH + 1 for t in texts), np.int64, len(texts))
-    counted = np.ones(len(joined), bool)
-    counted[((np.cumsum(sizes) - sizes)[:, None] + np.arange(DEPTH)).ravel()] = False
-    at = np.flatnonzero(counted)
-    found = joined[at].astype(np.uint64)
-    for back in range(1, DEPTH + 1):
-        found |= joined[at - back].astype(np.uint64) << np.uint64(8 * (DEPTH + 1 - back))
-    return found
+    # Eight bytes from every place on, as one number whose higher bytes come later in the text.
+    ahead = np.ndarray(len(joined) - 8, "<u8", joined, strides=(1,))
+    context, byte = ahead & np.uint64((1 << 8 * DEPTH) - 1), ahead >> np.uint64(8 * DEPTH) & np.uint64(0xFF)
+    counted = np.ones(len(ahead), bool)
+    counted[((np.cumsum(sizes) - DEPTH)[:, None] + np.arange(DEPTH)).ravel()] = False  # would reach past a text's end
+    return (context << np.uint64(8) | byte)[counted]
 
 
 def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -399,14 +398,39 @@ def _answer(tops: list[Top]):
 _SCORES = "doc_id long, n_tokens long, n_known long, n_bytes long, known_log double, score double"
 
 
+def _looked_up(docs: list[tuple[int | None, list[bytes]]], words: dict[bytes, int], known: np.ndarray, logs: np.ndarray) -> list[tuple]:
+    """Scores of up to 256 documents. Their grams are sorted together, each with its document in the low byte."""
+    if not docs:
+        return []
+    joined = [b" ".join(tokens) for _, tokens in docs]
+    owner = np.repeat(np.arange(len(docs), dtype=np.uint64), [len(j) + 1 for j in joined])
+    asked = np.sort(grams(joined) << np.uint64(8) | owner)
+    owner, asked = (asked & np.uint64(0xFF)).astype(np.int64), asked >> np.uint64(8)
+    begins = np.flatnonzero(np.concatenate(([True], asked[1:] != asked[:-1])))
+    at, seen = _find(known, asked[begins])
+    if not seen.all():
+        raise ValueError("a block has other documents than before; store the documents first")
+    found = np.bincount(owner, np.repeat(logs[at], np.diff(begins, append=len(asked))), len(docs))
+    rows = []
+    for (doc_id, tokens), text, score in zip(docs, joined, found.tolist()):
+        tokens.append(END_WORD)
+        counts = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
+        rows.append((doc_id, len(tokens), int((counts > 0).sum()), len(text) + 1, float(np.log10(counts + 1.0).sum()), score))
+    return rows
+
+
 def _score(batches: Iterable) -> Iterator:
     """A block's answers, then its documents one by one."""
     block, keys, values, words, ready = None, [], [], {}, False
     known = logs = np.zeros(0)
+    waiting: list[tuple[int | None, list[bytes]]] = []
+    size = 0
     for batch in batches:
         rows = []
         for row in batch.to_pylist():
             if row["block"] != block:
+                rows += _looked_up(waiting, words, known, logs)
+                waiting, size = [], 0
                 block, keys, values, words, ready = row["block"], [], [], {}, False
             if row["kind"] == GRAMS:
                 keys.append(_unpack_keys(row["keys"]))
@@ -419,19 +443,13 @@ def _score(batches: Iterable) -> Iterator:
                     order = np.argsort(known)
                     known, logs, ready = known[order], logs[order].astype(np.float64), True
                     keys = values = []
-                tokens = split_words(row["text"], lower=True)
-                joined = b" ".join(tokens)
-                tokens.append(END_WORD)
-                counts = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
-                asked = np.sort(grams([joined]))
-                at, seen = _find(known, asked)
-                if not seen.all():
-                    raise ValueError("a block has other documents than before; store the documents first")
-                rows.append((
-                    row["doc_id"], len(tokens), int((counts > 0).sum()), len(joined) + 1,
-                    float(np.log10(counts + 1.0).sum()), float(logs[at].sum()),
-                ))
+                waiting.append((row["doc_id"], split_words(row["text"], lower=True)))
+                size += len(row["text"])
+                if len(waiting) == 256 or size > SLICE:
+                    rows += _looked_up(waiting, words, known, logs)
+                    waiting, size = [], 0
         yield _rows(rows, _SCORES)
+    yield _rows(_looked_up(waiting, words, known, logs), _SCORES)
 
 
 # -- the operator -----------------------------------------------------------------------------------------------
