@@ -23,12 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from breakwater.llm import graph
+from breakwater.llm.bitmap import bitmap_of, mark, might_hold
 from breakwater.llm.common import shuffle_width, stored
 from breakwater.llm.words import WordNumbers, shingles, split_words
 
-# Parameters. The sketch and the filter have fixed sizes and only steer how much work is done: counters of the sketch,
-# its slices and the first level of their sums, bits of the filter, tokens gathered before they are counted.
-COUNTERS, SLICES, FAN, FILTER_BITS, GATHERED = 1 << 18, 16, 32, 1 << 26, 500_000
+# Parameters. The sketch has a fixed size and only steers how much work is done: its counters, slices and the first
+# level of their sums; tokens gathered before they are counted.
+COUNTERS, SLICES, FAN, GATHERED = 1 << 18, 16, 32, 500_000
 # The greatest l, and costs of a prefix row, of a row met on the way and of a verified candidate.
 MOST_MATCHES, ROW_COST, MEET_COST, VERIFY_COST = 4, 1.0, 1.0, 20.0
 # Pairs of one node verified in one task before it is split.
@@ -159,8 +160,8 @@ def _prefixes(words: int, num: int, den: int, sketch: np.ndarray):
 
         tokens = Tokens(words)
         for batch in batches:
-            out: dict[str, list] = {"digest": [], "size": [], "matches": [], "prefix": []}
-            for text in batch.column(0):
+            out: dict[str, list] = {"digest": [], "row": [], "size": [], "matches": [], "prefix": []}
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = tokens.of(text.as_py())
                 if not len(own):
                     continue
@@ -170,10 +171,11 @@ def _prefixes(words: int, num: int, den: int, sketch: np.ndarray):
                 overlap = least_overlap(len(own), num, den)
                 matches = choose(others[order], len(own), overlap)
                 out["digest"].append(_digest(own))
+                out["row"].append(row)
                 out["size"].append(len(own))
                 out["matches"].append(matches)
                 out["prefix"].append(own[order[: len(own) - overlap + matches]].view(np.int64))
-            kinds = {"digest": pa.binary(), "size": pa.int32(), "matches": pa.int32(), "prefix": pa.list_(pa.int64())}
+            kinds = {"digest": pa.binary(), "row": pa.int64(), "size": pa.int32(), "matches": pa.int32(), "prefix": pa.list_(pa.int64())}
             yield _batch([(name, kinds[name], values) for name, values in out.items()])
 
     return run
@@ -182,57 +184,18 @@ def _prefixes(words: int, num: int, den: int, sketch: np.ndarray):
 # -- third scan: sets of the nodes to verify --------------------------------------------------------------------
 
 
-def _mark(digest: Column) -> Column:
-    return F.pmod(F.xxhash64(digest), F.lit(FILTER_BITS))
-
-
-def _bits(batches: Iterable) -> Iterator:
-    """Bytes of the filter that have a bit set, with their place: rows come as ``mark``, equal bytes together."""
-    import pyarrow as pa
-
-    at, value = None, 0
-    places, values = [], []
-    for batch in batches:
-        for mark in batch.column(0).to_pylist():
-            if at != mark >> 3:
-                if at is not None:
-                    places.append(at)
-                    values.append(value)
-                at, value = mark >> 3, 0
-            value |= 1 << (mark & 7)
-        yield _batch([("place", pa.int32(), places), ("value", pa.int32(), values)])
-        places, values = [], []
-    if at is not None:
-        yield _batch([("place", pa.int32(), [at]), ("value", pa.int32(), [value])])
-
-
-def _filter(digests: DataFrame, width: int) -> np.ndarray:
-    """A bitmap of ``FILTER_BITS`` bits whatever the corpus; it spares sets that are surely not asked for."""
-    marks = digests.select(_mark(F.col("digest")).cast("long").alias("mark")).distinct()
-    dealt = marks.withColumn("part", F.pmod(F.shiftright("mark", 3), F.lit(width)).cast("int")).repartitionById(width, F.col("part"))
-    rows = dealt.select("mark").sortWithinPartitions("mark").mapInArrow(_bits, "place int, value int").toArrow()
-    bitmap = np.zeros(FILTER_BITS // 8, np.uint8)
-    bitmap[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
-    return bitmap
-
-
-def _sets(words: int):
-    """``digest, tokens`` of texts, each set once for a task."""
+def _sets(words: int, asked: np.ndarray):
+    """``row, text`` to ``row, tokens`` of the rows that may be asked for."""
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        tokens, seen = Tokens(words), set()
+        tokens = Tokens(words)
         for batch in batches:
-            digests, sets = [], []
-            for text in batch.column(0):
-                own = tokens.of(text.as_py())
-                digest = _digest(own)
-                if len(own) and digest not in seen:
-                    seen.add(digest)
-                    digests.append(digest)
-                    sets.append(own.tobytes())
-            yield _batch([("digest", pa.binary(), digests), ("tokens", pa.binary(), sets)])
+            wanted = np.flatnonzero(might_hold(asked, batch.column(2).to_numpy()))
+            rows, texts = batch.column(0).to_numpy()[wanted], batch.column(1)
+            sets = [tokens.of(texts[i].as_py()).tobytes() for i in wanted.tolist()]
+            yield _batch([("row", pa.int64(), rows), ("tokens", pa.binary(), sets)])
 
     return run
 
@@ -253,7 +216,7 @@ def _compare(num: int, den: int):
                     continue
                 if node != row["a"]:
                     raise ValueError("a set is missing; store the documents first")
-                shared = len(own) + len(other) - len(np.union1d(own, other))
+                shared = len(np.intersect1d(own, other, assume_unique=True))
                 if den * shared >= num * (len(own) + len(other) - shared):
                     a.append(row["a"])
                     b.append(row["b"])
@@ -265,23 +228,39 @@ def _compare(num: int, den: int):
 # -- the operator -----------------------------------------------------------------------------------------------
 
 
+_SIZE_BIT, _PLACE_BIT = 34, 4
+
+
+def _unpacked() -> list[Column]:
+    """Size of the node, place of the token and l, out of one number."""
+    packed = F.col("packed")
+    return [
+        F.shiftright(packed, _SIZE_BIT).alias("size"),
+        F.shiftright(packed, _PLACE_BIT).bitwiseAND(F.lit((1 << _SIZE_BIT - _PLACE_BIT) - 1)).alias("place"),
+        packed.bitwiseAND(F.lit((1 << _PLACE_BIT) - 1)).alias("matches"),
+    ]
+
+
 class Join:
-    """One run of the join over ``docs``; see :func:`linked`."""
+    """One run of the join over ``docs``; see :func:`linked`. A node is the least row of the documents with one set."""
 
     def __init__(self, docs: DataFrame, words: int, num: int, den: int):
-        self.texts, self.words, self.num, self.den = docs.select("text"), words, num, den
+        self.texts = docs.select(F.monotonically_increasing_id().alias("row"), "text")
+        self.words, self.num, self.den = words, num, den
         self.width = shuffle_width(docs.sparkSession)
         first = stored(docs.select("doc_id", "text").mapInArrow(_survey(words), _FIRST))
         self.members = first.where(F.col("counts").isNull()).select("doc_id", "size", "digest")
         prefixes = self.texts.mapInArrow(
-            _prefixes(words, num, den, _sketch(first)), "digest binary, size int, matches int, prefix array<long>"
+            _prefixes(words, num, den, _sketch(first)), "digest binary, row long, size int, matches int, prefix array<long>"
         )
-        sets = prefixes.groupBy("digest").agg(*[F.any_value(c).alias(c) for c in ("size", "matches", "prefix")])
-        self.nodes = stored(sets.withColumn("node", F.monotonically_increasing_id()))
+        sets = prefixes.groupBy("digest").agg(F.min("row").alias("node"), *[F.any_value(c).alias(c) for c in ("size", "matches", "prefix")])
+        self.nodes = stored(sets)
 
     def shared_tokens(self) -> DataFrame:
         """Prefix rows of tokens that more than one node has, with the least of those nodes."""
-        rows = self.nodes.select("node", "size", "matches", F.posexplode("prefix").alias("place", "token"))
+        exploded = self.nodes.select("node", "size", "matches", F.posexplode("prefix").alias("place", "token"))
+        size, place = F.shiftleft(F.col("size").cast("long"), _SIZE_BIT), F.shiftleft(F.col("place").cast("long"), _PLACE_BIT)
+        rows = exploded.select("token", "node", size.bitwiseOR(place).bitwiseOR(F.col("matches").cast("long")).alias("packed"))
         held = Window.partitionBy("token")
         counted = rows.select("*", F.count("*").over(held).alias("n"), F.min("node").over(held).alias("hub"))
         return stored(counted.where("n > 1").drop("n"))
@@ -295,50 +274,50 @@ class Join:
         return F.ceil((F.col(size) + F.col(other)) * F.lit(self.num) / F.lit(self.num + self.den) - F.lit(1e-9))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs ``a, b`` whose sets link. Of the two, ``a`` is the one that may be in many pairs."""
-        pairs = stored(pairs.select("a", "b").distinct())
-        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = stored(self.nodes.select("node", "digest").join(ends, "node", "left_semi"))
-        bitmap = _filter(wanted, self.width)
-
-        @F.arrow_udf("boolean")
-        def asked(mark):
-            import pyarrow as pa
-
-            at = mark.to_numpy()
-            return pa.array((bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+        """The pairs ``a, b`` whose sets link. Of the two, ``a`` is the one that may be in many pairs.
 
-        sets = self.texts.mapInArrow(_sets(self.words), "digest binary, tokens binary").where(asked(_mark(F.col("digest"))))
-        held = sets.join(wanted, "digest").groupBy("node").agg(F.any_value("tokens").alias("tokens"))
-        held = stored(held)
+        A set is cut from its text again, moves once to meet the pairs that ask for it and once to meet the
+        other set; a node of many pairs is split, its set repeated.
+        """
+        pairs = stored(pairs.select("a", "b").distinct())
         splits = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(STAR)).cast("int").alias("splits"))
-        own = splits.join(held.withColumnRenamed("node", "a"), "a").select(
-            "a", F.lit(None).cast("long").alias("b"), "tokens", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("salt")
+        own = splits.select(
+            F.col("a").alias("row"), "a", F.lit(None).cast("long").alias("b"), F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("salt")
+        )
+        others = pairs.join(splits, "a").select(
+            F.col("b").alias("row"), "a", "b", F.pmod(F.xxhash64("b"), F.col("splits")).cast("int").alias("salt")
         )
-        others = pairs.join(splits, "a").join(held.withColumnRenamed("node", "b"), "b").select(
-            "a", "b", "tokens", F.pmod(F.xxhash64("b"), F.col("splits")).cast("int").alias("salt")
+        requests = stored(own.unionByName(others))
+        asked = bitmap_of(requests.select(mark(F.xxhash64("row")).alias("mark")), self.width)
+        sets = self.texts.select("row", "text", F.xxhash64("row").alias("mark")).mapInArrow(
+            _sets(self.words, asked), "row long, tokens binary"
         )
-        met = own.unionByName(others).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-        return stored(met.select("a", "b", "tokens").mapInArrow(_compare(self.num, self.den), "a long, b long"))
+        met = requests.join(sets, "row").select("a", "salt", "b", "tokens")
+        ordered = met.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+        return stored(ordered.select("a", "b", "tokens").mapInArrow(_compare(self.num, self.den), "a long, b long"))
 
     def stars(self, shared: DataFrame) -> DataFrame:
-        """Every node with the least node of each token it shares, where their sizes allow a link."""
-        pairs = shared.where("hub <> node").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.any_value("size").alias("size"))
-        hubs = self.nodes.select(F.col("node").alias("a"), F.col("size").alias("hub_size"))
-        return pairs.join(hubs, "a").where(self._fits("size", "hub_size")).select("a", "b")
+        """Every node with one of the nodes that lead its tokens, the one it shares most with, if their sizes allow a link."""
+        pairs = shared.where("hub <> node").groupBy("hub", "node").agg(F.count("*").alias("n"))
+        most = Window.partitionBy("node").orderBy(F.desc("n"), "hub")
+        best = pairs.withColumn("rank", F.row_number().over(most)).where("rank = 1").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+        sizes = self.nodes.select("node", "size")
+        known = best.join(sizes.toDF("a", "size"), "a").join(sizes.toDF("b", "other_size"), "b")
+        return known.where(self._fits("size", "other_size")).select("a", "b")
 
     def across(self, shared: DataFrame, found: DataFrame, tried: DataFrame) -> DataFrame:
         """Pairs of two components that share enough prefix tokens, unless tried before."""
         labelled = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         held = Window.partitionBy("token")
         ends = labelled.select("*", F.min("component").over(held).alias("lo"), F.max("component").over(held).alias("hi"))
-        mixed = stored(ends.where("lo <> hi").drop("lo", "hi", "hub"))
+        mixed = stored(ends.where("lo <> hi").select("token", "node", "component", *_unpacked()))
         by_size = Window.partitionBy("token").orderBy(F.desc("n"), "component")
         main = mixed.groupBy("token", "component").agg(F.count("*").alias("n")).withColumn("rank", F.row_number().over(by_size))
         main = main.where("rank = 1").select("token", F.col("component").alias("main"))
         rows = mixed.join(main, "token")
         left = rows.where("component <> main").drop("main")
-        right = rows.select("token", *[F.col(c).alias(f"other_{c}") for c in ("node", "size", "matches", "place", "component")], (F.col("component") == F.col("main")).alias("is_main"))
+        others = [F.col(c).alias(f"other_{c}") for c in ("node", "size", "matches", "place", "component")]
+        right = rows.select("token", *others, (F.col("component") == F.col("main")).alias("is_main"))
         tail = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
         enough = F.least("matches", "other_matches")
         met = left.join(right, "token").where(
