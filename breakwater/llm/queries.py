@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from breakwater.llm import ctw, fingerprints, jaccard, lines, mixing, pieces, secrets, shards, urls
+from breakwater.llm import ctw, fingerprints, jaccard, lines, mixing, passages, pieces, secrets, shards, urls
 from breakwater.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(table(spark, sf_dir, "documents"))
 
 
+def op4_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of whole texts that two documents share, with the document that keeps it."""
+    return passages.passages(table(spark, sf_dir, "documents"))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed as evenly as reading each source at most twice allows; a row for each draw."""
     return mixing.draws(table(spark, sf_dir, "documents"), mixing.Target(repetition=2.0)).drop("row")
@@ -68,6 +73,7 @@ def queries() -> dict[str, Query]:
         "op1_sentencepiece": op1_sentencepiece,
         "op2_ctw_score": op2_ctw_score,
         "op3_quality_rules": op3_quality_rules,
+        "op4_passage_dedup": op4_passage_dedup,
         "op5_source_mix": op5_source_mix,
         "op6_fingerprint": op6_fingerprint,
         "op7_secret_scan": op7_secret_scan,
