@@ -361,3 +361,18 @@ def linked(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> Da
     inside = rows.join(by_digest, ["digest", "salt"]).select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id")
     alone = join.members.where("size = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return inside.unionByName(alone)
+
+
+def representatives(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with one row of each linked component, the first; columns stay as they are.
+
+    Rows without a word (null texts too) are linked with nothing and all stay. Repeated rows are one component, so
+    one of them stays. ``docs`` must give the same rows when read again.
+    """
+    join = Join(docs, words, num, den)
+    dropped = join.run().where("node <> component").select("node")
+    keep = join.nodes.select("node").join(dropped, "node", "left_anti").select(F.col("node").alias("row"))
+    bare = join.texts.where(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))).select("row")
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    whole = docs.select(doc, F.monotonically_increasing_id().alias("row"))
+    return whole.join(keep.unionByName(bare), "row", "left_semi").select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
