@@ -32,8 +32,8 @@ from breakwater.llm.words import WordNumbers, shingles, split_words
 COUNTERS, SLICES, FAN, GATHERED = 1 << 18, 16, 32, 500_000
 # The greatest l, and costs of a prefix row, of a row met on the way and of a verified candidate.
 MOST_MATCHES, ROW_COST, MEET_COST, VERIFY_COST = 4, 1.0, 1.0, 20.0
-# Pairs of one node verified in one task before it is split.
-STAR = 2000
+# Pairs of one node verified in one task before it is split; bins into which the tokens of a set are counted.
+STAR, BINS = 500, 64
 
 
 class Tokens:
@@ -160,7 +160,7 @@ def _prefixes(words: int, num: int, den: int, sketch: np.ndarray):
 
         tokens = Tokens(words)
         for batch in batches:
-            out: dict[str, list] = {"digest": [], "row": [], "size": [], "matches": [], "prefix": []}
+            out: dict[str, list] = {"digest": [], "row": [], "size": [], "matches": [], "bins": [], "prefix": []}
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = tokens.of(text.as_py())
                 if not len(own):
@@ -174,8 +174,9 @@ def _prefixes(words: int, num: int, den: int, sketch: np.ndarray):
                 out["row"].append(row)
                 out["size"].append(len(own))
                 out["matches"].append(matches)
+                out["bins"].append(np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=BINS).astype(np.uint32).tobytes())
                 out["prefix"].append(own[order[: len(own) - overlap + matches]].view(np.int64))
-            kinds = {"digest": pa.binary(), "row": pa.int64(), "size": pa.int32(), "matches": pa.int32(), "prefix": pa.list_(pa.int64())}
+            kinds = {"digest": pa.binary(), "row": pa.int64(), "size": pa.int32(), "matches": pa.int32(), "bins": pa.binary(), "prefix": pa.list_(pa.int64())}
             yield _batch([(name, kinds[name], values) for name, values in out.items()])
 
     return run
@@ -200,6 +201,14 @@ def _sets(words: int, asked: np.ndarray):
     return run
 
 
+def _overlap_bound(bins, other):
+    """At most so many tokens can two sets share: the lesser count of every bin, added up."""
+    import pyarrow as pa
+
+    a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint32).reshape(-1, BINS) for x in (bins, other))
+    return pa.array(np.minimum(a, b).sum(axis=1, dtype=np.int64))
+
+
 def _compare(num: int, den: int):
     """Rows sorted so that a node's own set comes before the sets to compare it with."""
 
@@ -251,9 +260,9 @@ class Join:
         first = stored(docs.select("doc_id", "text").mapInArrow(_survey(words), _FIRST))
         self.members = first.where(F.col("counts").isNull()).select("doc_id", "size", "digest")
         prefixes = self.texts.mapInArrow(
-            _prefixes(words, num, den, _sketch(first)), "digest binary, row long, size int, matches int, prefix array<long>"
+            _prefixes(words, num, den, _sketch(first)), "digest binary, row long, size int, matches int, bins binary, prefix array<long>"
         )
-        sets = prefixes.groupBy("digest").agg(F.min("row").alias("node"), *[F.any_value(c).alias(c) for c in ("size", "matches", "prefix")])
+        sets = prefixes.groupBy("digest").agg(F.min("row").alias("node"), *[F.any_value(c).alias(c) for c in ("size", "matches", "bins", "prefix")])
         self.nodes = stored(sets)
 
     def shared_tokens(self) -> DataFrame:
@@ -276,10 +285,15 @@ class Join:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``a, b`` whose sets link. Of the two, ``a`` is the one that may be in many pairs.
 
-        A set is cut from its text again, moves once to meet the pairs that ask for it and once to meet the
+        Pairs that share too few tokens in every bin of the hash range cannot link and go first. A set of the
+        others is cut from its text again, moves once to meet the pairs that ask for it and once to meet the
         other set; a node of many pairs is split, its set repeated.
         """
-        pairs = stored(pairs.select("a", "b").distinct())
+        sides = self.nodes.select("node", "size", "bins")
+        known = pairs.join(sides.toDF("a", "size", "bins"), "a").join(sides.toDF("b", "other_size", "other_bins"), "b")
+        at_most = F.arrow_udf(_overlap_bound, "long")
+        able = self._fits("size", "other_size") & (at_most("bins", "other_bins") >= self._needed("size", "other_size"))
+        pairs = stored(known.where(able).select("a", "b"))
         splits = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(STAR)).cast("int").alias("splits"))
         own = splits.select(
             F.col("a").alias("row"), "a", F.lit(None).cast("long").alias("b"), F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("salt")
@@ -297,13 +311,11 @@ class Join:
         return stored(ordered.select("a", "b", "tokens").mapInArrow(_compare(self.num, self.den), "a long, b long"))
 
     def stars(self, shared: DataFrame) -> DataFrame:
-        """Every node with one of the nodes that lead its tokens, the one it shares most with, if their sizes allow a link."""
+        """Every node with one of the nodes that lead its tokens, the one it shares most with."""
         pairs = shared.where("hub <> node").groupBy("hub", "node").agg(F.count("*").alias("n"))
         most = Window.partitionBy("node").orderBy(F.desc("n"), "hub")
         best = pairs.withColumn("rank", F.row_number().over(most)).where("rank = 1").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-        sizes = self.nodes.select("node", "size")
-        known = best.join(sizes.toDF("a", "size"), "a").join(sizes.toDF("b", "other_size"), "b")
-        return known.where(self._fits("size", "other_size")).select("a", "b")
+        return best
 
     def across(self, shared: DataFrame, found: DataFrame, tried: DataFrame) -> DataFrame:
         """Pairs of two components that share enough prefix tokens, unless tried before."""
