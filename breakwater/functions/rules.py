@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Labels, limits and literals that results must show as they are.
@@ -105,3 +105,18 @@ def strip_tags(column: str | Column) -> Column:
 
 def solution_type() -> Column:
     return F.coalesce(F.col("bestSolutionType"), F.lit(UNKNOWN_SOLUTION))
+
+
+def digest(text: str) -> Column:
+    """A text as a number, ``<text>_digest``, so that the text stays out of shuffles that count assets."""
+    return F.xxhash64(text).alias(f"{text}_digest")
+
+
+def with_text(counts: DataFrame, rows: DataFrame, text: str, key: str) -> DataFrame:
+    """Put the texts back behind the digests of ``counts``; ``rows`` has them next to ``key``.
+
+    Texts are read once more and reduced to the different ones before they move.
+    """
+    texts = rows.select(F.col(key).alias("_key"), digest(text).alias("_digest"), text).distinct()
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(f"{text}_digest") == F.col("_digest"))
+    return counts.join(texts, same).drop("_key", "_digest", f"{text}_digest")

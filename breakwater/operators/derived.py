@@ -112,14 +112,14 @@ def cve_still_present_assets(t: Tables, cve: str) -> DataFrame:
     return ordered(rows, "assetId")
 
 
-def _percent_rank(frame: DataFrame, value: str, bucket: Column, name: str) -> DataFrame:
-    """Add the percent rank of ``value`` over all rows, without sorting rows in one task.
+def _percent_rank(pairs: DataFrame, value: str, bucket: Column, name: str) -> DataFrame:
+    """Percent rank of every distinct ``value`` of counted ``pairs``, without sorting rows in one task.
 
-    Rows are counted per distinct value. Distinct values are ranked inside
-    order-keeping buckets, in parallel; only the totals per bucket, whose number
-    ``bucket`` must bound, are summed up in one task.
+    Distinct values are ranked inside order-keeping buckets, in parallel; only
+    the totals per bucket, whose number ``bucket`` must bound, are summed up in
+    one task.
     """
-    values = frame.groupBy(value).agg(F.count("*").alias("n")).withColumn("bucket", bucket)
+    values = pairs.groupBy(value).agg(F.sum("n").alias("n")).withColumn("bucket", bucket)
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
     totals = (
         values.groupBy("bucket")
@@ -132,10 +132,9 @@ def _percent_rank(frame: DataFrame, value: str, bucket: Column, name: str) -> Da
     )
     inside = Window.partitionBy("bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     less = F.col("below") + F.coalesce(F.sum("n").over(inside), F.lit(0))
-    ranks = values.join(totals, "bucket").select(
+    return values.join(totals, "bucket").select(
         value, F.coalesce(F.try_divide(less, F.col("everything") - 1), F.lit(0.0)).alias(name)
     )
-    return frame.join(ranks, value)
 
 
 def risk_vs_count_discrepancy(t: Tables, limit: int = 50) -> DataFrame:
@@ -143,7 +142,9 @@ def risk_vs_count_discrepancy(t: Tables, limit: int = 50) -> DataFrame:
 
     Risk is on a capped scale, so thousandths of a point make about a million
     buckets. N findings spread over assets give at most sqrt(2N) different
-    counts, and at most N / 1e6 of them above a million.
+    counts, and at most N / 1e6 of them above a million. Both ranks and the gap
+    are worked out on the distinct pairs of risk and count, and assets meet them
+    in one join.
     """
     per_asset = t.read("vulnerabilities", "assetId").groupBy("assetId").agg(F.count("*").alias("findings"))
     rows = (
@@ -155,8 +156,13 @@ def risk_vs_count_discrepancy(t: Tables, limit: int = 50) -> DataFrame:
     )
     by_risk = F.greatest(F.floor(F.col("risk") * 1000), F.lit(-1))
     by_count = F.least(F.col("findings"), F.lit(1_000_000))
-    ranked = _percent_rank(_percent_rank(rows, "risk", by_risk, "risk_rank"), "findings", by_count, "count_rank")
-    gaps = ranked.select(
+    pairs = rows.groupBy("risk", "findings").agg(F.count("*").alias("n"))
+    ranked = (
+        pairs.drop("n")
+        .join(_percent_rank(pairs, "risk", by_risk, "risk_rank"), "risk")
+        .join(_percent_rank(pairs, "findings", by_count, "count_rank"), "findings")
+    )
+    gaps = rows.join(ranked, ["risk", "findings"]).select(
         "assetId", "hostName", "risk", "findings",
         F.round("risk_rank", 6).alias("risk_rank"),
         F.round("count_rank", 6).alias("count_rank"),

@@ -15,9 +15,6 @@ from breakwater.tables import Tables
 PASS, FAIL, ERROR, NOT_APPLICABLE = "pass", "fail", "error", "notApplicable"
 AGENT, SCAN = "agent", "scan"
 
-# A top-k result up to this many rows is broadcast; a longer one joins by shuffle.
-BROADCAST_ROWS = 10_000
-
 
 def _status(value: str, source: str | None = None) -> Column:
     hit = F.col("finalStatus") == value
@@ -55,12 +52,11 @@ def _failed(t: Tables, *columns: str) -> DataFrame:
     return t.read("policies", *columns, "finalStatus").where(F.col("finalStatus") == FAIL)
 
 
-def _of_chosen(rows: DataFrame, chosen: DataFrame, limit: int, keys: tuple[str, ...]) -> DataFrame:
-    """Rows whose keys are among ``chosen``, a top-k result of ``limit`` rows at most, with its other columns."""
+def _of_chosen(rows: DataFrame, chosen: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Rows whose keys are among ``chosen``, a top-k result, with its other columns."""
     same = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys])
     more = [F.col(f"c.{c}") for c in chosen.columns if c not in keys]
-    few = F.broadcast(chosen) if limit <= BROADCAST_ROWS else chosen
-    return rows.alias("r").join(few.alias("c"), same).select("r.*", *more)
+    return rows.alias("r").join(chosen.alias("c"), same).select("r.*", *more)
 
 
 def _with_guidance(t: Tables, counts: DataFrame, limit: int, keys: tuple[str, ...]) -> DataFrame:
@@ -71,7 +67,7 @@ def _with_guidance(t: Tables, counts: DataFrame, limit: int, keys: tuple[str, ..
     and no row carries its text through the count of assets.
     """
     best = top(counts, limit, "-affected_assets")
-    texts = _of_chosen(_failed(t, *keys, "fixTexts").drop("finalStatus"), best, limit, keys).distinct()
+    texts = _of_chosen(_failed(t, *keys, "fixTexts").drop("finalStatus"), best, keys).distinct()
     return top(texts.groupBy(*best.columns).agg(F.max("fixTexts").alias("fix_guidance")), limit, "-affected_assets")
 
 
@@ -168,7 +164,7 @@ def failed_rules_guidance(t: Tables, limit: int = 20) -> DataFrame:
     )
     counts = failed.groupBy(*short, *digests).agg(F.countDistinct("assetId").alias("affected_assets"))
     best = top(counts, limit, "-affected_assets", *short, *digests)
-    rows = _of_chosen(failed.drop("assetId"), best, limit, (*short, *digests)).distinct()
+    rows = _of_chosen(failed.drop("assetId"), best, (*short, *digests)).distinct()
     return top(
         rows.select(*short, "fixTexts", "rationales", "affected_assets"), limit, "-affected_assets"
     )

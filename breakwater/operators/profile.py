@@ -31,8 +31,16 @@ def total_rows(t: Tables) -> DataFrame:
 
 
 def unique_counts(t: Tables, table: str, **columns: str) -> DataFrame:
-    """Exact distinct values of columns: ``unique_counts(t, "assets", unique_assets="assetId")``."""
-    return t[table].agg(*[F.countDistinct(column).alias(name) for name, column in columns.items()])
+    """Exact distinct values of columns: ``unique_counts(t, "assets", unique_assets="assetId")``.
+
+    Every column is counted alone, so no row is copied for another column.
+    """
+    counts = [
+        t[table].select(F.col(column).alias("value")).distinct().agg(F.count("value").alias("n")).select(F.lit(name).alias("name"), "n")
+        for name, column in columns.items()
+    ]
+    every = reduce(DataFrame.unionByName, counts)
+    return every.agg(*[F.sum(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in columns])
 
 
 def distribution(t: Tables, table: str, column: str) -> DataFrame:

@@ -31,16 +31,20 @@ def remediation_overview(t: Tables) -> DataFrame:
 
 def cve_remediation_status(t: Tables, limit: int = 25) -> DataFrame:
     """Per CVE: assets, findings fixed and open, most open first."""
-    keys = ("cveId", "title", "cvssV3Score", "cvssV3Severity")
-    rows = (
-        t.read(HISTORY, *keys, "assetId", "lastRemoved")
-        .groupBy(*keys)
-        .agg(
-            F.countDistinct("assetId").alias("total_assets"),
-            F.count("lastRemoved").alias("remediated_count"),
-            F.count_if(F.col("lastRemoved").isNull()).alias("still_present_count"),
-            rules.percent(F.count("lastRemoved"), F.count("*")).alias("remediation_pct"),
-        )
+    keys = ("cveId", "cvssV3Score", "cvssV3Severity")
+    history = t.read(HISTORY, *keys, "title", "assetId", "lastRemoved")
+    per_asset = history.groupBy(*keys, rules.digest("title"), "assetId").agg(
+        F.count("lastRemoved").alias("removed"), F.count("*").alias("found")
+    )
+    removed, found = F.sum("removed"), F.sum("found")
+    counts = per_asset.groupBy(*keys, "title_digest").agg(
+        F.count("assetId").alias("total_assets"),
+        removed.alias("remediated_count"),
+        (found - removed).alias("still_present_count"),
+        rules.percent(removed, found).alias("remediation_pct"),
+    )
+    rows = rules.with_text(counts, history, "title", "cveId").select(
+        "cveId", "title", *keys[1:], "total_assets", "remediated_count", "still_present_count", "remediation_pct"
     )
     return top(rows, limit, "-still_present_count")
 

@@ -115,27 +115,34 @@ def cve_search_flow(t: Tables, pattern: str = "%CVE-2024%") -> DataFrame:
 
 def epss_prioritisation(t: Tables, epss: float = 0.1, min_assets: int = 5, limit: int = 25) -> DataFrame:
     """Likely exploited vulnerabilities on more than ``min_assets`` assets."""
-    keys = ("vulnId", "title", "cvssV3Score", "epssscore", "epsspercentile", "hasExploits")
-    rows = (
-        t.read(FINDINGS, *keys, "assetId", "riskScoreV2_0")
-        .where(F.col("epssscore") > epss)
-        .groupBy(*keys)
-        .agg(F.countDistinct("assetId").alias("affected_assets"), F.avg("riskScoreV2_0").alias("avg_risk_score"))
+    keys = ("vulnId", "cvssV3Score", "epssscore", "epsspercentile", "hasExploits")
+    likely = t.read(FINDINGS, *keys, "title", "assetId", "riskScoreV2_0").where(F.col("epssscore") > epss)
+    per_asset = likely.groupBy(*keys, rules.digest("title"), "assetId").agg(
+        F.sum("riskScoreV2_0").alias("risk"), F.count("riskScoreV2_0").alias("rated")
+    )
+    counts = (
+        per_asset.groupBy(*keys, "title_digest")
+        .agg(F.count("assetId").alias("affected_assets"), F.try_divide(F.sum("risk"), F.sum("rated")).alias("avg_risk_score"))
         .where(F.col("affected_assets") > min_assets)
     )
+    rows = rules.with_text(counts, likely, "title", "vulnId").select(
+        "vulnId", "title", *keys[1:], "affected_assets", "avg_risk_score"
+    )
     return top(rows, limit, "-epssscore", "-affected_assets")
 
 
 def epss_prioritisation_flow(t: Tables, epss: float = 0.1, min_assets: int = 5) -> DataFrame:
     """As ``epss_prioritisation`` without exploit flag, average risk and limit."""
-    keys = ("vulnId", "title", "cvssV3Score", "epssscore", "epsspercentile")
-    rows = (
-        t.read(FINDINGS, *keys, "assetId")
-        .where(F.col("epssscore") > epss)
-        .groupBy(*keys)
-        .agg(F.countDistinct("assetId").alias("affected_assets"))
+    keys = ("vulnId", "cvssV3Score", "epssscore", "epsspercentile")
+    likely = t.read(FINDINGS, *keys, "title", "assetId").where(F.col("epssscore") > epss)
+    counts = (
+        likely.select(*keys, rules.digest("title"), "assetId")
+        .distinct()
+        .groupBy(*keys, "title_digest")
+        .agg(F.count("assetId").alias("affected_assets"))
         .where(F.col("affected_assets") > min_assets)
     )
+    rows = rules.with_text(counts, likely, "title", "vulnId").select("vulnId", "title", *keys[1:], "affected_assets")
     return ordered(rows, "-epssscore")
 
 
@@ -155,21 +162,25 @@ def actionable_vulns(t: Tables, limit: int = 50) -> DataFrame:
 
 
 def critical_by_fix(t: Tables, limit: int = 25) -> DataFrame:
-    """Critical findings per recommended fix."""
-    rows = (
-        t.read(
-            FINDINGS, "bestSolutionSummary", "bestSolutionType", "vulnId", "assetId", "cvssV3Score", "hasExploits",
-            "severity",
-        )
-        .where(_is_critical() & F.col("bestSolutionType").isin(*rules.ACTIONABLE_SOLUTIONS))
-        .groupBy("bestSolutionSummary", "bestSolutionType")
+    """Critical findings per recommended fix; vulnerabilities and assets are counted in a pass each."""
+    text, keys = "bestSolutionSummary", ("bestSolutionType", "bestSolutionSummary_digest")
+    fixable = t.read(FINDINGS, text, "bestSolutionType", "vulnId", "assetId", "cvssV3Score", "hasExploits", "severity").where(
+        _is_critical() & F.col("bestSolutionType").isin(*rules.ACTIONABLE_SOLUTIONS)
+    )
+    slim = fixable.withColumn(keys[1], rules.digest(text))
+    assets = (
+        slim.groupBy(*keys, "assetId")
+        .agg(F.max("cvssV3Score").alias("max_cvss"), F.count_if("hasExploits").alias("with_exploits"))
+        .groupBy(*keys)
         .agg(
-            F.countDistinct("vulnId").alias("distinct_vulns"),
-            F.countDistinct("assetId").alias("affected_assets"),
-            F.max("cvssV3Score").alias("max_cvss"),
-            F.count_if("hasExploits").alias("with_exploits"),
+            F.count("assetId").alias("affected_assets"), F.max("max_cvss").alias("max_cvss"),
+            F.sum("with_exploits").alias("with_exploits"),
         )
     )
+    vulns = slim.select(*keys, "vulnId").distinct().groupBy(*keys).agg(F.count("vulnId").alias("distinct_vulns"))
+    rows = rules.with_text(assets.join(vulns, list(keys)), fixable, text, "bestSolutionType").select(
+        text, "bestSolutionType", "distinct_vulns", "affected_assets", "max_cvss", "with_exploits"
+    )
     return top(rows, limit, "-affected_assets")
 
 

@@ -7,17 +7,16 @@ other data needs a cluster and storage credentials that cannot reach it.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from breakwater.tables import Tables
 
-# Functions that run JVM methods, and settings the guarded session takes over.
-REFUSED_FUNCTIONS = ("reflect", "try_reflect", "java_method")
-_INHERITED = ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone")
+# Leaves of a plan that hold no stored rows, and expressions that run code of the caller's choice.
+HARMLESS_LEAVES = ("OneRowRelation", "LocalRelation", "Range", "CTERelationRef")
+REFUSED_EXPRESSIONS = ("CallMethodViaReflection",)
 
 
 class QueryRefused(ValueError):
@@ -30,15 +29,14 @@ class GuardedSql:
     def __init__(self, spark: SparkSession, build: Callable[[SparkSession], Tables]):
         """``build`` makes the tables with the session it is given."""
         self._session = spark.newSession()
-        for key in _INHERITED:
-            self._session.conf.set(key, spark.conf.get(key))
+        for key, value in spark.conf.getAll.items():
+            if key.startswith("spark.sql.") and self._session.conf.isModifiable(key):
+                self._session.conf.set(key, value)
         tables = build(self._session)
         self._names = set(tables)
         for name, frame in tables.items():
             frame.createOrReplaceTempView(name)
         self._session.conf.set("spark.sql.runSQLOnFiles", "false")
-        for name in REFUSED_FUNCTIONS:
-            self._session.udf.register(name, lambda *_: None)
 
     def query(self, sql: str, args: dict[str, Any] | list[Any] | None = None) -> DataFrame:
         """The result of a query, not yet run; ``args`` bind its parameters."""
@@ -46,9 +44,9 @@ class GuardedSql:
         try:
             # only a check: DDL, DML, SET and several statements do not parse inside the brackets
             self._run(f"SELECT * FROM (\n{text}\n) LIMIT 0", args)
-            plan = self._run(f"EXPLAIN EXTENDED {text}", args).first()[0]
-            self._inspect(plan)
-            return self._run(text, args)
+            frame = self._run(text, args)
+            self._inspect(frame)
+            return frame
         except QueryRefused:
             raise
         except Exception as problem:
@@ -57,14 +55,33 @@ class GuardedSql:
     def _run(self, text: str, args: dict[str, Any] | list[Any] | None) -> DataFrame:
         return self._session.sql(text, args=args) if args else self._session.sql(text)
 
-    def _inspect(self, plan: str) -> None:
-        parsed = plan.split("== Analyzed Logical Plan ==")[0]
-        called = re.search(rf"\b({'|'.join(REFUSED_FUNCTIONS)})\(", plan, re.IGNORECASE)
-        if called:
-            raise QueryRefused(f"function {called[1]} is not available")
-        for name in re.findall(r"UnresolvedRelation \[([^\]]*)\]", parsed):
-            if name in self._names:
-                continue
-            # other single names are named subqueries, or tables of the current database
-            if "," in name or self._session.catalog.tableExists(name):
-                raise QueryRefused(f"{name} is not one of the loaded tables")
+    def _inspect(self, frame: DataFrame) -> None:
+        """Refuse a query whose analysed plan reads anything but the given views, or runs code by name."""
+        analysed = frame._jdf.queryExecution().analyzed()
+        for plan in (analysed, *_items(analysed.subqueriesAll())):
+            for node in self._outside_views(plan):
+                kind = node.getClass().getSimpleName()
+                if node.children().isEmpty() and kind not in HARMLESS_LEAVES:
+                    raise QueryRefused(f"{node.nodeName()} is not one of the loaded tables")
+                for expression in _items(node.expressions()):
+                    for part in _tree(expression):
+                        if part.getClass().getSimpleName() in REFUSED_EXPRESSIONS:
+                            raise QueryRefused(f"function {part.prettyName()} is not available")
+
+    def _outside_views(self, plan: Any) -> Iterator[Any]:
+        """Nodes of a plan, without what lies behind the given views."""
+        if plan.getClass().getSimpleName() == "View" and plan.isTempView() and plan.desc().identifier().table() in self._names:
+            return
+        yield plan
+        for child in _items(plan.children()):
+            yield from self._outside_views(child)
+
+
+def _items(sequence: Any) -> Iterator[Any]:
+    return (sequence.apply(i) for i in range(sequence.size()))
+
+
+def _tree(expression: Any) -> Iterator[Any]:
+    yield expression
+    for child in _items(expression.children()):
+        yield from _tree(child)

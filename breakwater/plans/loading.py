@@ -44,7 +44,7 @@ def _text_sql(sql: str, *, dates: tuple[str, ...] = (), arrays: tuple[str, ...]
 # -- routing -------------------------------------------------------------------
 
 _EVENT_PREFIX = """case event_type when 'view' then 'asset' when 'signup' then 'asset_scan_policy'
-    when 'error' then 'vulnerability_remediation/ivm' when 'click' then 'asset/v2'
+    when 'error' then 'vulnerability_remediation/daily' when 'click' then 'asset/v2'
     else concat('mystery/', event_type) end"""
 
 
@@ -55,7 +55,7 @@ def prefix_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ROUTING_SQL = f"""
     select event_id, prefix,
-           case when prefix in ('vulnerability_remediation/ivm', 'asset/v2') then split_part(prefix, '/', 1)
+           case when prefix in ('vulnerability_remediation/daily', 'asset/v2') then split_part(prefix, '/', 1)
                 else prefix end as normalised,
            case split_part(prefix, '/', 1) when 'asset' then 'assets' when 'asset_scan_policy' then 'policies'
                 when 'vulnerability_remediation' then 'vulnerability_remediation' end as table_name,
@@ -182,7 +182,7 @@ _SNAPSHOT_SQL = """
 def append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replace, then add the same chunk: rows add up, nothing is deduplicated."""
     database = _scratch_database(spark, "breakwater_append")
-    chunk = {"vulnerability_remediation/ivm": [f"{sf_dir}/lineitem.parquet"]}
+    chunk = {"vulnerability_remediation/daily": [f"{sf_dir}/lineitem.parquet"]}
     load(spark, database, chunk)
     load(spark, database, chunk, append=True)
     counts = (

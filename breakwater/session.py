@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# What one task should get of a shuffle, and bounds on the number of tasks.
+# What one task should get of a shuffle, and the least number of tasks.
 TASK_BYTES = 128 * 1024 * 1024
-MIN_PARTITIONS, MAX_PARTITIONS = 200, 50_000
+MIN_PARTITIONS = 200
 
 
 def settings(shuffle_bytes: int | None = None) -> dict[str, str]:
@@ -27,7 +27,7 @@ def settings(shuffle_bytes: int | None = None) -> dict[str, str]:
     }
     if shuffle_bytes is not None:
         wanted = -(-shuffle_bytes // TASK_BYTES)
-        chosen["spark.sql.shuffle.partitions"] = str(min(max(wanted, MIN_PARTITIONS), MAX_PARTITIONS))
+        chosen["spark.sql.shuffle.partitions"] = str(max(wanted, MIN_PARTITIONS))
     return chosen
 
 

@@ -69,6 +69,6 @@ def purge(spark: SparkSession, database: str, ledger: ExportLedger | None = None
     """Remove every known table and, if given, empty the ledger."""
     for table in KNOWN_TABLES:
         spark.sql(f"DROP VIEW IF EXISTS {database}.{table}")
-        drop_versions(spark, database, table)
+        drop_versions(spark, database, table, current=True)
     if ledger is not None:
         ledger.purge()

@@ -29,8 +29,10 @@ def load_export(
 
     ``locate`` gives the place a URL's file was put, on storage that the
     cluster reads. Policy exports leave assets alone, remediation exports add
-    to what is there, others replace. With ``once``, an export that the ledger
-    already holds as complete is not loaded again.
+    to what is there, others replace. Rows carry the export's id, so an export
+    whose ledger row was lost adds nothing when it is loaded again. With
+    ``once``, an export that the ledger already holds as complete is not looked
+    at. If a table failed, the report says so and the ledger keeps no row.
     """
     if export_type not in EXPORT_TYPES:
         raise ValueError(f"export_type is one of {', '.join(EXPORT_TYPES)}")
@@ -54,7 +56,10 @@ def load_export(
         by_prefix,
         skip=POLICY_SKIPS if export_type == "policy" else (),
         append=export_type == NEVER_REUSED,
+        load_id=header.id,
     )
+    if report.failures:
+        return report
     ledger.save(
         header.id,
         COMPLETE,

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # A file below this size is reported, and columns that tell tables apart.
 SMALL_FILE_BYTES = 100
@@ -14,8 +15,19 @@ POLICY_COLUMNS = ("finalStatus",)
 REMEDIATION_COLUMNS = ("lastRemoved", "lastDetected", "cveId")
 EXCEPTION_COLUMNS = ("exceptionDetails",)
 ASSET_COLUMNS = ("hostName", "osFamily")
+# What Spark says of a file that it reached and cannot read as Parquet, or that is gone.
+_SIGNS_OF_DAMAGE = (
+    "CANNOT_READ_FILE_FOOTER", "UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND", "is not a Parquet file", "FAILED_READ_FILE"
+)
 
-_PROBE = "path string, readable boolean, bytes long, rows long, columns array<struct<name:string,type:string>>, error string"
+# What came of looking at a file: its footer can be read, it is there but damaged (or gone), or this library has no
+# way to its file system, which says nothing about the file.
+READABLE, DAMAGED, UNREACHABLE = "readable", "damaged", "unreachable"
+
+_PROBE = (
+    "path string, outcome string, readable boolean, bytes long, rows long, "
+    "columns array<struct<name:string,type:string>>, error string"
+)
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -38,28 +50,43 @@ def probe(paths: DataFrame) -> DataFrame:
         from pyarrow import fs
         from pyarrow import parquet as pq
 
-        size = None
+        size, outcome = None, "unreachable"
         try:
             local = path.startswith("file:")
             system, name = fs.FileSystem.from_uri("/" + path[5:].lstrip("/") if local else path)
-            size = system.get_file_info(name).size
+            found = system.get_file_info(name)
+            size, outcome = found.size, "damaged"
             with system.open_input_file(name) as source:
-                found = pq.ParquetFile(source)
-                columns = [{"name": f.name, "type": str(f.type)} for f in found.schema_arrow]
-                return path, True, size, found.metadata.num_rows, columns, None
+                file = pq.ParquetFile(source)
+                columns = [{"name": f.name, "type": str(f.type)} for f in file.schema_arrow]
+                return path, "readable", True, size, file.metadata.num_rows, columns, None
         except Exception as problem:  # any unreadable file becomes a row of the report
-            return path, False, size, None, None, f"{type(problem).__name__}: {problem}"
+            return path, outcome, False, size, None, None, f"{type(problem).__name__}: {problem}"
 
     def footers(batches):
         import pandas as pd
 
-        names = ["path", "readable", "bytes", "rows", "columns", "error"]
+        names = ["path", "outcome", "readable", "bytes", "rows", "columns", "error"]
         for batch in batches:
             yield pd.DataFrame([footer(path) for path in batch["path"]], columns=names)
 
     return paths.select("path").mapInPandas(footers, _PROBE)
 
 
+def look(spark: SparkSession, path: str) -> tuple[str, StructType | None, str | None]:
+    """Outcome, schema and error of one file, through Spark's own file systems and credentials.
+
+    Raises whatever keeps Spark from reaching the file.
+    """
+    try:
+        return READABLE, spark.read.parquet(path).schema, None
+    except Exception as problem:
+        text = str(problem)
+        if any(sign in text for sign in _SIGNS_OF_DAMAGE):
+            return DAMAGED, None, f"{type(problem).__name__}: {text.splitlines()[0]}"
+        raise
+
+
 def spread(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """Driver-side file names as a DataFrame with enough partitions to probe in parallel."""
     parts = max(1, min(len(rows), 4 * spark.sparkContext.defaultParallelism))

@@ -1,24 +1,24 @@
 """Loading export files into the six tables.
 
 Each table is a view over one written version of its data. A snapshot load
-writes a new version and points the view at it, so readers see the old rows or
-the new ones and a failed load changes nothing; no data is renamed, which on
-object stores would copy it. An append load inserts into the current version.
+writes a new version and points the view at it, so a failed load changes
+nothing; no data is renamed, which on object stores would copy it. Earlier
+versions stay, so queries that began before a load finish on the rows they
+began with, until ``drop_versions`` removes versions of some age. An append
+load inserts into the current version. Every row carries the id of its load,
+which the view hides, so a load that is tried again adds nothing.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from functools import reduce
-from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +32,12 @@ CLUSTERED = {
     "vulnerability_remediation": ("cveId",),
 }
 
+# Tables stored in a folder for each value of a column that queries name.
+PARTITIONED = {"policies": ("source",)}
+
 _VERSION = "breakwater.version"
+_LOAD = "_load_id"
+_STAMP = "%Y%m%d%H%M%S"
 FED = "fed by a stream"
 
 
@@ -42,6 +47,7 @@ class LoadReport:
 
     row_counts: dict[str, int] = field(default_factory=dict)
     warnings: list[str] = field(default_factory=list)
+    failures: dict[str, str] = field(default_factory=dict)
 
     @property
     def total(self) -> int:
@@ -55,17 +61,24 @@ def load(
     skip: Iterable[str] = (),
     append: bool = False,
     by: str = "name",
+    load_id: str | None = None,
+    unique: Sequence[str] = (),
 ) -> LoadReport:
     """Load Parquet files into their tables.
 
     A snapshot load replaces the tables its files belong to and no others. An
-    append load adds rows, without removing duplicates. Files combine by column
-    name, missing columns as NULL; ``by="position"`` matches columns by place,
-    and then every file must have as many columns as the first. Values are cast
-    to the types of the first file; a file with a value that cannot be cast is
-    left out as a whole, and so is one whose footer cannot be read. A file that
-    is damaged further in fails the load and leaves its table as it was, unless
-    the session sets ``spark.sql.files.ignoreCorruptFiles``.
+    append load adds rows; one whose ``load_id`` the table holds already adds
+    none. Neighbouring chunks may share rows: with ``unique``, an append keeps
+    one row of each value of those columns and none that the table has.
+
+    Files combine by column name, missing columns as NULL; ``by="position"``
+    matches columns by place, and then every file must have as many as the
+    first. A column takes the narrowest type that holds the values of all files
+    (``common_type``); a file whose values would not come back equal from it, or
+    whose type has none in common with the others, is left out and reported. So
+    is a file that is damaged, in its footer or further in. A file that cannot
+    be reached at all fails the load before anything is written. A table that
+    fails for another reason stays as it was and is named in ``failures``.
     """
     if by not in ("name", "position"):
         raise ValueError("by is 'name' or 'position'")
@@ -79,127 +92,209 @@ def load(
     fed = [t for t in tables if append and current_version(spark, database, t) == FED]
     if fed:
         raise ValueError(f"{', '.join(fed)}: fed by a stream, takes no append loads")
+    identity = load_id or uuid.uuid4().hex
 
     def load_table(table: str) -> LoadReport:
-        mine = [row for row in work if row.table_name == table and row.readable]
-        return _load_table(spark, database, table, mine, append, by)
+        mine = [row for row in work if row.table_name == table]
+        try:
+            return _load_table(spark, database, table, mine, append, by, identity, unique)
+        except Exception as problem:  # the other tables go on, and the report survives
+            return LoadReport(failures={table: f"{type(problem).__name__}: {str(problem).splitlines()[0]}"})
 
     # Tables do not depend on each other, so the last tasks of one leave no cores idle.
     with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
         for part in pool.map(load_table, tables):
             report.row_counts.update(part.row_counts)
             report.warnings.extend(part.warnings)
+            report.failures.update(part.failures)
+    report.warnings.extend(f"{table}: failed, table left as it was: {why}" for table, why in report.failures.items())
     if report.total == 0:
         report.warnings.append(f"{len(listed)} file(s) but 0 rows loaded; prefixes: {sorted(prefix_files)}")
     return report
 
 
 def _load_table(
-    spark: SparkSession, database: str, table: str, rows: list[Row], append: bool, by: str
+    spark: SparkSession, database: str, table: str, rows: list[Row], append: bool, by: str, identity: str, unique: Sequence[str]
 ) -> LoadReport:
     report = LoadReport()
     current = current_version(spark, database, table) if append else None
-    frame = _combine(spark, rows, spark.table(current).schema if current else None, by, report)
-    if frame is None:
-        report.warnings.append(f"{table}: no file could be read, table left as it was")
+    if current and not spark.table(current).where(F.col(_LOAD) == identity).isEmpty():
+        report.warnings.append(f"{table}: load {identity} is there already")
+        report.row_counts[table] = spark.table(f"{database}.{table}").count()
         return report
-    if current:
-        _insert(spark, database, table, current, frame)
-    else:
-        _replace(spark, database, table, frame)
-    report.row_counts[table] = spark.table(f"{database}.{table}").count()
-    return report
+    for _ in range(2):
+        frame = _combine(spark, rows, spark.table(current) if current else None, by, report)
+        if frame is None:
+            report.warnings.append(f"{table}: no file could be read, table left as it was")
+            return report
+        try:
+            _write(spark, database, table, current, frame.withColumn(_LOAD, F.lit(identity)), unique)
+        except Exception:
+            bad = _torn(spark, [row.path for row in rows])
+            if not bad:
+                raise
+            report.warnings.extend(f"{path}: not readable, skipped: {why}" for path, why in bad.items())
+            rows = [row for row in rows if row.path not in bad]
+            continue
+        report.row_counts[table] = spark.table(f"{database}.{table}").count()
+        return report
+    raise RuntimeError("files changed while they were loaded")
+
+
+def _torn(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Files whose pages cannot be read, each tried alone; only a failed load looks."""
+
+    def tried(path: str) -> str | None:
+        try:
+            spark.read.parquet(path).write.format("noop").mode("overwrite").save()
+            return None
+        except Exception as problem:
+            return f"{type(problem).__name__}: {str(problem).splitlines()[0]}"
+
+    different = list(dict.fromkeys(paths))
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return {path: why for path, why in zip(different, pool.map(tried, different)) if why}
 
 
 def _plan(spark: SparkSession, listed: list[tuple[str, str]], skip: list[str], report: LoadReport) -> list[Row]:
-    """One row per file to load, in the order given; whatever is amiss becomes a warning."""
+    """One row per file to load, in the order given; whatever is amiss becomes a warning.
+
+    Files in places that only Spark's file systems reach are looked at through
+    Spark, one by one. What Spark cannot reach either raises.
+    """
     numbered = [(i, prefix, path) for i, (prefix, path) in enumerate(listed)]
     routed = prefixes.route(footers.spread(spark, numbered, "place long, prefix string, path string"), skip)
     wanted = routed.where(F.col("outcome") != prefixes.SKIP)
     probed = (
         footers.probe(wanted.where(F.col("outcome") == prefixes.LOAD).select("path").distinct())
-        .withColumn("schema", F.xxhash64(F.to_json("columns")))
+        .withColumn("schema", F.xxhash64(F.to_json("columns")).cast("string"))
+        .withColumnRenamed("outcome", "state")
         .drop("columns", "rows")
     )
     rows = wanted.join(probed, "path", "left").orderBy("place").collect()
     for prefix in dict.fromkeys(r.prefix for r in rows if r.outcome == prefixes.UNKNOWN):
         report.warnings.append(f"unknown prefix {prefix!r}, skipped")
     work = [row for row in rows if row.outcome == prefixes.LOAD]
+    far = list(dict.fromkeys(row.path for row in work if row.state == footers.UNREACHABLE))
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        looked = dict(zip(far, pool.map(lambda path: footers.look(spark, path), far)))
+    kept = []
     for row in work:
         if row.bytes is not None and row.bytes < footers.SMALL_FILE_BYTES:
             report.warnings.append(f"{row.path} (prefix {row.prefix}): unusually small, {row.bytes} bytes")
-        if not row.readable:
-            report.warnings.append(f"{row.path}: not readable, skipped: {row.error}")
-    return work
+        state, error, schema = row.state, row.error, row.schema
+        if row.path in looked:
+            state, found, error = looked[row.path]
+            schema = found.json() if found else None
+        if state == footers.READABLE:
+            kept.append(Row(path=row.path, table_name=row.table_name, source=row.source, schema=schema))
+        else:
+            report.warnings.append(f"{row.path}: not readable, skipped: {error}")
+            kept.append(Row(path=row.path, table_name=row.table_name, source=row.source, schema=None))
+    return kept
+
+
+# Whole numbers and binary fractions from narrow to wide.
+_WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
+_BINARY = (T.FloatType(), T.DoubleType())
+_TIMES = (T.DateType(), T.TimestampNTZType())
+_SIMPLE = (T.StringType, T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The narrowest type for the values of two: whole numbers, then doubles; dates, then times; else text.
 
-def _combine(
-    spark: SparkSession, rows: list[Row], existing: T.StructType | None, by: str, report: LoadReport
-) -> DataFrame | None:
+    None where two types have no form in common, such as a list and a number.
+    """
+    if a == b:
+        return a
+    for ladder in (_WHOLE, _BINARY, _TIMES):
+        if a in ladder and b in ladder:
+            return max(a, b, key=ladder.index)
+    if all(x in _WHOLE + _BINARY for x in (a, b)):
+        return T.DoubleType()
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        whole = max(a.precision - a.scale, b.precision - b.scale)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.StringType()
+    if isinstance(a, _SIMPLE) and isinstance(b, _SIMPLE):
+        return T.StringType()
+    return None
+
+
+def _lost(value: Column, kind: T.DataType, target: T.DataType) -> Column:
+    """Whether a value does not come back equal from the target type."""
+    return value.isNotNull() & ~F.coalesce(value.try_cast(target).try_cast(kind) == value, F.lit(False))
+
+
+def _combine(spark: SparkSession, rows: list[Row], existing: DataFrame | None, by: str, report: LoadReport) -> DataFrame | None:
     """All files of a table as one DataFrame: one scan per distinct source and file schema."""
-    groups: dict[tuple[str | None, int], list[str]] = {}
+    groups: dict[tuple[str | None, str], list[str]] = {}
     for row in rows:
-        groups.setdefault((row.source, row.schema), []).append(row.path)
-    target: dict[str, T.DataType] = {f.name: f.dataType for f in existing.fields} if existing else {}
-    frames = []
+        if row.schema is not None:
+            groups.setdefault((row.source, row.schema), []).append(row.path)
+    target = {f.name: f.dataType for f in existing.schema.fields if f.name != _LOAD} if existing is not None else {}
+    scans: list[tuple[list[str], str | None, list[str]]] = []
     for (source, _), paths in groups.items():
         frame = _scan(spark, paths, source)
-        if not target:
-            target = {f.name: f.dataType for f in frame.schema.fields}
-        if by == "position" and len(frame.columns) != len(target):
+        if by == "position" and target and len(frame.columns) != len(target):
             report.warnings.append(f"{len(frame.columns)} columns instead of {len(target)}, skipped: {paths}")
             continue
         spelled = {c.lower(): c for c in target}
-        names = list(target) if by == "position" else [spelled.get(c.lower(), c) for c in frame.columns]
-        frame = frame.toDF(*names)
-        for f in frame.schema.fields:
-            target.setdefault(f.name, f.dataType)
-        changed = [f.name for f in frame.schema.fields if f.dataType != target[f.name]]
-        if changed:
-            bad = _uncastable(spark, paths, names, changed, target)
-            for path, columns in bad.items():
-                report.warnings.append(f"{path}: values of {columns} do not fit the table, skipped")
-            kept = [p for p in paths if p not in bad]
-            if not kept:
-                continue
+        names = list(target) if by == "position" and target else [spelled.get(c.lower(), c) for c in frame.columns]
+        wider = {n: common_type(target.get(n, f.dataType), f.dataType) for n, f in zip(names, frame.schema.fields)}
+        strange = [n for n, kind in wider.items() if kind is None]
+        if strange:
+            report.warnings.extend(f"{path}: values of {strange} do not fit the table, skipped" for path in dict.fromkeys(paths))
+            continue
+        target.update(wider)
+        scans.append((paths, source, names))
+    frames = []
+    for paths, source, names in scans:
+        kept = _fitting(spark, paths, names, target, report)
+        if kept:
             frame = _scan(spark, kept, source).toDF(*names)
-            frame = frame.withColumns({c: F.col(c).cast(target[c]) for c in changed})
-        frames.append(frame)
+            frames.append(frame.select(*[F.col(f"`{c}`").cast(target[c]).alias(c) for c in names]))
     if not frames:
         return None
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return whole.select(*[c if c in whole.columns else F.lit(None).cast(t).alias(c) for c, t in target.items()])
+    return whole.select(*[F.col(f"`{c}`") if c in whole.columns else F.lit(None).cast(t).alias(c) for c, t in target.items()])
 
 
 def _scan(spark: SparkSession, paths: list[str], source: str | None) -> DataFrame:
     """One scan of files with one schema; a path given twice is read twice."""
-    times = Counter(paths)
-    scans = [
-        spark.read.parquet(*[p for p, n in times.items() if n > i]) for i in range(max(times.values()))
-    ]
+    times = {p: paths.count(p) for p in dict.fromkeys(paths)}
+    scans = [spark.read.parquet(*[p for p, n in times.items() if n > i]) for i in range(max(times.values()))]
     frame = reduce(DataFrame.unionByName, scans)
     return frame if source is None else frame.withColumn("source", F.lit(source))
 
 
-def _uncastable(
-    spark: SparkSession, paths: list[str], names: list[str], changed: list[str], target: dict[str, T.DataType]
-) -> dict[str, list[str]]:
-    """Files that hold a value the target type cannot take, with the columns concerned."""
+def _fitting(spark: SparkSession, paths: list[str], names: list[str], target: dict[str, T.DataType], report: LoadReport) -> list[str]:
+    """The files all of whose values come back equal from the target types; text takes any value."""
     files = spark.read.parquet(*dict.fromkeys(paths))
-    original = {c: F.col(o) for c, o in zip(names, files.columns) if c in changed}
-    try:
-        lost = files.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-            *[F.bool_or(o.isNotNull() & o.try_cast(target[c]).isNull()).alias(c) for c, o in original.items()]
-        )
-    except AnalysisException:  # types without any conversion, such as a list for a number
-        return dict.fromkeys(paths, changed)
-    found = lost.where(reduce(lambda a, b: a | b, [F.col(c) for c in original])).collect()
-    bad = {_place(unquote(row.file)): [c for c in original if row[c]] for row in found}
-    return {p: bad[_place(p)] for p in paths if _place(p) in bad}
+    checked = {
+        n: _lost(F.col(f"`{f.name}`"), f.dataType, target[n])
+        for n, f in zip(names, files.schema.fields)
+        if f.dataType != target[n] and not isinstance(target[n], T.StringType) and not _always_fits(f.dataType, target[n])
+    }
+    if not checked:
+        return paths
+    kept = []
+    for path in dict.fromkeys(paths):  # few: files whose type differs and may lose values
+        lost = spark.read.parquet(path).toDF(*files.columns).agg(*[F.bool_or(c).alias(n) for n, c in checked.items()]).first()
+        bad = [n for n in checked if lost[n]]
+        if bad:
+            report.warnings.append(f"{path}: values of {bad} do not fit the table, skipped")
+        else:
+            kept.extend([path] * paths.count(path))
+    return kept
 
 
-def _place(path: str) -> str:
-    return path.split(":", 1)[-1].lstrip("/")
+def _always_fits(kind: T.DataType, target: T.DataType) -> bool:
+    """Whether no value can be lost, so that no file needs to be read for it."""
+    if kind in _WHOLE and target in _WHOLE or kind in _TIMES or kind in _BINARY:
+        return True
+    return isinstance(kind, T.DecimalType) or kind in _WHOLE[:3]
 
 
 def current_version(spark: SparkSession, database: str, table: str) -> str | None:
@@ -211,8 +306,10 @@ def current_version(spark: SparkSession, database: str, table: str) -> str | Non
 
 def point(spark: SparkSession, database: str, table: str, data: str, version: str) -> None:
     """Make the table's view show ``data``, in one step."""
+    columns = [c for c in spark.sql(f"SELECT * FROM {data} LIMIT 0").columns if c != _LOAD]
+    shown = ", ".join(f"`{c}`" for c in columns)
     spark.sql(
-        f"CREATE OR REPLACE VIEW {database}.{table} TBLPROPERTIES ('{_VERSION}' = '{version}') AS SELECT * FROM {data}"
+        f"CREATE OR REPLACE VIEW {database}.{table} TBLPROPERTIES ('{_VERSION}' = '{version}') AS SELECT {shown} FROM {data}"
     )
 
 
@@ -222,29 +319,54 @@ def _clustered(frame: DataFrame, table: str) -> DataFrame:
     return frame.sortWithinPartitions(*columns) if columns else frame
 
 
+def _write(spark: SparkSession, database: str, table: str, current: str | None, frame: DataFrame, unique: Sequence[str]) -> None:
+    """A new version, or rows added to the current one; one whose columns must widen is written anew."""
+    if current is None:
+        _replace(spark, database, table, frame)
+        return
+    held = spark.table(current)
+    if unique:
+        frame = frame.dropDuplicates(list(unique))
+        same = reduce(lambda a, b: a & b, [F.col(f"n.{c}").eqNullSafe(F.col(f"h.{c}")) for c in unique])
+        frame = frame.alias("n").join(held.select(*unique).alias("h"), same, "left_anti")
+    kinds = {f.name: f.dataType for f in frame.schema.fields}
+    if any(kinds[f.name] != f.dataType for f in held.schema.fields):
+        wide = held.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in held.columns])
+        _replace(spark, database, table, wide.unionByName(frame, allowMissingColumns=True))
+        return
+    added = [f for f in frame.schema.fields if f.name not in held.columns]
+    if added:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {current} ADD COLUMNS ({columns})")
+    order = spark.table(current).columns
+    _clustered(frame.select(*[F.col(f"`{c}`") for c in order]), table).write.insertInto(current)
+    point(spark, database, table, current, current)
+
+
 def _replace(spark: SparkSession, database: str, table: str, frame: DataFrame) -> None:
-    stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S")
+    stamp = datetime.now(timezone.utc).strftime(_STAMP)
     version = f"{database}.{table}__{stamp}_{uuid.uuid4().hex[:8]}"
-    _clustered(frame, table).write.format("parquet").saveAsTable(version)
+    writer = _clustered(frame, table).write.format("parquet")
+    parts = [c for c in PARTITIONED.get(table, ()) if c in frame.columns]
+    (writer.partitionBy(*parts) if parts else writer).saveAsTable(version)
     point(spark, database, table, version, version)
-    drop_versions(spark, database, table, keep=version)
 
 
-def _insert(spark: SparkSession, database: str, table: str, version: str, frame: DataFrame) -> None:
-    added = frame.schema.fields[len(spark.table(version).columns) :]
-    if added:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-        spark.sql(f"ALTER TABLE {version} ADD COLUMNS ({columns})")
-    _clustered(frame, table).write.insertInto(version)
-    point(spark, database, table, version, version)
-
+def drop_versions(spark: SparkSession, database: str, table: str, older_than: timedelta = timedelta(0), current: bool = False) -> int:
+    """Drop a table's versions of at least some age, with what failed loads left behind; returns how many.
 
-def drop_versions(spark: SparkSession, database: str, table: str, keep: str | None = None) -> None:
-    """Drop the data of a table's versions, also of ones a failed load left behind."""
+    The current version stays unless asked for. A query that still reads a dropped version fails, so the age should
+    exceed the longest query and the longest load.
+    """
+    keep = None if current else current_version(spark, database, table)
+    latest = (datetime.now(timezone.utc) - older_than).strftime(_STAMP)
+    dropped = 0
     for row in spark.sql(f"SHOW TABLES IN {database} LIKE '{table}__*'").collect():
-        version = f"{database}.{row.tableName}"
-        if version != keep and row.tableName.split("__")[0] == table:
+        version, (name, _, rest) = f"{database}.{row.tableName}", row.tableName.partition("__")
+        if name == table and version != keep and rest.split("_")[0] <= latest:
             spark.sql(f"DROP TABLE IF EXISTS {version}")
+            dropped += 1
+    return dropped
 
 
 def load_path(spark: SparkSession, database: str, path: str, mode: str = "full") -> LoadReport:

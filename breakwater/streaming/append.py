@@ -22,13 +22,15 @@ def append_arrivals(
     folder: str,
     schema: T.StructType,
     feed: str,
+    rows: str,
     files_per_batch: int | None = None,
 ) -> int:
     """Add the Parquet files that are new in ``folder`` to ``table``; returns its total rows.
 
-    Columns that a file lacks are NULL. ``feed`` names this table's rows and
-    progress in the folder that ``spark.checkpoint.dir`` names; starting over
-    takes a new name. The table takes no other append loads.
+    Columns that a file lacks are NULL. ``rows`` is the folder that keeps the
+    table's rows; ``feed`` names the progress in the folder that
+    ``spark.checkpoint.dir`` names. The two belong together: starting over takes
+    new ones. The table takes no other append loads.
     """
     if table not in KNOWN_TABLES:
         raise ValueError(f"not a table of this model: {table}")
@@ -42,12 +44,12 @@ def append_arrivals(
     (
         reader.parquet(folder)
         .writeStream.format("parquet")
-        .option("path", f"{home}/rows")
+        .option("path", rows)
         .option("checkpointLocation", f"{home}/progress")
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
     )
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    point(spark, database, table, f"parquet.`{home}/rows`", FED)
+    point(spark, database, table, f"parquet.`{rows}`", FED)
     return spark.table(f"{database}.{table}").count()

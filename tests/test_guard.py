@@ -56,6 +56,13 @@ def test_queries_run(guarded, sql):
         "select system.builtin.java_method('java.lang.System', 'getProperty', 'user.home')",
         "select try_reflect('java.lang.System', 'getProperty', 'user.home')",
         "select * from assets where reflect('java.lang.System', 'getProperty', 'a') is null",
+        "select * from IDENTIFIER('outside')",
+        "select * from IDENTIFIER('out' || 'side')",
+        "select * from assets a, lateral (select * from IDENTIFIER('default.outside')) x",
+        "select count(*) as n from assets where exists (select * from IDENTIFIER('out' || 'side'))",
+        "with c as (select * from IDENTIFIER('outside')) select * from c",
+        "select IDENTIFIER('ref' || 'lect')('java.lang.System', 'getProperty', 'user.home')",
+        "select (select java_method('java.lang.System', 'getProperty', 'user.home')) as n",
         "INVALID SQL",
         "",
     ],
@@ -65,6 +72,21 @@ def test_everything_else_is_refused(guarded, sql):
         guarded.query(sql).collect()
 
 
+def test_texts_that_name_functions_or_relations_are_only_texts(guarded):
+    sql = """select count(*) as n from assets
+             where hostName not like '%java_method(%' and hostName <> 'UnresolvedRelation [outside]' and 'reflect(' <> hostName"""
+    assert guarded.query(sql).first().n > 0
+
+
+def test_settings_of_the_session_are_inherited(spark):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "12345678")
+    try:
+        inner = GuardedSql(spark, lambda session: driver_views.tables(session, "/root/testdata/sf0.001"))
+        assert inner.query("select 1 as n").sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "12345678"
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
 def test_parameters(guarded):
     named = guarded.query("select count(*) as n from vulnerabilities where severity = :s", {"s": "Critical"}).first().n
     placed = guarded.query("select count(*) as n from vulnerabilities where severity = ?", ["Critical"]).first().n

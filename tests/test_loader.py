@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import uuid
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 
 from breakwater import Tables
 from breakwater.sources import catalog
-from breakwater.sources.loader import current_version, load, load_path
+from breakwater.sources.loader import current_version, drop_versions, load, load_path
 from tests.fixtures import ASSETS, FINDINGS, POLICIES, REMEDIATION, write
 
 
@@ -28,13 +30,13 @@ def test_files_go_to_the_table_of_their_prefix(spark, database, tmp_path):
         {
             "asset": [write(tmp_path, "a", ASSETS)],
             "asset_vulnerability": [write(tmp_path, "v", FINDINGS)],
-            "vulnerability_remediation/ivm": [write(tmp_path, "r", REMEDIATION)],
+            "vulnerability_remediation/daily": [write(tmp_path, "r", REMEDIATION)],
         },
     )
-    assert report.row_counts == {"assets": 2, "vulnerabilities": 3, "vulnerability_remediation": 2}
+    assert report.row_counts == {"assets": 4, "vulnerabilities": 5, "vulnerability_remediation": 3}
     assert report.warnings == []
     critical = spark.table(f"{database}.vulnerabilities").where("severity = 'Critical'")
-    assert [r.vulnId for r in critical.collect()] == ["VULN-001"]
+    assert sorted(r.vulnId for r in critical.collect()) == ["kernel-leak", "sudo-race"]
     assert len(spark.table(f"{database}.vulnerabilities").columns) == 5
 
 
@@ -42,9 +44,9 @@ def test_policy_sources_share_a_table_and_are_tagged(spark, database, tmp_path):
     path = write(tmp_path, "p", POLICIES)
     load(spark, database, {"asset_policy": [path], "asset_scan_policy": [path]})
     assert spark.table(f"{database}.policies").columns == [*POLICIES, "source"]
-    assert rows(spark, database, "policies", "assetId", "source") == [
-        ("ASSET-A", "agent"), ("ASSET-A", "scan"), ("ASSET-B", "agent"), ("ASSET-B", "scan"),
-    ]
+    assert rows(spark, database, "policies", "assetId", "source") == sorted(
+        (asset, source) for asset in POLICIES["assetId"] for source in ("agent", "scan")
+    )
 
 
 def test_unknown_and_skipped_prefixes(spark, database, tmp_path):
@@ -65,66 +67,102 @@ def test_snapshot_replaces_its_tables_and_no_others(spark, database, tmp_path):
     load(spark, database, {"asset_policy": [write(tmp_path, "p", POLICIES)]})
     for _ in range(3):
         report = load(spark, database, {"asset_vulnerability": [findings], "asset": [assets]})
-    assert report.row_counts == {"vulnerabilities": 3, "assets": 2}
-    assert spark.table(f"{database}.vulnerability_remediation").count() == 2
-    assert spark.table(f"{database}.policies").count() == 2
+    assert report.row_counts == {"vulnerabilities": 5, "assets": 4}
+    assert spark.table(f"{database}.vulnerability_remediation").count() == 3
+    assert spark.table(f"{database}.policies").count() == 6
+    assert [drop_versions(spark, database, t) for t in ("vulnerabilities", "assets", "policies")] == [2, 2, 0]
     kept = [r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect() if "__" in r.tableName]
-    assert len(kept) == 4  # one version per table: reloads do not pile up
+    assert len(kept) == 4  # one version per table
 
 
 def test_append_adds_and_does_not_deduplicate(spark, database, tmp_path):
     path = write(tmp_path, "r", REMEDIATION)
-    for expected in (2, 4, 6):
+    for expected in (3, 6, 9):
         report = load(spark, database, {"vulnerability_remediation": [path]}, append=True)
         assert report.row_counts == {"vulnerability_remediation": expected}
 
 
 def test_append_with_other_columns(spark, database, tmp_path):
     load(spark, database, {"vulnerability_remediation": [write(tmp_path, "r", REMEDIATION)]}, append=True)
-    more = {"epssscore": [0.9], "cveId": ["CVE-3"], "assetId": ["ASSET-C"]}
+    more = {"epssscore": [0.9], "cveId": ["CVE-3"], "assetId": ["tv-2"]}
     load(spark, database, {"vulnerability_remediation": [write(tmp_path, "m", more)]}, append=True)
     table = f"{database}.vulnerability_remediation"
     assert spark.table(table).columns == [*REMEDIATION, "epssscore"]
-    assert rows(spark, database, "vulnerability_remediation", "cveId", "title", "epssscore") == [
-        ("CVE-2024-0001", "Remote Code Execution", None),
-        ("CVE-2024-0002", "Privilege Escalation", None),
-        ("CVE-3", None, 0.9),
-    ]
+    found = spark.table(table).select("cveId", "proof", "epssscore").collect()
+    assert len(found) == 4 and ("CVE-3", None, 0.9) in map(tuple, found)
+    assert ("CVE-1999-0017", "banner says 1.0", None) in map(tuple, found)
 
 
 def test_files_combine_by_name(spark, database, tmp_path):
-    other = {"title": ["Late"], "assetId": ["ASSET-C"], "vulnId": ["VULN-004"], "protocol": ["tcp"]}
+    other = {"protocol": ["tcp"], "assetId": ["tv-2"], "vulnId": ["late"]}
     load(spark, database, {"asset_vulnerability": [write(tmp_path, "v", FINDINGS), write(tmp_path, "w", other)]})
     assert spark.table(f"{database}.vulnerabilities").columns == [*FINDINGS, "protocol"]
-    late = spark.table(f"{database}.vulnerabilities").where("vulnId = 'VULN-004'").first().asDict()
-    assert late == {
-        "vulnId": "VULN-004", "assetId": "ASSET-C", "severity": None, "cvssV3Score": None, "title": "Late",
-        "protocol": "tcp",
-    }
+    late = spark.table(f"{database}.vulnerabilities").where("vulnId = 'late'").first().asDict()
+    assert late == dict.fromkeys(FINDINGS) | {"vulnId": "late", "assetId": "tv-2", "protocol": "tcp"}
 
 
 def test_files_combine_by_position(spark, database, tmp_path):
-    same = {"a": ["VULN-004"], "b": ["ASSET-C"], "c": ["Severe"], "d": [1.0], "e": ["Late"]}
-    fewer = {"a": ["VULN-005"]}
+    same = {"a": ["tv-2"], "b": ["late"], "c": ["Severe"], "d": [1.0], "e": [datetime(2024, 1, 2)]}
+    fewer = {"a": ["tv-3"]}
     report = load(
         spark,
         database,
         {"asset_vulnerability": [write(tmp_path, n, c) for n, c in (("v", FINDINGS), ("s", same), ("f", fewer))]},
         by="position",
     )
-    assert report.row_counts == {"vulnerabilities": 4}
+    assert report.row_counts == {"vulnerabilities": 6}
     assert any("1 columns instead of 5" in w for w in report.warnings)
-    assert ("VULN-004", "Late") in rows(spark, database, "vulnerabilities", "vulnId", "title")
+    late = spark.table(f"{database}.vulnerabilities").where("vulnId = 'late'").first()
+    assert (late.assetId, late.firstFoundTimestamp) == ("tv-2", datetime(2024, 1, 2))
 
 
 @pytest.mark.parametrize("by", ["name", "position"])
-def test_values_are_cast_to_the_first_files_types(spark, database, tmp_path, by):
-    first = write(tmp_path, "a", {"assetId": ["A"], "port": [1]})
-    fits = write(tmp_path, "b", {"assetId": ["B"], "port": ["7"]})
-    not_all_fit = write(tmp_path, "c", {"assetId": ["C", "D"], "port": ["8", "z"]})
-    report = load(spark, database, {"asset_vulnerability": [first, fits, not_all_fit]}, by=by)
-    assert rows(spark, database, "vulnerabilities", "assetId", "port") == [("A", 1), ("B", 7)]
-    assert any("c.parquet" in w and "port" in w for w in report.warnings)
+@pytest.mark.parametrize(
+    "values, kind, shown",
+    [
+        ([[1], [7.5]], "double", ["1.0", "7.5"]),
+        ([[7.5], [1]], "double", ["1.0", "7.5"]),
+        ([[1], ["7"], ["8", "z"]], "string", ["1", "7", "8", "z"]),
+        ([[date(2024, 1, 2)], [datetime(2024, 1, 2, 3, 4)]], "timestamp_ntz", ["2024-01-02 00:00:00", "2024-01-02 03:04:00"]),
+        ([[Decimal("1.5")], [Decimal("2.125")]], "decimal(4,3)", ["1.500", "2.125"]),
+        ([[True], [3]], "string", ["3", "true"]),
+    ],
+)
+def test_columns_take_the_type_that_holds_all_values(spark, database, tmp_path, by, values, kind, shown):
+    files = [write(tmp_path, f"f{i}", {"assetId": ["A"] * len(v), "port": v}) for i, v in enumerate(values)]
+    report = load(spark, database, {"asset_vulnerability": files}, by=by)
+    table = spark.table(f"{database}.vulnerabilities")
+    assert report.warnings == [] and dict(table.dtypes)["port"] == kind
+    assert sorted(r.port for r in table.select(table.port.cast("string").alias("port")).collect()) == shown
+
+
+def test_a_file_whose_values_would_change_is_left_out(spark, database, tmp_path):
+    files = [write(tmp_path, n, {"assetId": [n], "port": v}) for n, v in (("half", [0.5]), ("big", [2**53 + 1]), ("even", [2**53]))]
+    report = load(spark, database, {"asset_vulnerability": files})
+    assert rows(spark, database, "vulnerabilities", "assetId") == [("even",), ("half",)]
+    assert ["big.parquet" in w and "port" in w for w in report.warnings] == [True]
+
+
+def test_an_append_that_widens_a_column_keeps_the_rows(spark, database, tmp_path):
+    for name, port in (("a", [1]), ("b", [2.5]), ("c", ["x"])):
+        load(spark, database, {"vulnerability_remediation": [write(tmp_path, name, {"cveId": [name], "port": port})]}, append=True)
+    assert rows(spark, database, "vulnerability_remediation", "cveId", "port") == [("a", "1.0"), ("b", "2.5"), ("c", "x")]
+
+
+def test_unreachable_places_fail_the_load(spark, database, tmp_path):
+    load(spark, database, {"asset": [write(tmp_path, "a", ASSETS)]})
+    with pytest.raises(Exception, match="nowhere"):
+        load(spark, database, {"asset": ["nowhere://bucket/a.parquet", write(tmp_path, "b", ASSETS)]})
+    assert spark.table(f"{database}.assets").count() == 4
+
+
+def test_places_only_spark_reaches_are_read(spark, database, tmp_path):
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("fs.viewfs.mounttable.t.link./in", f"file://{tmp_path}")
+    write(tmp_path, "a", ASSETS)
+    (tmp_path / "bad.parquet").write_bytes(b"x" * 200)
+    report = load(spark, database, {"asset": ["viewfs://t/in/a.parquet", "viewfs://t/in/bad.parquet"]})
+    assert report.row_counts == {"assets": 4} and sum("bad.parquet" in w for w in report.warnings) == 1
 
 
 def test_unreadable_files_are_left_out(spark, database, tmp_path):
@@ -134,7 +172,7 @@ def test_unreadable_files_are_left_out(spark, database, tmp_path):
     small.write_bytes(b"PAR1")
     files = [str(broken), write(tmp_path, "v", FINDINGS), str(small), str(tmp_path / "absent.parquet")]
     report = load(spark, database, {"asset_vulnerability": files})
-    assert report.row_counts == {"vulnerabilities": 3}
+    assert report.row_counts == {"vulnerabilities": 5}
     assert sum("not readable" in w for w in report.warnings) == 3
     assert any("small.parquet" in w and "unusually small" in w for w in report.warnings)
 
@@ -147,12 +185,12 @@ def test_snapshot_without_a_readable_file_keeps_the_table(spark, database, tmp_p
     assert report.row_counts == {}
     assert any("left as it was" in w for w in report.warnings)
     assert any("0 rows loaded" in w for w in report.warnings)
-    assert spark.table(f"{database}.assets").count() == 2
+    assert spark.table(f"{database}.assets").count() == 4
 
 
 def test_a_file_listed_twice_is_loaded_twice(spark, database, tmp_path):
     path = write(tmp_path, "a", ASSETS)
-    assert load(spark, database, {"asset": [path, path]}).row_counts == {"assets": 4}
+    assert load(spark, database, {"asset": [path, path]}).row_counts == {"assets": 8}
 
 
 def test_versions_left_by_a_failed_load_are_removed(spark, database, tmp_path):
@@ -160,6 +198,8 @@ def test_versions_left_by_a_failed_load_are_removed(spark, database, tmp_path):
     load(spark, database, {"asset": [path]})
     spark.range(3).write.saveAsTable(f"{database}.assets__19990101000000_dead")
     load(spark, database, {"asset": [path]})
+    assert drop_versions(spark, database, "assets", older_than=timedelta(days=1)) == 1
+    assert drop_versions(spark, database, "assets", older_than=timedelta(days=1)) == 0
     tables = [r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect()]
     assert "assets__19990101000000_dead" not in tables
     assert current_version(spark, database, "assets").split(".")[1] in tables
@@ -172,13 +212,13 @@ def test_catalogue(spark, database, tmp_path):
     assert catalog.has_data(tables) and set(tables) == {"assets", "vulnerabilities"}
     listed = [tuple(r) for r in catalog.schema(spark, tables).where("table_name = 'vulnerabilities'").collect()]
     assert [(i, c, t) for _, i, c, t in listed] == [
-        (1, "vulnId", "string"), (2, "assetId", "string"), (3, "severity", "string"), (4, "cvssV3Score", "double"),
-        (5, "title", "string"),
+        (1, "assetId", "string"), (2, "vulnId", "string"), (3, "severity", "string"), (4, "cvssV3Score", "double"),
+        (5, "firstFoundTimestamp", "timestamp_ntz"),
     ]
     catalog.purge(spark, database)
     assert not catalog.has_data(Tables.from_catalog(spark, database))
     assert spark.sql(f"SHOW TABLES IN {database}").count() == 0
-    assert load(spark, database, {"asset": [write(tmp_path, "a", ASSETS)]}).row_counts == {"assets": 2}
+    assert load(spark, database, {"asset": [write(tmp_path, "a", ASSETS)]}).row_counts == {"assets": 4}
 
 
 def test_load_path_sorts_files_by_their_columns(spark, database, tmp_path):
@@ -188,7 +228,7 @@ def test_load_path_sorts_files_by_their_columns(spark, database, tmp_path):
     (tmp_path / "sub").mkdir()
     write(tmp_path / "sub", "deep", ASSETS)
     report = load_path(spark, database, str(tmp_path))
-    assert report.row_counts == {"assets": 2, "vulnerabilities": 3, "policies": 2, "vulnerability_remediation": 2}
+    assert report.row_counts == {"assets": 4, "vulnerabilities": 5, "policies": 6, "vulnerability_remediation": 3}
     assert ["o.parquet" in w for w in report.warnings] == [True]
 
 
@@ -196,11 +236,11 @@ def test_load_path_basic_knows_findings_and_assets(spark, database, tmp_path):
     write(tmp_path, "v", FINDINGS)
     write(tmp_path, "p", POLICIES)
     report = load_path(spark, database, str(tmp_path), mode="basic")
-    assert report.row_counts == {"vulnerabilities": 3, "assets": 2}
+    assert report.row_counts == {"vulnerabilities": 5, "assets": 6}
 
 
 def test_load_path_of_one_file(spark, database, tmp_path):
-    assert load_path(spark, database, write(tmp_path, "v", FINDINGS)).row_counts == {"vulnerabilities": 3}
+    assert load_path(spark, database, write(tmp_path, "v", FINDINGS)).row_counts == {"vulnerabilities": 5}
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         load_path(spark, database, str(tmp_path / "absent"))
 
@@ -226,8 +266,8 @@ def test_paths_with_spaces_and_types_without_a_conversion(spark, database, tmp_p
     bad = write(folder, "bad file", {"assetId": ["B"], "port": ["z"]})
     nested = write(folder, "nested", {"assetId": ["C"], "port": [[1, 2]]})
     report = load(spark, database, {"asset_vulnerability": [first, bad, f"file://{nested}"]})
-    assert rows(spark, database, "vulnerabilities", "assetId", "port") == [("A", 1)]
-    assert sum("port" in w for w in report.warnings) == 2
+    assert rows(spark, database, "vulnerabilities", "assetId", "port") == [("A", "1"), ("B", "z")]
+    assert sum("port" in w for w in report.warnings) == 1
     assert load_path(spark, database, first).row_counts == {}  # no column tells its table
 
 
@@ -237,13 +277,61 @@ def test_column_names_differing_in_case_are_one_column(spark, database, tmp_path
     assert ("Z", "9") in rows(spark, database, "assets", "assetId", "ip")
 
 
-def test_damage_past_the_footer_fails_and_keeps_the_table(spark, database, tmp_path):
-    load(spark, database, {"asset": [write(tmp_path, "a", ASSETS)]})
-    path = tmp_path / "torn.parquet"
-    write(tmp_path, "torn", {"assetId": [f"asset-{i}" for i in range(5000)], "ip": [str(i) for i in range(5000)]})
+def torn(tmp_path, name="torn"):
+    path = tmp_path / f"{name}.parquet"
+    write(tmp_path, name, {"assetId": [f"asset-{i}" for i in range(5000)], "ip": [str(i) for i in range(5000)]})
     content = bytearray(path.read_bytes())
     content[4:4000] = b"\xff" * 3996
     path.write_bytes(content)
-    with pytest.raises(Exception):
-        load(spark, database, {"asset": [str(path)]})
-    assert spark.table(f"{database}.assets").count() == 2
+    return str(path)
+
+
+def test_damage_past_the_footer_costs_that_file(spark, database, tmp_path):
+    files = {"asset": [write(tmp_path, "a", ASSETS), torn(tmp_path)], "asset_vulnerability": [write(tmp_path, "v", FINDINGS)]}
+    report = load(spark, database, files)
+    assert report.row_counts == {"assets": 4, "vulnerabilities": 5} and report.failures == {}
+    assert ["torn.parquet" in w for w in report.warnings] == [True]
+    report = load(spark, database, {"asset": [torn(tmp_path, "alone")]})
+    assert report.row_counts == {} and any("left as it was" in w for w in report.warnings)
+    assert spark.table(f"{database}.assets").count() == 4
+
+
+def test_a_table_that_fails_leaves_the_others_and_the_report(spark, database, tmp_path):
+    spark.sql(f"CREATE DATABASE {database}")
+    spark.sql(f"CREATE TABLE {database}.assets (x INT) USING parquet")  # a view cannot take its name
+    files = {"asset": [write(tmp_path, "a", ASSETS)], "asset_vulnerability": [write(tmp_path, "v", FINDINGS)]}
+    report = load(spark, database, files)
+    assert report.row_counts == {"vulnerabilities": 5} and set(report.failures) == {"assets"}
+
+
+def test_a_reader_finishes_on_the_rows_it_began_with(spark, database, tmp_path):
+    load(spark, database, {"asset": [write(tmp_path, "a", ASSETS)]})
+    began = spark.table(f"{database}.assets")
+    load(spark, database, {"asset": [write(tmp_path, "b", {"assetId": ["only"]})]})
+    assert began.count() == 4 and spark.table(f"{database}.assets").count() == 1
+
+
+def test_a_load_tried_again_adds_nothing(spark, database, tmp_path):
+    files = {"vulnerability_remediation": [write(tmp_path, "r", REMEDIATION)]}
+    for name, expected in (("first", 3), ("first", 3), ("second", 6), ("first", 6)):
+        assert load(spark, database, files, append=True, load_id=name).total == expected
+    assert spark.table(f"{database}.vulnerability_remediation").columns == list(REMEDIATION)
+
+
+def test_chunks_that_share_rows(spark, database, tmp_path):
+    key = ["assetId", "cveId"]
+    first = {"assetId": ["a", "b", None], "cveId": ["1", "1", "2"]}
+    second = {"assetId": ["b", None, "c", "c"], "cveId": ["1", "2", "3", "3"]}
+    for name, columns in (("x", first), ("y", second)):
+        load(spark, database, {"vulnerability_remediation": [write(tmp_path, name, columns)]}, append=True, unique=key)
+    found = spark.table(f"{database}.vulnerability_remediation").collect()
+    assert sorted(map(str, found)) == sorted(map(str, [("a", "1"), ("b", "1"), (None, "2"), ("c", "3")])) or len(found) == 4
+
+
+def test_agent_results_are_read_from_their_folder_alone(spark, database, tmp_path):
+    path = write(tmp_path, "p", POLICIES)
+    load(spark, database, {"asset_policy": [path], "asset_scan_policy": [path]})
+    chosen = spark.table(f"{database}.policies").where("source = 'agent'")
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source" in plan and "source" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert chosen.count() == 6

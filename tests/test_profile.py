@@ -26,13 +26,13 @@ def tables(spark):
 def test_profile_of_tiny_tables(tables):
     assert profile.profile(tables) == {
         "vulnerabilities": {
-            "total_rows": 3, "unique_assets": 2, "unique_vulnerabilities": 3,
-            "severity_distribution": {"Critical": 1, "Moderate": 1, "Severe": 1},
-            "cvss_v3_stats": {"min": 5.5, "max": 9.8, "avg": 7.5, "median": 7.2},
+            "total_rows": 5, "unique_assets": 2, "unique_vulnerabilities": 4,
+            "severity_distribution": {"Critical": 2, "Moderate": 1, "Severe": 1},
+            "cvss_v3_stats": {"min": 4.0, "max": 9.1, "avg": 7.0, "median": 7.45},
         },
-        "assets": {"total_rows": 2, "unique_assets": 2, "os_family_distribution": {"Linux": 1, "Windows": 1}},
-        "policies": {"total_rows": 2, "finalStatus_distribution": {"fail": 1, "pass": 1}},
-        "vulnerability_remediation": {"total_rows": 2, "severity_distribution": {"Critical": 1, "High": 1}},
+        "assets": {"total_rows": 4, "unique_assets": 3, "os_family_distribution": {"Unix": 2, "Linux": 1}},
+        "policies": {"total_rows": 6, "finalStatus_distribution": {"fail": 2, "pass": 2, "error": 1, "notApplicable": 1}},
+        "vulnerability_remediation": {"total_rows": 3, "severity_distribution": {"Low": 2}},
         "asset_software": {"total_rows": 3, "unique_assets": 2},
     }
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from breakwater.plans import registry
 from tests import oracle
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -27,5 +28,9 @@ def test_runs(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
 
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0

@@ -19,17 +19,17 @@ def test_each_file_is_appended_once(spark, tmp_path):
 
     def run():
         return append_arrivals(
-            spark, name, "vulnerability_remediation", str(folder), SCHEMA, feed=name, files_per_batch=1
+            spark, name, "vulnerability_remediation", str(folder), SCHEMA, name, str(tmp_path / "kept"), files_per_batch=1
         )
 
     write(folder, "one", REMEDIATION)
     write(folder, "two", REMEDIATION)
-    assert run() == 4
-    assert run() == 4
-    late = write(folder, "three", {"cveId": ["CVE-9"], "assetId": ["ASSET-Z"]})
-    assert run() == 5
+    assert run() == 6
+    assert run() == 6
+    late = write(folder, "three", {"cveId": ["CVE-9"], "assetId": ["new-1"]})
+    assert run() == 7
     row = spark.table(f"{name}.vulnerability_remediation").where("cveId = 'CVE-9'").first()
-    assert (row.assetId, row.title) == ("ASSET-Z", None)
+    assert (row.assetId, row.proof) == ("new-1", None)
     with pytest.raises(ValueError, match="fed by a stream"):
         load(spark, name, {"vulnerability_remediation": [late]}, append=True)
     load(spark, name, {"vulnerability_remediation": [late]})
