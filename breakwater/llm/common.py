@@ -12,7 +12,17 @@ from pyspark.sql import functions as F
 ASCII_SPACE = " \t\n\x0b\f\r"
 
 
+# Rows of text handed to a Python task at a time; bounds its memory and changes no result.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Python tasks of this session take few rows at a time: texts are long, and executors small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

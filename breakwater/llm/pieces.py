@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Bounds of a task's table. They say when it starts anew and do not change results.
-TABLE_CHUNKS, TABLE_CHARS = 400_000, 32_000_000
+TABLE_CHUNKS, TABLE_CHARS = 200_000, 16_000_000
 _MARKER = "▁"
 _CHUNK = re.compile(" +[^ ]*")
 

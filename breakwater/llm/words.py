@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 # Bound of a task's table of words: it starts anew beyond it, which changes no result.
-TABLE_WORDS = 500_000
+TABLE_WORDS = 250_000
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
