@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from breakwater.operators import assets, cross, derived, policies, profile, remediation, software, vulnerabilities
@@ -36,7 +36,8 @@ class Analysis(NamedTuple):
 
 
 def _sorted(sql: str, order: str, limit: int) -> str:
-    return f"select * from ({sql}) order by {order} limit {limit}"
+    """The first rows by their rank, where the operators cut a sort."""
+    return f"select * exclude (place) from (select *, row_number() over (order by {order}) as place from ({sql})) where place <= {limit}"
 
 
 _PROVIDER = """case when awsInstanceId is not null then 'AWS' when azureResourceId is not null then 'Azure'
@@ -45,6 +46,11 @@ _PROVIDER = """case when awsInstanceId is not null then 'AWS' when azureResource
 _RISK = """case when coalesce(cast(a.riskScoreV2_0 as double), a.riskScore) > 1000 then 1000.0E0
            else coalesce(cast(a.riskScoreV2_0 as double), a.riskScore) end"""
 
+
+def _size_and_match(sample: DataFrame, rule: Column) -> DataFrame:
+    return sample.agg(F.count("*").alias("sampled"), F.count_if(rule).alias("matching"))
+
+
 ANALYSES: dict[str, Analysis] = {
     # assets
     "asset_inventory": Analysis(
@@ -94,7 +100,7 @@ ANALYSES: dict[str, Analysis] = {
         _sorted(
             """select assetId, hostName, vulnId, title, cvssV3Score, epssscore, epsspercentile, hasExploits,
                       firstFoundTimestamp
-               from vulnerabilities where epssscore > 0.5 and severity = 'Critical'""",
+               from vulnerabilities where severity = 'Critical' and epssscore > 0.5""",
             """epssscore desc, cvssV3Score desc, assetId, hostName, vulnId, title, epsspercentile, hasExploits,
                firstFoundTimestamp""", 20,
         ),
@@ -146,7 +152,7 @@ ANALYSES: dict[str, Analysis] = {
         _sorted(
             """select assetId, hostName, vulnId, title, severity, cvssV3Score, bestSolutionType, bestSolutionSummary
                from vulnerabilities
-               where bestSolutionSummary is not null and bestSolutionType in ('PATCH', 'ROLLUP', 'WORKAROUND')""",
+               where bestSolutionType in ('PATCH', 'ROLLUP', 'WORKAROUND') and bestSolutionSummary is not null""",
             "cvssV3Score desc, assetId, hostName, vulnId, title, severity, bestSolutionType, bestSolutionSummary", 50,
         ),
     ),
@@ -157,7 +163,7 @@ ANALYSES: dict[str, Analysis] = {
                       count(distinct assetId) as affected_assets, max(cvssV3Score) as max_cvss,
                       count(*) filter (where hasExploits) as with_exploits
                from vulnerabilities
-               where bestSolutionType in ('PATCH', 'ROLLUP', 'WORKAROUND') and severity = 'Critical' group by all""",
+               where severity = 'Critical' and bestSolutionType in ('PATCH', 'ROLLUP', 'WORKAROUND') group by all""",
             "affected_assets desc, bestSolutionSummary, bestSolutionType", 25,
         ),
     ),
@@ -189,7 +195,7 @@ ANALYSES: dict[str, Analysis] = {
         vulnerabilities.risk_priority,
         _sorted(
             """select assetId, hostName, vulnId, title, cvssV3Score, epssscore, hasExploits, severity
-               from vulnerabilities where severity = 'Critical' and (hasExploits or epssscore > 0.5)""",
+               from vulnerabilities where severity = 'Critical' and (epssscore > 0.5 or hasExploits)""",
             "epssscore desc, cvssV3Score desc, assetId, hostName, vulnId, title, hasExploits", 20,
         ),
     ),
@@ -225,8 +231,11 @@ ANALYSES: dict[str, Analysis] = {
         """select vulnId, title, cvssV3Score, epssscore, epsspercentile, count(distinct assetId) as affected_assets
            from vulnerabilities where epssscore > 0.1 group by all having count(distinct assetId) > 5""",
     ),
-    # which rows a bare LIMIT returns is undefined, so there is no SQL to compare with
-    "critical_sample": Analysis(vulnerabilities.critical_sample, None),
+    # which rows a bare LIMIT returns is undefined: how many they are and whether all of them match is not
+    "critical_sample": Analysis(
+        lambda t: _size_and_match(vulnerabilities.critical_sample(t), F.col("severity") == "Critical"),
+        "select least(10, count(*)) as sampled, least(10, count(*)) as matching from vulnerabilities where severity = 'Critical'",
+    ),
     "known_exploits_top": Analysis(
         vulnerabilities.known_exploits_top,
         _sorted(
@@ -324,11 +333,14 @@ ANALYSES: dict[str, Analysis] = {
         _sorted(
             """select ruleNaturalId, ruleTitle, benchmarkTitle, finalStatus, fixTexts, rationales,
                       count(distinct assetId) as affected_assets
-               from policies where fixTexts is not null and finalStatus = 'fail' group by all""",
+               from policies where finalStatus = 'fail' and fixTexts is not null group by all""",
             "affected_assets desc, ruleNaturalId, ruleTitle, benchmarkTitle, sha256(fixTexts), sha256(rationales)", 20,
         ),
     ),
-    "failed_sample": Analysis(policies.failed_sample, None),
+    "failed_sample": Analysis(
+        lambda t: _size_and_match(policies.failed_sample(t), F.col("finalStatus") == "fail"),
+        "select least(10, count(*)) as sampled, least(10, count(*)) as matching from policies where finalStatus = 'fail'",
+    ),
     # remediation
     "remediation_overview": Analysis(
         remediation.remediation_overview,
@@ -380,7 +392,7 @@ ANALYSES: dict[str, Analysis] = {
                        m.firstFoundTimestamp,
                        cast(date_diff('day', m.firstFoundTimestamp, timestamp '{AS_OF}') as integer) as days_open
                 from vulnerability_remediation m left join assets a using (assetId)
-                where m.cvssV3Score >= 7 and m.lastRemoved is null""",
+                where m.lastRemoved is null and m.cvssV3Score >= 7""",
             """cvssV3Score desc, days_open desc, assetId, cveId, title, cvssV3Severity, epssscore,
                firstFoundTimestamp""", 50,
         ),
@@ -437,15 +449,15 @@ ANALYSES: dict[str, Analysis] = {
             """select a.assetId, a.hostName, a.ip, a.osProduct, a.osVersion, v.vulnId, v.title, v.cvssV3Score,
                       v.epssscore, v.hasExploits
                from assets a join vulnerabilities v using (assetId)
-               where v.epssscore > 0.3 and v.severity = 'Critical'
-                 and a.osType = 'Server' and contains(a.osFamily, 'Windows')""",
+               where a.osFamily like '%Windows%' and a.osType = 'Server'
+                 and v.severity = 'Critical' and v.epssscore > 0.3""",
             "epssscore desc, cvssV3Score desc, assetId, vulnId, title, hasExploits", 100,
         ),
     ),
     "clean_assets": Analysis(
         cross.clean_assets,
         """select assetId, hostName, ip, osDescription, riskScore from assets
-           where assetId not in (select assetId from vulnerabilities)""",
+           where not exists (select 1 from vulnerabilities v where v.assetId = assets.assetId and v.vulnId is not null)""",
     ),
     "top_hosts": Analysis(
         cross.top_hosts,

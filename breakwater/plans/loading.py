@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 from typing import NamedTuple
 
@@ -16,6 +18,7 @@ from breakwater.plans.analyses import AS_OF
 from breakwater.plans.guard import GuardedSql
 from breakwater.sources import catalog, files, ledger, manifest, prefixes
 from breakwater.sources.loader import load
+from breakwater.tables import Tables
 
 
 class Check(NamedTuple):
@@ -117,84 +120,206 @@ _FOOTERS_SQL = "\nunion all ".join(
 # -- loads ---------------------------------------------------------------------
 
 
-def _scratch_database(spark: SparkSession, name: str) -> str:
-    """A database in the cluster's shared folder if it names one, else in the warehouse."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    location = f"LOCATION '{shared.rstrip('/')}/breakwater/{name}.db'" if shared else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} {location}")
-    return name
+def _scratch(spark: SparkSession) -> str:
+    """A folder of its own, in the cluster's shared folder if it names one, else in the warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/breakwater/{uuid.uuid4().hex}"
 
 
-def _then_dropped(spark: SparkSession, database: str, counts: DataFrame) -> DataFrame:
-    """A handful of counts, taken now, so that the check leaves no tables behind."""
-    kept = spark.createDataFrame(counts.collect(), counts.schema)
-    spark.sql(f"DROP DATABASE {database} CASCADE")
-    return kept
+@contextmanager
+def _scratch_database(spark: SparkSession) -> Iterator[str]:
+    """A database under a name that no other run has; it goes in any case."""
+    place = _scratch(spark)
+    name = f"breakwater_{place.rsplit('/', 1)[1]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{place}/{name}.db'")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def _kept(frame: DataFrame) -> DataFrame:
+    """A handful of rows, taken now, so that the check leaves no tables behind."""
+    return frame.sparkSession.createDataFrame(frame.collect(), frame.schema)
 
 
 def snapshot_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load the driver files twice; snapshots do not add up, and both policy sources share a table."""
-    database = _scratch_database(spark, "breakwater_snapshot")
 
     def path(table: str) -> str:
         return f"{sf_dir}/{table}.parquet"
 
-    for _ in range(2):
-        load(
-            spark,
-            database,
-            {
-                "asset": [path("customer")],
-                "asset_vulnerability": [path("lineitem")],
-                "asset_policy": [path("orders")],
-                "asset_scan_policy/v2": [path("orders"), path("orders")],
-                "asset_software": [path("part"), path("supplier")],
-                "mystery": [path("nation")],
-            },
-        )
-    counts = reduce(
-        DataFrame.unionByName,
-        [
+    files = {
+        "asset": [path("customer")],
+        "asset_vulnerability": [path("lineitem")],
+        "asset_policy": [path("orders")],
+        "asset_scan_policy/v2": [path("orders"), path("orders")],
+        "asset_software": [path("part"), path("supplier")],
+        "mystery": [path("nation")],
+    }
+    with _scratch_database(spark) as database:
+        for _ in range(2):
+            load(spark, database, files)
+        none = F.lit(None).cast("string")
+        found = [
             spark.table(f"{database}.{table}")
             .groupBy(tag.alias("source"))
-            .agg(F.count("*").alias("row_count"))
-            .withColumn("table_name", F.lit(table))
-            for table, tag in (
-                ("assets", F.lit(None).cast("string")),
-                ("vulnerabilities", F.lit(None).cast("string")),
-                ("policies", F.col("source")),
-                ("asset_software", F.when(F.col("p_partkey").isNull(), "unmatched columns")),
+            .agg(F.count("*").alias("row_count"), F.sum(number).alias("total"), F.max(text).alias("last_text"))
+            .select(F.lit(table).alias("table_name"), "source", "row_count", F.col("total").cast("bigint"), "last_text")
+            for table, tag, number, text in (
+                ("assets", none, "c_custkey", "c_name"),
+                ("vulnerabilities", none, F.col("l_orderkey") * F.col("l_linenumber"), "l_returnflag"),
+                ("policies", F.col("source"), "o_orderkey", "o_orderpriority"),
+                ("asset_software", F.when(F.col("p_partkey").isNull(), "other columns"), F.coalesce("p_partkey", "s_suppkey"),
+                 F.coalesce("p_name", "s_name")),
             )
-        ],
-    )
-    return _then_dropped(spark, database, counts)
+        ]
+        return _kept(reduce(DataFrame.unionByName, found))
 
 
 _SNAPSHOT_SQL = """
-    select 'assets' as table_name, null as source, count(*) as row_count from customer
-    union all select 'vulnerabilities', null, count(*) from lineitem
-    union all select 'policies', 'agent', count(*) from orders
-    union all select 'policies', 'scan', 2 * count(*) from orders
-    union all select 'asset_software', null, count(*) from part
-    union all select 'asset_software', 'unmatched columns', count(*) from supplier"""
+    select 'assets' as table_name, null as source, count(*) as row_count, cast(sum(c_custkey) as bigint) as total,
+           max(c_name) as last_text from customer
+    union all select 'vulnerabilities', null, count(*), sum(l_orderkey * l_linenumber), max(l_returnflag) from lineitem
+    union all select 'policies', 'agent', count(*), sum(o_orderkey), max(o_orderpriority) from orders
+    union all select 'policies', 'scan', 2 * count(*), 2 * sum(o_orderkey), max(o_orderpriority) from orders
+    union all select 'asset_software', null, count(*), sum(p_partkey), max(p_name) from part
+    union all select 'asset_software', 'other columns', count(*), sum(s_suppkey), max(s_name) from supplier"""
 
 
 def append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replace, then add the same chunk: rows add up, nothing is deduplicated."""
-    database = _scratch_database(spark, "breakwater_append")
+    """Replace, add the same chunk under another load id, then try that load again: it adds nothing more."""
     chunk = {"vulnerability_remediation/daily": [f"{sf_dir}/lineitem.parquet"]}
-    load(spark, database, chunk)
-    load(spark, database, chunk, append=True)
-    counts = (
-        spark.table(f"{database}.vulnerability_remediation")
-        .groupBy("l_returnflag")
-        .agg(F.count("*").alias("row_count"), F.min("l_shipdate").alias("first_ship"))
-    )
-    return _then_dropped(spark, database, counts)
+    with _scratch_database(spark) as database:
+        load(spark, database, chunk)
+        for _ in range(2):
+            load(spark, database, chunk, append=True, load_id="second")
+        return _kept(
+            spark.table(f"{database}.vulnerability_remediation")
+            .groupBy("l_returnflag")
+            .agg(
+                F.count("*").alias("row_count"), F.min("l_shipdate").alias("first_ship"),
+                F.sum(F.col("l_orderkey") * F.col("l_linenumber")).alias("total"),
+            )
+        )
 
 
 _APPEND_SQL = """
-    select l_returnflag, 2 * count(*) as row_count, min(l_shipdate) as first_ship from lineitem group by all"""
+    select l_returnflag, 2 * count(*) as row_count, min(l_shipdate) as first_ship,
+           cast(2 * sum(l_orderkey * l_linenumber) as bigint) as total
+    from lineitem group by all"""
+
+
+def combined_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two slices of one table, one with whole quantities and one with halves, in either order of files."""
+    place, items = _scratch(spark), _read(spark, sf_dir, "lineitem")
+    whole, half = f"{place}/whole", f"{place}/half"
+    slices = items.select("l_orderkey", "l_suppkey", "l_quantity")
+    slices.where("l_orderkey % 2 = 0").withColumn("l_quantity", F.col("l_quantity").cast("bigint")).write.parquet(whole)
+    slices.where("l_orderkey % 2 = 1").withColumn("l_quantity", F.col("l_quantity").cast("double") + 0.5).write.parquet(half)
+    with _scratch_database(spark) as database:
+        load(spark, database, {"asset_vulnerability": _parts(spark, whole) + _parts(spark, half)})
+        load(spark, database, {"vulnerability_remediation": _parts(spark, half) + _parts(spark, whole)})
+        found = [
+            spark.table(f"{database}.{table}")
+            .groupBy("l_suppkey")
+            .agg(F.count("*").alias("row_count"), F.sum("l_quantity").alias("total"), F.max("l_quantity").alias("largest"))
+            .withColumn("table_name", F.lit(table))
+            for table in ("vulnerabilities", "vulnerability_remediation")
+        ]
+        return _kept(reduce(DataFrame.unionByName, found))
+
+
+_COMBINED_SQL = """
+    select t.table_name, l_suppkey, count(*) as row_count, sum(q) as total, max(q) as largest
+    from (select l_suppkey, cast(cast(l_quantity as bigint) as double) as q from lineitem where l_orderkey % 2 = 0
+          union all select l_suppkey, cast(l_quantity as double) + 0.5 from lineitem where l_orderkey % 2 = 1),
+         (values ('vulnerabilities'), ('vulnerability_remediation')) t(table_name)
+    group by all"""
+
+
+def _parts(spark: SparkSession, folder: str) -> list[str]:
+    return [row.path for row in files.list_files(spark, folder).orderBy("path").collect()]
+
+
+def _put(spark: SparkSession, path: str, content: bytes) -> str:
+    """Write a file through Spark's file systems."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(content))
+    out.close()
+    return path
+
+
+def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load reports of a good file, one with damaged pages, a tiny one and a prefix it does not know."""
+    place = _scratch(spark)
+    _read(spark, sf_dir, "nation").coalesce(1).write.parquet(f"{place}/good")
+    (good,) = _parts(spark, f"{place}/good")
+    content = bytearray(spark.read.format("binaryFile").load(good).first().content)
+    pages = len(content) - 8 - int.from_bytes(content[-8:-4], "little")
+    content[4:pages] = b"\xff" * (pages - 4)
+    with _scratch_database(spark) as database:
+        report = load(
+            spark,
+            database,
+            {
+                "asset": [good, _put(spark, f"{place}/torn.parquet", content), _put(spark, f"{place}/tiny.parquet", b"PAR1")],
+                "asset_software": [f"{sf_dir}/part.parquet"],
+                "mystery": [good],
+            },
+        )
+    kinds = ("unknown prefix", "unusually small", "not readable")
+    told = [("warning", kind, sum(kind in w for w in report.warnings)) for kind in kinds]
+    rows = [("rows", table, count) for table, count in report.row_counts.items()] + told
+    return spark.createDataFrame(rows, "kind string, name string, n bigint")
+
+
+_REPORT_SQL = """
+    select 'rows' as kind, 'assets' as name, count(*) as n from nation
+    union all select 'rows', 'asset_software', count(*) from part
+    union all select 'warning', 'unknown prefix', 1 union all select 'warning', 'unusually small', 1
+    union all select 'warning', 'not readable', 2"""
+
+
+def table_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of loaded tables, as the catalogue describes them."""
+    loaded = {"asset": "customer", "asset_vulnerability": "lineitem", "vulnerability_remediation": "orders"}
+    with _scratch_database(spark) as database:
+        load(spark, database, {prefix: [f"{sf_dir}/{table}.parquet"] for prefix, table in loaded.items()})
+        return _kept(catalog.schema(spark, Tables.from_catalog(spark, database)))
+
+
+_COLUMNS_SQL = "\nunion all ".join(
+    f"""select '{name}' as table_name, cid + 1 as ordinal, name as column_name,
+               case "type" when 'VARCHAR' then 'string' when 'INTEGER' then 'int' when 'TIMESTAMP' then 'timestamp_ntz'
+                    else lower("type") end as data_type
+        from pragma_table_info('{table}')"""
+    for name, table in (("assets", "customer"), ("vulnerabilities", "lineitem"), ("vulnerability_remediation", "orders"))
+)
+
+
+def catalogue_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether there is data, and the tables with their rows: before a load, after it, after a purge."""
+    rows = []
+
+    def note(step: str, database: str) -> None:
+        tables = Tables.from_catalog(spark, database)
+        rows.append((step, catalog.has_data(tables), len(tables), sum(frame.count() for frame in tables.values())))
+
+    with _scratch_database(spark) as database:
+        note("empty", database)
+        load(spark, database, {"asset": [f"{sf_dir}/customer.parquet"], "asset_policy": [f"{sf_dir}/orders.parquet"]})
+        note("loaded", database)
+        catalog.purge(spark, database)
+        note("purged", database)
+    return spark.createDataFrame(rows, "step string, has_data boolean, tables int, row_count bigint")
+
+
+_STEPS_SQL = """
+    select 'empty' as step, false as has_data, 0 as tables, cast(0 as bigint) as row_count
+    union all select 'loaded', true, 2, (select count(*) from customer) + (select count(*) from orders)
+    union all select 'purged', false, 0, 0"""
 
 # -- manifests -----------------------------------------------------------------
 
@@ -302,6 +427,10 @@ CHECKS: dict[str, Check] = {
     "file_footers": Check(file_footers, _FOOTERS_SQL),
     "snapshot_load": Check(snapshot_load, _SNAPSHOT_SQL),
     "append_load": Check(append_load, _APPEND_SQL),
+    "combined_types": Check(combined_types, _COMBINED_SQL),
+    "load_report": Check(load_report, _REPORT_SQL),
+    "table_columns": Check(table_columns, _COLUMNS_SQL),
+    "catalogue_steps": Check(catalogue_steps, _STEPS_SQL),
     "manifest_files": Check(manifest_files, _MANIFEST_SQL),
     "date_chunks": Check(
         date_chunks, _text_sql(_CHUNKS_SQL, dates=("start_date", "end_date", "chunk_start", "chunk_end"))

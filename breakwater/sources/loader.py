@@ -130,7 +130,7 @@ def _load_table(
         try:
             _write(spark, database, table, current, frame.withColumn(_LOAD, F.lit(identity)), unique)
         except Exception:
-            bad = _torn(spark, [row.path for row in rows])
+            bad = _torn(spark, [row.path for row in rows if row.schema is not None])
             if not bad:
                 raise
             report.warnings.extend(f"{path}: not readable, skipped: {why}" for path, why in bad.items())
