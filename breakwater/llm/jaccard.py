@@ -118,14 +118,15 @@ def _summed(batches: Iterable) -> Iterator:
         yield done()
 
 
-def _sketch(first: DataFrame) -> np.ndarray:
+def _sketch(first: DataFrame, tasks: int) -> np.ndarray:
     """How often each counter was met, over all documents; ``COUNTERS`` numbers whatever the corpus."""
     import zstandard
 
     rows = first.where(F.col("counts").isNotNull()).select("slice", "part", "counts")
     schema = "slice int, part int, counts binary"
     for width in (FAN, 1):
-        dealt = rows.withColumn("part", F.pmod("part", F.lit(width))).repartitionById(SLICES * width, F.col("slice") * width + F.col("part"))
+        dealt = rows.withColumn("part", F.pmod("part", F.lit(width)))
+        dealt = dealt.repartitionById(tasks, F.pmod(F.col("slice") * width + F.col("part"), F.lit(tasks)))
         rows = dealt.sortWithinPartitions("slice", "part").mapInArrow(_summed, schema)
     pieces = {r.slice: np.frombuffer(zstandard.decompress(r.counts), np.int64) for r in rows.collect()}
     return np.concatenate([pieces.get(i, np.zeros(COUNTERS // SLICES, np.int64)) for i in range(SLICES)])
@@ -260,7 +261,7 @@ class Join:
         first = stored(docs.select("doc_id", "text").mapInArrow(_survey(words), _FIRST))
         self.members = first.where(F.col("counts").isNull()).select("doc_id", "size", "digest")
         prefixes = self.texts.mapInArrow(
-            _prefixes(words, num, den, _sketch(first)), "digest binary, row long, size int, matches int, bins binary, prefix array<long>"
+            _prefixes(words, num, den, _sketch(first, self.width)), "digest binary, row long, size int, matches int, bins binary, prefix array<long>"
         )
         sets = prefixes.groupBy("digest").agg(F.min("row").alias("node"), *[F.any_value(c).alias(c) for c in ("size", "matches", "bins", "prefix")])
         self.nodes = stored(sets)
@@ -388,3 +389,23 @@ def representatives(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     whole = docs.select(doc, F.monotonically_increasing_id().alias("row"))
     return whole.join(keep.unionByName(bare), "row", "left_semi").select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
+
+
+#: The query's result for SQL: every pair that shares a shingle is counted, components by walking the links.
+SQL = r"""
+with recursive words as (
+    select row_number() over () as r, doc_id, [x for x in regexp_split_to_array(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if x <> ''] as w
+    from documents),
+sets as (select r, doc_id, list_distinct(case when len(w) between 1 and 3 then [array_to_string(w, ' ')]
+                else [array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)] end) as s from words),
+flat as (select r, unnest(s) as g from sets),
+shared as (select a.r as x, b.r as y, count(*) as n from flat a join flat b on a.g = b.g and a.r < b.r group by all),
+links as (select x, y from shared join sets p on p.r = x join sets q on q.r = y
+          where 100 * n >= 85 * (len(p.s) + len(q.s) - n)),
+linked as (select x, y from links union all select y, x from links),
+reach(r, other) as (select r, r from sets union select reach.r, y from reach join linked on x = other)
+select m.doc_id, cast(len(m.s) as bigint) as n_shingles, least.component_id
+from sets m join (select reach.r, min(doc_id) as component_id from reach join sets on sets.r = other group by all) least
+     on least.r = m.r
+"""

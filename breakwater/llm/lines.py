@@ -29,9 +29,9 @@ MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 MAX_LOST = 0.5
 OPEN_WORDS = 12
 SENTENCE_MARKS = re.compile("[.!?;:…。！？।۔؟]")
-SEPARATOR = re.compile(r"\s(?:[|»›•·>]|::|->)\s")
+SEPARATOR = re.compile(r"[ \t\r\f\v](?:[|»›•·>]|::|->)[ \t\r\f\v]")
 MENU = re.compile(r"(?:home|menu|next|previous|back|share|login|log in|sign in|sign up|search|contact|about|skip to content|read more)[.:»›]?", re.I)
-LINK = re.compile(r"(?:https?://|www\.)\S+", re.I)
+LINK = re.compile(r"(?:https?://|www\.)[^ \t\r\f\v]+", re.I)
 BOILERPLATE = re.compile(
     r"all rights reserved|licensed under|license, version|released under the|terms of (?:use|service)|privacy policy"
     r"|accept (?:all )?cookies|uses cookies|enable javascript|lorem ipsum|click here|subscribe to our newsletter",
@@ -84,7 +84,7 @@ def failure(line: str, marked: bool) -> str | None:
     words = line.count(" ") + 1
     if SEPARATOR.search(line) and len(SEPARATOR.findall(line)) * 4 >= words:
         return "navigation"
-    if words <= 4 and (MENU.fullmatch(line.strip()) or LINK.fullmatch(line.strip())):
+    if words <= 4 and (MENU.fullmatch(line.strip(ASCII_SPACE)) or LINK.fullmatch(line.strip(ASCII_SPACE))):
         return "navigation"
     if BOILERPLATE.search(line):
         return "boilerplate"
@@ -166,3 +166,46 @@ def report(docs: DataFrame) -> DataFrame:
         "v.lost_chars",
         F.coalesce(F.aggregate(F.map_values("v.failed_lines"), F.lit(0).cast("long"), lambda a, b: a + b), F.lit(0)).alias("n_failed_lines"),
     )
+
+
+def _sql() -> str:
+    """The report for SQL: windows over unnested lines and words instead of a walk through each text."""
+    space = r"[\x20\x09-\x0D]"
+    trimmed = rf"regexp_replace(line, '^{space}+|{space}+$', '', 'g')"
+    return rf"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+tokens as (select r, [x for x in regexp_split_to_array(text, '{space}+') if x <> ''] as w from d),
+windows as (select r, unnest(range(1, len(w) - 1)) as pos, unnest([w[i:i + 2] for i in range(1, len(w) - 1)]) as g
+            from tokens where len(w) > 2),
+twice as (select r, pos from (select r, pos, count(*) over (partition by r, g) as n from windows) where n > 1),
+covered as (select r, count(distinct pos + step) as n from twice, (values (0), (1), (2)) s(step) group by r),
+split as (select r, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as nth from d),
+held as (select *, row_number() over (partition by r, line order by nth) > 1 as copy,
+                length(line) - length(replace(line, ' ', '')) + 1 as words,
+                length(regexp_replace(line, '{space}', '', 'g')) as chars,
+                length(regexp_replace(line, '[^{SYMBOLS}]', '', 'g')) as symbols
+         from split where regexp_matches(line, '[^\x20\x09-\x0D]')),
+judged as (select r, copy, chars,
+       copy
+       or (regexp_matches(line, '{SEPARATOR.pattern}') and len(regexp_extract_all(line, '{SEPARATOR.pattern}')) * 4 >= words)
+       or (words <= 4 and (regexp_full_match({trimmed}, '(?i){MENU.pattern}') or regexp_full_match({trimmed}, '(?i){LINK.pattern}')))
+       or regexp_matches(line, '(?i){BOILERPLATE.pattern}')
+       or symbols * 4 >= words
+       or (words >= 5 and upper(line) = line and lower(line) <> line)
+       or (words >= {OPEN_WORDS} and not regexp_matches(line, '{SENTENCE_MARKS.pattern}')) as failed
+       from held),
+lost as (select r, count(*) filter (where copy) as copies, count(*) filter (where failed) as lines,
+                coalesce(sum(chars) filter (where failed), 0) as chars from judged group by r),
+counts as (select doc_id, len(w) as n_words, length(regexp_replace(text, '{space}', '', 'g')) as word_chars,
+                  length(regexp_replace(text, '[^{SYMBOLS}]', '', 'g')) as n_symbols, coalesce(copies, 0) as n_dup_lines,
+                  coalesce(covered.n, 0) as n_repeat_words, coalesce(lost.chars, 0) as lost_chars, coalesce(lines, 0) as n_failed_lines
+           from d join tokens using (r) left join lost using (r) left join covered using (r)),
+based as (select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEATED_PERCENT} * n_words as base_failed from counts)
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols,
+       cast(n_dup_lines as bigint) as n_dup_lines, cast(n_repeat_words as bigint) as n_repeat_words, base_failed,
+       not base_failed and lost_chars <= {MAX_LOST} * word_chars as kept, cast(lost_chars as bigint) as lost_chars,
+       cast(n_failed_lines as bigint) as n_failed_lines
+from based"""
+
+
+SQL = _sql()

@@ -84,4 +84,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_secret_scan": secrets.SQL, "op8_url_filter": urls.SQL}
+    return {
+        "op3_quality_rules": lines.SQL,
+        "op7_secret_scan": secrets.SQL,
+        "op8_url_filter": urls.SQL,
+        "op10_ngram_join": jaccard.SQL,
+    }

@@ -95,3 +95,10 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 101), (103, 101), (200, 200), (300, 7), (7, 300)]
     found = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(found[i] == 0 for i in [*range(51), 300]) and found[103] == found[101] == 100 and 200 not in found
+
+
+def test_query_equals_sql(spark, sf_dir):
+    from breakwater.llm import queries
+    from tests import oracle
+
+    assert oracle.differences(queries.op10_ngram_join(spark, sf_dir), oracle.connect(sf_dir), jaccard.SQL) is None

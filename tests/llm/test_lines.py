@@ -69,3 +69,10 @@ def test_labelled_documents(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     judged = op3_quality_rules(spark, sf_dir).where("not base_failed").join(labels, "doc_id")
     assert {(r.quality, r.kept) for r in judged.select("quality", "kept").distinct().collect()} <= {(1, True), (0, False)}
+
+
+def test_query_equals_sql(spark, sf_dir):
+    from breakwater.llm import queries
+    from tests import oracle
+
+    assert oracle.differences(queries.op3_quality_rules(spark, sf_dir), oracle.connect(sf_dir), lines.SQL) is None
