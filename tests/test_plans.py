@@ -6,13 +6,13 @@ import re
 
 import pytest
 
-from breakwater.operators import policies, vulnerabilities
+from breakwater.operators import derived, policies, remediation, vulnerabilities
 from breakwater.plans import registry
 from breakwater.session import settings
 from breakwater.tables import Tables
 
 # Queries that end in one row per table or in totals per bucket, so that one task takes the last step.
-ONE_TASK_AT_THE_END = re.compile("profile_|table_overview|risk_vs_count")
+ONE_TASK_AT_THE_END = re.compile("profile_|table_overview|risk_vs_count|critical_sample|failed_sample")
 
 
 def plan_of(spark, frame) -> str:
@@ -87,6 +87,37 @@ def test_counting_failing_assets_leaves_the_texts_alone(no_broadcast, stored):
     assert not any("fixTexts" in s and "assetId" in s for s in schemas)
 
 
+@pytest.mark.parametrize(
+    "analysis, text",
+    [
+        (vulnerabilities.epss_prioritisation, "title"), (vulnerabilities.epss_prioritisation_flow, "title"),
+        (vulnerabilities.critical_by_fix, "bestSolutionSummary"), (remediation.cve_remediation_status, "title"),
+    ],
+)
+def test_texts_stay_out_of_the_shuffles_that_count_assets(no_broadcast, tmp_path, analysis, text):
+    no_broadcast.sql(
+        "select 'a' as assetId, 'v' as vulnId, 'c' as cveId, 'Critical' as severity, 'High' as cvssV3Severity, 1.0D as cvssV3Score,"
+        " 1.0D as epssscore, 1.0D as epsspercentile, true as hasExploits, 5 as riskScoreV2_0, 't' as title,"
+        " 'PATCH' as bestSolutionType, 's' as bestSolutionSummary, timestamp_ntz'2024-01-01' as lastRemoved"
+    ).write.parquet(str(tmp_path / "t"))
+    rows = no_broadcast.read.parquet(str(tmp_path / "t"))
+    plan = plan_of(no_broadcast, analysis(Tables(vulnerabilities=rows, vulnerability_remediation=rows)))
+    counting = [line for line in re.findall(r"Exchange hashpartitioning\((.*)", plan) if "assetId" in line]
+    assert counting and not any(re.search(rf"\b{text}#", line) for line in counting)
+    assert "Expand" not in plan
+
+
+def test_assets_and_findings_are_ranked_from_two_uses_of_one_frame(no_broadcast, tmp_path):
+    no_broadcast.sql("select 'a' as assetId, 'h' as hostName, 5.0D as riskScore, 3 as riskScoreV2_0").write.parquet(str(tmp_path / "a"))
+    no_broadcast.sql("select 'a' as assetId").write.parquet(str(tmp_path / "v"))
+    t = Tables(assets=no_broadcast.read.parquet(str(tmp_path / "a")), vulnerabilities=no_broadcast.read.parquet(str(tmp_path / "v")))
+    frame = derived.risk_vs_count_discrepancy(t)
+    frame.collect()
+    ran = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    print(ran.count("FileScan"), ran.count("Reused"))
+    assert ran.count("FileScan") <= 4
+
+
 def test_settings():
     assert "spark.sql.shuffle.partitions" not in settings()
     assert settings(10**14)["spark.sql.shuffle.partitions"] == str(-(-(10**14) // (128 * 2**20)))
