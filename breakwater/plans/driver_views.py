@@ -7,7 +7,7 @@ constructors and the table references differ.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache, partial
+from functools import partial
 
 from pyspark.sql import SparkSession
 
@@ -124,15 +124,19 @@ def view_sql(engine: str, table: Callable[[str], str] = str) -> dict[str, str]:
     }
 
 
-@lru_cache(maxsize=4)
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     """All six views as DataFrames over the Parquet files in ``sf_dir``.
 
     A session lists the files and reads their schemas once, as it would for
-    tables of the catalogue; the files do not change under it.
+    tables of the catalogue; the files do not change under it. The views are
+    kept with the session and go with it.
     """
+    kept = spark.__dict__.setdefault("_breakwater_views", {})
+    if sf_dir in kept:
+        return kept[sf_dir]
     texts = view_sql("spark", lambda name: f"parquet.`{sf_dir}/{name}.parquet`")
-    return Tables(**{name: partial(spark.sql, text) for name, text in texts.items()})
+    kept[sf_dir] = Tables(**{name: partial(spark.sql, text) for name, text in texts.items()})
+    return kept[sf_dir]
 
 
 def with_views(query: str) -> str:

@@ -12,6 +12,7 @@ _STRING = T.StringType()
 _STRINGS = T.ArrayType(_STRING)
 _TAGS = T.ArrayType(T.StructType([T.StructField("name", _STRING), T.StructField("tagType", _STRING)]))
 _TIME = T.TimestampNTZType()
+_DOUBLE, _INTEGER, _BOOLEAN = T.DoubleType(), T.IntegerType(), T.BooleanType()
 
 # Table names, in load order.
 KNOWN_TABLES = (
@@ -24,64 +25,164 @@ KNOWN_TABLES = (
 )
 
 
-def _struct(*groups: tuple[T.DataType, str]) -> T.StructType:
-    return T.StructType([T.StructField(name, dtype) for dtype, names in groups for name in names.split()])
-
-
-# Documented columns per table.
+# Documented columns per table. The last ones of findings belong to the asset; several analyses read them
+# from findings, and they are taken from assets where absent.
 SCHEMAS: dict[str, T.StructType] = {
-    "assets": _struct(
-        (_STRING, "orgId assetId agentId awsInstanceId azureResourceId gcpObjectId mac ip hostName"),
-        (_STRING, "osArchitecture osFamily osProduct osVendor osVersion osType osDescription"),
-        (T.DoubleType(), "riskScore"),
-        (T.IntegerType(), "riskScoreV2_0"),
-        (_STRINGS, "sites assetGroups"),
-        (_TAGS, "tags"),
+    "assets": T.StructType(
+        [
+            T.StructField("orgId", _STRING),
+            T.StructField("assetId", _STRING),
+            T.StructField("agentId", _STRING),
+            T.StructField("awsInstanceId", _STRING),
+            T.StructField("azureResourceId", _STRING),
+            T.StructField("gcpObjectId", _STRING),
+            T.StructField("mac", _STRING),
+            T.StructField("ip", _STRING),
+            T.StructField("hostName", _STRING),
+            T.StructField("osArchitecture", _STRING),
+            T.StructField("osFamily", _STRING),
+            T.StructField("osProduct", _STRING),
+            T.StructField("osVendor", _STRING),
+            T.StructField("osVersion", _STRING),
+            T.StructField("osType", _STRING),
+            T.StructField("osDescription", _STRING),
+            T.StructField("riskScore", _DOUBLE),
+            T.StructField("riskScoreV2_0", _INTEGER),
+            T.StructField("sites", _STRINGS),
+            T.StructField("assetGroups", _STRINGS),
+            T.StructField("tags", _TAGS),
+        ]
+    ),
+    "vulnerabilities": T.StructType(
+        [
+            T.StructField("orgId", _STRING),
+            T.StructField("assetId", _STRING),
+            T.StructField("vulnId", _STRING),
+            T.StructField("checkId", _STRING),
+            T.StructField("port", _INTEGER),
+            T.StructField("protocol", _STRING),
+            T.StructField("nic", _STRING),
+            T.StructField("title", _STRING),
+            T.StructField("description", _STRING),
+            T.StructField("proof", _STRING),
+            T.StructField("cvssScore", _DOUBLE),
+            T.StructField("cvssV3Score", _DOUBLE),
+            T.StructField("cvssAccessVector", _STRING),
+            T.StructField("cvssAccessComplexity", _STRING),
+            T.StructField("cvssAuthentication", _STRING),
+            T.StructField("cvssConfidentialityImpact", _STRING),
+            T.StructField("cvssIntegrityImpact", _STRING),
+            T.StructField("cvssAvailabilityImpact", _STRING),
+            T.StructField("cvssV3Severity", _STRING),
+            T.StructField("cvssV3AttackVector", _STRING),
+            T.StructField("cvssV3AttackComplexity", _STRING),
+            T.StructField("cvssV3PrivilegesRequired", _STRING),
+            T.StructField("cvssV3UserInteraction", _STRING),
+            T.StructField("cvssV3Scope", _STRING),
+            T.StructField("cvssV3Confidentiality", _STRING),
+            T.StructField("cvssV3Integrity", _STRING),
+            T.StructField("cvssV3Availability", _STRING),
+            T.StructField("cvssV3SeverityRank", _INTEGER),
+            T.StructField("severityRank", _INTEGER),
+            T.StructField("severityScore", _INTEGER),
+            T.StructField("skillLevelRank", _INTEGER),
+            T.StructField("pciSeverity", _INTEGER),
+            T.StructField("severity", _STRING),
+            T.StructField("skillLevel", _STRING),
+            T.StructField("riskScore", _DOUBLE),
+            T.StructField("epssscore", _DOUBLE),
+            T.StructField("epsspercentile", _DOUBLE),
+            T.StructField("riskScoreV2_0", _INTEGER),
+            T.StructField("hasExploits", _BOOLEAN),
+            T.StructField("threatFeedExists", _BOOLEAN),
+            T.StructField("pciCompliant", _BOOLEAN),
+            T.StructField("firstFoundTimestamp", _TIME),
+            T.StructField("reintroducedTimestamp", _TIME),
+            T.StructField("dateAdded", _TIME),
+            T.StructField("dateModified", _TIME),
+            T.StructField("datePublished", _TIME),
+            T.StructField("cves", _STRINGS),
+            T.StructField("tags", _TAGS),
+            T.StructField("bestSolutionType", _STRING),
+            T.StructField("bestSolutionSummary", _STRING),
+            T.StructField("bestSolutionFix", _STRING),
+            T.StructField("hostName", _STRING),
+            T.StructField("ip", _STRING),
+            T.StructField("osDescription", _STRING),
+            T.StructField("awsInstanceId", _STRING),
+            T.StructField("azureResourceId", _STRING),
+            T.StructField("gcpObjectId", _STRING),
+        ]
     ),
-    "vulnerabilities": _struct(
-        (_STRING, "orgId assetId vulnId checkId"),
-        (T.IntegerType(), "port"),
-        (_STRING, "protocol nic title description proof"),
-        (T.DoubleType(), "cvssScore cvssV3Score"),
-        (_STRING, "cvssAccessVector cvssAccessComplexity cvssAuthentication"),
-        (_STRING, "cvssConfidentialityImpact cvssIntegrityImpact cvssAvailabilityImpact"),
-        (_STRING, "cvssV3Severity cvssV3AttackVector cvssV3AttackComplexity cvssV3PrivilegesRequired"),
-        (_STRING, "cvssV3UserInteraction cvssV3Scope cvssV3Confidentiality cvssV3Integrity cvssV3Availability"),
-        (T.IntegerType(), "cvssV3SeverityRank severityRank severityScore skillLevelRank pciSeverity"),
-        (_STRING, "severity skillLevel"),
-        (T.DoubleType(), "riskScore epssscore epsspercentile"),
-        (T.IntegerType(), "riskScoreV2_0"),
-        (T.BooleanType(), "hasExploits threatFeedExists pciCompliant"),
-        (_TIME, "firstFoundTimestamp reintroducedTimestamp dateAdded dateModified datePublished"),
-        (_STRINGS, "cves"),
-        (_TAGS, "tags"),
-        (_STRING, "bestSolutionType bestSolutionSummary bestSolutionFix"),
-        # Read from findings by several analyses, taken from assets where absent.
-        (_STRING, "hostName ip osDescription awsInstanceId azureResourceId gcpObjectId"),
+    "vulnerability_exceptions": T.StructType(
+        [
+            T.StructField("orgId", _STRING),
+            T.StructField("assetId", _STRING),
+            T.StructField("vulnId", _STRING),
+            T.StructField("checkId", _STRING),
+            T.StructField("key", _STRING),
+            T.StructField("port", _INTEGER),
+            T.StructField("protocol", _STRING),
+            T.StructField("nic", _STRING),
+            T.StructField("proof", _STRING),
+            T.StructField("firstFoundTimestamp", _TIME),
+            T.StructField("reintroducedTimestamp", _TIME),
+            T.StructField("exceptionDetails", _STRING),
+        ]
     ),
-    "vulnerability_exceptions": _struct(
-        (_STRING, "orgId assetId vulnId checkId key"),
-        (T.IntegerType(), "port"),
-        (_STRING, "protocol nic proof"),
-        (_TIME, "firstFoundTimestamp reintroducedTimestamp"),
-        (_STRING, "exceptionDetails"),
+    "policies": T.StructType(
+        [
+            T.StructField("orgId", _STRING),
+            T.StructField("assetId", _STRING),
+            T.StructField("benchmarkNaturalId", _STRING),
+            T.StructField("benchmarkTitle", _STRING),
+            T.StructField("benchmarkVersion", _STRING),
+            T.StructField("profileNaturalId", _STRING),
+            T.StructField("profileTitle", _STRING),
+            T.StructField("publisher", _STRING),
+            T.StructField("ruleNaturalId", _STRING),
+            T.StructField("ruleTitle", _STRING),
+            T.StructField("finalStatus", _STRING),
+            T.StructField("proof", _STRING),
+            T.StructField("fixTexts", _STRING),
+            T.StructField("rationales", _STRING),
+            T.StructField("lastAssessmentTimestamp", _TIME),
+            T.StructField("source", _STRING),
+        ]
     ),
-    "policies": _struct(
-        (_STRING, "orgId assetId benchmarkNaturalId benchmarkTitle benchmarkVersion"),
-        (_STRING, "profileNaturalId profileTitle publisher ruleNaturalId ruleTitle"),
-        (_STRING, "finalStatus proof fixTexts rationales"),
-        (_TIME, "lastAssessmentTimestamp"),
-        (_STRING, "source"),
+    "vulnerability_remediation": T.StructType(
+        [
+            T.StructField("orgId", _STRING),
+            T.StructField("assetId", _STRING),
+            T.StructField("cveId", _STRING),
+            T.StructField("vulnId", _STRING),
+            T.StructField("proof", _STRING),
+            T.StructField("title", _STRING),
+            T.StructField("description", _STRING),
+            T.StructField("cvssV2Severity", _STRING),
+            T.StructField("cvssV3Severity", _STRING),
+            T.StructField("cvssV2AttackVector", _STRING),
+            T.StructField("cvssV3AttackVector", _STRING),
+            T.StructField("firstFoundTimestamp", _TIME),
+            T.StructField("reintroducedTimestamp", _TIME),
+            T.StructField("lastDetected", _TIME),
+            T.StructField("lastRemoved", _TIME),
+            T.StructField("datePublished", _TIME),
+            T.StructField("dateAdded", _TIME),
+            T.StructField("dateModified", _TIME),
+            T.StructField("cvssV2Score", _DOUBLE),
+            T.StructField("cvssV3Score", _DOUBLE),
+            T.StructField("epssscore", _DOUBLE),
+            T.StructField("epsspercentile", _DOUBLE),
+            T.StructField("riskScoreV2_0", _INTEGER),
+        ]
     ),
-    "vulnerability_remediation": _struct(
-        (_STRING, "orgId assetId cveId vulnId proof title description"),
-        (_STRING, "cvssV2Severity cvssV3Severity cvssV2AttackVector cvssV3AttackVector"),
-        (_TIME, "firstFoundTimestamp reintroducedTimestamp lastDetected lastRemoved"),
-        (_TIME, "datePublished dateAdded dateModified"),
-        (T.DoubleType(), "cvssV2Score cvssV3Score epssscore epsspercentile"),
-        (T.IntegerType(), "riskScoreV2_0"),
+    "asset_software": T.StructType(
+        [
+            T.StructField("assetId", _STRING),
+            T.StructField("orgId", _STRING),
+        ]
     ),
-    "asset_software": _struct((_STRING, "assetId orgId")),
 }
 
 # Findings attributes that belong to the asset.

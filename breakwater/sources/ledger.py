@@ -116,7 +116,11 @@ class ExportLedger:
         export_type: str = "vulnerability",
         at: datetime | None = None,
     ) -> None:
-        """Insert an export, or update all of it but its dates."""
+        """Insert an export, or update all of it but its dates.
+
+        Every save reads the last arrival number and writes one small file, so
+        two writers may get the same number; call ``compact`` now and then.
+        """
         at = at or datetime.now()
         last = self.events().agg(F.max("seq")).first()[0] or 0
         row = (
@@ -127,6 +131,14 @@ class ExportLedger:
         )
         with_file_count(self.spark.createDataFrame([row], LEDGER)).coalesce(1).write.insertInto(self.table)
 
+    def compact(self) -> None:
+        """Merge the small files of many saves into one; no save may run meanwhile."""
+        merged = f"{self.table}__merged"
+        self.spark.sql(f"DROP TABLE IF EXISTS {merged}")
+        self.events().coalesce(1).write.format("parquet").saveAsTable(merged)
+        self.spark.table(merged).coalesce(1).write.insertInto(self.table, overwrite=True)
+        self.spark.sql(f"DROP TABLE {merged}")
+
     def today(self, export_type: str = "vulnerability", day: date | None = None) -> DataFrame:
         return completed_on(self.exports(), day or date.today(), export_type)
 

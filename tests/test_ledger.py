@@ -159,3 +159,13 @@ def test_exports_from_manifest_to_tables(spark, database, ledger, tmp_path):
         load_export(spark, database, ledger, export("x"))
     with pytest.raises(ValueError, match="export_type"):
         load_export(spark, database, ledger, first, "other")
+
+
+def test_compacting_changes_no_row(spark, ledger):
+    for i in range(4):
+        ledger.save(f"e{i % 3}", "COMPLETE", ["u"], row_count=i)
+    before = sorted(map(str, ledger.events().collect()))
+    ledger.compact()
+    assert sorted(map(str, ledger.events().collect())) == before
+    ledger.save("later", "FAILED", None)
+    assert ledger.exports().count() == 4 and ledger.events().agg({"seq": "max"}).first()[0] == 5
