@@ -21,6 +21,18 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def steady_scans(frame: DataFrame) -> DataFrame:
+    """Keep the partitions of file scans as they are now, whatever executors come and go.
+
+    Operators that number rows and read them again rely on equal partitions; by default Spark sizes those of small
+    inputs by the cores it has at the time.
+    """
+    spark, key = frame.sparkSession, "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    return frame
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

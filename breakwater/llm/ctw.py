@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from breakwater.llm.common import shuffle_width, stored
+from breakwater.llm.common import shuffle_width, steady_scans, stored
 from breakwater.llm.words import split_words
 
 # Parameters: bytes of context; bytes joined before their grams are counted; distinct grams or words held by a
@@ -470,6 +470,7 @@ def scores(docs: DataFrame) -> DataFrame:
     the counts are 0 and every decision is even. ``docs`` must give the same partitions when read again, as files
     do; where they might not, store them first.
     """
+    steady_scans(docs)
     buckets = shuffle_width(docs.sparkSession)
     own = _blocks(docs)
     to_bucket = F.col("kind") * F.lit(buckets) + F.col("bucket")

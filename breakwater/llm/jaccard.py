@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 
 from breakwater.llm import graph
 from breakwater.llm.bitmap import bitmap_of, mark, might_hold
-from breakwater.llm.common import shuffle_width, stored
+from breakwater.llm.common import shuffle_width, steady_scans, stored
 from breakwater.llm.words import WordNumbers, shingles, split_words
 
 # Parameters. The sketch has a fixed size and only steers how much work is done: its counters, slices and the first
@@ -255,6 +255,7 @@ class Join:
     """One run of the join over ``docs``; see :func:`linked`. A node is the least row of the documents with one set."""
 
     def __init__(self, docs: DataFrame, words: int, num: int, den: int):
+        steady_scans(docs)
         self.texts = docs.select(F.monotonically_increasing_id().alias("row"), "text")
         self.words, self.num, self.den = words, num, den
         self.width = shuffle_width(docs.sparkSession)

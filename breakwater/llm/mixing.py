@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from breakwater.llm.common import stored
+from breakwater.llm.common import steady_scans, stored
 
 # Parameters: points of one round of the bisection and rounds, rows of a bin, salts of the join with weights.
 POINTS, ROUNDS, BIN_ROWS, SALTS = 32, 6, 1024, 16
@@ -170,6 +170,7 @@ def mixed(docs: DataFrame, target: Target, budget: float | None = None, block_to
     Rows are dealt by block and sorted by position, so written files follow one another in the mix. ``docs``
     must give the same rows when read again, as files do.
     """
+    steady_scans(docs)
     drawn = draws(docs, target, budget, block_tokens, seed).select("row", "block", "position")
     columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     met = docs.select(columns.alias("doc"), F.monotonically_increasing_id().alias("row")).join(drawn, "row")
