@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +18,22 @@ ASCII_SPACE = " \t\n\x0b\f\r"
 BATCH_ROWS = 1000
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Let Python tasks of this session take few rows at a time: texts are long, and executors small."""
+def prepare(spark: SparkSession) -> None:
+    """Make a session ready for Python tasks on texts.
+
+    They take few rows at a time, because texts are long and executors small, and find this package: executors need
+    not have it installed.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    context = spark.sparkContext
+    if not context.__dict__.get("_breakwater_shipped"):
+        package = Path(__file__).parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="breakwater-package-")) / "breakwater-package.zip"
+        with zipfile.ZipFile(archive, "w") as held:
+            for file in sorted(package.rglob("*.py")):
+                held.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        context.__dict__["_breakwater_shipped"] = True
 
 
 def steady_scans(frame: DataFrame) -> DataFrame:
@@ -34,7 +49,7 @@ def steady_scans(frame: DataFrame) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
