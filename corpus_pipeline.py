@@ -12,37 +12,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from breakwater.llm import jaccard, lines, mixing, pieces, secrets
-from breakwater.llm.common import shared_folder, small_batches, table
+from breakwater.llm.common import prepare, shared_folder, table
 from breakwater.llm.queries import vocabulary
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Failing lines go; documents that break the base rules or lose too much text go."""
-    small_batches(spark)
+    prepare(spark)
     return lines.clean(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked at five-word similarity 0.8 the least row stays; texts without words stay."""
-    small_batches(spark)
+    prepare(spark)
     return jaccard.representatives(docs, words=5, num=80, den=100)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the texts; every document stays."""
-    small_batches(spark)
+    prepare(spark)
     return secrets.masked(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed as evenly as reading each at most twice allows; every document stays, some appear twice."""
-    small_batches(spark)
+    prepare(spark)
     return mixing.mixed(docs, mixing.Target(repetition=2.0))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of what they decode to."""
-    small_batches(spark)
+    prepare(spark)
     return pieces.digests(docs, vocabulary())
 
 
