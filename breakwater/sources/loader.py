@@ -75,7 +75,8 @@ def load(
     matches columns by place, and then every file must have as many as the
     first. A column takes the narrowest type that holds the values of all files
     (``common_type``); a file whose values would not come back equal from it, or
-    whose type has none in common with the others, is left out and reported. So
+    whose type has none in common with the others, is left out and reported; a
+    column whose stored values would not becomes text. So
     is a file that is damaged, in its footer or further in. A file that cannot
     be reached at all fails the load before anything is written. A table that
     fails for another reason stays as it was and is named in ``failures``.
@@ -249,6 +250,7 @@ def _combine(spark: SparkSession, rows: list[Row], existing: DataFrame | None, b
             continue
         target.update(wider)
         scans.append((paths, source, names))
+    target.update(dict.fromkeys(_stored_losses(existing, target), T.StringType()))
     frames = []
     for paths, source, names in scans:
         kept = _fitting(spark, paths, names, target, report)
@@ -261,6 +263,19 @@ def _combine(spark: SparkSession, rows: list[Row], existing: DataFrame | None, b
     return whole.select(*[F.col(f"`{c}`") if c in whole.columns else F.lit(None).cast(t).alias(c) for c, t in target.items()])
 
 
+def _stored_losses(existing: DataFrame | None, target: dict[str, T.DataType]) -> list[str]:
+    """Columns of a table that hold values which would not come back equal from the target types."""
+    checked = {
+        f.name: _lost(F.col(f"`{f.name}`"), f.dataType, target[f.name])
+        for f in (existing.schema.fields if existing is not None else [])
+        if f.name != _LOAD and _may_lose(f.dataType, target[f.name])
+    }
+    if not checked:
+        return []
+    lost = existing.agg(*[F.bool_or(c).alias(n) for n, c in checked.items()]).first()
+    return [n for n in checked if lost[n]]
+
+
 def _scan(spark: SparkSession, paths: list[str], source: str | None) -> DataFrame:
     """One scan of files with one schema; a path given twice is read twice."""
     times = {p: paths.count(p) for p in dict.fromkeys(paths)}
@@ -275,7 +290,7 @@ def _fitting(spark: SparkSession, paths: list[str], names: list[str], target: di
     checked = {
         n: _lost(F.col(f"`{f.name}`"), f.dataType, target[n])
         for n, f in zip(names, files.schema.fields)
-        if f.dataType != target[n] and not isinstance(target[n], T.StringType) and not _always_fits(f.dataType, target[n])
+        if _may_lose(f.dataType, target[n])
     }
     if not checked:
         return paths
@@ -297,6 +312,10 @@ def _always_fits(kind: T.DataType, target: T.DataType) -> bool:
     return isinstance(kind, T.DecimalType) or kind in _WHOLE[:3]
 
 
+def _may_lose(kind: T.DataType, target: T.DataType) -> bool:
+    return kind != target and not isinstance(target, T.StringType) and not _always_fits(kind, target)
+
+
 def current_version(spark: SparkSession, database: str, table: str) -> str | None:
     """Name of the version a table's view points at; None if the table does not exist."""
     if not spark.catalog.tableExists(f"{database}.{table}"):

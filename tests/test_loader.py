@@ -149,6 +149,13 @@ def test_an_append_that_widens_a_column_keeps_the_rows(spark, database, tmp_path
     assert rows(spark, database, "vulnerability_remediation", "cveId", "port") == [("a", "1.0"), ("b", "2.5"), ("c", "x")]
 
 
+def test_an_append_never_rounds_stored_values(spark, database, tmp_path):
+    for name, port in (("a", [2**53 + 1]), ("b", [2.5])):
+        report = load(spark, database, {"vulnerability_remediation": [write(tmp_path, name, {"cveId": [name], "port": port})]}, append=True)
+        assert report.warnings == [] or not any("port" in w for w in report.warnings)
+    assert rows(spark, database, "vulnerability_remediation", "cveId", "port") == [("a", "9007199254740993"), ("b", "2.5")]
+
+
 def test_unreachable_places_fail_the_load(spark, database, tmp_path):
     load(spark, database, {"asset": [write(tmp_path, "a", ASSETS)]})
     with pytest.raises(Exception, match="nowhere"):
