@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from breakwater.llm import ctw, fingerprints, jaccard, lines, mixing, passages, pieces, secrets, shards, urls
+from breakwater.llm import ctw, fingerprints, jaccard, lines, mixing, negatives, passages, pieces, search, secrets, shards, urls
 from breakwater.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +69,18 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every item of the benchmark."""
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), best=10)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive; a seventh of the rows count under the next label."""
+    rows, moved = table(spark, sf_dir, "embeddings"), (F.col("label") + 1) % 10
+    label = F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.select("vec_id", label.alias("label"), "embedding"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -80,6 +93,8 @@ def queries() -> dict[str, Query]:
         "op8_url_filter": op8_url_filter,
         "op9_kd_shards": op9_kd_shards,
         "op10_ngram_join": op10_ngram_join,
+        "op11_ranked_search": op11_ranked_search,
+        "op12_hard_negatives": op12_hard_negatives,
     }
 
 
@@ -89,4 +104,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_secret_scan": secrets.SQL,
         "op8_url_filter": urls.SQL,
         "op10_ngram_join": jaccard.SQL,
+        "op11_ranked_search": search.SQL,
+        "op12_hard_negatives": negatives.SQL,
     }
