@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breakwater.llm import ctw, fingerprints, jaccard, lines, mixing, negatives, passages, pieces, search, secrets, shards, urls
+from breakwater.llm import ctw, fingerprints, jaccard, lines, mixing, negatives, passages, pieces, repeats, search, secrets, shards, urls
 from breakwater.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(rows.select("vec_id", label.alias("label"), "embedding"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text without the bytes of strings of 400 that occur elsewhere too."""
+    return repeats.digests(table(spark, sf_dir, "documents"), length=400)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -95,6 +100,7 @@ def queries() -> dict[str, Query]:
         "op10_ngram_join": op10_ngram_join,
         "op11_ranked_search": op11_ranked_search,
         "op12_hard_negatives": op12_hard_negatives,
+        "op13_suffix_dedup": op13_suffix_dedup,
     }
 
 
@@ -106,4 +112,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_ngram_join": jaccard.SQL,
         "op11_ranked_search": search.SQL,
         "op12_hard_negatives": negatives.SQL,
+        "op13_suffix_dedup": repeats.SQL,
     }
