@@ -26,7 +26,7 @@ READABLE, DAMAGED, UNREACHABLE = "readable", "damaged", "unreachable"
 
 _PROBE = (
     "path string, outcome string, readable boolean, bytes long, rows long, "
-    "columns array<struct<name:string,type:string>>, error string"
+    "columns array<struct<name:string,type:string>>, error string, ranges array<struct<place:int,low:long,high:long>>"
 )
 
 
@@ -42,7 +42,9 @@ def probe(paths: DataFrame) -> DataFrame:
     """Read the footer of every file in ``paths`` (one column, ``path``), in parallel.
 
     Footers say whether a file is readable and which columns and how many rows
-    it has; no data pages are read. A bad file is a row with its error.
+    it has; no data pages are read. ``ranges`` has the least and greatest value
+    of every column of 64-bit whole numbers (by place) whose row groups all have
+    statistics; NULL if it has no value. A bad file is a row with its error.
     """
 
     # Inner functions travel to the executors whole, so these need not have this package installed.
@@ -59,14 +61,28 @@ def probe(paths: DataFrame) -> DataFrame:
             with system.open_input_file(name) as source:
                 file = pq.ParquetFile(source)
                 columns = [{"name": f.name, "type": str(f.type)} for f in file.schema_arrow]
-                return path, "readable", True, size, file.metadata.num_rows, columns, None
+                return path, "readable", True, size, file.metadata.num_rows, columns, None, ranges(file)
         except Exception as problem:  # any unreadable file becomes a row of the report
-            return path, outcome, False, size, None, None, f"{type(problem).__name__}: {problem}"
+            return path, outcome, False, size, None, None, f"{type(problem).__name__}: {problem}", None
+
+    def ranges(file) -> list:
+        leaves = {file.schema.column(i).path: i for i in range(len(file.schema.names))}
+        found = []
+        for place, f in enumerate(file.schema_arrow):
+            if str(f.type) != "int64" or f.name not in leaves:
+                continue
+            groups = [file.metadata.row_group(i).column(leaves[f.name]) for i in range(file.metadata.num_row_groups)]
+            stats = [(g.statistics, g.num_values) for g in groups]
+            valued = [s for s, n in stats if s is None or not s.has_null_count or s.null_count < n]
+            if all(s is not None and s.has_min_max for s in valued):
+                low, high = min((s.min for s in valued), default=None), max((s.max for s in valued), default=None)
+                found.append({"place": place, "low": low, "high": high})
+        return found
 
     def footers(batches):
         import pandas as pd
 
-        names = ["path", "outcome", "readable", "bytes", "rows", "columns", "error"]
+        names = ["path", "outcome", "readable", "bytes", "rows", "columns", "error", "ranges"]
         for batch in batches:
             yield pd.DataFrame([footer(path) for path in batch["path"]], columns=names)
 

@@ -1,12 +1,11 @@
 """Loading export files into the six tables.
 
-Each table is a view over one written version of its data. A snapshot load
-writes a new version and points the view at it, so a failed load changes
-nothing; no data is renamed, which on object stores would copy it. Earlier
-versions stay, so queries that began before a load finish on the rows they
-began with, until ``drop_versions`` removes versions of some age. An append
-load inserts into the current version. Every row carries the id of its load,
-which the view hides, so a load that is tried again adds nothing.
+A load writes its rows as one part and commits it (see ``versions``): a
+snapshot load as the only part of the next version, an append load on top of
+the parts of the latest one, whichever that is by then. So a failed load changes
+nothing, and loads that run at the same time never undo each other. Every row
+carries the id of its load, which the table's view hides, so a load that is
+tried again adds nothing.
 """
 
 from __future__ import annotations
@@ -15,30 +14,17 @@ import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from breakwater.sources import files as footers
-from breakwater.sources import prefixes
+from breakwater.sources import prefixes, versions, widening
+from breakwater.sources.versions import FED, LOAD, current_version, drop_versions, point
 
-# Columns that most queries filter on; rows are written sorted by them within a file.
-CLUSTERED = {
-    "vulnerabilities": ("severity", "vulnId"),
-    "policies": ("finalStatus", "ruleNaturalId"),
-    "vulnerability_remediation": ("cveId",),
-}
-
-# Tables stored in a folder for each value of a column that queries name.
-PARTITIONED = {"policies": ("source",)}
-
-_VERSION = "breakwater.version"
-_LOAD = "_load_id"
-_STAMP = "%Y%m%d%H%M%S"
-FED = "fed by a stream"
+__all__ = ["FED", "LoadReport", "current_version", "drop_versions", "load", "load_path", "point"]
 
 
 @dataclass
@@ -74,12 +60,13 @@ def load(
     Files combine by column name, missing columns as NULL; ``by="position"``
     matches columns by place, and then every file must have as many as the
     first. A column takes the narrowest type that holds the values of all files
-    (``common_type``); a file whose values would not come back equal from it, or
-    whose type has none in common with the others, is left out and reported; a
-    column whose stored values would not becomes text. So
-    is a file that is damaged, in its footer or further in. A file that cannot
-    be reached at all fails the load before anything is written. A table that
-    fails for another reason stays as it was and is named in ``failures``.
+    and of the table (``widening.common_type``); the statistics of the files say
+    whether doubles hold their whole numbers. A file whose type has no form in
+    common with the others is left out and reported, and so is a file that is
+    damaged, in its footer or further in. A column of the table whose type
+    becomes another is reported. A file that cannot be reached at all fails the
+    load before anything is written. A table that fails for another reason stays
+    as it was and is named in ``failures``.
     """
     if by not in ("name", "position"):
         raise ValueError("by is 'name' or 'position'")
@@ -118,18 +105,20 @@ def _load_table(
     spark: SparkSession, database: str, table: str, rows: list[Row], append: bool, by: str, identity: str, unique: Sequence[str]
 ) -> LoadReport:
     report = LoadReport()
-    current = current_version(spark, database, table) if append else None
-    if current and not spark.table(current).where(F.col(_LOAD) == identity).isEmpty():
-        report.warnings.append(f"{table}: load {identity} is there already")
-        report.row_counts[table] = spark.table(f"{database}.{table}").count()
-        return report
-    for _ in range(2):
-        frame = _combine(spark, rows, spark.table(current) if current else None, by, report)
+    for _ in range(10):
+        base = versions.latest(spark, database, table) if append else None
+        if versions.holds(spark, base, identity):
+            report.warnings.append(f"{table}: load {identity} is there already")
+            report.row_counts[table] = versions.rows_of(spark, base)
+            return report
+        frame = _combine(spark, rows, base, by, report)
         if frame is None:
             report.warnings.append(f"{table}: no file could be read, table left as it was")
             return report
+        if append and unique:
+            frame = _unseen(spark, frame, base, unique)
         try:
-            _write(spark, database, table, current, frame.withColumn(_LOAD, F.lit(identity)), unique)
+            part = versions.write_part(spark, database, table, frame.withColumn(LOAD, F.lit(identity)), identity)
         except Exception:
             bad = _torn(spark, [row.path for row in rows if row.schema is not None])
             if not bad:
@@ -137,9 +126,59 @@ def _load_table(
             report.warnings.extend(f"{path}: not readable, skipped: {why}" for path, why in bad.items())
             rows = [row for row in rows if row.path not in bad]
             continue
-        report.row_counts[table] = spark.table(f"{database}.{table}").count()
-        return report
-    raise RuntimeError("files changed while they were loaded")
+        if _committed(spark, database, table, part, base, append, identity, unique, report):
+            return report
+    raise versions.Conflict(f"{table}: files or table kept changing while they were loaded")
+
+
+def _committed(
+    spark: SparkSession,
+    database: str,
+    table: str,
+    part: str,
+    base: versions.Version | None,
+    append: bool,
+    identity: str,
+    unique: Sequence[str],
+    report: LoadReport,
+) -> bool:
+    """Put a part into the next version. False if what it was compared with is not the latest version any more."""
+    stale = False
+
+    def change(now: versions.Version | None) -> list[str] | None:
+        nonlocal stale
+        if not append:
+            return [part]
+        stale = bool(unique) and now != base
+        if stale or now != base and versions.holds(spark, now, identity):
+            return None
+        return [*(now.parts if now else ()), part]
+
+    try:
+        made, changed = versions.commit(spark, database, table, change)
+    except Exception:
+        versions.drop_part(spark, database, part)
+        raise
+    if made is None or part not in made.parts:
+        versions.drop_part(spark, database, part)
+        return False
+    report.warnings.extend(f"{table}.{what}" for what in changed)
+    if len(made.parts) > versions.MOST_PARTS:
+        versions.compact(spark, database, table, newest=True)
+    report.row_counts[table] = versions.rows_of(spark, made)
+    return True
+
+
+def _unseen(spark: SparkSession, frame: DataFrame, base: versions.Version | None, unique: Sequence[str]) -> DataFrame:
+    """One row of each value of the columns, and none that the version has."""
+    frame = frame.dropDuplicates(list(unique))
+    if base is None:
+        return frame
+    held = [spark.table(f"{base.database}.{part}") for part in base.parts]
+    known = versions.joined([h.select(*[F.col(f"`{c}`") for c in unique if c in h.columns]) for h in held])
+    known = known.select(*[F.col(f"`{c}`") if c in known.columns else F.lit(None).alias(c) for c in unique])
+    same = reduce(lambda a, b: a & b, [F.col(f"n.`{c}`").eqNullSafe(F.col(f"h.`{c}`")) for c in unique])
+    return frame.alias("n").join(known.alias("h"), same, "left_anti")
 
 
 def _torn(spark: SparkSession, paths: list[str]) -> dict[str, str]:
@@ -188,92 +227,89 @@ def _plan(spark: SparkSession, listed: list[tuple[str, str]], skip: list[str], r
             state, found, error = looked[row.path]
             schema = found.json() if found else None
         if state == footers.READABLE:
-            kept.append(Row(path=row.path, table_name=row.table_name, source=row.source, schema=schema))
+            kept.append(Row(path=row.path, table_name=row.table_name, source=row.source, schema=schema, ranges=row.ranges))
         else:
             report.warnings.append(f"{row.path}: not readable, skipped: {error}")
-            kept.append(Row(path=row.path, table_name=row.table_name, source=row.source, schema=None))
+            kept.append(Row(path=row.path, table_name=row.table_name, source=row.source, schema=None, ranges=None))
     return kept
 
 
-# Whole numbers and binary fractions from narrow to wide.
-_WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
-_BINARY = (T.FloatType(), T.DoubleType())
-_TIMES = (T.DateType(), T.TimestampNTZType())
-_SIMPLE = (T.StringType, T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+@dataclass
+class _Scan:
+    """Files of one source and schema, the names their columns go by, and their types."""
 
+    rows: list[Row]
+    names: list[str]
+    frame: DataFrame
 
-def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
-    """The narrowest type for the values of two: whole numbers, then doubles; dates, then times; else text.
+    @property
+    def paths(self) -> list[str]:
+        return [row.path for row in self.rows]
 
-    None where two types have no form in common, such as a list and a number.
-    """
-    if a == b:
-        return a
-    for ladder in (_WHOLE, _BINARY, _TIMES):
-        if a in ladder and b in ladder:
-            return max(a, b, key=ladder.index)
-    if all(x in _WHOLE + _BINARY for x in (a, b)):
-        return T.DoubleType()
-    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
-        scale = max(a.scale, b.scale)
-        whole = max(a.precision - a.scale, b.precision - b.scale)
-        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.StringType()
-    if isinstance(a, _SIMPLE) and isinstance(b, _SIMPLE):
-        return T.StringType()
-    return None
-
-
-def _lost(value: Column, kind: T.DataType, target: T.DataType) -> Column:
-    """Whether a value does not come back equal from the target type."""
-    return value.isNotNull() & ~F.coalesce(value.try_cast(target).try_cast(kind) == value, F.lit(False))
-
-
-def _combine(spark: SparkSession, rows: list[Row], existing: DataFrame | None, by: str, report: LoadReport) -> DataFrame | None:
+    def kind(self, column: str) -> T.DataType | None:
+        return self.frame.schema[column].dataType if column in self.names else None
+
+
+def _combine(spark: SparkSession, rows: list[Row], base: versions.Version | None, by: str, report: LoadReport) -> DataFrame | None:
     """All files of a table as one DataFrame: one scan per distinct source and file schema."""
-    groups: dict[tuple[str | None, str], list[str]] = {}
+    groups: dict[tuple[str | None, str], list[Row]] = {}
     for row in rows:
         if row.schema is not None:
-            groups.setdefault((row.source, row.schema), []).append(row.path)
-    target = {f.name: f.dataType for f in existing.schema.fields if f.name != _LOAD} if existing is not None else {}
-    scans: list[tuple[list[str], str | None, list[str]]] = []
-    for (source, _), paths in groups.items():
+            groups.setdefault((row.source, row.schema), []).append(row)
+    stored = versions.shown_types(spark, base.database, base.parts) if base else {}
+    kinds: dict[str, list[T.DataType]] = {c: [k] for c, k in stored.items()}
+    scans: list[_Scan] = []
+    for (source, _), own in groups.items():
+        paths = [row.path for row in own]
         frame = _scan(spark, paths, source)
-        if by == "position" and target and len(frame.columns) != len(target):
-            report.warnings.append(f"{len(frame.columns)} columns instead of {len(target)}, skipped: {paths}")
+        if by == "position" and kinds and len(frame.columns) != len(kinds):
+            report.warnings.append(f"{len(frame.columns)} columns instead of {len(kinds)}, skipped: {paths}")
             continue
-        spelled = {c.lower(): c for c in target}
-        names = list(target) if by == "position" and target else [spelled.get(c.lower(), c) for c in frame.columns]
-        wider = {n: common_type(target.get(n, f.dataType), f.dataType) for n, f in zip(names, frame.schema.fields)}
-        strange = [n for n, kind in wider.items() if kind is None]
+        spelled = {c.lower(): c for c in kinds}
+        names = list(kinds) if by == "position" and kinds else [spelled.get(c.lower(), c) for c in frame.columns]
+        found = {n: [*kinds.get(n, []), f.dataType] for n, f in zip(names, frame.schema.fields)}
+        strange = [n for n, k in found.items() if widening.common_type(k, bool, int) is None]
         if strange:
             report.warnings.extend(f"{path}: values of {strange} do not fit the table, skipped" for path in dict.fromkeys(paths))
             continue
-        target.update(wider)
-        scans.append((paths, source, names))
-    target.update(dict.fromkeys(_stored_losses(existing, target), T.StringType()))
-    frames = []
-    for paths, source, names in scans:
-        kept = _fitting(spark, paths, names, target, report)
-        if kept:
-            frame = _scan(spark, kept, source).toDF(*names)
-            frames.append(frame.select(*[F.col(f"`{c}`").cast(target[c]).alias(c) for c in names]))
-    if not frames:
+        kinds.update(found)
+        scans.append(_Scan(own, names, frame.toDF(*names)))
+    if not scans:
         return None
-    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return whole.select(*[F.col(f"`{c}`") if c in whole.columns else F.lit(None).cast(t).alias(c) for c, t in target.items()])
+    target = {c: _narrowest(spark, c, scans) for c in kinds if any(scan.kind(c) for scan in scans)}
+    for column, kind in target.items():
+        own = [k for k in (scan.kind(column) for scan in scans) if k is not None]
+        if any(isinstance(k, (T.FloatType, T.DoubleType)) for k in own) and isinstance(kind, T.DecimalType):
+            report.warnings.append(f"{column}: whole numbers that doubles do not hold, kept as {kind.simpleString()}")
+    frames = [scan.frame.select(*[F.col(f"`{c}`").cast(target[c]).alias(c) for c in scan.names]) for scan in scans]
+    whole = versions.joined(frames)
+    return whole.select(*[F.col(f"`{c}`") for c in target])
+
+
+def _narrowest(spark: SparkSession, column: str, scans: list[_Scan]) -> T.DataType:
+    """The narrowest type for a column of all files; data is read only where statistics do not settle it."""
+    own = [scan for scan in scans if scan.kind(column) is not None]
+
+    def beyond() -> bool:
+        return any(widening.is_beyond(_file_range(spark, row, scan, column)) for scan in own if scan.kind(column) == T.LongType() for row in scan.rows)
+
+    def scale() -> int | None:
+        scales = [widening.scale_of(scan.frame, column) for scan in own if isinstance(scan.kind(column), (T.FloatType, T.DoubleType))]
+        return None if None in scales else max(scales, default=0)
 
+    kind = widening.common_type([scan.kind(column) for scan in own], beyond, scale)
+    assert kind is not None  # scans without a form in common were left out
+    return kind
 
-def _stored_losses(existing: DataFrame | None, target: dict[str, T.DataType]) -> list[str]:
-    """Columns of a table that hold values which would not come back equal from the target types."""
-    checked = {
-        f.name: _lost(F.col(f"`{f.name}`"), f.dataType, target[f.name])
-        for f in (existing.schema.fields if existing is not None else [])
-        if f.name != _LOAD and _may_lose(f.dataType, target[f.name])
-    }
-    if not checked:
-        return []
-    lost = existing.agg(*[F.bool_or(c).alias(n) for n, c in checked.items()]).first()
-    return [n for n in checked if lost[n]]
+
+def _file_range(spark: SparkSession, row: Row, scan: _Scan, column: str) -> tuple[int, int] | None:
+    """Least and greatest value, from the file's statistics if they have them."""
+    place = scan.names.index(column)
+    for span in row.ranges or []:
+        if span.place == place:
+            return None if span.low is None else (span.low, span.high)
+    file = spark.read.parquet(row.path)
+    return widening.range_of(file, file.columns[place])
 
 
 def _scan(spark: SparkSession, paths: list[str], source: str | None) -> DataFrame:
@@ -284,110 +320,6 @@ def _scan(spark: SparkSession, paths: list[str], source: str | None) -> DataFram
     return frame if source is None else frame.withColumn("source", F.lit(source))
 
 
-def _fitting(spark: SparkSession, paths: list[str], names: list[str], target: dict[str, T.DataType], report: LoadReport) -> list[str]:
-    """The files all of whose values come back equal from the target types; text takes any value."""
-    files = spark.read.parquet(*dict.fromkeys(paths))
-    checked = {
-        n: _lost(F.col(f"`{f.name}`"), f.dataType, target[n])
-        for n, f in zip(names, files.schema.fields)
-        if _may_lose(f.dataType, target[n])
-    }
-    if not checked:
-        return paths
-    kept = []
-    for path in dict.fromkeys(paths):  # few: files whose type differs and may lose values
-        lost = spark.read.parquet(path).toDF(*files.columns).agg(*[F.bool_or(c).alias(n) for n, c in checked.items()]).first()
-        bad = [n for n in checked if lost[n]]
-        if bad:
-            report.warnings.append(f"{path}: values of {bad} do not fit the table, skipped")
-        else:
-            kept.extend([path] * paths.count(path))
-    return kept
-
-
-def _always_fits(kind: T.DataType, target: T.DataType) -> bool:
-    """Whether no value can be lost, so that no file needs to be read for it."""
-    if kind in _WHOLE and target in _WHOLE or kind in _TIMES or kind in _BINARY:
-        return True
-    return isinstance(kind, T.DecimalType) or kind in _WHOLE[:3]
-
-
-def _may_lose(kind: T.DataType, target: T.DataType) -> bool:
-    return kind != target and not isinstance(target, T.StringType) and not _always_fits(kind, target)
-
-
-def current_version(spark: SparkSession, database: str, table: str) -> str | None:
-    """Name of the version a table's view points at; None if the table does not exist."""
-    if not spark.catalog.tableExists(f"{database}.{table}"):
-        return None
-    return spark.sql(f"SHOW TBLPROPERTIES {database}.{table} ('{_VERSION}')").first()["value"]
-
-
-def point(spark: SparkSession, database: str, table: str, data: str, version: str) -> None:
-    """Make the table's view show ``data``, in one step."""
-    columns = [c for c in spark.sql(f"SELECT * FROM {data} LIMIT 0").columns if c != _LOAD]
-    shown = ", ".join(f"`{c}`" for c in columns)
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {database}.{table} TBLPROPERTIES ('{_VERSION}' = '{version}') AS SELECT {shown} FROM {data}"
-    )
-
-
-def _clustered(frame: DataFrame, table: str) -> DataFrame:
-    """Sort inside each task, without a shuffle, so that scans can skip pages by their value ranges."""
-    columns = [c for c in CLUSTERED.get(table, ()) if c in frame.columns]
-    return frame.sortWithinPartitions(*columns) if columns else frame
-
-
-def _write(spark: SparkSession, database: str, table: str, current: str | None, frame: DataFrame, unique: Sequence[str]) -> None:
-    """A new version, or rows added to the current one; one whose columns must widen is written anew."""
-    if current is None:
-        _replace(spark, database, table, frame)
-        return
-    held = spark.table(current)
-    if unique:
-        frame = frame.dropDuplicates(list(unique))
-        same = reduce(lambda a, b: a & b, [F.col(f"n.{c}").eqNullSafe(F.col(f"h.{c}")) for c in unique])
-        frame = frame.alias("n").join(held.select(*unique).alias("h"), same, "left_anti")
-    kinds = {f.name: f.dataType for f in frame.schema.fields}
-    if any(kinds[f.name] != f.dataType for f in held.schema.fields):
-        wide = held.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in held.columns])
-        _replace(spark, database, table, wide.unionByName(frame, allowMissingColumns=True))
-        return
-    added = [f for f in frame.schema.fields if f.name not in held.columns]
-    if added:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-        spark.sql(f"ALTER TABLE {current} ADD COLUMNS ({columns})")
-    order = spark.table(current).columns
-    _clustered(frame.select(*[F.col(f"`{c}`") for c in order]), table).write.insertInto(current)
-    point(spark, database, table, current, current)
-
-
-def _replace(spark: SparkSession, database: str, table: str, frame: DataFrame) -> None:
-    stamp = datetime.now(timezone.utc).strftime(_STAMP)
-    version = f"{database}.{table}__{stamp}_{uuid.uuid4().hex[:8]}"
-    writer = _clustered(frame, table).write.format("parquet")
-    parts = [c for c in PARTITIONED.get(table, ()) if c in frame.columns]
-    (writer.partitionBy(*parts) if parts else writer).saveAsTable(version)
-    point(spark, database, table, version, version)
-
-
-def drop_versions(spark: SparkSession, database: str, table: str, older_than: timedelta = timedelta(0), current: bool = False) -> int:
-    """Drop a table's versions of at least some age, with what failed loads left behind; returns how many.
-
-    The current version stays unless asked for. A query that still reads a dropped version fails, so the age should
-    exceed the longest query and the longest load.
-    """
-    keep = None if current else current_version(spark, database, table)
-    latest = (datetime.now(timezone.utc) - older_than).strftime(_STAMP)
-    dropped = 0
-    for row in spark.sql(f"SHOW TABLES IN {database} LIKE '{table}__*'").collect():
-        version, (name, _, rest) = f"{database}.{row.tableName}", row.tableName.partition("__")
-        if name == table and version != keep and rest.split("_")[0] <= latest:
-            spark.sql(f"DROP TABLE IF EXISTS {version}")
-            dropped += 1
-    return dropped
-
-
 def load_path(spark: SparkSession, database: str, path: str, mode: str = "full") -> LoadReport:
     """Snapshot-load a file, or the files of a directory, by what their columns look like."""
     paths = footers.list_files(spark, path).select("path").repartition(4 * spark.sparkContext.defaultParallelism)

@@ -1,13 +1,17 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import DataFrame
 
 from breakwater import Tables
-from breakwater.sources import catalog
+from breakwater.sources import catalog, versions
 from breakwater.sources.loader import current_version, drop_versions, load, load_path
 from tests.fixtures import ASSETS, FINDINGS, POLICIES, REMEDIATION, write
 
@@ -72,7 +76,7 @@ def test_snapshot_replaces_its_tables_and_no_others(spark, database, tmp_path):
     assert spark.table(f"{database}.policies").count() == 6
     assert [drop_versions(spark, database, t) for t in ("vulnerabilities", "assets", "policies")] == [2, 2, 0]
     kept = [r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect() if "__" in r.tableName]
-    assert len(kept) == 4  # one version per table
+    assert len([k for k in kept if "__v" not in k]) == len([k for k in kept if "__v" in k]) == 4  # a version of one part per table
 
 
 def test_append_adds_and_does_not_deduplicate(spark, database, tmp_path):
@@ -136,24 +140,178 @@ def test_columns_take_the_type_that_holds_all_values(spark, database, tmp_path,
     assert sorted(r.port for r in table.select(table.port.cast("string").alias("port")).collect()) == shown
 
 
-def test_a_file_whose_values_would_change_is_left_out(spark, database, tmp_path):
+def test_whole_numbers_that_doubles_do_not_hold_are_kept(spark, database, tmp_path):
     files = [write(tmp_path, n, {"assetId": [n], "port": v}) for n, v in (("half", [0.5]), ("big", [2**53 + 1]), ("even", [2**53]))]
     report = load(spark, database, {"asset_vulnerability": files})
-    assert rows(spark, database, "vulnerabilities", "assetId") == [("even",), ("half",)]
-    assert ["big.parquet" in w and "port" in w for w in report.warnings] == [True]
+    assert dict(spark.table(f"{database}.vulnerabilities").dtypes)["port"] == "decimal(38,1)"
+    assert rows(spark, database, "vulnerabilities", "assetId", "port") == [
+        ("big", Decimal(2**53 + 1)), ("even", Decimal(2**53)), ("half", Decimal("0.5")),
+    ]
+    assert ["port" in w and "decimal(38,1)" in w for w in report.warnings] == [True]
+
+
+@pytest.mark.parametrize(
+    "values, kind, shown",
+    [
+        ([[2**53], [0.1]], "double", ["0.1", "9.007199254740992E15"]),
+        ([[2**60], [0.1, 12.345]], "decimal(38,3)", ["0.100", "1152921504606846976.000", "12.345"]),
+        ([[-(2**60)], [1e-30]], "string", ["-1152921504606846976", "1.0E-30"]),
+        ([[2**60], [float("nan"), float("inf")]], "string", ["1152921504606846976", "Infinity", "NaN"]),
+        ([[7], [Decimal("1.25")]], "decimal(21,2)", ["1.25", "7.00"]),
+        ([[0.5], [Decimal("1.25")]], "decimal(38,2)", ["0.50", "1.25"]),
+        ([[None, 2**60], [0.5]], "decimal(38,1)", ["0.5", "1152921504606846976.0", None]),
+    ],
+)
+def test_types_come_from_the_values_of_all_files(spark, database, tmp_path, values, kind, shown):
+    files = [write(tmp_path, f"f{i}", {"assetId": ["A"] * len(v), "port": v}) for i, v in enumerate(values)]
+    for order in (files, files[::-1]):
+        load(spark, database, {"asset_vulnerability": order})
+        table = spark.table(f"{database}.vulnerabilities")
+        assert dict(table.dtypes)["port"] == kind
+        found = [r.port for r in table.select(table.port.cast("string").alias("port")).collect()]
+        assert sorted(found, key=str) == sorted(shown, key=str)
+
+
+def test_files_without_statistics_are_read(spark, database, tmp_path):
+    pq.write_table(pa.table({"assetId": ["a"], "port": [2**53 + 1]}), tmp_path / "bare.parquet", write_statistics=False)
+    files = [str(tmp_path / "bare.parquet"), write(tmp_path, "half", {"assetId": ["b"], "port": [0.5]})]
+    load(spark, database, {"asset_vulnerability": files})
+    assert rows(spark, database, "vulnerabilities", "port") == [(Decimal("0.5"),), (Decimal(2**53 + 1),)]
 
 
 def test_an_append_that_widens_a_column_keeps_the_rows(spark, database, tmp_path):
     for name, port in (("a", [1]), ("b", [2.5]), ("c", ["x"])):
         load(spark, database, {"vulnerability_remediation": [write(tmp_path, name, {"cveId": [name], "port": port})]}, append=True)
-    assert rows(spark, database, "vulnerability_remediation", "cveId", "port") == [("a", "1.0"), ("b", "2.5"), ("c", "x")]
+    assert rows(spark, database, "vulnerability_remediation", "cveId", "port") == [("a", "1"), ("b", "2.5"), ("c", "x")]  # as they were written
 
 
 def test_an_append_never_rounds_stored_values(spark, database, tmp_path):
     for name, port in (("a", [2**53 + 1]), ("b", [2.5])):
         report = load(spark, database, {"vulnerability_remediation": [write(tmp_path, name, {"cveId": [name], "port": port})]}, append=True)
-        assert report.warnings == [] or not any("port" in w for w in report.warnings)
-    assert rows(spark, database, "vulnerability_remediation", "cveId", "port") == [("a", "9007199254740993"), ("b", "2.5")]
+    assert [w for w in report.warnings if "port" in w] == ["vulnerability_remediation.port: bigint is decimal(38,1) now"]
+    assert rows(spark, database, "vulnerability_remediation", "cveId", "port") == [("a", Decimal(2**53 + 1)), ("b", Decimal("2.5"))]
+
+
+def sizes(spark, database, table):
+    """Rows of every part of the latest version."""
+    return [spark.table(f"{database}.{part}").count() for part in versions.latest(spark, database, table).parts]
+
+
+def test_an_append_with_a_wider_type_writes_its_own_rows_alone(spark, database, tmp_path):
+    def add(name, port):
+        path = write(tmp_path, name, {"cveId": [name] * len(port), "port": port})
+        return load(spark, database, {"vulnerability_remediation": [path]}, append=True)
+
+    add("a", list(range(1000)))
+    add("b", [0.5])
+    assert add("c", ["x"]).row_counts == {"vulnerability_remediation": 1002}
+    assert sizes(spark, database, "vulnerability_remediation") == [1000, 1, 1]
+    found = rows(spark, database, "vulnerability_remediation", "cveId", "port")
+    assert found[-3:] == [("a", "999"), ("b", "0.5"), ("c", "x")]
+    assert versions.compact(spark, database, "vulnerability_remediation") == 3
+    assert sizes(spark, database, "vulnerability_remediation") == [1002]
+    assert rows(spark, database, "vulnerability_remediation", "cveId", "port") == found
+    assert add("c", ["y"]).row_counts == {"vulnerability_remediation": 1003}
+
+
+def between(monkeypatch, act):
+    """Run ``act`` once, after the next load has written its part and before it commits."""
+    write_part, waiting = versions.write_part, [act]
+
+    def wrapped(*args):
+        part = write_part(*args)
+        if waiting:
+            waiting.pop()()
+        return part
+
+    monkeypatch.setattr(versions, "write_part", wrapped)
+
+
+def test_a_snapshot_that_ends_during_an_append_survives(spark, database, tmp_path, monkeypatch):
+    name = "vulnerability_remediation"
+    old, fresh = (write(tmp_path, n, {"cveId": v}) for n, v in (("old", ["old"]), ("fresh", ["s1", "s2", "s3"])))
+    late = write(tmp_path, "late", {"cveId": ["l1", "l2"], "port": [0.5, 1.5]})
+    load(spark, database, {name: [old]})
+    between(monkeypatch, lambda: load(spark, database, {name: [fresh]}))
+    assert load(spark, database, {name: [late]}, append=True).row_counts == {name: 5}
+    assert rows(spark, database, name, "cveId") == [("l1",), ("l2",), ("s1",), ("s2",), ("s3",)]
+
+
+def test_two_appends_at_once_both_stay(spark, database, tmp_path, monkeypatch):
+    name = "vulnerability_remediation"
+    for i, value in enumerate((1, 0.5, "x")):
+        write(tmp_path, str(i), {"cveId": [str(i)], "port": [value]})
+    load(spark, database, {name: [str(tmp_path / "0.parquet")]}, append=True)
+    between(monkeypatch, lambda: load(spark, database, {name: [str(tmp_path / "1.parquet")]}, append=True))
+    load(spark, database, {name: [str(tmp_path / "2.parquet")]}, append=True)
+    assert rows(spark, database, name, "cveId", "port") == [("0", "1"), ("1", "0.5"), ("2", "x")]
+
+
+def test_one_load_twice_at_once_is_there_once(spark, database, tmp_path, monkeypatch):
+    name, path = "vulnerability_remediation", write(tmp_path, "r", REMEDIATION)
+    between(monkeypatch, lambda: load(spark, database, {name: [path]}, append=True, load_id="same"))
+    report = load(spark, database, {name: [path]}, append=True, load_id="same")
+    assert report.row_counts == {name: 3} and any("there already" in w for w in report.warnings)
+    assert sizes(spark, database, name) == [3]
+
+
+def test_unique_holds_against_a_load_that_came_first(spark, database, tmp_path, monkeypatch):
+    name = "vulnerability_remediation"
+    one, two = (write(tmp_path, n, {"cveId": v}) for n, v in (("one", ["a", "b"]), ("two", ["b", "c", "c"])))
+    between(monkeypatch, lambda: load(spark, database, {name: [one]}, append=True, unique=["cveId"]))
+    load(spark, database, {name: [two]}, append=True, unique=["cveId"])
+    assert rows(spark, database, name, "cveId") == [("a",), ("b",), ("c",)]
+
+
+def test_an_append_during_a_fold_stays(spark, database, tmp_path, monkeypatch):
+    name = "vulnerability_remediation"
+    files = [write(tmp_path, n, {"cveId": [n]}) for n in "abc"]
+    for path in files[:2]:
+        load(spark, database, {name: [path]}, append=True)
+    between(monkeypatch, lambda: load(spark, database, {name: [files[2]]}, append=True))
+    assert versions.compact(spark, database, name) == 2
+    assert rows(spark, database, name, "cveId") == [("a",), ("b",), ("c",)] and sizes(spark, database, name) == [2, 1]
+    between(monkeypatch, lambda: load(spark, database, {name: [files[0]]}))
+    assert versions.compact(spark, database, name) == 0  # a snapshot came first, and stays
+    assert rows(spark, database, name, "cveId") == [("a",)]
+
+
+def test_loads_from_many_threads(spark, database, tmp_path):
+    name = "vulnerability_remediation"
+    files = [write(tmp_path, f"t{i}", {"cveId": [f"c{i}"] * (i + 1)}) for i in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        reports = list(pool.map(lambda path: load(spark, database, {name: [path]}, append=True), files))
+    assert all(r.failures == {} for r in reports) and max(r.total for r in reports) == 21
+    assert spark.table(f"{database}.{name}").count() == 21
+    assert len(versions.latest(spark, database, name).parts) == 6
+
+
+def test_many_appends_fold_their_newest_parts(spark, database, tmp_path, monkeypatch):
+    monkeypatch.setattr(versions, "MOST_PARTS", 3)
+    name = "vulnerability_remediation"
+    load(spark, database, {name: [write(tmp_path, "big", {"cveId": ["big"] * 500})]}, append=True)
+    for i in range(8):
+        load(spark, database, {name: [write(tmp_path, f"n{i}", {"cveId": [f"n{i}"]})]}, append=True, load_id=f"n{i}")
+    parts = sizes(spark, database, name)
+    assert parts[0] == 500 and len(parts) <= 4 and sum(parts) == 508
+    again = load(spark, database, {name: [write(tmp_path, "n0", {"cveId": ["n0"]})]}, append=True, load_id="n0")
+    assert any("there already" in w for w in again.warnings) and again.total == 508
+
+
+def test_counts_come_from_the_write(spark, database, tmp_path):
+    """No job reads the table after it is written, and an empty file warns."""
+    path = write(tmp_path, "r", REMEDIATION)
+    scans = []
+    count = DataFrame.count
+    DataFrame.count = lambda self: scans.append(1) or count(self)
+    try:
+        assert load(spark, database, {"vulnerability_remediation": [path]}).row_counts == {"vulnerability_remediation": 3}
+        assert load(spark, database, {"vulnerability_remediation": [path]}, append=True).total == 6
+    finally:
+        DataFrame.count = count
+    assert scans == []
+    empty = load(spark, database, {"asset": [write(tmp_path, "none", {"assetId": pa.array([], pa.string())})]})
+    assert empty.row_counts == {"assets": 0} and any("0 rows loaded" in w for w in empty.warnings)
 
 
 def test_unreachable_places_fail_the_load(spark, database, tmp_path):
