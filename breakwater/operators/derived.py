@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from breakwater.functions import rules
+from breakwater.functions import releases, rules, skew
 from breakwater.functions.ordering import ordered, top
 from breakwater.operators.policies import AGENT, FAIL, PASS, SCAN
 from breakwater.tables import Tables
@@ -184,7 +184,7 @@ def software_vs_findings(t: Tables, package: tuple[str, ...] = ("softwareName",)
     )
     installed = t["asset_software"].select("assetId", *package).distinct()
     rows = (
-        installed.join(critical, "assetId")
+        skew.join(installed, critical, "assetId")
         .groupBy(*package)
         .agg(F.count("*").alias("affected_assets"), F.sum("critical").alias("critical_findings"))
     )
@@ -252,7 +252,7 @@ def priority_score(t: Tables, min_assets: int = 5, high_risk: float = 800, limit
         .agg(F.max(rules.asset_risk()).alias("risk"))
     )
     rows = (
-        pairs.join(risk, "assetId", "left")
+        skew.join(pairs, risk, "assetId", "left")
         .groupBy("vulnId")
         .agg(
             F.max("epss").alias("epssscore"),
@@ -281,12 +281,13 @@ def clean_fix_text(frame: DataFrame, html: str = "bestSolutionFix", name: str =
 
 
 def fix_guidance(t: Tables) -> DataFrame:
-    """Findings per readable fix and kind of solution, unknown kinds included."""
-    rows = (
-        clean_fix_text(t.read("vulnerabilities", "bestSolutionFix", "bestSolutionType"))
-        .groupBy(rules.solution_type().alias("solution_type"), "fix_text")
-        .agg(F.count("*").alias("findings"))
-    )
+    """Findings per readable fix and kind of solution, unknown kinds included.
+
+    Tags are stripped once from each different text, not from every finding.
+    """
+    findings = t.read("vulnerabilities", "bestSolutionFix", "bestSolutionType")
+    different = findings.groupBy(rules.solution_type().alias("solution_type"), "bestSolutionFix").agg(F.count("*").alias("n"))
+    rows = clean_fix_text(different).groupBy("solution_type", "fix_text").agg(F.sum("n").alias("findings"))
     return ordered(rows, "-findings")
 
 
@@ -345,3 +346,16 @@ def eol_flagging(
     latest = end_of_life.groupBy(*on).agg(F.max("eol_date").alias("eol_date"))
     past = latest.where(F.col("eol_date") < rules.moment(as_of).cast("date"))
     return frame.join(past, on)
+
+
+def eol_by_version(
+    frame: DataFrame, end_of_life: DataFrame, on: list[str], version: str = "version", as_of: datetime | str | None = None
+) -> DataFrame:
+    """Rows whose version belongs to a release line past its end of life, with ``entry`` and ``eol_date``.
+
+    ``end_of_life`` lists release lines by ``on`` and ``version``: 7.9.2 belongs to 7.9, and to 7.9.2 or 7.9.2.1 only if
+    that is what it begins with; the longest line wins. A line listed twice counts with its latest date. Rows without a
+    version, or of no line, are not past anything.
+    """
+    found = releases.longest_entry(frame, end_of_life, on, version, "eol_date")
+    return found.where(F.col("eol_date") < rules.moment(as_of).cast("date"))

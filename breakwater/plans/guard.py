@@ -61,7 +61,7 @@ class GuardedSql:
         for plan in (analysed, *_items(analysed.subqueriesAll())):
             for node in self._outside_views(plan):
                 kind = node.getClass().getSimpleName()
-                if node.children().isEmpty() and kind not in HARMLESS_LEAVES:
+                if kind == "View" or node.children().isEmpty() and kind not in HARMLESS_LEAVES:
                     raise QueryRefused(f"{node.nodeName()} is not one of the loaded tables")
                 for expression in _items(node.expressions()):
                     for part in _tree(expression):
@@ -70,8 +70,10 @@ class GuardedSql:
 
     def _outside_views(self, plan: Any) -> Iterator[Any]:
         """Nodes of a plan, without what lies behind the given views."""
-        if plan.getClass().getSimpleName() == "View" and plan.isTempView() and plan.desc().identifier().table() in self._names:
-            return
+        if plan.getClass().getSimpleName() == "View" and plan.isTempView():
+            name = plan.desc().identifier()  # a global view has a database, and may bear the name of a table
+            if name.table() in self._names and name.database().isEmpty():
+                return
         yield plan
         for child in _items(plan.children()):
             yield from self._outside_views(child)

@@ -16,8 +16,8 @@ from breakwater.operators import derived
 from breakwater.plans import driver_views
 from breakwater.plans.analyses import AS_OF
 from breakwater.plans.guard import GuardedSql
-from breakwater.sources import catalog, files, ledger, manifest, prefixes
-from breakwater.sources.loader import load
+from breakwater.sources import catalog, files, ledger, manifest, prefixes, versions
+from breakwater.sources.loader import load, load_path
 from breakwater.tables import Tables
 
 
@@ -139,8 +139,10 @@ def _scratch_database(spark: SparkSession) -> Iterator[str]:
 
 
 def _kept(frame: DataFrame) -> DataFrame:
-    """A handful of rows, taken now, so that the check leaves no tables behind."""
-    return frame.sparkSession.createDataFrame(frame.collect(), frame.schema)
+    """The rows, written now, so that the check leaves no tables behind; they stay in the scratch folder."""
+    place = f"{_scratch(frame.sparkSession)}/result"
+    frame.write.parquet(place)
+    return frame.sparkSession.read.schema(frame.schema).parquet(place)
 
 
 def snapshot_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,6 +240,116 @@ _COMBINED_SQL = """
     group by all"""
 
 
+def exact_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers beyond 2^53 beside halves: in one load, and in two of which the second is wider."""
+    place, items = _scratch(spark), _read(spark, sf_dir, "lineitem")
+    whole, half = f"{place}/whole", f"{place}/half"
+    slices = items.select("l_suppkey", "l_orderkey", "l_quantity")
+    slices.where("l_orderkey % 2 = 0").withColumn("l_quantity", F.col("l_quantity").cast("bigint") + (2**53 + 1)).write.parquet(whole)
+    slices.where("l_orderkey % 2 = 1").withColumn("l_quantity", F.col("l_quantity").cast("double") + 0.5).write.parquet(half)
+    with _scratch_database(spark) as database:
+        load(spark, database, {"asset_vulnerability": _parts(spark, half) + _parts(spark, whole)})
+        load(spark, database, {"vulnerability_remediation": _parts(spark, whole)})
+        report = load(spark, database, {"vulnerability_remediation": _parts(spark, half)}, append=True)
+        told = sum("l_quantity" in w for w in report.warnings)
+        found = [
+            spark.table(f"{database}.{table}")
+            .groupBy("l_suppkey")
+            .agg(
+                F.count("*").alias("row_count"), F.sum("l_quantity").cast("string").alias("total"),
+                F.min("l_quantity").cast("string").alias("smallest"), F.max("l_quantity").cast("string").alias("largest"),
+            )
+            .select(F.lit(table).alias("table_name"), "*", F.lit(warned).alias("warned"))
+            for table, warned in (("vulnerabilities", 0), ("vulnerability_remediation", told))
+        ]
+        return _kept(reduce(DataFrame.unionByName, found))
+
+
+_EXACT_SQL = """
+    select t.table_name, l_suppkey, count(*) as row_count, cast(sum(q) as varchar) as total, cast(min(q) as varchar) as smallest,
+           cast(max(q) as varchar) as largest, t.warned
+    from (select l_suppkey, cast(cast(l_quantity as bigint) + 9007199254740993 as decimal(38, 1)) as q from lineitem where l_orderkey % 2 = 0
+          union all select l_suppkey, cast(l_quantity as decimal(38, 1)) + 0.5 from lineitem where l_orderkey % 2 = 1),
+         (values ('vulnerabilities', 0), ('vulnerability_remediation', 1)) t(table_name, warned)
+    group by all"""
+
+
+def interleaved_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An append whose rows are written before a snapshot load ends and committed after it, and one beside another."""
+    name, items = "vulnerability_remediation", _read(spark, sf_dir, "lineitem")
+    place = _scratch(spark)
+    for step in range(4):
+        items.where(F.col("l_orderkey") % 4 == step).select("l_orderkey", "l_quantity").write.parquet(f"{place}/{step}")
+
+    def began(database: str, step: int) -> str:
+        rows = spark.read.parquet(f"{place}/{step}").withColumn(versions.LOAD, F.lit(f"load {step}"))
+        return versions.write_part(spark, database, name, rows, f"load {step}")
+
+    def ended(database: str, part: str) -> None:
+        versions.commit(spark, database, name, lambda now: [*(now.parts if now else ()), part])
+
+    with _scratch_database(spark) as database:
+        load(spark, database, {name: _parts(spark, f"{place}/0")})
+        first, second = began(database, 1), began(database, 2)
+        load(spark, database, {name: _parts(spark, f"{place}/3")})
+        ended(database, second)
+        ended(database, first)
+        versions.compact(spark, database, name)
+        return _kept(
+            spark.table(f"{database}.{name}")
+            .groupBy((F.col("l_orderkey") % 4).alias("step"))
+            .agg(F.count("*").alias("row_count"), F.sum("l_orderkey").alias("total"))
+        )
+
+
+_INTERLEAVED_SQL = """
+    select l_orderkey % 4 as step, count(*) as row_count, cast(sum(l_orderkey) as bigint) as total
+    from lineitem where l_orderkey % 4 > 0 group by all"""
+
+
+def sniffed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a folder loaded by what their columns look like; one of them looks like nothing known."""
+    place = _scratch(spark)
+    slices = {
+        "hosts": _read(spark, sf_dir, "customer").selectExpr("c_custkey as assetId", "c_name as hostName"),
+        "found": _read(spark, sf_dir, "lineitem").selectExpr("l_orderkey as assetId", "l_partkey as vulnId"),
+        "rules": _read(spark, sf_dir, "orders").selectExpr("o_custkey as assetId", "o_orderstatus as finalStatus"),
+        "fixed": _read(spark, sf_dir, "part").selectExpr("p_partkey as assetId", "p_name as cveId"),
+        "other": _read(spark, sf_dir, "nation"),
+    }
+    for name, frame in slices.items():
+        frame.coalesce(1).write.parquet(f"{place}/{name}")
+    content = {name: spark.read.format("binaryFile").load(_parts(spark, f"{place}/{name}")[0]).first().content for name in slices}
+    for name in slices:
+        _put(spark, f"{place}/files/{name}.parquet", content[name])
+    with _scratch_database(spark) as database:
+        report = load_path(spark, database, f"{place}/files")
+    rows = [("rows", table, count) for table, count in report.row_counts.items()]
+    rows += [("warning", "other", sum("other.parquet" in w for w in report.warnings))]
+    return spark.createDataFrame(rows, "kind string, name string, n bigint")
+
+
+_SNIFFED_FILES_SQL = """
+    select 'rows' as kind, 'assets' as name, count(*) as n from customer
+    union all select 'rows', 'vulnerabilities', count(*) from lineitem
+    union all select 'rows', 'policies', count(*) from orders
+    union all select 'rows', 'vulnerability_remediation', count(*) from part
+    union all select 'warning', 'other', 1"""
+
+
+def json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of JSON files that rows were written to."""
+    place = f"{_scratch(spark)}/json"
+    rows = _read(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderdate", "nullif(o_orderstatus, 'F') as o_orderstatus")
+    catalog.write_json(rows, place)
+    return spark.read.text(place).withColumnRenamed("value", "json")
+
+
+_JSON_FILES_SQL = """
+    select cast(to_json(struct_pack(o_orderkey := o_orderkey, o_orderdate := strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'),
+                                    o_orderstatus := nullif(o_orderstatus, 'F'))) as varchar) as json from orders"""
+
+
 def _parts(spark: SparkSession, folder: str) -> list[str]:
     return [row.path for row in files.list_files(spark, folder).orderBy("path").collect()]
 
@@ -252,7 +364,7 @@ def _put(spark: SparkSession, path: str, content: bytes) -> str:
 
 
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a load reports of a good file, one with damaged pages, a tiny one and a prefix it does not know."""
+    """What loads report of a good file, one with damaged pages, a tiny one, a prefix they do not know, a file without rows."""
     place = _scratch(spark)
     _read(spark, sf_dir, "nation").coalesce(1).write.parquet(f"{place}/good")
     (good,) = _parts(spark, f"{place}/good")
@@ -269,9 +381,11 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "mystery": [good],
             },
         )
-    kinds = ("unknown prefix", "unusually small", "not readable")
-    told = [("warning", kind, sum(kind in w for w in report.warnings)) for kind in kinds]
-    rows = [("rows", table, count) for table, count in report.row_counts.items()] + told
+        _read(spark, sf_dir, "nation").where("false").coalesce(1).write.parquet(f"{place}/none")
+        empty = load(spark, database, {"vulnerability_exception": _parts(spark, f"{place}/none")})
+    kinds = ("unknown prefix", "unusually small", "not readable", "0 rows loaded")
+    told = [("warning", kind, sum(kind in w for w in report.warnings + empty.warnings)) for kind in kinds]
+    rows = [("rows", table, count) for table, count in (report.row_counts | empty.row_counts).items()] + told
     return spark.createDataFrame(rows, "kind string, name string, n bigint")
 
 
@@ -279,7 +393,8 @@ _REPORT_SQL = """
     select 'rows' as kind, 'assets' as name, count(*) as n from nation
     union all select 'rows', 'asset_software', count(*) from part
     union all select 'warning', 'unknown prefix', 1 union all select 'warning', 'unusually small', 1
-    union all select 'warning', 'not readable', 2"""
+    union all select 'warning', 'not readable', 2 union all select 'warning', '0 rows loaded', 1
+    union all select 'rows', 'vulnerability_exceptions', 0"""
 
 
 def table_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -421,6 +536,36 @@ def eol_software(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(derived.eol_flagging(installed, listed, ["vendor"], AS_OF))
 
 
+def eol_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions made of line items against release lines of one or two parts made of parts."""
+    installed = _read(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "concat('product ', l_partkey % 20) as product",
+        "concat(l_linenumber, '.', cast(l_quantity as int), '.', l_suppkey % 10) as version",
+    )
+    listed = _read(spark, sf_dir, "part").selectExpr(
+        "concat('product ', p_partkey % 20) as product",
+        "if(p_partkey % 3 = 0, cast(p_partkey % 7 + 1 as string), concat(p_partkey % 7 + 1, '.', p_partkey % 50 + 1)) as version",
+        "date_add(date'1995-01-01', cast(p_partkey % 900 as int)) as eol_date",
+    )
+    return _as_text(derived.eol_by_version(installed, listed, ["product"], "version", "1996-06-01"))
+
+
+_EOL_VERSIONS_SQL = """
+    with listed as (
+        select concat('product ', p_partkey % 20) as product,
+               if(p_partkey % 3 = 0, cast(p_partkey % 7 + 1 as varchar), concat(p_partkey % 7 + 1, '.', p_partkey % 50 + 1)) as entry,
+               max(date '1995-01-01' + cast(p_partkey % 900 as integer)) as eol_date
+        from part group by all),
+    installed as (
+        select l_orderkey, l_linenumber, concat('product ', l_partkey % 20) as product,
+               concat(l_linenumber, '.', cast(l_quantity as integer), '.', l_suppkey % 10) as version from lineitem),
+    met as (select distinct i.product, i.version, e.entry, e.eol_date
+            from (select distinct product, version from installed) i
+            join listed e on e.product = i.product and starts_with(i.version || '.', e.entry || '.')
+            qualify row_number() over (partition by i.product, i.version order by length(e.entry) desc) = 1)
+    select l_orderkey, l_linenumber, product, version, entry, cast(eol_date as varchar) as eol_date
+    from installed join met using (product, version) where eol_date < date '1996-06-01'"""
+
 CHECKS: dict[str, Check] = {
     "prefix_routing": Check(prefix_routing, _ROUTING_SQL),
     "sniffed_prefixes": Check(sniffed_prefixes, _SNIFF_SQL),
@@ -428,6 +573,11 @@ CHECKS: dict[str, Check] = {
     "snapshot_load": Check(snapshot_load, _SNAPSHOT_SQL),
     "append_load": Check(append_load, _APPEND_SQL),
     "combined_types": Check(combined_types, _COMBINED_SQL),
+    "exact_types": Check(exact_types, _EXACT_SQL),
+    "interleaved_loads": Check(interleaved_loads, _INTERLEAVED_SQL),
+    "sniffed_files": Check(sniffed_files, _SNIFFED_FILES_SQL),
+    "json_files": Check(json_files, _JSON_FILES_SQL),
+    "eol_by_version": Check(eol_versions, _EOL_VERSIONS_SQL),
     "load_report": Check(load_report, _REPORT_SQL),
     "table_columns": Check(table_columns, _COLUMNS_SQL),
     "catalogue_steps": Check(catalogue_steps, _STEPS_SQL),

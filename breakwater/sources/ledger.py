@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from breakwater.functions.ordering import top
 from breakwater.schemas import LEDGER
+from breakwater.sources import versions
 
 # Export types, the status that counts as done, the type that is never reused.
 EXPORT_TYPES = ("vulnerability", "policy", "remediation", "asset_software")
@@ -93,12 +94,30 @@ def staleness(exports: DataFrame, as_of: date | str | None = None) -> DataFrame:
 
 
 class ExportLedger:
-    """The ledger kept in a catalogue table. One writer at a time."""
+    """The ledger kept in the catalogue as versions of a table (see ``versions``); any number of writers.
+
+    Every save is a part of its own and its arrival number is that of the version it commits, so numbers are given in
+    the order of commits, no two saves get the same one and no save reads what is there. Small parts are folded as they
+    come, and by ``compact``, while saves go on.
+    """
 
     def __init__(self, spark: SparkSession, table: str):
         self.spark, self.table = spark, table
-        if not spark.catalog.tableExists(table):
-            spark.createDataFrame([], LEDGER).write.format("parquet").saveAsTable(table)
+        self._database, self._name = table.rsplit(".", 1) if "." in table else (spark.catalog.currentDatabase(), table)
+        if versions.latest(spark, self._database, self._name) is None:
+            self._commit_alone(spark.createDataFrame([], LEDGER), only_if_none=True)
+
+    def _written(self, rows: DataFrame) -> str:
+        held = rows.coalesce(1).withColumn(versions.LOAD, F.col("export_id"))
+        return versions.write_part(self.spark, self._database, self._name, held, None)
+
+    def _commit_alone(self, rows: DataFrame, only_if_none: bool = False) -> None:
+        """A version of these rows and no others."""
+        part = self._written(rows)
+        change = lambda now: None if only_if_none and now is not None else [part]
+        made, _ = versions.commit(self.spark, self._database, self._name, change)
+        if made is None or part not in made.parts:
+            versions.drop_part(self.spark, self._database, part)
 
     def events(self) -> DataFrame:
         return self.spark.table(self.table)
@@ -116,28 +135,30 @@ class ExportLedger:
         export_type: str = "vulnerability",
         at: datetime | None = None,
     ) -> None:
-        """Insert an export, or update all of it but its dates.
-
-        Every save reads the last arrival number and writes one small file, so
-        two writers may get the same number; call ``compact`` now and then.
-        """
+        """Insert an export, or update all of it but its dates."""
         at = at or datetime.now()
-        last = self.events().agg(F.max("seq")).first()[0] or 0
-        row = (
-            last + 1, export_id, at.date(), at, status, None, row_count,
-            None if parquet_urls is None else list(parquet_urls),
-            None if local_files is None else list(local_files),
-            export_type,
-        )
-        with_file_count(self.spark.createDataFrame([row], LEDGER)).coalesce(1).write.insertInto(self.table)
+        while True:
+            base = versions.latest(self.spark, self._database, self._name)
+            number = base.number + 1
+            row = (
+                number, export_id, at.date(), at, status, None, row_count,
+                None if parquet_urls is None else list(parquet_urls),
+                None if local_files is None else list(local_files),
+                export_type,
+            )
+            part = self._written(with_file_count(self.spark.createDataFrame([row], LEDGER)))
+            # The number is that of the next version, so another save that took it sends this one back.
+            change = lambda now, base=base, part=part: [*now.parts, part] if now == base else None
+            made, _ = versions.commit(self.spark, self._database, self._name, change)
+            if made is not None and part in made.parts:
+                break
+            versions.drop_part(self.spark, self._database, part)
+        if len(made.parts) > versions.MOST_PARTS:
+            versions.compact(self.spark, self._database, self._name, newest=True)
 
     def compact(self) -> None:
-        """Merge the small files of many saves into one; no save may run meanwhile."""
-        merged = f"{self.table}__merged"
-        self.spark.sql(f"DROP TABLE IF EXISTS {merged}")
-        self.events().coalesce(1).write.format("parquet").saveAsTable(merged)
-        self.spark.table(merged).coalesce(1).write.insertInto(self.table, overwrite=True)
-        self.spark.sql(f"DROP TABLE {merged}")
+        """Merge the parts of many saves into one; saves may go on meanwhile."""
+        versions.compact(self.spark, self._database, self._name)
 
     def today(self, export_type: str = "vulnerability", day: date | None = None) -> DataFrame:
         return completed_on(self.exports(), day or date.today(), export_type)
@@ -149,4 +170,5 @@ class ExportLedger:
         return recent(self.exports(), limit, export_type)
 
     def purge(self) -> None:
-        self.spark.sql(f"TRUNCATE TABLE {self.table}")
+        """Forget all exports; numbers go on."""
+        self._commit_alone(self.spark.createDataFrame([], LEDGER))

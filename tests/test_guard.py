@@ -72,6 +72,17 @@ def test_everything_else_is_refused(guarded, sql):
         guarded.query(sql).collect()
 
 
+def test_global_views_of_the_same_name_are_refused(spark, guarded):
+    spark.sql("create or replace global temporary view assets as select 1 as n")
+    try:
+        for sql in ("select n from global_temp.assets", "select (select max(n) from global_temp.assets) as n"):
+            with pytest.raises(QueryRefused):
+                guarded.query(sql).collect()
+        assert guarded.query("select count(*) as n from assets").first().n > 1
+    finally:
+        spark.catalog.dropGlobalTempView("assets")
+
+
 def test_texts_that_name_functions_or_relations_are_only_texts(guarded):
     sql = """select count(*) as n from assets
              where hostName not like '%java_method(%' and hostName <> 'UnresolvedRelation [outside]' and 'reflect(' <> hostName"""

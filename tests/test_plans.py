@@ -14,6 +14,8 @@ from breakwater.tables import Tables
 # Queries that end in one row per table or in totals per bucket, so that one task takes the last step.
 ONE_TASK_AT_THE_END = re.compile("profile_|table_overview|risk_vs_count|critical_sample|failed_sample")
 
+TOTAL = re.compile(r"Exchange SinglePartition[^\n]*\n[^\n]*HashAggregate\(keys=\[\], functions=\[partial_")
+
 
 def plan_of(spark, frame) -> str:
     frame.createOrReplaceTempView("planned")
@@ -36,7 +38,8 @@ def test_no_query_joins_every_row_with_every_row(no_broadcast, sf_dir):
         plan = plan_of(no_broadcast, query(no_broadcast, sf_dir))
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
         if not ONE_TASK_AT_THE_END.match(name):
-            assert "SinglePartition" not in plan, name
+            # a total of one row a task may meet in one; rows may not
+            assert "SinglePartition" not in TOTAL.sub("", plan), name
 
 
 @pytest.fixture
