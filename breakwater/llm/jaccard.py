@@ -5,11 +5,17 @@ order of all tokens. Every document chooses its own l, lengthening its prefix wh
 candidates falls; a pair must then share as many prefix tokens as the smaller of the two l. The order puts tokens
 that a count sketch of all documents finds rare first. Documents with equal sets are one node throughout.
 
-Links are found in two passes. The first links every node to the least node of each prefix token it shares,
-verifies those pairs and joins them into components, which turns a group of thousands of near copies into a star.
-The second takes every pair that shares prefix tokens across two components, with size, position and count filters,
-and verifies it. Pairs inside a component change no component, so the components are exact; no group of copies is
-expanded into its pairs.
+Links are found in three passes. The first links every node to the least node of the prefix token it shares most with,
+verifies those pairs and joins them into components. The second does so in tokens that several components still share,
+with up to ``HUBS`` nodes of each, chosen by hash: of those that may link a node takes the nearest and the first. So a
+group of near copies becomes one component also where most of its pairs miss the threshold. The third joins the rows of
+one token across two components, and verifies what is left. Pairs inside a component change no component, so the
+components are exact; no group of copies is expanded into its pairs.
+
+Filters stand inside the joins, so that pairs which cannot link are never made into rows. One is by parities: a set's
+tokens are dealt to bits and a bit tells whether an odd number of them fell on it. A token that only one of two sets has
+turns one bit around, so two sets have at least as many different tokens as their parities have different bits. In a
+group whose members all just miss the threshold, this comparison is still made for every two of them.
 """
 
 from __future__ import annotations
@@ -32,8 +38,9 @@ from breakwater.llm.words import WordNumbers, shingles, split_words
 COUNTERS, SLICES, FAN, GATHERED = 1 << 18, 16, 32, 500_000
 # The greatest l, and costs of a prefix row, of a row met on the way and of a verified candidate.
 MOST_MATCHES, ROW_COST, MEET_COST, VERIFY_COST = 4, 1.0, 1.0, 20.0
-# Pairs of one node verified in one task before it is split; bins into which the tokens of a set are counted.
-STAR, BINS = 500, 64
+# Pairs of one node verified in one task before it is split; bins into which the tokens of a set are counted; 64-bit
+# numbers of a set's parities; nodes of a token that the others of it are compared with before components are.
+STAR, BINS, PARITIES, HUBS = 500, 64, 16, 48
 
 
 class Tokens:
@@ -153,6 +160,12 @@ def choose(others: np.ndarray, size: int, overlap: int) -> int:
     return best
 
 
+def _parities(tokens: np.ndarray) -> np.ndarray:
+    """Bits that an odd number of the tokens falls on."""
+    fell = np.bincount((tokens >> np.uint64(7) & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES)
+    return np.packbits((fell & 1).astype(np.uint8)).view(np.int64)
+
+
 def _prefixes(words: int, num: int, den: int, sketch: np.ndarray):
     total = int(sketch.sum())
 
@@ -161,7 +174,7 @@ def _prefixes(words: int, num: int, den: int, sketch: np.ndarray):
 
         tokens = Tokens(words)
         for batch in batches:
-            out: dict[str, list] = {"digest": [], "row": [], "size": [], "matches": [], "bins": [], "prefix": []}
+            out: dict[str, list] = {"digest": [], "row": [], "size": [], "matches": [], "bins": [], "parity": [], "prefix": []}
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = tokens.of(text.as_py())
                 if not len(own):
@@ -176,8 +189,9 @@ def _prefixes(words: int, num: int, den: int, sketch: np.ndarray):
                 out["size"].append(len(own))
                 out["matches"].append(matches)
                 out["bins"].append(np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=BINS).astype(np.uint32).tobytes())
+                out["parity"].append(_parities(own))
                 out["prefix"].append(own[order[: len(own) - overlap + matches]].view(np.int64))
-            kinds = {"digest": pa.binary(), "row": pa.int64(), "size": pa.int32(), "matches": pa.int32(), "bins": pa.binary(), "prefix": pa.list_(pa.int64())}
+            kinds = {"digest": pa.binary(), "row": pa.int64(), "size": pa.int32(), "matches": pa.int32(), "bins": pa.binary(), "parity": pa.list_(pa.int64()), "prefix": pa.list_(pa.int64())}
             yield _batch([(name, kinds[name], values) for name, values in out.items()])
 
     return run
@@ -262,9 +276,9 @@ class Join:
         first = stored(docs.select("doc_id", "text").mapInArrow(_survey(words), _FIRST))
         self.members = first.where(F.col("counts").isNull()).select("doc_id", "size", "digest")
         prefixes = self.texts.mapInArrow(
-            _prefixes(words, num, den, _sketch(first, self.width)), "digest binary, row long, size int, matches int, bins binary, prefix array<long>"
+            _prefixes(words, num, den, _sketch(first, self.width)), "digest binary, row long, size int, matches int, bins binary, parity array<long>, prefix array<long>"
         )
-        sets = prefixes.groupBy("digest").agg(F.min("row").alias("node"), *[F.any_value(c).alias(c) for c in ("size", "matches", "bins", "prefix")])
+        sets = prefixes.groupBy("digest").agg(F.min("row").alias("node"), *[F.any_value(c).alias(c) for c in ("size", "matches", "bins", "parity", "prefix")])
         self.nodes = stored(sets)
 
     def shared_tokens(self) -> DataFrame:
@@ -284,6 +298,14 @@ class Join:
         """The least overlap with which two sets of these sizes link."""
         return F.ceil((F.col(size) + F.col(other)) * F.lit(self.num) / F.lit(self.num + self.den) - F.lit(1e-9))
 
+    def _different(self) -> Column:
+        """Bits in which the parities differ."""
+        return sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"other_p{i}"))) for i in range(PARITIES)), F.lit(0))
+
+    def _may_link(self) -> Column:
+        """Whether the parities differ in no more bits than the sets of a link may have different tokens."""
+        return self._different() * F.lit(self.num + self.den) <= (F.col("size") + F.col("other_size")) * F.lit(self.den - self.num)
+
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``a, b`` whose sets link. Of the two, ``a`` is the one that may be in many pairs.
 
@@ -319,40 +341,75 @@ class Join:
         best = pairs.withColumn("rank", F.row_number().over(most)).where("rank = 1").select(F.col("hub").alias("a"), F.col("node").alias("b"))
         return best
 
-    def across(self, shared: DataFrame, found: DataFrame, tried: DataFrame) -> DataFrame:
-        """Pairs of two components that share enough prefix tokens, unless tried before."""
-        labelled = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    def mixed(self, shared: DataFrame, found: DataFrame) -> DataFrame:
+        """Prefix rows of tokens that several components have, with the nodes' parities."""
+        parities = self.nodes.select("node", *[F.col("parity")[i].alias(f"p{i}") for i in range(PARITIES)])
+        rows = self.still_mixed(shared, found).select("token", "node", "component", *_unpacked())
+        return stored(stored(rows).join(parities, "node"))
+
+    def still_mixed(self, rows: DataFrame, found: DataFrame) -> DataFrame:
+        """Rows of tokens whose nodes are of several components, with ``component``."""
+        labelled = rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         held = Window.partitionBy("token")
         ends = labelled.select("*", F.min("component").over(held).alias("lo"), F.max("component").over(held).alias("hi"))
-        mixed = stored(ends.where("lo <> hi").select("token", "node", "component", *_unpacked()))
-        by_size = Window.partitionBy("token").orderBy(F.desc("n"), "component")
-        main = mixed.groupBy("token", "component").agg(F.count("*").alias("n")).withColumn("rank", F.row_number().over(by_size))
-        main = main.where("rank = 1").select("token", F.col("component").alias("main"))
-        rows = mixed.join(main, "token")
-        left = rows.where("component <> main").drop("main")
-        others = [F.col(c).alias(f"other_{c}") for c in ("node", "size", "matches", "place", "component")]
-        right = rows.select("token", *others, (F.col("component") == F.col("main")).alias("is_main"))
+        return ends.where("lo <> hi").drop("lo", "hi")
+
+    def _met(self, left: DataFrame, right: DataFrame, other: Column) -> DataFrame:
+        """Rows of one token that may link: of two components, of fitting sizes, places, parities."""
+        own = ("node", "size", "matches", "place", "component", *(f"p{i}" for i in range(PARITIES)))
+        right = right.select("token", *[F.col(c).alias(f"other_{c}") for c in own], *[c for c in right.columns if c not in (*own, "token")])
         tail = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
-        enough = F.least("matches", "other_matches")
-        met = left.join(right, "token").where(
+        return left.join(right, "token").where(
             (F.col("component") != F.col("other_component"))
-            & (F.col("is_main") | (F.col("node") < F.col("other_node")))
+            & other
             & self._fits("size", "other_size")
-            & (tail >= self._needed("size", "other_size") - enough + 1)
+            & (tail >= self._needed("size", "other_size") - F.least("matches", "other_matches") + 1)
+            & self._may_link()
         )
+
+    def near_hubs(self, mixed: DataFrame) -> DataFrame:
+        """Every node with the nearest and the first of the chosen nodes of its tokens that may link with it."""
+        by_hash = Window.partitionBy("token").orderBy(F.xxhash64("node"), "node")
+        hubs = mixed.withColumn("place_of_hub", F.row_number().over(by_hash)).where(F.col("place_of_hub") <= HUBS).drop("place_of_hub")
+        met = self._met(mixed, hubs, F.lit(True))
+        nearest = F.min(F.struct(self._different().alias("different"), "other_node"))["other_node"]
+        first = F.min(F.struct(F.xxhash64("other_node").alias("hash"), "other_node"))["other_node"]
+        chosen = met.groupBy("node").agg(F.array_distinct(F.array(nearest, first)).alias("hubs"))
+        pairs = chosen.select(F.explode("hubs").alias("a"), F.col("node").alias("b"))
+        # Two hubs may have chosen each other.
+        return pairs.groupBy(F.least("a", "b"), F.greatest("a", "b")).agg(F.min(F.struct("a", "b")).alias("pair")).select("pair.*")
+
+    def across(self, mixed: DataFrame, tried: DataFrame) -> DataFrame:
+        """Pairs of two components that share enough prefix tokens, unless tried before."""
+        by_size = Window.partitionBy("token").orderBy(F.desc("n"), "component")
+        main = mixed.groupBy("token", "component").agg(F.count("*").alias("n")).withColumn("rank", F.row_number().over(by_size))
+        main = main.where("rank = 1").select("token", F.col("component").alias("main"))
+        rows = mixed.join(main, "token").withColumn("is_main", F.col("component") == F.col("main"))
+        left = rows.where("not is_main").drop("main", "is_main")
+        met = self._met(left, rows.drop("main"), F.col("is_main") | (F.col("node") < F.col("other_node")))
         pairs = met.groupBy(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).agg(
-            F.count("*").alias("n"), F.any_value(enough).alias("enough")
+            F.count("*").alias("n"), F.any_value(F.least("matches", "other_matches")).alias("enough")
         )
-        return pairs.where("n >= enough").select("a", "b").join(tried, ["a", "b"], "left_anti")
+        before = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        return pairs.where("n >= enough").select("a", "b").join(before, ["a", "b"], "left_anti")
 
     def run(self) -> DataFrame:
         """``node, component`` of every node that is linked."""
         shared = self.shared_tokens()
         tried = stored(self.stars(shared))
-        links = self.verified(tried)
-        found = stored(graph.components(links))
-        more = self.verified(self.across(shared, found, tried))
-        return graph.components(links.unionByName(more))
+        found = stored(graph.components(self.verified(tried)))
+        mixed = self.mixed(shared, found)
+        near = stored(self.near_hubs(mixed))
+        # Components of components: their stars stand for the links that made them.
+        found = stored(graph.components(self.verified(near).unionByName(_stars(found))))
+        left = stored(self.still_mixed(mixed.drop("component"), found))
+        more = self.verified(self.across(left, tried.unionByName(near)))
+        return graph.components(more.unionByName(_stars(found)))
+
+
+def _stars(found: DataFrame) -> DataFrame:
+    """Components as links to their least nodes."""
+    return found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
 def linked(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 
 from breakwater.llm import graph, jaccard, queries
@@ -102,3 +103,35 @@ def test_query_equals_sql(spark, sf_dir):
     from tests import oracle
 
     assert oracle.differences(queries.op10_ngram_join(spark, sf_dir), oracle.connect(sf_dir), jaccard.SQL) is None
+
+
+def test_a_group_whose_hub_links_with_few(spark, monkeypatch):
+    """Near copies of a base that no row holds: most pairs miss the threshold, yet links join them; few hubs suffice."""
+    monkeypatch.setattr(jaccard, "HUBS", 3)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    docs = []
+    for i in range(80):
+        own = list(base)
+        for at in rng.sample(range(120), rng.randrange(1, 4)):
+            own[at] = f"x{i}-{at}"
+        docs.append((i, " ".join(own)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    sets = {i: {tuple(t.split()[k : k + 4]) for k in range(117)} for i, t in docs}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    least = {i: i for i in sets}
+    while any(least[a] != least[b] for a, b in links):
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    assert 50 < len(links) < 80 * 79 / 2 * 0.8
+    got = {r.doc_id: r.component_id for r in jaccard.linked(frame, words=4, num=85, den=100).collect()}
+    assert got == least
+
+
+def test_parities_never_exceed_the_difference():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 50, 3000):
+        a = rng.integers(0, 2**63, size).astype(np.uint64)
+        b = np.concatenate([a[: size // 2], rng.integers(0, 2**63, size // 3).astype(np.uint64)])
+        bits = np.bitwise_count((jaccard._parities(a) ^ jaccard._parities(b)).view(np.uint64)).sum()
+        assert bits <= len(np.setxor1d(a, b))
