@@ -38,9 +38,9 @@ from breakwater.llm.words import WordNumbers, shingles, split_words
 COUNTERS, SLICES, FAN, GATHERED = 1 << 18, 16, 32, 500_000
 # The greatest l, and costs of a prefix row, of a row met on the way and of a verified candidate.
 MOST_MATCHES, ROW_COST, MEET_COST, VERIFY_COST = 4, 1.0, 1.0, 20.0
-# Pairs of one node verified in one task before it is split; bins into which the tokens of a set are counted; 64-bit
-# numbers of a set's parities; nodes of a token that the others of it are compared with before components are.
-STAR, BINS, PARITIES, HUBS = 500, 64, 16, 48
+# Pairs of one node verified in one task before it is split; 64-bit numbers of a set's parities; nodes of a token that
+# the others of it are compared with before components are.
+STAR, PARITIES, HUBS = 500, 16, 48
 
 
 class Tokens:
@@ -174,7 +174,7 @@ def _prefixes(words: int, num: int, den: int, sketch: np.ndarray):
 
         tokens = Tokens(words)
         for batch in batches:
-            out: dict[str, list] = {"digest": [], "row": [], "size": [], "matches": [], "bins": [], "parity": [], "prefix": []}
+            out: dict[str, list] = {"digest": [], "row": [], "size": [], "matches": [], "parity": [], "prefix": []}
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = tokens.of(text.as_py())
                 if not len(own):
@@ -188,10 +188,9 @@ def _prefixes(words: int, num: int, den: int, sketch: np.ndarray):
                 out["row"].append(row)
                 out["size"].append(len(own))
                 out["matches"].append(matches)
-                out["bins"].append(np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=BINS).astype(np.uint32).tobytes())
                 out["parity"].append(_parities(own))
                 out["prefix"].append(own[order[: len(own) - overlap + matches]].view(np.int64))
-            kinds = {"digest": pa.binary(), "row": pa.int64(), "size": pa.int32(), "matches": pa.int32(), "bins": pa.binary(), "parity": pa.list_(pa.int64()), "prefix": pa.list_(pa.int64())}
+            kinds = {"digest": pa.binary(), "row": pa.int64(), "size": pa.int32(), "matches": pa.int32(), "parity": pa.list_(pa.int64()), "prefix": pa.list_(pa.int64())}
             yield _batch([(name, kinds[name], values) for name, values in out.items()])
 
     return run
@@ -216,14 +215,6 @@ def _sets(words: int, asked: np.ndarray):
     return run
 
 
-def _overlap_bound(bins, other):
-    """At most so many tokens can two sets share: the lesser count of every bin, added up."""
-    import pyarrow as pa
-
-    a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint32).reshape(-1, BINS) for x in (bins, other))
-    return pa.array(np.minimum(a, b).sum(axis=1, dtype=np.int64))
-
-
 def _compare(num: int, den: int):
     """Rows sorted so that a node's own set comes before the sets to compare it with."""
 
@@ -276,9 +267,9 @@ class Join:
         first = stored(docs.select("doc_id", "text").mapInArrow(_survey(words), _FIRST))
         self.members = first.where(F.col("counts").isNull()).select("doc_id", "size", "digest")
         prefixes = self.texts.mapInArrow(
-            _prefixes(words, num, den, _sketch(first, self.width)), "digest binary, row long, size int, matches int, bins binary, parity array<long>, prefix array<long>"
+            _prefixes(words, num, den, _sketch(first, self.width)), "digest binary, row long, size int, matches int, parity array<long>, prefix array<long>"
         )
-        sets = prefixes.groupBy("digest").agg(F.min("row").alias("node"), *[F.any_value(c).alias(c) for c in ("size", "matches", "bins", "parity", "prefix")])
+        sets = prefixes.groupBy("digest").agg(F.min("row").alias("node"), *[F.any_value(c).alias(c) for c in ("size", "matches", "parity", "prefix")])
         self.nodes = stored(sets)
 
     def shared_tokens(self) -> DataFrame:
@@ -309,15 +300,13 @@ class Join:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``a, b`` whose sets link. Of the two, ``a`` is the one that may be in many pairs.
 
-        Pairs that share too few tokens in every bin of the hash range cannot link and go first. A set of the
-        others is cut from its text again, moves once to meet the pairs that ask for it and once to meet the
+        Pairs of other sizes, or whose parities differ too much, cannot link and go first. A set of the others is cut from its text again, moves once to meet the pairs that ask for it and once to meet the
         other set; a node of many pairs is split, its set repeated.
         """
-        sides = self.nodes.select("node", "size", "bins")
-        known = pairs.join(sides.toDF("a", "size", "bins"), "a").join(sides.toDF("b", "other_size", "other_bins"), "b")
-        at_most = F.arrow_udf(_overlap_bound, "long")
-        able = self._fits("size", "other_size") & (at_most("bins", "other_bins") >= self._needed("size", "other_size"))
-        pairs = stored(known.where(able).select("a", "b"))
+        sides = self.nodes.select("node", "size", *self._parity())
+        names = ["size", *(f"p{i}" for i in range(PARITIES))]
+        known = pairs.join(sides.toDF("a", *names), "a").join(sides.toDF("b", *(f"other_{n}" for n in names)), "b")
+        pairs = stored(known.where(self._fits("size", "other_size") & self._may_link()).select("a", "b"))
         splits = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(STAR)).cast("int").alias("splits"))
         own = splits.select(
             F.col("a").alias("row"), "a", F.lit(None).cast("long").alias("b"), F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("salt")
@@ -341,37 +330,41 @@ class Join:
         best = pairs.withColumn("rank", F.row_number().over(most)).where("rank = 1").select(F.col("hub").alias("a"), F.col("node").alias("b"))
         return best
 
-    def mixed(self, shared: DataFrame, found: DataFrame) -> DataFrame:
-        """Prefix rows of tokens that several components have, with the nodes' parities."""
-        parities = self.nodes.select("node", *[F.col("parity")[i].alias(f"p{i}") for i in range(PARITIES)])
-        rows = self.still_mixed(shared, found).select("token", "node", "component", *_unpacked())
-        return stored(stored(rows).join(parities, "node"))
+    def _parity(self) -> list[Column]:
+        return [F.col("parity")[i].alias(f"p{i}") for i in range(PARITIES)]
 
     def still_mixed(self, rows: DataFrame, found: DataFrame) -> DataFrame:
-        """Rows of tokens whose nodes are of several components, with ``component``."""
+        """Rows of tokens whose nodes are of several components, with ``component`` and the token's rows ``n``."""
         labelled = rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         held = Window.partitionBy("token")
-        ends = labelled.select("*", F.min("component").over(held).alias("lo"), F.max("component").over(held).alias("hi"))
+        ends = labelled.select(
+            "*", F.min("component").over(held).alias("lo"), F.max("component").over(held).alias("hi"), F.count("*").over(held).alias("n")
+        )
         return ends.where("lo <> hi").drop("lo", "hi")
 
     def _met(self, left: DataFrame, right: DataFrame, other: Column) -> DataFrame:
-        """Rows of one token that may link: of two components, of fitting sizes, places, parities."""
-        own = ("node", "size", "matches", "place", "component", *(f"p{i}" for i in range(PARITIES)))
+        """Rows of one token that may link: of two components, of fitting sizes and places, of near parities if they have them."""
+        own = [c for c in left.columns if c != "token"]
         right = right.select("token", *[F.col(c).alias(f"other_{c}") for c in own], *[c for c in right.columns if c not in (*own, "token")])
         tail = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
+        near = self._may_link() if "p0" in own else F.lit(True)
         return left.join(right, "token").where(
             (F.col("component") != F.col("other_component"))
             & other
             & self._fits("size", "other_size")
             & (tail >= self._needed("size", "other_size") - F.least("matches", "other_matches") + 1)
-            & self._may_link()
+            & near
         )
 
+    def _with_parity(self, rows: DataFrame) -> DataFrame:
+        return rows.join(self.nodes.select("node", *self._parity()), "node")
+
     def near_hubs(self, mixed: DataFrame) -> DataFrame:
-        """Every node with the nearest and the first of the chosen nodes of its tokens that may link with it."""
+        """Every node of a token of many with the nearest and the first of the token's chosen nodes that may link with it."""
         by_hash = Window.partitionBy("token").orderBy(F.xxhash64("node"), "node")
-        hubs = mixed.withColumn("place_of_hub", F.row_number().over(by_hash)).where(F.col("place_of_hub") <= HUBS).drop("place_of_hub")
-        met = self._met(mixed, hubs, F.lit(True))
+        large = mixed.where(F.col("n") > HUBS).drop("n")
+        hubs = large.withColumn("turn", F.row_number().over(by_hash)).where(F.col("turn") <= HUBS).drop("turn")
+        met = self._met(self._with_parity(large), self._with_parity(hubs), F.lit(True))
         nearest = F.min(F.struct(self._different().alias("different"), "other_node"))["other_node"]
         first = F.min(F.struct(F.xxhash64("other_node").alias("hash"), "other_node"))["other_node"]
         chosen = met.groupBy("node").agg(F.array_distinct(F.array(nearest, first)).alias("hubs"))
@@ -380,16 +373,21 @@ class Join:
         return pairs.groupBy(F.least("a", "b"), F.greatest("a", "b")).agg(F.min(F.struct("a", "b")).alias("pair")).select("pair.*")
 
     def across(self, mixed: DataFrame, tried: DataFrame) -> DataFrame:
-        """Pairs of two components that share enough prefix tokens, unless tried before."""
+        """Pairs of two components that share enough prefix tokens, unless tried before.
+
+        In tokens of few rows these are few; rows of the others take their parities to the join.
+        """
         by_size = Window.partitionBy("token").orderBy(F.desc("n"), "component")
         main = mixed.groupBy("token", "component").agg(F.count("*").alias("n")).withColumn("rank", F.row_number().over(by_size))
         main = main.where("rank = 1").select("token", F.col("component").alias("main"))
-        rows = mixed.join(main, "token").withColumn("is_main", F.col("component") == F.col("main"))
-        left = rows.where("not is_main").drop("main", "is_main")
-        met = self._met(left, rows.drop("main"), F.col("is_main") | (F.col("node") < F.col("other_node")))
-        pairs = met.groupBy(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).agg(
-            F.count("*").alias("n"), F.any_value(F.least("matches", "other_matches")).alias("enough")
-        )
+        rows = mixed.join(main, "token").withColumn("is_main", F.col("component") == F.col("main")).drop("main")
+        once = F.col("other_is_main") | (F.col("node") < F.col("other_node"))
+        met = []
+        for kind in (rows.where(F.col("n") <= HUBS).drop("n"), self._with_parity(rows.where(F.col("n") > HUBS).drop("n"))):
+            found = self._met(kind.where("not is_main"), kind, once)
+            enough = F.least("matches", "other_matches").alias("enough")
+            met.append(found.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"), enough))
+        pairs = met[0].unionByName(met[1]).groupBy("a", "b").agg(F.count("*").alias("n"), F.any_value("enough").alias("enough"))
         before = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         return pairs.where("n >= enough").select("a", "b").join(before, ["a", "b"], "left_anti")
 
@@ -398,11 +396,11 @@ class Join:
         shared = self.shared_tokens()
         tried = stored(self.stars(shared))
         found = stored(graph.components(self.verified(tried)))
-        mixed = self.mixed(shared, found)
+        mixed = stored(self.still_mixed(shared, found).select("token", "node", "component", "n", *_unpacked()))
         near = stored(self.near_hubs(mixed))
         # Components of components: their stars stand for the links that made them.
         found = stored(graph.components(self.verified(near).unionByName(_stars(found))))
-        left = stored(self.still_mixed(mixed.drop("component"), found))
+        left = stored(self.still_mixed(mixed.drop("component", "n"), found))
         more = self.verified(self.across(left, tried.unionByName(near)))
         return graph.components(more.unionByName(_stars(found)))
 
