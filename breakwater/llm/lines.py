@@ -6,8 +6,10 @@ A line fails as
   symbols      symbol characters for at least every fourth word,
   shouting     all its letters are capitals and it has at least five words,
   repeated     it has a word and equals an earlier line of the document,
-  punctuation  it has at least ``OPEN_WORDS`` words and no sentence mark in it.
-Lines without a word are neither judged nor counted. A document is kept if the base rules hold (at least
+  punctuation  it has at least ``OPEN_WORDS`` words and its paragraph, the lines around it up to blank ones, holds no
+               sentence mark; a line of wrapped prose is only a part of a sentence.
+Words are what stands between ASCII white space, so indents and tabs change nothing. Lines without a word are neither
+judged nor counted. Texts of any length are judged whole. A document is kept if the base rules hold (at least
 ``MIN_WORDS`` words, at most half of them in repeated windows of three) and the failed lines hold at most
 ``MAX_LOST`` of its word characters.
 """
@@ -79,9 +81,22 @@ def repeated_words(words: list[bytes]) -> int:
     return covered
 
 
-def failure(line: str, marked: bool) -> str | None:
-    """The rule a line with at least one word breaks. ``marked``: the document holds symbol characters."""
-    words = line.count(" ") + 1
+def in_sentences(lines: list[str]) -> list[bool]:
+    """For each line whether its paragraph, the lines around it up to blank ones, holds a sentence mark."""
+    found, begin = [False] * len(lines), 0
+    for i, line in enumerate([*lines, ""]):
+        if not line.strip(ASCII_SPACE):
+            found[begin:i] = [any(map(SENTENCE_MARKS.search, lines[begin:i]))] * (i - begin)
+            begin = i + 1
+    return found
+
+
+def failure(line: str, marked: bool, ended: bool) -> str | None:
+    """The rule a line with at least one word breaks.
+
+    ``marked``: the document holds symbol characters; ``ended``: the line's paragraph holds a sentence mark.
+    """
+    words = len(line.encode("utf-8", "surrogatepass").split())
     if SEPARATOR.search(line) and len(SEPARATOR.findall(line)) * 4 >= words:
         return "navigation"
     if words <= 4 and (MENU.fullmatch(line.strip(ASCII_SPACE)) or LINK.fullmatch(line.strip(ASCII_SPACE))):
@@ -92,7 +107,7 @@ def failure(line: str, marked: bool) -> str | None:
         return "symbols"
     if words >= 5 and line.isupper():
         return "shouting"
-    if words >= OPEN_WORDS and not SENTENCE_MARKS.search(line):
+    if words >= OPEN_WORDS and not ended:
         return "punctuation"
     return None
 
@@ -103,12 +118,12 @@ def judge(text: str | None, cleaned: bool) -> Judgement:
     n_symbols, repeated, all_chars = symbols(text), repeated_words(words), word_chars(text)
     failed: Counter = Counter()
     seen: set[str] = set()
-    kept_lines, lost = [], 0
-    for line in text.split("\n"):
+    kept_lines, lost, lines = [], 0, text.split("\n")
+    for line, ended in zip(lines, in_sentences(lines)):
         if not line.strip(ASCII_SPACE):
             kept_lines.append(line)
             continue
-        rule = "repeated" if line in seen else failure(line, n_symbols > 0)
+        rule = "repeated" if line in seen else failure(line, n_symbols > 0, ended)
         if line in seen:
             failed["copies"] += 1
         seen.add(line)
@@ -180,11 +195,15 @@ windows as (select r, unnest(range(1, len(w) - 1)) as pos, unnest([w[i:i + 2] fo
 twice as (select r, pos from (select r, pos, count(*) over (partition by r, g) as n from windows) where n > 1),
 covered as (select r, count(distinct pos + step) as n from twice, (values (0), (1), (2)) s(step) group by r),
 split as (select r, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as nth from d),
+paragraphs as (select *, sum(case when regexp_matches(line, '[^\x20\x09-\x0D]') then 0 else 1 end)
+                      over (partition by r order by nth) as paragraph from split),
+sentences as (select *, bool_or(regexp_matches(line, '{SENTENCE_MARKS.pattern}')) over (partition by r, paragraph) as ended
+              from paragraphs),
 held as (select *, row_number() over (partition by r, line order by nth) > 1 as copy,
-                length(line) - length(replace(line, ' ', '')) + 1 as words,
+                len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as words,
                 length(regexp_replace(line, '{space}', '', 'g')) as chars,
                 length(regexp_replace(line, '[^{SYMBOLS}]', '', 'g')) as symbols
-         from split where regexp_matches(line, '[^\x20\x09-\x0D]')),
+         from sentences where regexp_matches(line, '[^\x20\x09-\x0D]')),
 judged as (select r, copy, chars,
        copy
        or (regexp_matches(line, '{SEPARATOR.pattern}') and len(regexp_extract_all(line, '{SEPARATOR.pattern}')) * 4 >= words)
@@ -192,7 +211,7 @@ judged as (select r, copy, chars,
        or regexp_matches(line, '(?i){BOILERPLATE.pattern}')
        or symbols * 4 >= words
        or (words >= 5 and upper(line) = line and lower(line) <> line)
-       or (words >= {OPEN_WORDS} and not regexp_matches(line, '{SENTENCE_MARKS.pattern}')) as failed
+       or (words >= {OPEN_WORDS} and not ended) as failed
        from held),
 lost as (select r, count(*) filter (where copy) as copies, count(*) filter (where failed) as lines,
                 coalesce(sum(chars) filter (where failed), 0) as chars from judged group by r),

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,6 +65,17 @@ def test_rules_remove_lines_and_reject_losers(spark):
     assert lines.report(frame.limit(0)).count() == 0
 
 
+def test_wrapped_and_indented_prose_keeps_its_text():
+    wrapped = textwrap.fill(" ".join(prose(30)).replace(".", ",").replace("river9,", "river9."), 80)
+    assert any(len(line.split()) >= lines.OPEN_WORDS and "." not in line for line in wrapped.split("\n"))
+    poem = "\n".join(f"{' ' * 24}verse{i} of\tword{i * 3}" for i in range(20))
+    tabbed = "\t".join(f"w{i}" for i in range(60)) + "."
+    for text in (wrapped, poem, tabbed, f"{wrapped}\n\n{poem}\n    TITLE", ("x" * 50 + " y. ") * 20_000):
+        verdict = lines.judge(text, True)
+        assert (verdict.cleaned, verdict.lost_chars) == (text, 0)
+    assert lines.judge("a b c d e f g h i j k l m\n\nEnd.", True).cleaned == "\nEnd."
+
+
 def test_labelled_documents(spark, sf_dir):
     """Every clean labelled document that the base rules pass is kept; of the poor ones none."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
