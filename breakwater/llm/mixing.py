@@ -146,6 +146,7 @@ def draws(
     )
     salted = weights.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     joined = narrow.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(salted, ["source_key", "salt"]).drop("salt")
+    joined = joined.where("quota > 0")  # a source without a quota has no epochs; a sequence to -1 would count down
     epochs = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("quota") / F.col("source_tokens")) - 1)
     keyed = joined.withColumn("epoch", F.explode(epochs)).withColumn(
         "key", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "epoch", "doc_id", "row"), 64 - _KEY_BITS)

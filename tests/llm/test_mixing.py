@@ -101,3 +101,9 @@ def test_mixed_keeps_rows_and_columns(spark, tmp_path):
     assert sorted(map(str, found.collect())) == sorted(map(str, docs.collect()))
     assert mixing.mixed(docs.limit(0), Target(repetition=1.0)).count() == 0
     assert mixing.draws(docs.limit(0), Target(entropy=0.5)).count() == 0
+
+
+def test_no_budget_draws_nothing(spark):
+    docs = spark.createDataFrame([(i, "a b c", f"s{i % 2}") for i in range(6)], "doc_id long, text string, source string")
+    assert mixing.draws(docs, mixing.Target(entropy=1.0), budget=0).count() == 0
+    assert mixing.mixed(docs, mixing.Target(entropy=1.0), budget=0).columns == docs.columns
