@@ -3,7 +3,7 @@
 A paragraph (a line) is hashed into two wide vectors, a fingerprint is their sum over the paragraphs:
   ``EXACT`` lanes modulo 2^64, cut from one long digest of the paragraph. Equal multisets of paragraphs give
   equal sums, whatever their order; anything else collides only by the chance of the digest.
-  ``SOFT`` lanes modulo 2^20, in which every run of two words of the paragraph adds +1 or -1. Products of two
+  ``SOFT`` lanes modulo 2^40, which no text's number of runs reaches, in which every run of two words of the paragraph adds +1 or -1. Products of two
   such sums estimate how many runs two documents share, with a relative error of about 1 / sqrt(SOFT).
 Sums only need adding: a paragraph is inserted by adding its vectors and deleted by subtracting them, and
 fingerprints of parts add up to the fingerprint of the whole.
@@ -23,7 +23,7 @@ from breakwater.llm.common import shuffle_width
 from breakwater.llm.words import WordNumbers, mixed, shingles, split_words
 
 # Parameters: lanes of each kind, bits of a soft lane, words of a run.
-EXACT, SOFT, SOFT_BITS, RUN = 8, 128, 20, 2
+EXACT, SOFT, SOFT_BITS, RUN = 8, 128, 40, 2
 _TURNS = np.arange(1, SOFT // 64 + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
 
 

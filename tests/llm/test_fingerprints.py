@@ -75,3 +75,10 @@ def test_general_interface(spark):
     docs = spark.createDataFrame([("a\nb",), ("b\na",), (None,)], "text string")
     found = [r.fingerprint for r in fp.added(docs).collect()]
     assert found[0] == found[1] == of("a\nb").text() and found[2] == of("").text()
+
+
+def test_very_long_repeats_do_not_wrap():
+    numbers = WordNumbers()
+    whole, half = (fp.fingerprint("a " * n, numbers) for n in (600_002, 300_002))
+    assert abs(whole.likeness(half) - 0.5) < 0.01
+    assert fp.Fingerprint.parse(whole.text()) == whole
