@@ -30,7 +30,9 @@ class Kind(NamedTuple):
     needs: tuple[str, ...] = ()
 
 
-# Kinds in the order they are listed, the base ones first.
+# Kinds in the order they are listed, the base ones first. A private key goes on to its END line, through
+# lines of base64 and headers; one that is cut off ends with its last line of base64.
+KEY_BODY = r"[\x20\t\r\nA-Za-z0-9+/=:,-]"
 BASE = (
     Kind("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?""", "[A-Za-z0-9+/_.=-]+", 6),
     Kind("access", "AKIA", "[A-Z0-9]{16,}"),
@@ -39,14 +41,15 @@ BASE = (
 WIDER = (
     Kind("upperhex", "", "[0-9A-F]{24,}", needs=("[0-9]", "[A-F]")),
     Kind("mixed", "", "[A-Za-z0-9+/_-]{24,}", needs=("[0-9]", "[A-Z]", "[a-z]")),
-    Kind("private", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[\x20\r\n]*", "[A-Za-z0-9+/=]+", 16),
-    Kind("login", r"://[^\x20\t\r\n/:@]{1,64}:", r"[^\x20\t\r\n/:@]{3,64}@"),
+    Kind("private", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", rf"(?:{KEY_BODY}*?-----END [A-Z ]{{0,40}}PRIVATE KEY-----|[\r\nA-Za-z0-9+/=]+)", 16),
+    Kind("login", r"://[^\x20\t\r\n/:@]+:", r"[^\x20\t\r\n/:@]{3,}@"),
 )
 KINDS = BASE + WIDER
 MASK = "[SECRET]"
 
-# Parameters: a value of at most so many owners looks live; ways in which a hot value or text is split for a join.
-MAX_OWNERS, SALTS = 2, 16
+# Parameters: a value of at most so many owners and repositories looks live; ways in which a hot value or text is split
+# for a join.
+MAX_OWNERS, MAX_REPOSITORIES, SALTS = 2, 4, 16
 
 
 _HITS = "array<struct<kind:int,place:int,gap:bigint,size:bigint,value:string>>"
@@ -97,10 +100,11 @@ def ownership(values: DataFrame) -> DataFrame:
 
 
 def _judged(spans: DataFrame, frequencies: DataFrame, salt: Column) -> DataFrame:
-    """Spans with owners and repositories of their value, without wider kinds of many owners."""
+    """Spans with owners and repositories of their value and whether it looks live, without copied values of wider kinds."""
     salted = frequencies.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     joined = spans.withColumn("salt", salt).join(salted, ["value", "salt"]).drop("salt")
-    return joined.where((F.col("kind") < len(BASE)) | (F.col("owners") <= MAX_OWNERS))
+    live = (F.col("owners") <= MAX_OWNERS) & (F.col("repositories") <= MAX_REPOSITORIES)
+    return joined.withColumn("live", live).where((F.col("kind") < len(BASE)) | F.col("live"))
 
 
 def _column(docs: DataFrame, name: str) -> Column:
@@ -115,7 +119,7 @@ def found_secrets(docs: DataFrame, text: str = "text", owner: str = "source", la
     """Documents by row number, and their secrets.
 
     The first has ``row, doc_id`` for every row of ``docs``; the second ``row, doc_id, kind, start, end, value,
-    owners, repositories``, positions in code points. An owner is a source, a repository a source's part in one
+    owners, repositories, live``, positions in code points. An owner is a source, a repository a source's part in one
     language. Texts are read once; what was found is stored.
     """
     repository = _repository(docs, owner, language)
@@ -150,10 +154,10 @@ def report(docs: DataFrame) -> DataFrame:
     Null and empty texts have none; repeated rows are reported each; extra columns are not read.
     """
     rows, spans = found_secrets(docs)
-    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,owners:bigint>>").alias("spans")
+    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,live:boolean>>").alias("spans")
     # All spans of one text: no more than the text has room for.
     grouped = spans.groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct("start", "kind", "end", "owners"))).alias("spans")
+        F.array_sort(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("spans")
     )
     without = rows.where("not has_hits").select("row", "doc_id", none)
     # Rows whose hits all fell away are in neither; an outer join among rows with hits keeps them.
@@ -165,30 +169,44 @@ def report(docs: DataFrame) -> DataFrame:
         *[_count_of(i).alias(f"n_{kind.name}") for i, kind in enumerate(BASE)],
         F.sha2(_joined(base), 256).alias("base_sha256"),
         _joined(F.col("spans")).alias("spans"),
-        F.size(F.filter("spans", lambda s: s["owners"] <= MAX_OWNERS)).cast("long").alias("n_live"),
-        F.size(F.filter("spans", lambda s: s["owners"] > MAX_OWNERS)).cast("long").alias("n_examples"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+        F.size(F.filter("spans", lambda s: ~s["live"])).cast("long").alias("n_examples"),
     )
 
 
-def masked(docs: DataFrame) -> DataFrame:
+def _candidate(text: Column) -> Column:
+    """Whether a text holds a match of any kind."""
+    found = F.lit(False)
+    for kind in KINDS:
+        found = found | text.rlike(kind.head + kind.value)
+    return F.coalesce(found, F.lit(False))
+
+
+def _holders(docs: DataFrame, *columns: Column) -> DataFrame:
+    """``owner, repository, hits`` and the given columns of the rows that hold a match."""
+    owner, repository = _column(docs, "source").alias("owner"), _repository(docs, "source", "lang").alias("repository")
+    return docs.where(_candidate(F.col("text"))).select(*columns, owner, repository, _hits(F.col("text")).alias("hits"))
+
+
+def _values(holders: DataFrame) -> DataFrame:
+    return holders.select("owner", "repository", F.explode("hits.value").alias("value")).where(F.col("value").isNotNull())
+
+
+def masked(docs: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
     """``docs`` with every secret's span replaced by ``MASK``, ``n_chars`` following; all rows and columns stay.
 
-    What is masked depends on the text and the owners of its values alone, so spans are found once for each
-    distinct text; only texts that hold a candidate are moved.
+    What is masked depends on the text and the holders of its values alone, so spans are found once for each
+    distinct text; only texts that hold a candidate are moved. Holders are counted in ``docs`` and, where given, in
+    ``corpus``: documents as they were before copies left, so that an example copied by many owners stays one.
     """
-    candidate = F.lit(False)
-    for kind in KINDS:
-        candidate = candidate | F.col("text").rlike(kind.head + kind.value)
-    candidate = F.coalesce(candidate, F.lit(False))
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    own = docs.select(whole, F.col("text"), candidate.alias("candidate"))
+    own = docs.select(whole, F.col("text"), _candidate(F.col("text")).alias("candidate"))
     digest = F.sha2("text", 256).alias("digest")
-    hit = docs.where(candidate)
-    repository = _repository(docs, "source", "lang")
-    owner = _column(docs, "source").alias("owner")
-    narrow = stored(hit.select(digest, owner, repository.alias("repository"), _hits(F.col("text")).alias("hits")))
+    narrow = stored(_holders(docs, digest))
     values = narrow.groupBy("digest", "owner", "repository").agg(F.any_value("hits").alias("hits"))
-    held = values.select("owner", "repository", F.explode("hits.value").alias("value")).where(F.col("value").isNotNull())
+    held = _values(values)
+    if corpus is not None:
+        held = held.unionByName(_values(_holders(corpus)))
     texts = values.groupBy("digest").agg(F.any_value("hits").alias("hits"))
     spans = _judged(_spans(texts, ["digest"]), ownership(held), F.pmod(F.xxhash64("digest"), F.lit(SALTS)).cast("int"))
     by_text = spans.groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
@@ -236,13 +254,15 @@ def _sql() -> str:
 with d as (select row_number() over () as r, * from documents),
 hits as ({' union all '.join(hits)}),
 spans as (select * from (select *, sum(gap + size) over (partition by r, k order by pos) as e from hits) where v is not null),
-owned as (select v, count(distinct coalesce(source, chr(1))) as owners from spans group by v),
-judged as (select r, k, kind, cast(e - size as bigint) as s, cast(e as bigint) as e, owners
-           from spans join owned using (v) where k < {len(BASE)} or owners <= {MAX_OWNERS}),
+owned as (select v, count(distinct coalesce(source, chr(1))) <= {MAX_OWNERS}
+                 and count(distinct coalesce(source, chr(1)) || chr(2) || coalesce(lang, '?')) <= {MAX_REPOSITORIES} as live
+          from spans group by v),
+judged as (select r, k, kind, cast(e - size as bigint) as s, cast(e as bigint) as e, live
+           from spans join owned using (v) where k < {len(BASE)} or live),
 told as (select r, {counts},
                 string_agg(kind || ':' || s || ':' || e, ',' order by s, k) filter (where k < {len(BASE)}) as base,
                 string_agg(kind || ':' || s || ':' || e, ',' order by s, k) as spans,
-                count(*) filter (where owners <= {MAX_OWNERS}) as n_live, count(*) filter (where owners > {MAX_OWNERS}) as n_examples
+                count(*) filter (where live) as n_live, count(*) filter (where not live) as n_examples
          from judged group by r)
 select doc_id, {', '.join(f'coalesce(n_{k.name}, 0) as n_{k.name}' for k in BASE)}, sha256(coalesce(base, '')) as base_sha256,
        coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live, coalesce(n_examples, 0) as n_examples

@@ -29,9 +29,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in the texts; every document stays."""
+    """Secrets are masked in the texts, their holders counted before copies went; every document stays."""
     prepare(spark)
-    return secrets.masked(docs)
+    return secrets.masked(docs, table(spark, sf_dir, "documents"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

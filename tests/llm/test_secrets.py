@@ -77,3 +77,30 @@ def test_masked(spark):
         (4, "[SECRET]😀[SECRET]", 17),
     ]))
     assert secrets.masked(docs.limit(0)).count() == 0 and secrets.report(docs.limit(0)).count() == 0
+
+
+KEY = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n" + "\n".join(("Ab9/" * 16, "Qz7+" * 16, "xy==")) + "\n-----END RSA PRIVATE KEY-----"
+
+
+def test_whole_keys_and_long_logins_are_masked(spark):
+    cut = KEY.partition("\n\n")[2].partition("\n---")[0]
+    rows = [
+        (1, f"before\n{KEY}\nafter it", "a"),
+        (2, "http://" + "u" * 90 + ":" + "p" * 70 + "@host/ ok", "a"),
+        (3, f"-----BEGIN PRIVATE KEY-----\n{cut}\n\nThe end. -----", "a"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in secrets.masked(docs).collect()}
+    assert got[1] == "before\n[SECRET]\nafter it"
+    assert got[2] == "http[SECRET]host/ ok"
+    assert got[3].startswith("[SECRET]") and "Ab9/" not in got[3] and got[3].endswith(" end. -----")
+
+
+def test_repositories_count_and_holders_before_copies_left(spark):
+    key, own = "Zx9" * 9, "Qw8" * 9
+    rows = [(i, f"see {key}", "s", f"l{i}") for i in range(5)] + [(9, f"my {own}", "s", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    assert {r.doc_id for r in secrets.report(docs).where("n_live > 0").collect()} == {9}
+    left = docs.where("doc_id in (0, 9)")
+    assert {r.doc_id: r.text for r in secrets.masked(left).collect()} == {0: "see [SECRET]", 9: "my [SECRET]"}
+    assert {r.doc_id: r.text for r in secrets.masked(left, docs).collect()} == {0: f"see {key}", 9: "my [SECRET]"}
