@@ -172,7 +172,8 @@ def document_shards(docs: DataFrame, shards: int = 16) -> DataFrame:
             F.monotonically_increasing_id().alias("_place"),
         ).withColumn("_size", logarithm(F.col("size")))
     )
-    dimensions = ["text_crc32", "_size", *[c for c in ("_source", "_lang") if c in narrow.columns]]
+    # The digest comes last: of dimensions of equal spread the first is cut, and a digest says nothing of a document.
+    dimensions = ["_size", *[c for c in ("_source", "_lang") if c in narrow.columns], "text_crc32"]
     placed = split(narrow, dimensions, "size", shards, group="text_crc32", row="_place")
     return numbered(placed, "shard", "_part", "_place").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
