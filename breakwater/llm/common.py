@@ -54,9 +54,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one of its own where the session names none, as in tests."""
+    """The folder all executors share; where a local session names none, as in tests, a temporary one of its own."""
     place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if place is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         place = tempfile.mkdtemp(prefix="breakwater-shared-")
         spark.sparkContext.setCheckpointDir(place)
     return place.rstrip("/")
