@@ -10,7 +10,8 @@ verifies those pairs and joins them into components. The second does so in token
 with up to ``HUBS`` nodes of each, chosen by hash: of those that may link a node takes the nearest and the first. So a
 group of near copies becomes one component also where most of its pairs miss the threshold. The third joins the rows of
 one token across two components, and verifies what is left. Pairs inside a component change no component, so the
-components are exact; no group of copies is expanded into its pairs.
+components are exact; no group of copies is expanded into its pairs. From the second pass on, tokens that the same
+nodes hold are one token of their number, so a pair is met once for all of them.
 
 Filters stand inside the joins, so that pairs which cannot link are never made into rows. One is by parities: a set's
 tokens are dealt to bits and a bit tells whether an odd number of them fell on it. A token that only one of two sets has
@@ -39,8 +40,8 @@ COUNTERS, SLICES, FAN, GATHERED = 1 << 18, 16, 32, 500_000
 # The greatest l, and costs of a prefix row, of a row met on the way and of a verified candidate.
 MOST_MATCHES, ROW_COST, MEET_COST, VERIFY_COST = 4, 1.0, 1.0, 20.0
 # Pairs of one node verified in one task before it is split; 64-bit numbers of a set's parities; nodes of a token that
-# the others of it are compared with before components are.
-STAR, PARITIES, HUBS = 500, 16, 48
+# the others of it are compared with before components are; nodes of a token up to which they meet without parities.
+STAR, PARITIES, HUBS, PLAIN = 500, 16, 48, 8
 
 
 class Tokens:
@@ -342,6 +343,17 @@ class Join:
         )
         return ends.where("lo <> hi").drop("lo", "hi")
 
+    def classes(self, mixed: DataFrame) -> DataFrame:
+        """Rows of :meth:`still_mixed` with the tokens that the same nodes hold as one: ``weight`` tokens, the first ``place``.
+
+        Holders are told apart by a hash; tokens that it takes for one meet more pairs than they must, never fewer.
+        """
+        holders = F.bit_xor(F.xxhash64("node")).over(Window.partitionBy("token"))
+        rows = mixed.select(holders.alias("holders"), "node", "component", "n", *_unpacked())
+        first = [F.any_value(c).alias(c) for c in ("component", "size", "matches")]
+        found = rows.groupBy("holders", "n", "node").agg(F.min("place").alias("place"), F.count("*").alias("weight"), *first)
+        return found.withColumnRenamed("holders", "token")
+
     def _met(self, left: DataFrame, right: DataFrame, other: Column) -> DataFrame:
         """Rows of one token that may link: of two components, of fitting sizes and places, of near parities if they have them."""
         own = [c for c in left.columns if c != "token"]
@@ -383,11 +395,12 @@ class Join:
         rows = mixed.join(main, "token").withColumn("is_main", F.col("component") == F.col("main")).drop("main")
         once = F.col("other_is_main") | (F.col("node") < F.col("other_node"))
         met = []
-        for kind in (rows.where(F.col("n") <= HUBS).drop("n"), self._with_parity(rows.where(F.col("n") > HUBS).drop("n"))):
+        for kind in (rows.where(F.col("n") <= PLAIN).drop("n"), self._with_parity(rows.where(F.col("n") > PLAIN).drop("n"))):
             found = self._met(kind.where("not is_main"), kind, once)
             enough = F.least("matches", "other_matches").alias("enough")
-            met.append(found.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"), enough))
-        pairs = met[0].unionByName(met[1]).groupBy("a", "b").agg(F.count("*").alias("n"), F.any_value("enough").alias("enough"))
+            weight = F.greatest("weight", "other_weight").alias("weight")
+            met.append(found.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"), enough, weight))
+        pairs = met[0].unionByName(met[1]).groupBy("a", "b").agg(F.sum("weight").alias("n"), F.any_value("enough").alias("enough"))
         before = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         return pairs.where("n >= enough").select("a", "b").join(before, ["a", "b"], "left_anti")
 
@@ -396,7 +409,7 @@ class Join:
         shared = self.shared_tokens()
         tried = stored(self.stars(shared))
         found = stored(graph.components(self.verified(tried)))
-        mixed = stored(self.still_mixed(shared, found).select("token", "node", "component", "n", *_unpacked()))
+        mixed = stored(self.classes(self.still_mixed(shared, found)))
         near = stored(self.near_hubs(mixed))
         # Components of components: their stars stand for the links that made them.
         found = stored(graph.components(self.verified(near).unionByName(_stars(found))))
