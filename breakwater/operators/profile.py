@@ -51,9 +51,12 @@ def distribution(t: Tables, table: str, column: str) -> DataFrame:
 
 def cvss_v3_stats(t: Tables) -> DataFrame:
     """Smallest, largest, average and exact median score."""
-    histogram = (
-        t["vulnerabilities"].where(F.col("cvssV3Score").isNotNull()).groupBy("cvssV3Score").agg(F.count("*").alias("n"))
-    )
+    rows = t["vulnerabilities"].where(F.col("cvssV3Score").isNotNull())
+    return score_stats(rows.groupBy("cvssV3Score").agg(F.count("*").alias("n")))
+
+
+def score_stats(histogram: DataFrame) -> DataFrame:
+    """The same from ``cvssV3Score, n``, one row per score."""
     return histogram.agg(
         F.min("cvssV3Score").alias("min_score"),
         F.max("cvssV3Score").alias("max_score"),
@@ -96,12 +99,12 @@ def cloud_assets(t: Tables) -> DataFrame:
 
 
 # Blocks of the profile and the columns they need.
-_UNIQUES = {
+UNIQUES = {
     "vulnerabilities": {"unique_assets": "assetId", "unique_vulnerabilities": "vulnId"},
     "assets": {"unique_assets": "assetId"},
     "asset_software": {"unique_assets": "assetId"},
 }
-_DISTRIBUTIONS = {
+DISTRIBUTIONS = {
     ("vulnerabilities", "severity"): "severity_distribution",
     ("assets", "osFamily"): "os_family_distribution",
     ("policies", "finalStatus"): "finalStatus_distribution",
@@ -118,10 +121,10 @@ _FINDING_BLOCKS: dict[str, tuple[Callable[[Tables], DataFrame], tuple[str, ...]]
 def blocks(t: Tables) -> dict[tuple[str, str], DataFrame]:
     """Every block that the loaded tables and their columns allow, not yet run."""
     found: dict[tuple[str, str], DataFrame] = {}
-    for table, uniques in _UNIQUES.items():
+    for table, uniques in UNIQUES.items():
         if table in t and set(uniques.values()) <= set(t[table].columns):
             found[table, "unique"] = unique_counts(t, table, **uniques)
-    for (table, column), name in _DISTRIBUTIONS.items():
+    for (table, column), name in DISTRIBUTIONS.items():
         if table in t and column in t[table].columns:
             found[table, name] = distribution(t, table, column)
     for name, (block, needed) in _FINDING_BLOCKS.items():
@@ -137,16 +140,20 @@ def profile(t: Tables) -> dict[str, dict[str, Any]]:
     low-cardinality column. As before, an average or median of exactly 0 shows
     as None; the DataFrame blocks keep the true 0. Exceptions have no profile.
     """
-    result: dict[str, dict[str, Any]] = {}
-    if any(name in t for name in KNOWN_TABLES):
-        for row in total_rows(t).collect():
-            if row.table_name != "vulnerability_exceptions":
-                result[row.table_name] = {"total_rows": row.total_rows}
+    loaded = any(name in t for name in KNOWN_TABLES)
+    return nested({row.table_name: row.total_rows for row in total_rows(t).collect()} if loaded else {}, blocks(t))
+
+
+def nested(rows_of: dict[str, int], found: dict[tuple[str, str], DataFrame]) -> dict[str, dict[str, Any]]:
+    """Rows of the tables and their blocks as nested dicts."""
+    result: dict[str, dict[str, Any]] = {
+        table: {"total_rows": rows} for table, rows in rows_of.items() if table != "vulnerability_exceptions"
+    }
 
     def shown(value: float | None, digits: int) -> float | None:
         return round(value, digits) if value else None
 
-    for (table, name), frame in blocks(t).items():
+    for (table, name), frame in found.items():
         section, rows = result[table], frame.collect()
         if name == "unique":
             section.update(rows[0].asDict())

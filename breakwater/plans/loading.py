@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from breakwater.operators import derived
+from breakwater.operators import derived, growing
 from breakwater.plans import driver_views
 from breakwater.plans.analyses import AS_OF
 from breakwater.plans.guard import GuardedSql
@@ -307,6 +307,63 @@ _INTERLEAVED_SQL = """
     from lineitem where l_orderkey % 4 > 0 group by all"""
 
 
+_GROWN = ("vulnerabilities", "assets", "policies", "vulnerability_remediation", "asset_software")
+_GROWN_COLUMNS = {
+    "vulnerabilities": ("assetId", "vulnId", "severity", "cvssV3Score", "hasExploits", "epssscore", "awsInstanceId", "azureResourceId", "gcpObjectId"),
+    "assets": ("assetId", "osFamily"),
+    "policies": ("assetId", "finalStatus", "source"),
+    "vulnerability_remediation": ("assetId", "cvssV3Severity"),
+    "asset_software": ("assetId",),
+}
+
+
+def grown_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile after a snapshot and an append: summaries of two parts of each table, added."""
+    place, views = _scratch(spark), driver_views.tables(spark, sf_dir)
+    with _scratch_database(spark) as database:
+        for step in range(2):
+            for table in _GROWN:
+                rows = views[table].select(*_GROWN_COLUMNS[table])
+                own = rows.where(F.pmod(F.xxhash64("assetId"), F.lit(2)) == step)
+                part = versions.write_part(spark, database, table, own.withColumn(versions.LOAD, F.lit(str(step))), str(step))
+                versions.commit(spark, database, table, lambda now, part=part: [*(now.parts if now else ()), part])
+            growing.blocks(spark, database)
+        shown = growing.as_rows(spark, database)
+        return _kept(shown.withColumn("value", F.round("value", 6)))
+
+
+def _grown_sql() -> str:
+    counts = [(t, "rows", "total_rows", "count(*)") for t in _GROWN]
+    counts += [
+        ("vulnerabilities", "unique", "unique_assets", "count(distinct assetId)"),
+        ("vulnerabilities", "unique", "unique_vulnerabilities", "count(distinct vulnId)"),
+        ("assets", "unique", "unique_assets", "count(distinct assetId)"),
+        ("asset_software", "unique", "unique_assets", "count(distinct assetId)"),
+        ("vulnerabilities", "cvss_v3_stats", "min_score", "min(cvssV3Score)"),
+        ("vulnerabilities", "cvss_v3_stats", "max_score", "max(cvssV3Score)"),
+        ("vulnerabilities", "cvss_v3_stats", "avg_score", "avg(cvssV3Score)"),
+        ("vulnerabilities", "cvss_v3_stats", "median_score", "median(cvssV3Score)"),
+        ("vulnerabilities", "exploit_stats", "with_exploits", "count(*) filter (where hasExploits)"),
+        ("vulnerabilities", "exploit_stats", "high_epss", "count(*) filter (where epssscore > 0.5)"),
+        ("vulnerabilities", "exploit_stats", "avg_epss", "avg(epssscore)"),
+        ("vulnerabilities", "cloud_distribution", "aws_rows", "count(awsInstanceId)"),
+        ("vulnerabilities", "cloud_distribution", "azure_rows", "count(azureResourceId)"),
+        ("vulnerabilities", "cloud_distribution", "gcp_rows", "count(gcpObjectId)"),
+    ]
+    groups = [
+        ("vulnerabilities", "severity_distribution", "severity"), ("assets", "os_family_distribution", "osFamily"),
+        ("policies", "finalStatus_distribution", "finalStatus"), ("policies", "source_distribution", "source"),
+        ("vulnerability_remediation", "severity_distribution", "cvssV3Severity"),
+    ]
+    start = "select '{}' as table_name, '{}' as block, "
+    each = [(start + "'{}' as item, round(cast({} as double), 6) as value from {}").format(*row, row[0]) for row in counts]
+    each += [
+        (start + "cast({} as varchar) as item, cast(count(*) as double) as value from {} where {} is not null group by {}").format(t, b, c, t, c, c)
+        for t, b, c in groups
+    ]
+    return driver_views.with_views("\nunion all ".join(each))
+
+
 def sniffed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of a folder loaded by what their columns look like; one of them looks like nothing known."""
     place = _scratch(spark)
@@ -575,6 +632,7 @@ CHECKS: dict[str, Check] = {
     "combined_types": Check(combined_types, _COMBINED_SQL),
     "exact_types": Check(exact_types, _EXACT_SQL),
     "interleaved_loads": Check(interleaved_loads, _INTERLEAVED_SQL),
+    "grown_profile": Check(grown_profile, _grown_sql()),
     "sniffed_files": Check(sniffed_files, _SNIFFED_FILES_SQL),
     "json_files": Check(json_files, _JSON_FILES_SQL),
     "eol_by_version": Check(eol_versions, _EOL_VERSIONS_SQL),

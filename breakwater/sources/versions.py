@@ -131,6 +131,19 @@ def _quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
+def write_summary(spark: SparkSession, database: str, part: str, kind: str, frame: DataFrame) -> None:
+    """Write what a part's rows add up to beside it. It counts once the part names it; of two writers either is right."""
+    name = f"{part}__{kind}_{uuid.uuid4().hex[:8]}"
+    frame.write.format("parquet").saveAsTable(f"{database}.{name}")
+    spark.sql(f"ALTER TABLE {database}.{part} SET TBLPROPERTIES ('breakwater.{kind}' = '{name}')")
+
+
+def summary(spark: SparkSession, database: str, part: str, kind: str) -> DataFrame | None:
+    """What ``write_summary`` wrote of a part; None if nothing has been written yet."""
+    name = _properties(spark, f"{database}.{part}").get(f"breakwater.{kind}")
+    return None if name is None else spark.table(f"{database}.{name}")
+
+
 def drop_part(spark: SparkSession, database: str, part: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {database}.{part}")
 
@@ -351,9 +364,10 @@ def drop_versions(spark: SparkSession, database: str, table: str, older_than: ti
     dropped = 0
     for row in spark.sql(f"SHOW TABLES IN {database} LIKE '{table}__*'").collect():
         name, _, rest = row.tableName.partition("__")
-        if name == table and rest[:1].isdigit() and row.tableName not in kept and rest.split("_")[0] <= mark:
+        part = f"{name}__{rest.partition('__')[0]}"  # summaries of a part carry its name and go with it
+        if name == table and rest[:1].isdigit() and part not in kept and rest.split("_")[0] <= mark:
             drop_part(spark, database, row.tableName)
-            dropped += 1
+            dropped += row.tableName == part
     return dropped
 
 
