@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +31,15 @@ def _is_prefix(short: Column, long: Column) -> Column:
     return F.slice(long, F.lit(1), F.size(short)) == short
 
 
+def _keyed(rows: DataFrame, version: str) -> DataFrame:
+    """``rows`` of a count ``_n`` with ``_at``, the key of their version; those whose version has none drop out.
+
+    The key depends on the count, so the optimizer cannot move it below the aggregation that counts, where it would be
+    worked out for every row instead of for each different version.
+    """
+    return rows.withColumn("_at", F.when(F.col("_n") > 0, release_key(version))).where("_at is not null").drop("_n")
+
+
 def as_of(points: DataFrame, entries: DataFrame, by: list[str], at: str, value: str) -> DataFrame:
     """``points`` with ``value`` of the last of ``entries`` at or before ``at`` of the same ``by``; NULL before the first.
 
@@ -48,14 +60,15 @@ def longest_entry(points: DataFrame, entries: DataFrame, on: list[str], version:
     version begins with, each leads to the next; the last entry before the version knows all that lead to it, and among
     those are all that the version begins with.
     """
-    listed = entries.where(release_key(version).isNotNull()).groupBy(*on, release_key(version).alias("_at"))
-    listed = listed.agg(F.max(value).alias(value), F.min(version).alias("entry"))
+    once = entries.groupBy(*on, version).agg(F.max(value).alias(value), F.count("*").alias("_n"))
+    listed = _keyed(once, version).groupBy(*on, "_at").agg(F.max(value).alias(value), F.min(version).alias("entry"))
     item = F.struct(F.size("_at").alias("length"), F.col("_at").alias("key"), F.col("entry"), F.col(value))
     lengths = F.explode(F.sequence(F.lit(1), F.size("_at")))
     starts = listed.select(*on, "_at", lengths.alias("_length")).withColumn("_start", F.slice("_at", F.lit(1), F.col("_length")))
     leads = starts.join(listed.select(*on, F.col("_at").alias("_start"), item.alias("_lead")), [*on, "_start"])
     chains = leads.groupBy(*on, "_at").agg(F.sort_array(F.collect_list("_lead")).alias("_chain"))
-    different = points.select(*on, version).distinct().withColumn("_at", release_key(version)).where("_at is not null")
+    given = reduce(and_, [F.col(c).isNotNull() for c in (*on, version)])  # others meet nothing; said here, one scan serves twice
+    different = _keyed(points.where(given).groupBy(*on, version).agg(F.count("*").alias("_n")), version)
     met = as_of(different.select(*on, "_at").distinct(), chains, on, "_at", "_chain")
     fitting = F.filter("_chain", lambda lead: _is_prefix(lead["key"], F.col("_at")))
     found = met.withColumn("_best", F.try_element_at(fitting, F.lit(-1))).where("_best is not null")

@@ -131,3 +131,15 @@ def test_settings():
 def test_a_full_sort_does_not_repeat_the_scan(no_broadcast, stored):
     plan = plan_of(no_broadcast, vulnerabilities.cve_search(stored, "%x%"))
     assert re.search(r"Exchange rangepartitioning.*\n.*Exchange hashpartitioning\(assetId", plan)
+
+
+def test_versions_are_taken_apart_once_each(no_broadcast, tmp_path):
+    """Keys of versions are made of different versions, after the rows of each have been counted; not of every row."""
+    no_broadcast.sql("select 'os' as product, '7.9.' || id % 3 as version from range(9) union all select null, null").write.parquet(str(tmp_path / "i"))
+    no_broadcast.sql("select 'os' as product, '7.9' as version, date'2020-01-01' as eol_date").write.parquet(str(tmp_path / "e"))
+    installed, listed = (no_broadcast.read.parquet(str(tmp_path / name)) for name in ("i", "e"))
+    found = derived.eol_by_version(installed, listed, ["product"], "version", "2025-01-01")
+    lines = plan_of(no_broadcast, found).splitlines()
+    scans = [i for i, line in enumerate(lines) if "FileScan" in line]
+    assert len(scans) > 2 and not any("regexp" in line for i in scans for line in lines[i - 2 : i + 1])
+    assert any("regexp" in line for line in lines) and found.count() == 9
