@@ -12,6 +12,7 @@ distribution are left out, a column that a part lacks is NULL there, and a table
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Any
 
@@ -142,10 +143,11 @@ def blocks(spark: SparkSession, database: str) -> tuple[dict[str, int], dict[tup
     loaded = Tables.from_catalog(spark, database)
     rows_of: dict[str, int] = {}
     found: dict[tuple[str, str], DataFrame] = {}
-    for table in KNOWN_TABLES:
-        if table not in loaded:
-            continue
-        summarise(spark, database, table)
+    tables = [table for table in KNOWN_TABLES if table in loaded]
+    # Tables do not depend on each other, so the last tasks of one leave no cores idle.
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        list(pool.map(lambda table: summarise(spark, database, table), tables))
+    for table in tables:
         version = _shown(spark, database, table)
         if version is None:
             own = Tables(**{table: loaded[table]})

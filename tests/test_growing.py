@@ -4,6 +4,7 @@ import pytest
 
 from breakwater import Tables
 from breakwater.operators import growing, profile
+from breakwater.plans import loading
 from breakwater.sources import versions
 from breakwater.sources.catalog import purge
 from breakwater.sources.loader import load
@@ -94,3 +95,30 @@ def test_tables_without_rows_or_parts(spark, database, tmp_path):
     spark.createDataFrame([("a", "Linux"), ("b", None)], "assetId string, osFamily string").write.saveAsTable(f"{database}.assets")
     found = same(spark, database)
     assert found["assets"]["unique_assets"] == 2 and found["vulnerabilities"]["total_rows"] == 0
+
+
+def test_views_are_worked_out_once(spark, monkeypatch):
+    """Both loads of the query read what one run of a view gave; rows without an asset and repeated ones stay."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for row in rows:
+            seen.add(1)
+            yield row
+
+    def made(table):
+        columns = ", ".join(
+            f"cast(null as {kind}) as {c}" for c, kind in (
+                ("vulnId", "string"), ("severity", "string"), ("cvssV3Score", "double"), ("hasExploits", "boolean"), ("epssscore", "double"),
+                ("awsInstanceId", "string"), ("azureResourceId", "string"), ("gcpObjectId", "string"), ("osFamily", "string"),
+                ("finalStatus", "string"), ("source", "string"), ("cvssV3Severity", "string"),
+            )
+        )
+        rows = spark.sql(f"select nullif(concat('a', id % 5), 'a4') as assetId, {columns} from range(20)").select(*loading._GROWN_COLUMNS[table])
+        return spark.createDataFrame(rows.rdd.mapPartitions(counted), rows.schema)
+
+    monkeypatch.setattr(loading.driver_views, "tables", lambda spark, sf_dir: {table: made(table) for table in loading._GROWN})
+    found = {(r.table_name, r.item): r.value for r in loading.grown_profile(spark, "").collect() if r.block in ("rows", "unique")}
+    assert seen.value == 20 * len(loading._GROWN)
+    assert {t: found[t, "total_rows"] for t in loading._GROWN} == dict.fromkeys(loading._GROWN, 20.0)
+    assert found["vulnerabilities", "unique_assets"] == 4 and found["vulnerabilities", "unique_vulnerabilities"] == 0
