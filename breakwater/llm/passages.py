@@ -18,6 +18,7 @@ documents are repeats: the first document keeps its text, the others lose theirs
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 from itertools import groupby
 
 import numpy as np
@@ -60,30 +61,52 @@ def anchors(hashes: np.ndarray) -> np.ndarray:
     if len(hashes) < max(_SPAN, 1):
         return np.zeros(0, np.int64)
     reach = min(REACH, len(hashes))
-    windows = np.lib.stride_tricks.sliding_window_view(hashes[::-1], reach)
-    found = len(hashes) - 1 - np.unique(np.arange(len(windows)) + windows.argmin(axis=1))
-    return found[found <= len(hashes) - _SPAN][::-1]
+    # The last least place of every window, from windows of half the length, which overlap where lengths do not double.
+    at, length = np.arange(len(hashes)), 1
+    while length < reach:
+        step = min(length, reach - length)
+        left, right = at[:-step], at[step:]
+        at, length = np.where(hashes[right] <= hashes[left], right, left), length + step
+    found = at[np.concatenate(([True], at[1:] != at[:-1]))]
+    return found[found <= len(hashes) - _SPAN]
 
 
 class Paragraphs:
-    """Paragraphs of one text: their keys, digests, places and shingles."""
+    """Paragraphs of one text: their keys and shingles; places and digests are worked out where they are asked for."""
 
     def __init__(self, text: str, numbers: WordNumbers):
-        raw = text.encode()
-        words = raw.split()
+        self.raw = text.encode()
+        words = self.raw.split()
         self.hashes = shingles(numbers.of(words), SHINGLE) if len(words) >= PARAGRAPH else np.zeros(0, np.uint64)
         self.at = anchors(self.hashes)
         if not len(self.at):
-            self.keys = self.digests = self.begins = self.ends = self.at
+            self.keys = self.at
             return
         least = np.lib.stride_tricks.sliding_window_view(mixed(self.hashes ^ _SECOND), _SPAN)[self.at].min(axis=1)
         self.keys = mixed(self.hashes[self.at] * np.uint64(3) + least).view(np.int64)
-        begins, ends = _word_places(raw)
-        self.begins, self.ends = begins[self.at], ends[self.at + PARAGRAPH - 1]
-        digests = np.zeros(len(self.at), np.uint64)
+
+    @cached_property
+    def _places(self) -> tuple[np.ndarray, np.ndarray]:
+        begins, ends = _word_places(self.raw) if len(self.at) else (self.at, self.at)
+        return begins[self.at], ends[self.at + PARAGRAPH - 1]
+
+    @property
+    def begins(self) -> np.ndarray:
+        return self._places[0]
+
+    @property
+    def ends(self) -> np.ndarray:
+        return self._places[1]
+
+    @cached_property
+    def digests(self) -> np.ndarray:
+        return self.digests_of(np.arange(len(self.at)))
+
+    def digests_of(self, some: np.ndarray) -> np.ndarray:
+        at, digests = self.at[some], np.zeros(len(some), np.uint64)
         for k in range(0, _SPAN, SHINGLE):  # every SHINGLE-th shingle and the last one have all words between them
-            digests = mixed(digests * np.uint64(3) + self.hashes[self.at + k])
-        self.digests = mixed(digests * np.uint64(3) + self.hashes[self.at + _SPAN - 1]).view(np.int64)
+            digests = mixed(digests * np.uint64(3) + self.hashes[at + k])
+        return mixed(digests * np.uint64(3) + self.hashes[at + _SPAN - 1]).view(np.int64)
 
     def set_of(self, i: int) -> bytes:
         return np.unique(self.hashes[self.at[i] : self.at[i] + _SPAN]).tobytes()
@@ -142,8 +165,8 @@ def _sets(asked: np.ndarray):
             rows, keys, digests, sets = [], [], [], []
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own, seen = Paragraphs(text.as_py() or "", numbers), set()
-                for i in np.flatnonzero(might_hold(asked, _marks(own.keys, row))):
-                    pair = int(own.keys[i]), int(own.digests[i])
+                some = np.flatnonzero(might_hold(asked, _marks(own.keys, row)))
+                for i, pair in zip(some, zip(own.keys[some].tolist(), own.digests_of(some).tolist())):
                     if pair not in seen:
                         seen.add(pair)
                         rows.append(row)

@@ -166,3 +166,30 @@ def test_similar_paragraphs_meet_beside_the_leaders(spark, tmp_path, monkeypatch
     docs = [(i, text) for i, text in enumerate([a] * 3 + [b] * 3 + [c, d])]
     found = {(r.doc_id, r.removed) for r in passages.passages(saved(spark, tmp_path, docs)).collect() if r.doc_id > 5}
     assert len(found) == 2 and {removed for _, removed in found} == {True, False}
+
+
+def plain_anchors(hashes):
+    """The last least place of every window, window by window."""
+    reach, found = min(passages.REACH, len(hashes)), set()
+    for begin in range(len(hashes) - reach + 1) if len(hashes) >= passages._SPAN else ():
+        window = hashes[begin : begin + reach].tolist()
+        found.add(begin + max(k for k, h in enumerate(window) if h == min(window)))
+    return sorted(a for a in found if a + passages._SPAN <= len(hashes))
+
+
+def test_anchors_equal_the_definition():
+    chance = np.random.default_rng(4)
+    for size in [*range(0, 60), 300]:
+        for top in (2, 9, 2**63):
+            hashes = chance.integers(0, top, size).astype(np.uint64)
+            assert passages.anchors(hashes).tolist() == plain_anchors(hashes)
+
+
+def test_sets_are_cut_without_places(monkeypatch):
+    """The second reading of the texts asks for sets alone; places and digests of the other paragraphs cost nothing."""
+    text = " ".join(prose(random.Random(2), 300))
+    own = passages.Paragraphs(text, WordNumbers())
+    wanted = passages.Paragraphs(text, WordNumbers()).digests[::3]
+    monkeypatch.setattr(passages, "_word_places", None)
+    assert own.digests_of(np.arange(0, len(own.at), 3)).tolist() == wanted.tolist() and len(own.set_of(0)) == 8 * passages._SPAN
+    assert "digests" not in own.__dict__
