@@ -36,6 +36,14 @@ from breakwater.llm.words import WordNumbers, mixed, shingles
 SHINGLE, PARAGRAPH, REACH, PERCENT, LEADERS, SPLIT = 5, 30, 22, 80, 2, 4000
 _SPAN = PARAGRAPH - SHINGLE + 1
 _SECOND = np.uint64(0xA24BAED4963EE407)
+# Near passages: words of a seed, runs around the least one, least words of a passage, words by which the sides of a
+# passage may be out of step, pairs compared at a time; characters of the texts cut at a time.
+SEED, SEED_REACH, LEAST, SLIP, PAIRS, CHARACTERS = 9, 16, 51, 12, 1000, 1 << 20
+_MARGIN = LEAST - SEED
+_AROUND = 2 * _MARGIN + SEED - SHINGLE + 1  # shingles around a seed, which begins at place ``_MARGIN``
+_SIZE = LEAST - SHINGLE + 1
+_SHARED = -(-2 * PERCENT * _SIZE // (100 + PERCENT))  # shingles that two near passages share at least
+_BASES = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def recall(words: int, kept: float) -> float:
@@ -56,39 +64,61 @@ def _word_places(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return points[np.flatnonzero(edges == 1)], points[np.flatnonzero(edges == -1)]
 
 
-def anchors(hashes: np.ndarray) -> np.ndarray:
-    """Places of the shingles that are least among ``REACH`` neighbours, the last of equal ones, if a paragraph fits."""
-    if len(hashes) < max(_SPAN, 1):
-        return np.zeros(0, np.int64)
-    reach = min(REACH, len(hashes))
-    # The last least place of every window, from windows of half the length, which overlap where lengths do not double.
+def _least_places(hashes: np.ndarray, reach: int) -> np.ndarray:
+    """The last least place of every window, from windows of half the length, which overlap where lengths do not double."""
     at, length = np.arange(len(hashes)), 1
     while length < reach:
         step = min(length, reach - length)
         left, right = at[:-step], at[step:]
         at, length = np.where(hashes[right] <= hashes[left], right, left), length + step
-    found = at[np.concatenate(([True], at[1:] != at[:-1]))]
+    return at
+
+
+def anchors(hashes: np.ndarray) -> np.ndarray:
+    """Places of the shingles that are least among ``REACH`` neighbours, the last of equal ones, if a paragraph fits."""
+    if len(hashes) < max(_SPAN, 1):
+        return np.zeros(0, np.int64)
+    at = _least_places(hashes, min(REACH, len(hashes)))
+    found = at[np.diff(at, prepend=-1) != 0]
     return found[found <= len(hashes) - _SPAN]
 
 
 class Paragraphs:
-    """Paragraphs of one text: their keys and shingles; places and digests are worked out where they are asked for."""
-
-    def __init__(self, text: str, numbers: WordNumbers):
-        self.raw = text.encode()
-        words = self.raw.split()
-        self.hashes = shingles(numbers.of(words), SHINGLE) if len(words) >= PARAGRAPH else np.zeros(0, np.uint64)
-        self.at = anchors(self.hashes)
-        if not len(self.at):
-            self.keys = self.at
-            return
-        least = np.lib.stride_tricks.sliding_window_view(mixed(self.hashes ^ _SECOND), _SPAN)[self.at].min(axis=1)
-        self.keys = mixed(self.hashes[self.at] * np.uint64(3) + least).view(np.int64)
+    """Paragraphs and seeds of texts cut side by side; what else they have is worked out where it is asked for.
+
+    Keys of paragraphs are even, those of seeds odd, so that the two never meet.
+    """
+
+    def __init__(self, texts: str | list[str], numbers: WordNumbers):
+        self.texts = [texts] if isinstance(texts, str) else texts
+        self.raws = [text.encode() for text in self.texts]
+        split = [raw.split() for raw in self.raws]
+        counts = np.array([len(words) for words in split], np.int64)
+        self.words = numbers.of([word for words in split for word in words])
+        last = np.cumsum(counts)
+        self.text, self.first, self.last = (np.repeat(x, counts) for x in (np.arange(len(counts)), last - counts, last))
+        self.left = self.last - np.arange(len(self.words))
+        self.hashes = shingles(self.words, SHINGLE) if len(self.words) >= PARAGRAPH else np.zeros(0, np.uint64)
+        self.at = self._leasts(self.hashes, REACH, SHINGLE, PARAGRAPH)
+        self.at = self.at[self.left[self.at] >= PARAGRAPH]
+        second = mixed(self.hashes ^ _SECOND)
+        least = np.lib.stride_tricks.sliding_window_view(second, _SPAN)[self.at].min(axis=1) if len(self.at) else second[:0]
+        self.keys = (mixed(self.hashes[self.at] * np.uint64(3) + least) & ~np.uint64(1)).view(np.int64)
+
+    def _leasts(self, hashes: np.ndarray, reach: int, size: int, words: int) -> np.ndarray:
+        """Places of runs of ``size`` words that are least among ``reach`` in a text of so many words."""
+        if len(hashes) < reach:
+            return np.zeros(0, np.int64)
+        at, here = _least_places(hashes, reach), slice(0, len(hashes) - reach + 1)
+        at = at[(self.left[here] >= reach + size - 1) & (self.last[here] - self.first[here] >= words)]
+        return at[np.diff(at, prepend=-1) != 0]
 
     @cached_property
     def _places(self) -> tuple[np.ndarray, np.ndarray]:
-        begins, ends = _word_places(self.raw) if len(self.at) else (self.at, self.at)
-        return begins[self.at], ends[self.at + PARAGRAPH - 1]
+        begins, ends = _word_places(b"\n".join(self.raws))
+        sizes = np.array([len(text) + 1 for text in self.texts], np.int64)
+        before = np.repeat(np.cumsum(sizes) - sizes, np.bincount(self.text, minlength=len(sizes)))
+        return (begins - before)[self.at], (ends - before)[self.at + PARAGRAPH - 1]
 
     @property
     def begins(self) -> np.ndarray:
@@ -111,43 +141,101 @@ class Paragraphs:
     def set_of(self, i: int) -> bytes:
         return np.unique(self.hashes[self.at[i] : self.at[i] + _SPAN]).tobytes()
 
+    @cached_property
+    def seeds(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places and keys of seeds, in texts that are long enough for a near passage."""
+        hashes = shingles(self.words, SEED) if len(self.words) >= LEAST else np.zeros(0, np.uint64)
+        at = self._leasts(hashes, SEED_REACH, SEED, LEAST)
+        return at, (mixed(hashes[at]) | np.uint64(1)).view(np.int64)
 
-def _joined(own: Paragraphs) -> tuple[np.ndarray, ...]:
-    """Begins, ends, keys and digests; equal paragraphs that overlap are one, so that a phrase said on and on is one row."""
-    order = np.lexsort((own.begins, own.digests, own.keys))
-    begins, ends, keys, digests = (x[order] for x in (own.begins, own.ends, own.keys, own.digests))
+    def _around(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words within which every passage of ``LEAST`` words lies that holds a seed."""
+        return np.maximum(self.first[at], at - _MARGIN), np.minimum(self.last[at], at + LEAST)
+
+    @cached_property
+    def _sums(self) -> tuple[np.ndarray, np.ndarray]:
+        powers, back = (np.cumprod(np.full(len(self.words), base)) for base in _BASES)
+        return np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(self.words) * powers, dtype=np.uint64))), back
+
+    def surroundings_of(self, some: np.ndarray) -> np.ndarray:
+        """Digests of seeds with the words around them."""
+        at = self.seeds[0][some]
+        (begin, end), (sums, back) = self._around(at), self._sums
+        run = (sums[end] - sums[begin]) * back[begin]
+        return mixed(mixed(run) + ((at - begin) * 1000 + end - begin).astype(np.uint64)).view(np.int64)
+
+    @cached_property
+    def _short(self) -> np.ndarray:
+        return (mixed(self.words) >> np.uint64(32)).astype(np.uint32)
+
+    def words_of(self, i: int) -> bytes:
+        """Words around a seed as 32-bit numbers, after their number before it."""
+        at = self.seeds[0][i : i + 1]
+        begin, end = (int(x[0]) for x in self._around(at))
+        return int(at[0] - begin).to_bytes(4, "little") + self._short[begin:end].tobytes()
+
+
+def _apart(texts: np.ndarray, begins: np.ndarray, ends: np.ndarray, keys: np.ndarray, digests: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Equal runs of a text that overlap are one, so that a phrase said on and on is one row."""
+    order = np.lexsort((begins, digests, keys, texts))
+    texts, begins, ends, keys, digests = (x[order] for x in (texts, begins, ends, keys, digests))
     if not len(order):
-        return begins, ends, keys, digests
-    apart = (keys[1:] != keys[:-1]) | (digests[1:] != digests[:-1]) | (begins[1:] > ends[:-1])
+        return begins, ends, keys, digests, texts
+    apart = (keys[1:] != keys[:-1]) | (digests[1:] != digests[:-1]) | (begins[1:] > ends[:-1]) | (texts[1:] != texts[:-1])
     first = np.flatnonzero(np.concatenate(([True], apart)))
-    return begins[first], np.maximum.reduceat(ends, first), keys[first], digests[first]
+    return begins[first], np.maximum.reduceat(ends, first), keys[first], digests[first], texts[first]
+
+
+def _joined(own: Paragraphs) -> tuple[np.ndarray, ...]:
+    """Begins, ends, keys, digests and texts of paragraphs."""
+    return _apart(own.text[own.at], own.begins, own.ends, own.keys, own.digests)
+
+
+def _joined_seeds(own: Paragraphs) -> tuple[np.ndarray, ...]:
+    """The same of seeds; begins and ends are numbers of words."""
+    at, keys = own.seeds
+    begins = at - own.first[at]
+    return _apart(own.text[at], begins, begins + SEED, keys, own.surroundings_of(np.arange(len(at))))
 
 
 _UNITS = "row long, span long, key long, digest long"
 
 
+def _portions(batch) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """Rows and texts of a batch, a bounded number of characters at a time (or one text)."""
+    rows, texts, size = [], [], 0
+    for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        text = text.as_py() or ""
+        if rows and size + len(text) > CHARACTERS:
+            yield np.array(rows, np.int64), texts
+            rows, texts, size = [], [], 0
+        rows.append(row)
+        texts.append(text)
+        size += len(text)
+    if rows:
+        yield np.array(rows, np.int64), texts
+
+
 def _cut(batches: Iterable) -> Iterator:
-    """``row, text`` to paragraphs; ``span`` has begin and end in its upper and lower half."""
+    """``row, text`` to paragraphs and seeds; ``span`` has begin and end in its upper and lower half, that of a seed its word."""
     import pyarrow as pa
 
     numbers = WordNumbers()
     for batch in batches:
-        rows, columns = batch.column(0).to_pylist(), ([], [], [], [])
-        for row, text in zip(rows, batch.column(1)):
-            begins, ends, keys, digests = _joined(Paragraphs(text.as_py() or "", numbers))
-            parts = (np.full(len(keys), row), begins << 32 | ends, keys, digests)
-            for column, part in zip(columns, parts):
-                column.append(part.astype(np.int64))
-        none = np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *c])) for c in columns], ["row", "span", "key", "digest"])
+        for rows, texts in _portions(batch):
+            own = Paragraphs(texts, numbers)
+            begins, ends, keys, digests, of = _joined(own)
+            words, _, seeds, around, held = _joined_seeds(own)
+            parts = ((rows[of], rows[held]), (begins << 32 | ends, words), (keys, seeds), (digests, around))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p).astype(np.int64)) for p in parts], ["row", "span", "key", "digest"])
 
 
 _ROW_BITS = 38
 
 
-def _marks(keys: np.ndarray, row: int) -> np.ndarray:
-    """One number for a key in a row; the same as ``_mark``."""
-    return (keys.view(np.uint64) ^ np.uint64(row << _ROW_BITS & 0xFFFFFFFFFFFFFFFF)).view(np.int64)
+def _marks(keys: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """One number for each key in a row; the same as ``_mark``."""
+    return keys ^ (rows << _ROW_BITS)
 
 
 def _mark() -> Column:
@@ -162,42 +250,206 @@ def _sets(asked: np.ndarray):
 
         numbers = WordNumbers()
         for batch in batches:
-            rows, keys, digests, sets = [], [], [], []
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own, seen = Paragraphs(text.as_py() or "", numbers), set()
-                some = np.flatnonzero(might_hold(asked, _marks(own.keys, row)))
-                for i, pair in zip(some, zip(own.keys[some].tolist(), own.digests_of(some).tolist())):
-                    if pair not in seen:
-                        seen.add(pair)
-                        rows.append(row)
-                        keys.append(pair[0])
-                        digests.append(pair[1])
-                        sets.append(own.set_of(i))
-            columns = [pa.array(c, pa.int64()) for c in (rows, keys, digests)] + [pa.array(sets, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "key", "digest", "tokens"])
+            for rows, texts in _portions(batch):
+                own, found, seen = Paragraphs(texts, numbers), ([], [], [], []), set()
+                seeds, seed_keys = own.seeds
+                for at, keys, digests_of, set_of in (
+                    (own.at, own.keys, own.digests_of, own.set_of),
+                    (seeds, seed_keys, own.surroundings_of, own.words_of),
+                ):
+                    held = rows[own.text[at]]
+                    some = np.flatnonzero(might_hold(asked, _marks(keys, held)))
+                    for i, unit in zip(some.tolist(), zip(held[some].tolist(), keys[some].tolist(), digests_of(some).tolist())):
+                        if unit not in seen:
+                            seen.add(unit)
+                            for column, part in zip(found, (*unit, set_of(i))):
+                                column.append(part)
+                columns = [pa.array(c, pa.int64()) for c in found[:3]] + [pa.array(found[3], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "key", "digest", "tokens"])
 
     return run
 
 
-def _compare(batches: Iterable) -> Iterator:
-    """Rows by ``key, salt, rank``, leaders first, to the pairs of a leader and a similar paragraph."""
+def _aligned(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles around seeds, a row for each, seeds one below the other; and which of the places have one."""
+    words, sizes = np.zeros((len(tokens), _AROUND + SHINGLE - 1), np.uint64), np.zeros((len(tokens), 2), np.int64)
+    for i, own in enumerate(tokens):
+        own = np.frombuffer(own, np.uint32)
+        begin = _MARGIN - int(own[0])
+        words[i, begin : begin + len(own) - 1] = own[1:]
+        sizes[i] = begin, begin + len(own) - SHINGLE
+    found = np.zeros((len(tokens), _AROUND), np.uint64)
+    for k in range(SHINGLE):
+        found = mixed(found * _SECOND + words[:, k : k + _AROUND] + np.uint64(1))
+    places = np.arange(_AROUND)
+    return found, (places >= sizes[:, :1]) & (places < sizes[:, 1:])
+
+
+def _near(around: tuple[np.ndarray, np.ndarray], one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs hold near passages around their seed, and the passages: begin and end in words from the seed, of both.
+
+    Near are passages of ``LEAST`` words or more whose shingles, in order and as often as they stand, have a Jaccard
+    similarity of ``PERCENT``. Passages end where they begin and end to be alike.
+    """
+    shingled, there = around
+    kept, spans = [], []
+    for low in range(0, len(one), PAIRS):
+        x, y = one[low : low + PAIRS], other[low : low + PAIRS]
+        own, room = shingled[x], ((0, 0), (SLIP, SLIP))
+        theirs, has = np.pad(shingled[y], room), np.pad(there[y], room)
+        place, where = np.arange(_AROUND), np.full(own.shape, -1)
+        for step in sorted(range(-SLIP, SLIP + 1), key=abs):
+            part = slice(SLIP + step, SLIP + step + _AROUND)
+            same = (where < 0) & (own == theirs[:, part]) & has[:, part] & there[x]
+            where = np.where(same, place + step, where)
+            if step == 0 and (where >= 0).all():
+                break
+        before = np.maximum.accumulate(where, axis=1)[:, :-1]
+        where[:, 1:][where[:, 1:] <= before] = -1
+        some = np.flatnonzero((where >= 0).sum(axis=1) >= _SHARED)
+        where = where[some]
+        hit, seed = where >= 0, slice(_MARGIN, _MARGIN + SEED - SHINGLE + 1)
+        some, where, hit = (v[hit[:, seed].all(axis=1)] for v in (some, where, hit))
+        count = np.cumsum(hit, axis=1).astype(np.int16)
+        begin, end = slice(0, _MARGIN + 1), slice(_MARGIN + SEED - SHINGLE, _AROUND)
+        shared = count[:, None, end] - count[:, begin, None] + np.int16(1)
+        width = np.maximum(place[None, end] - place[begin, None] + 1, _SIZE).astype(np.int16)
+        other_width = np.maximum((where[:, None, end] - where[:, begin, None] + 1).astype(np.int16), np.int16(_SIZE))
+        alike = (100 + PERCENT) * shared.astype(np.int32) >= PERCENT * (width + other_width).astype(np.int32)
+        alike &= hit[:, None, end] & hit[:, begin, None]
+        best = np.where(alike, shared, np.int16(0)).reshape(len(some), alike.shape[1] * alike.shape[2])
+        top = best.argmax(axis=1)
+        good = best[np.arange(len(some)), top] > 0
+        some, where, top = some[good], where[good], top[good]
+        begins, ends = top // alike.shape[2], _MARGIN + SEED - SHINGLE + top % alike.shape[2]
+        row = np.arange(len(some))
+        kept.append(low + some)
+        columns = (begins, ends + SHINGLE, where[row, begins], where[row, ends] + SHINGLE)
+        spans.append(np.stack(columns, axis=1) - _MARGIN)
+    if not kept:
+        return np.zeros(0, np.int64), np.zeros((0, 4), np.int64)
+    return np.concatenate(kept), np.concatenate(spans)
+
+
+# Links: what is joined, the nodes that were compared, and their near passages (nothing for paragraphs).
+_LINKS = "a long, b long, one long, other long, one_begin long, one_end long, other_begin long, other_end long"
+_LINK_NAMES = [part.split()[0] for part in _LINKS.split(", ")]
+
+
+def _link_batch(rows: list):
     import pyarrow as pa
 
+    columns = np.array(rows, np.int64).reshape(len(rows), len(_LINK_NAMES))
+    return pa.RecordBatch.from_arrays([pa.array(columns[:, i]) for i in range(len(_LINK_NAMES))], _LINK_NAMES)
+
+
+def _compare(batches: Iterable) -> Iterator:
+    """Rows by ``key, salt, rank``, leaders first, to the pairs of a leader and a similar paragraph."""
     at, leaders = None, []
     for batch in batches:
-        a, b = [], []
+        links = []
         for row in batch.to_pylist():
             if at != (row["key"], row["salt"]):
                 at, leaders = (row["key"], row["salt"]), []
-            own = np.frombuffer(row["tokens"], np.uint64)
-            for node, other in leaders:
-                shared = len(np.intersect1d(own, other, assume_unique=True))
-                if 100 * shared >= PERCENT * (len(own) + len(other) - shared):
-                    a.append(node)
-                    b.append(row["node"])
+            tokens = row["tokens"]
+            own = None if row["key"] & 1 else np.frombuffer(tokens, np.uint64)
+            for node, other_tokens, other in leaders:
+                if own is None:
+                    for span in _near(_aligned([other_tokens, tokens]), np.array([0]), np.array([1]))[1].tolist():
+                        links.append([node, row["node"], node, row["node"], *span])
+                else:
+                    shared = len(np.intersect1d(own, other, assume_unique=True))
+                    if 100 * shared >= PERCENT * (len(own) + len(other) - shared):
+                        links.append([node, row["node"], node, row["node"], 0, 0, 0, 0])
             if row["rank"] <= LEADERS:
-                leaders.append((row["node"], own))
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                leaders.append((row["node"], tokens, own))
+        yield _link_batch(links)
+
+
+def _rare(around: tuple[np.ndarray, np.ndarray], held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and numbers of the rare shingles one of which any two near rows share, where several components hold it."""
+    shingled, there = around
+    rows = np.repeat(np.arange(len(held)), there.sum(axis=1))
+    tokens, rows = np.unique(np.stack((shingled[there], rows.astype(np.uint64)), axis=1), axis=0).T
+    rows, (_, number, times) = rows.astype(np.int64), np.unique(tokens, return_inverse=True, return_counts=True)
+    order = np.lexsort((number, times[number], rows))
+    rows, number = rows[order], number[order]
+    sizes = np.bincount(rows, minlength=len(held))
+    nth = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    first = nth <= (there.sum(axis=1) - _SHARED)[rows]
+    rows, number = rows[first], number[first]
+    order = np.lexsort((rows, number))
+    return rows[order], number[order]
+
+
+def _group_links(nodes: np.ndarray, around: tuple[np.ndarray, np.ndarray], held: np.ndarray) -> Iterator[list]:
+    """Links between components ``held`` of one key's rows, by rare shingles that they share."""
+    rows, number = _rare(around, held)
+    tried, cuts = set(), np.flatnonzero(np.diff(number)) + 1
+    for members in np.split(rows, cuts):
+        if len(members) < 2 or (held[members] == held[members[0]]).all():
+            continue
+        for k, i in enumerate(members[:-1].tolist()):
+            rest = members[k + 1 :]
+            rest = rest[held[rest] != held[i]]
+            rest = np.array([j for j in rest.tolist() if (i, j) not in tried], np.int64)
+            tried.update((i, j) for j in rest.tolist())
+            good, spans = _near(around, np.full(len(rest), i), rest)
+            for j, span in zip(rest[good].tolist(), spans.tolist()):
+                yield [nodes[i], nodes[j], nodes[i], nodes[j], *span]
+                held[held == held[j]] = held[i]
+
+
+def _groups_links(groups: list[list[tuple[int, int, bytes]]]) -> list[list]:
+    """Links of whole keys; a row is its rank, node and tokens: the leaders with all others, then what that leaves apart."""
+    sizes = np.array([len(group) for group in groups])
+    starts = np.cumsum(sizes) - sizes
+    nodes = np.array([node for group in groups for _, node, _ in sorted(group)], np.int64)
+    around = _aligned([tokens for group in groups for _, _, tokens in sorted(group)])
+    one, other = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for leader in range(LEADERS):
+        for start, size in zip(starts.tolist(), sizes.tolist()):
+            if size > leader + 1:
+                one.append(np.full(size - leader - 1, start + leader))
+                other.append(np.arange(start + leader + 1, start + size))
+    one, other = np.concatenate(one), np.concatenate(other)
+    good, spans = _near(around, one, other)
+    one, other = one[good], other[good]
+    links = np.concatenate((np.stack((nodes[one], nodes[other], nodes[one], nodes[other]), axis=1), spans), axis=1).tolist()
+    held = np.arange(len(nodes))
+    by_group = np.searchsorted(starts, one, side="right") - 1
+    order = np.argsort(by_group, kind="stable")
+    bounds = np.searchsorted(by_group[order], np.arange(len(groups) + 1))
+    for g, (start, size) in enumerate(zip(starts.tolist(), sizes.tolist())):
+        part, of = held[start : start + size], order[bounds[g] : bounds[g + 1]]
+        for i, j in zip((one[of] - start).tolist(), (other[of] - start).tolist()):
+            if part[i] != part[j]:
+                part[part == part[j]] = part[i]
+        if (part != part[0]).any():
+            own = slice(start, start + size)
+            links += _group_links(nodes[own], (around[0][own], around[1][own]), part)
+    return links
+
+
+def _near_links(batches: Iterable) -> Iterator:
+    """Rows by ``key``, nodes without tokens and tokens without nodes, to links."""
+    rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
+    groups, waiting = [], 0
+    for _, group in groupby(rows, lambda row: row[0]):
+        asked, sets = {}, {}
+        for _, digest, row, node, rank, tokens in group:
+            if tokens is None:
+                asked[digest, row] = (rank, node)
+            else:
+                sets[digest, row] = tokens
+        if len(asked) > 1:
+            groups.append([(*found, sets[unit]) for unit, found in asked.items()])
+            waiting += len(asked)
+        if waiting >= PAIRS:
+            yield _link_batch(_groups_links(groups))
+            groups, waiting = [], 0
+    if groups:
+        yield _link_batch(_groups_links(groups))
 
 
 def _salted(frame: DataFrame) -> DataFrame:
@@ -209,23 +461,37 @@ def _salt(of: str) -> Column:
     return F.pmod(F.xxhash64(of), F.col("splits")).cast("int").alias("salt")
 
 
-def _met(texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``key, node, rank, splits, tokens`` of the nodes that share their key; sets are cut from their texts again."""
+def _is_seed() -> Column:
+    return F.col("key").bitwiseAND(F.lit(1)) == 1
+
+
+def _met(texts: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``key, node, rank, splits, tokens`` of the nodes that share their key; sets are cut from their texts again.
+
+    Seeds of keys that one task takes whole are linked there at once; of all others, the nodes.
+    """
     held = Window.partitionBy("key")
     several = nodes.withColumn("n", F.count("*").over(held)).where("n > 1")
     ranked = several.withColumn("rank", F.row_number().over(held.orderBy(F.desc("rows"), "digest")))
     ranked = stored(ranked.select("key", "digest", "node", "row", "rank", F.ceil(F.col("n") / SPLIT).cast("int").alias("splits")))
     asked = bitmap_of(ranked.select(_mark()), shuffle_width(nodes.sparkSession))
-    sets = texts.mapInArrow(_sets(asked), "row long, key long, digest long, tokens binary")
-    return stored(ranked.join(sets, ["row", "key", "digest"]).select("key", "node", "rank", "splits", "tokens"))
+    sets = stored(texts.mapInArrow(_sets(asked), "row long, key long, digest long, tokens binary"))
+    whole = _is_seed() & (F.col("splits") == 1)
+    large = ranked.where(_is_seed() & (F.col("splits") > 1)).select("key").distinct()
+    seeds = sets.where(_is_seed()).join(F.broadcast(large), "key", "left_anti")
+    rows = ranked.where(whole).select("key", "digest", "row", "node", "rank", F.lit(None).cast("binary").alias("tokens"))
+    rows = rows.unionByName(seeds, allowMissingColumns=True)
+    links = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_near_links, _LINKS)
+    met = ranked.where(~whole).join(sets, ["row", "key", "digest"]).select("key", "node", "rank", "splits", "tokens")
+    return stored(met), stored(links)
 
 
 def _links(met: DataFrame) -> DataFrame:
-    """``a, b``: nodes of one key that are similar, each tried against the key's leaders."""
+    """Nodes of one key that are similar, each tried against the key's leaders."""
     leaders = F.when(F.col("rank") <= LEADERS, F.sequence(F.lit(0), F.col("splits") - 1)).otherwise(F.array(_salt("node")))
     dealt = met.select("key", "node", "rank", "tokens", F.explode(leaders).alias("salt"))
     ordered = dealt.repartition("key", "salt").sortWithinPartitions("key", "salt", "rank")
-    return ordered.mapInArrow(_compare, "a long, b long").distinct()
+    return ordered.mapInArrow(_compare, _LINKS).distinct()
 
 
 def _words(batches: Iterable) -> Iterator:
@@ -234,9 +500,17 @@ def _words(batches: Iterable) -> Iterator:
     import pyarrow as pa
 
     for batch in batches:
-        sets = [np.frombuffer(tokens, np.int64) for tokens in batch.column(3).to_pylist()]
+        sets, places = [], []
+        for key, tokens in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()):
+            if key & 1:
+                shingled, there = _aligned([tokens])
+                sets.append(np.unique(shingled[there]).view(np.int64))
+                places.append(int(there.sum()) - _SHARED + 1)
+            else:
+                sets.append(np.frombuffer(tokens, np.int64))
+                places.append(len(sets[-1]) + PERCENT * len(sets[-1]) // -100 + 1)
         sizes = np.array([len(own) for own in sets], np.int64)
-        places = sizes + PERCENT * sizes // -100 + 1
+        places = np.array(places, np.int64)
         columns = [np.repeat(x, sizes) for x in (*(batch.column(i).to_numpy() for i in range(3)), places)]
         columns.append(np.concatenate([np.zeros(0, np.int64), *sets]))
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "node", "component", "places", "token"])
@@ -244,30 +518,38 @@ def _words(batches: Iterable) -> Iterator:
 
 def _try_across(batches: Iterable) -> Iterator:
     """Rows by ``key, token, one, other`` to pairs of components that hold a similar pair."""
-    import pyarrow as pa
-
     rows = (row for batch in batches for row in batch.to_pylist())
-    for _, group in groupby(rows, lambda row: (row["key"], row["token"], row["one"], row["other"])):
-        group, a, b = list(group), [], []
-        held = np.array([row["component"] for row in group])
-        sets = [np.frombuffer(row["tokens"], np.uint64) for row in group]
-        sizes = np.array([len(own) for own in sets])
-        flat, starts = np.concatenate(sets), np.cumsum(sizes) - sizes
+    for (key, *_), group in groupby(rows, lambda row: (row["key"], row["token"], row["one"], row["other"])):
+        group, links = list(group), []
+        held, nodes = (np.array([row[name] for row in group]) for name in ("component", "node"))
+        if key & 1:
+            around = _aligned([row["tokens"] for row in group])
+        else:
+            sets = [np.frombuffer(row["tokens"], np.uint64) for row in group]
+            sizes = np.array([len(own) for own in sets])
+            flat, starts = np.concatenate(sets), np.cumsum(sizes) - sizes
         names, counts = np.unique(held, return_counts=True)
         for i in np.flatnonzero(held != names[counts.argmax()]):
-            own = sets[i]
-            found = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
-            shared = np.add.reduceat(found.astype(np.int64), starts)
-            for other in np.unique(held[(held != held[i]) & (100 * shared >= PERCENT * (sizes + sizes[i] - shared))]):
-                a.append(held[i])
-                b.append(other)
-                held[held == other] = held[i]
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            if key & 1:
+                others = np.flatnonzero(held != held[i])
+                good, spans = _near(around, np.full(len(others), i), others)
+                others, spans = others[good], spans.tolist()
+            else:
+                own = sets[i]
+                found = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+                shared = np.add.reduceat(found.astype(np.int64), starts)
+                others = np.flatnonzero((held != held[i]) & (100 * shared >= PERCENT * (sizes + sizes[i] - shared)))
+                spans = [[0, 0, 0, 0]] * len(others)
+            for j, span in zip(others, spans):
+                if held[j] != held[i]:
+                    links.append([held[i], held[j], nodes[i], nodes[j], *span])
+                    held[held == held[j]] = held[i]
+        if links:
+            yield _link_batch(links)
 
 
 def _across(met: DataFrame, found: DataFrame) -> DataFrame:
-    """``a, b``: components of ``found`` in one key that hold a similar pair; a node in none is its own component.
+    """Components of ``found`` in one key that hold a similar pair; a node in none is its own component.
 
     Sets of similarity ``PERCENT`` share one of their rarest tokens of the key, so only those that do meet. Many rows of
     one token are dealt into blocks, and each two blocks meet in a task.
@@ -284,53 +566,131 @@ def _across(met: DataFrame, found: DataFrame) -> DataFrame:
     placed = dealt.select("key", "token", "node", "component", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other"))
     asked = placed.join(left.select("node", "tokens"), "node")
     ordered = asked.repartition("key", "token", "one", "other").sortWithinPartitions("key", "token", "one", "other")
-    return ordered.mapInArrow(_try_across, "a long, b long").distinct()
+    return ordered.mapInArrow(_try_across, _LINKS).distinct()
 
 
-def _components(met: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``node, component`` of the stars, and ``component, whole`` of components joined across."""
-    found = graph.components(_links(met))
-    whole = graph.components(_across(met, found))
-    return found, whole.select(F.col("node").alias("component"), F.col("component").alias("whole"))
+def _spans(links: DataFrame) -> DataFrame:
+    """``node, left, right``: the words around each seed that are in a near passage."""
+    found = [links.select(F.col(side).alias("node"), F.col(f"{side}_begin").alias("left"), F.col(f"{side}_end").alias("right")) for side in ("one", "other")]
+    return found[0].unionByName(found[1]).where("right > 0").groupBy("node").agg(F.min("left").alias("left"), F.max("right").alias("right"))
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """``row, begin, end, keeper_row, class_id``: paragraphs that another document has too.
+def _components(met: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``node, component`` of the stars, ``component, whole`` of components joined across, near passages of nodes."""
+    stars = stored(_links(met).unionByName(near))
+    found = graph.components(stars)
+    across = stored(_across(met, found))
+    whole = graph.components(across)
+    return found, whole.select(F.col("node").alias("component"), F.col("component").alias("whole")), _spans(stars.unionByName(across))
 
-    ``row`` numbers the rows of ``docs``; the keeper is the first row that has the paragraph, ``class_id`` its
-    ``doc_id``.
+
+def _word_mark() -> Column:
+    """One number for a word in a row; the same as ``_word_marks``."""
+    return mark(F.shiftleft("row", _ROW_BITS).bitwiseXOR(F.shiftleft("word", 44))).alias("mark")
+
+
+def _word_marks(rows: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return (rows << _ROW_BITS) ^ (words << 44)
+
+
+def _points(asked: np.ndarray):
+    """``row, text`` to ``row, word, begin, end`` in code points, of the words that may be asked for."""
+
+    def run(batches: Iterable) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            columns = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                begins, ends = _word_places((text.as_py() or "").encode())
+                words = np.arange(len(begins))
+                some = might_hold(asked, _word_marks(np.full(len(words), row), words))
+                for column, part in zip(columns, (np.full(int(some.sum()), row), words[some], begins[some], ends[some])):
+                    column.append(part)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["row", "word", "begin", "end"])
+
+    return run
+
+
+def _in_points(texts: DataFrame, near: DataFrame) -> DataFrame:
+    """``near`` with begin and end in code points in place of words; the texts are read once more."""
+    near = stored(near.withColumn("last", F.col("end") - 1))
+    words = near.select("row", F.col("begin").alias("word")).unionByName(near.select("row", F.col("last").alias("word")))
+    asked = bitmap_of(words.select(_word_mark()), shuffle_width(near.sparkSession))
+    places = stored(texts.mapInArrow(_points(asked), "row long, word long, begin long, end long"))
+    begins = places.select("row", F.col("word").alias("begin"), F.col("begin").alias("from"))
+    ends = places.select("row", F.col("word").alias("last"), F.col("end").alias("to"))
+    placed = near.join(begins, ["row", "begin"]).join(ends, ["row", "last"])
+    return placed.select("row", F.col("from").alias("begin"), F.col("to").alias("end"), "keeper_row", "class_id", "n_paragraphs")
+
+
+def _repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``row, begin, end, keeper_row, class_id`` of paragraphs that another document has too, and of near passages.
+
+    Those of near passages count words, the others code points.
     """
     steady_scans(docs)
     own = docs.select(F.monotonically_increasing_id().alias("row"), "text")
     held = Window.partitionBy("key")
     met = own.mapInArrow(_cut, _UNITS).select(
-        "*", F.min("row").over(held).alias("lo"), F.max("row").over(held).alias("hi"), F.count("*").over(held).alias("n")
+        "*",
+        F.min("row").over(held).alias("lo"),
+        F.max("row").over(held).alias("hi"),
+        F.count("*").over(held).alias("n"),
+        F.min("digest").over(held).alias("least"),
+        F.max("digest").over(held).alias("most"),
     )
-    shared = stored(met.where("lo <> hi").select("row", "span", "key", "digest", F.ceil(F.col("n") / SPLIT).cast("int").alias("splits")))
+    # Seeds whose surroundings are all equal are left out: those texts share whole paragraphs.
+    met = met.where((F.col("lo") != F.col("hi")) & (~_is_seed() | (F.col("least") != F.col("most"))))
+    shared = stored(met.select("row", "span", "key", "digest", F.ceil(F.col("n") / SPLIT).cast("int").alias("splits")))
     counted = shared.groupBy("key", "digest").agg(
         F.count("*").alias("rows"), F.min("row").alias("row"), F.max("row").alias("last"), F.max("splits").alias("splits")
     )
     nodes = stored(counted.withColumn("node", F.monotonically_increasing_id()))
-    found, wholes = _components(_met(own, nodes.select("key", "digest", "node", "row", "rows")))
+    found, wholes, spans = _components(*_met(own, nodes.select("key", "digest", "node", "row", "rows")))
     starred = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     classes = starred.join(wholes, "component", "left").withColumn("component", F.coalesce("whole", "component")).drop("whole")
     # Components and what they reach are worked out on distinct paragraphs, before their copies come in.
     reach = classes.groupBy("component").agg(F.min("row").alias("keeper_row"), F.max("last").alias("last")).where("keeper_row <> last")
     ids = docs.select(F.monotonically_increasing_id().alias("keeper_row"), F.col("doc_id").alias("class_id"))
-    named = reach.drop("last").join(ids, "keeper_row")
-    kept = _salted(classes.select("key", "digest", "splits", "component").join(named, "component")).drop("splits")
-    return shared.withColumn("salt", _salt("row")).join(kept, ["key", "digest", "salt"]).select(
+    named = classes.join(reach.drop("last").join(ids, "keeper_row"), "component").join(spans, "node", "left")
+    named = named.where(~_is_seed() | F.col("right").isNotNull())
+    kept = _salted(named.select("key", "digest", "splits", "keeper_row", "class_id", "left", "right")).drop("splits")
+    held = stored(shared.withColumn("salt", _salt("row")).join(kept, ["key", "digest", "salt"]).drop("salt", "splits", "digest"))
+    equal = held.where(~_is_seed()).select(
         "row", F.shiftright("span", 32).alias("begin"), F.col("span").bitwiseAND(F.lit(0xFFFFFFFF)).alias("end"), "keeper_row", "class_id"
     )
+    near = held.where(_is_seed()).select(
+        "row", (F.col("span") + F.col("left")).alias("begin"), (F.col("span") + F.col("right")).alias("end"), "keeper_row", "class_id"
+    )
+    return equal, near
+
+
+def repeats(docs: DataFrame) -> DataFrame:
+    """``row, begin, end, keeper_row, class_id``: paragraphs that another document has too.
+
+    ``row`` numbers the rows of ``docs``; the keeper is the first row that has the paragraph, ``class_id`` its
+    ``doc_id``.
+    """
+    return _repeated(docs)[0]
+
+
+def _all_repeats(docs: DataFrame) -> DataFrame:
+    """Passages of equal or similar paragraphs and near passages, those that overlap made one for each keeper."""
+    equal, near = _repeated(docs)
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), "text")
+    near = _in_points(texts, merged(near).drop("removed"))
+    return merged(equal.withColumn("n_paragraphs", F.lit(1)).unionByName(near))
 
 
 def merged(found: DataFrame) -> DataFrame:
     """Paragraphs that overlap made one passage for each keeper, so that no link to a keeper is lost."""
+    counted = (F.sum("n_paragraphs") if "n_paragraphs" in found.columns else F.count("*")).alias("n_paragraphs")
     before = Window.partitionBy("row", "keeper_row").orderBy("begin", "end")
     opened = found.withColumn("opens", F.coalesce((F.col("begin") > F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1))).cast("int"), F.lit(1)))
     numbered = opened.withColumn("passage", F.sum("opens").over(before.rowsBetween(Window.unboundedPreceding, 0)))
     spans = numbered.groupBy("row", "keeper_row", "class_id", "passage").agg(
-        F.min("begin").alias("begin"), F.max("end").alias("end"), F.count("*").alias("n_paragraphs")
+        F.min("begin").alias("begin"), F.max("end").alias("end"), counted
     )
     return spans.withColumn("removed", F.col("row") != F.col("keeper_row")).drop("passage")
 
@@ -344,14 +704,14 @@ def passages(docs: DataFrame) -> DataFrame:
     Null and empty texts and those shorter than a paragraph have none; a passage that only one document repeats
     stays; repeated rows are documents of their own, and the first of them keeps its text.
     """
-    spans = merged(repeats(docs))
+    spans = _all_repeats(docs)
     ids = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id")
     return spans.join(ids, "row").select("doc_id", "class_id", F.col("begin").alias("start"), "end", "removed", "n_paragraphs")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with removed passages, of whichever keeper, cut out of their texts; all rows and columns stay, ``n_chars`` follows."""
-    spans = merged(repeats(docs if "doc_id" in docs.columns else docs.withColumn("doc_id", F.lit(None)))).where("removed")
+    spans = _all_repeats(docs if "doc_id" in docs.columns else docs.withColumn("doc_id", F.lit(None))).where("removed")
     cuts = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("cuts"))
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     met = docs.select(doc, F.monotonically_increasing_id().alias("row")).join(cuts, "row", "left")

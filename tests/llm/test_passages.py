@@ -193,3 +193,83 @@ def test_sets_are_cut_without_places(monkeypatch):
     monkeypatch.setattr(passages, "_word_places", None)
     assert own.digests_of(np.arange(0, len(own.at), 3)).tolist() == wanted.tolist() and len(own.set_of(0)) == 8 * passages._SPAN
     assert "digests" not in own.__dict__
+
+
+def edited(chance, words, changes):
+    """``words`` with changes spread evenly: one put in place of another, put in, or left out."""
+    out, kind = list(words), chance.randrange(3)
+    for k in range(changes, 0, -1):
+        at = k * len(words) // (changes + 1)
+        out[at : at + (kind != 1)] = [] if kind == 2 else [f"new{chance.randrange(10**6)}"]
+    return out
+
+
+def near_pairs(docs):
+    """Pairs of documents with runs of 51 words whose shingles have a similarity of 0.8, every run of one with every run of the other."""
+    size = passages.LEAST - passages.SHINGLE + 1
+    cut = [[tuple(words[k : k + passages.SHINGLE]) for k in range(len(words) - passages.SHINGLE + 1)] for words in docs]
+    found = set()
+    for a in range(len(cut)):
+        for b in range(a):
+            if len(set(cut[a]) & set(cut[b])) < passages._SHARED:
+                continue
+            runs = [[frozenset(own[k : k + size]) for k in range(len(own) - size + 1)] for own in (cut[a], cut[b])]
+            if any(100 * len(x & y) >= 80 * len(x | y) for x in runs[0] for y in runs[1]):
+                found.add((b, a))
+    return found
+
+
+def test_near_passages_are_linked_against_all_pairs(spark, tmp_path):
+    """No condition on keys: every two documents with near passages of 51 to 100 words anywhere are in one class."""
+    chance, docs = random.Random(12), []
+    for k in range(60):
+        size, changes = [(51, 1), (51, 1), (60, 1), (70, 1), (100, 2), (100, 3)][k % 6]
+        said = prose(chance, size)
+        for words in (said, edited(chance, said, changes)):
+            docs.append(prose(chance, 40) + words + prose(chance, 40))
+    wanted = near_pairs(docs)
+    assert len(wanted) > 45
+    classes = {}
+    for r in passages.passages(saved(spark, tmp_path, [(i, " ".join(words)) for i, words in enumerate(docs)])).collect():
+        classes.setdefault(r.class_id, set()).add(r.doc_id)
+    lost = [pair for pair in sorted(wanted) if not any(set(pair) <= members for members in classes.values())]
+    assert lost == []
+    assert all(members in ({2 * k, 2 * k + 1} for k in range(60)) for members in classes.values())
+
+
+def test_near_passages_end_where_they_stop_being_alike(spark, tmp_path):
+    chance = random.Random(3)
+    said = prose(chance, 51)
+    other = [*said[:25], "é" * 9, *said[26:]]
+    texts = ["é  " + " ".join(prose(chance, 30) + words + prose(chance, 30)).replace(" ", "\n ") for words in (said, other)]
+    found = passages.passages(saved(spark, tmp_path, list(enumerate(texts)))).collect()
+    assert len(found) == 2 and sum(r.removed for r in found) == 1 and len({r.class_id for r in found}) == 1
+    assert {" ".join(texts[r.doc_id][r.start : r.end].split()) for r in found} == {" ".join(said), " ".join(other)}
+
+
+def test_near_passages_beside_the_leaders(spark, tmp_path, monkeypatch):
+    """Two variants that are unlike both leaders of their seed's key meet, in one task and in blocks."""
+    chance = random.Random(7)
+    seed = prose(chance, 24)
+    heads = [prose(chance, 60) for _ in range(3)]
+    ends = [prose(chance, 60) for _ in range(3)]
+    c = [*heads[2], *seed, *ends[2]]
+    texts = [[*heads[0], *seed, *ends[0]]] * 3 + [[*heads[1], *seed, *ends[1]]] * 3
+    texts += [c[:59] + ["one"] + c[60:85] + ["two"] + c[86:], c]
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    for split, place in ((passages.SPLIT, "whole"), (2, "blocks")):
+        monkeypatch.setattr(passages, "SPLIT", split)
+        found = [r for r in passages.passages(saved(spark, tmp_path / place, rows)).collect() if r.doc_id > 5]
+        assert {r.doc_id for r in found} == {6, 7} and len({r.class_id for r in found}) == 1
+
+
+def test_texts_cut_side_by_side_are_cut_as_alone():
+    texts = [" ".join(words) for words in (prose(random.Random(k), 12 * k) for k in range(9))] + ["", "é " * 60, " "]
+    numbers = WordNumbers()
+    together, alone = passages.Paragraphs(texts, numbers), [passages.Paragraphs(text, numbers) for text in texts]
+    for name, at in (("begins", "at"), ("ends", "at"), ("digests", "at"), ("keys", "at")):
+        assert getattr(together, name).tolist() == [x for own in alone for x in getattr(own, name).tolist()], (name, at)
+    assert together.seeds[1].tolist() == [x for own in alone for x in own.seeds[1].tolist()]
+    count = np.arange(len(together.seeds[0]))
+    assert together.surroundings_of(count).tolist() == [x for own in alone for x in own.surroundings_of(np.arange(len(own.seeds[0]))).tolist()]
+    assert [together.words_of(i) for i in count] == [own.words_of(i) for own in alone for i in range(len(own.seeds[0]))]
