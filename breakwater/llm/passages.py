@@ -13,6 +13,11 @@ joined if they are equal, or if their shingles' exact Jaccard similarity is at l
 the key's leading paragraphs first; where that leaves a key in several components, all pairs across them that share one
 of their rarest shingles are tried, which no similar pair escapes. Components of joined paragraphs that reach two
 documents are repeats: the first document keeps its text, the others lose theirs.
+
+Near passages: a changed word leaves no similar paragraph around it, so longer passages meet by seeds, short runs of words
+cut like anchors, and are compared by the words around these (:func:`_near`): leaders of a key with all others, then
+what that leaves in several components by rare shingles. Passages of ``LEAST`` words or more that are similar as a
+whole always have a seed in common, in an equal run of 24 words.
 """
 
 from __future__ import annotations
@@ -42,6 +47,7 @@ SEED, SEED_REACH, LEAST, SLIP, PAIRS, CHARACTERS = 9, 16, 51, 12, 1000, 1 << 20
 _MARGIN = LEAST - SEED
 _AROUND = 2 * _MARGIN + SEED - SHINGLE + 1  # shingles around a seed, which begins at place ``_MARGIN``
 _SIZE = LEAST - SHINGLE + 1
+_RUN = SEED + SEED_REACH - SHINGLE
 _SHARED = -(-2 * PERCENT * _SIZE // (100 + PERCENT))  # shingles that two near passages share at least
 _BASES = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -289,21 +295,29 @@ def _near(around: tuple[np.ndarray, np.ndarray], one: np.ndarray, other: np.ndar
     """Which pairs hold near passages around their seed, and the passages: begin and end in words from the seed, of both.
 
     Near are passages of ``LEAST`` words or more whose shingles, in order and as often as they stand, have a Jaccard
-    similarity of ``PERCENT``. Passages end where they begin and end to be alike.
+    similarity of ``PERCENT``. Passages end where they begin and end to be alike. Such passages have an equal run of
+    ``SEED + SEED_REACH - 1`` words: a gap costs four shingles of either, so there are too few gaps for shorter runs. It
+    holds a seed, so pairs whose run around this seed is shorter are left to another one.
     """
     shingled, there = around
     kept, spans = [], []
     for low in range(0, len(one), PAIRS):
         x, y = one[low : low + PAIRS], other[low : low + PAIRS]
-        own, room = shingled[x], ((0, 0), (SLIP, SLIP))
-        theirs, has = np.pad(shingled[y], room), np.pad(there[y], room)
-        place, where = np.arange(_AROUND), np.full(own.shape, -1)
+        apart, place = (shingled[x] != shingled[y]) | ~there[x] | ~there[y], np.arange(_AROUND)
+        back = _MARGIN - np.where(apart[:, : _MARGIN + 1], place[: _MARGIN + 1], -1).max(axis=1)
+        on = np.where(apart[:, _MARGIN:], place[_MARGIN:], _AROUND).min(axis=1) - _MARGIN
+        long = np.flatnonzero((back > 0) & (back + on - 1 >= _RUN))
+        if not len(long):
+            continue
+        x, y = x[long], y[long]
+        own = np.where(there[x], shingled[x], np.uint64(0))
+        theirs = np.pad(np.where(there[y], shingled[y], np.uint64(1)), ((0, 0), (SLIP, SLIP)), constant_values=1)
+        place, where, free = place.astype(np.int16), np.full(own.shape, -1, np.int16), np.ones(own.shape, bool)
         for step in sorted(range(-SLIP, SLIP + 1), key=abs):
-            part = slice(SLIP + step, SLIP + step + _AROUND)
-            same = (where < 0) & (own == theirs[:, part]) & has[:, part] & there[x]
-            where = np.where(same, place + step, where)
-            if step == 0 and (where >= 0).all():
-                break
+            same = own == theirs[:, SLIP + step : SLIP + step + _AROUND]
+            same &= free
+            np.copyto(where, place + np.int16(step), where=same)
+            free ^= same
         before = np.maximum.accumulate(where, axis=1)[:, :-1]
         where[:, 1:][where[:, 1:] <= before] = -1
         some = np.flatnonzero((where >= 0).sum(axis=1) >= _SHARED)
@@ -323,7 +337,7 @@ def _near(around: tuple[np.ndarray, np.ndarray], one: np.ndarray, other: np.ndar
         some, where, top = some[good], where[good], top[good]
         begins, ends = top // alike.shape[2], _MARGIN + SEED - SHINGLE + top % alike.shape[2]
         row = np.arange(len(some))
-        kept.append(low + some)
+        kept.append(low + long[some])
         columns = (begins, ends + SHINGLE, where[row, begins], where[row, ends] + SHINGLE)
         spans.append(np.stack(columns, axis=1) - _MARGIN)
     if not kept:
@@ -348,21 +362,28 @@ def _compare(batches: Iterable) -> Iterator:
     at, leaders = None, []
     for batch in batches:
         links = []
-        for row in batch.to_pylist():
-            if at != (row["key"], row["salt"]):
-                at, leaders = (row["key"], row["salt"]), []
-            tokens = row["tokens"]
-            own = None if row["key"] & 1 else np.frombuffer(tokens, np.uint64)
-            for node, other_tokens, other in leaders:
-                if own is None:
-                    for span in _near(_aligned([other_tokens, tokens]), np.array([0]), np.array([1]))[1].tolist():
-                        links.append([node, row["node"], node, row["node"], *span])
-                else:
+        for (key, salt), group in groupby(batch.to_pylist(), lambda row: (row["key"], row["salt"])):
+            if at != (key, salt):
+                at, leaders = (key, salt), []
+            rows = list(group)
+            if key & 1:
+                leaders += [row for row in rows if row["rank"] <= LEADERS]
+                rows = leaders + [row for row in rows if row["rank"] > LEADERS]
+                one, other = np.divmod(np.arange(len(leaders) * len(rows)), len(rows))
+                one, other = one[one < other], other[one < other]
+                good, spans = _near(_aligned([row["tokens"] for row in rows]), one, other)
+                for i, j, span in zip(one[good].tolist(), other[good].tolist(), spans.tolist()):
+                    pair = [rows[i]["node"], rows[j]["node"]]
+                    links.append([*pair, *pair, *span])
+                continue
+            for row in rows:
+                own = np.frombuffer(row["tokens"], np.uint64)
+                for node, other in leaders:
                     shared = len(np.intersect1d(own, other, assume_unique=True))
                     if 100 * shared >= PERCENT * (len(own) + len(other) - shared):
                         links.append([node, row["node"], node, row["node"], 0, 0, 0, 0])
-            if row["rank"] <= LEADERS:
-                leaders.append((row["node"], tokens, own))
+                if row["rank"] <= LEADERS:
+                    leaders.append((row["node"], own))
         yield _link_batch(links)
 
 
@@ -385,17 +406,27 @@ def _rare(around: tuple[np.ndarray, np.ndarray], held: np.ndarray) -> tuple[np.n
 def _group_links(nodes: np.ndarray, around: tuple[np.ndarray, np.ndarray], held: np.ndarray) -> Iterator[list]:
     """Links between components ``held`` of one key's rows, by rare shingles that they share."""
     rows, number = _rare(around, held)
-    tried, cuts = set(), np.flatnonzero(np.diff(number)) + 1
-    for members in np.split(rows, cuts):
-        if len(members) < 2 or (held[members] == held[members[0]]).all():
-            continue
-        for k, i in enumerate(members[:-1].tolist()):
-            rest = members[k + 1 :]
-            rest = rest[held[rest] != held[i]]
-            rest = np.array([j for j in rest.tolist() if (i, j) not in tried], np.int64)
-            tried.update((i, j) for j in rest.tolist())
-            good, spans = _near(around, np.full(len(rest), i), rest)
-            for j, span in zip(rest[good].tolist(), spans.tolist()):
+    sets = {members.tobytes(): members for members in np.split(rows, np.flatnonzero(np.diff(number)) + 1)}
+    tried = np.zeros((len(held), len(held)), bool)
+    for members in sets.values():
+        if (held[members] != held[members[0]]).any():
+            tried[members[:, None], members] = True
+    # Of a run long enough for near passages, half of what exceeds the seed lies on one side of it.
+    side, bands = (_RUN - (SEED - SHINGLE) - 1) // 2 + 1, np.zeros(tried.shape, bool)
+    for begin in (_MARGIN - side, _MARGIN):
+        part = around[0][:, begin : begin + side + SEED - SHINGLE + 1]
+        band = np.zeros(len(held), np.uint64)
+        for column in part.T:
+            band = mixed(band * _SECOND + column)
+        bands |= band[:, None] == band
+    tried = np.flatnonzero(np.triu(tried & bands & (held[:, None] != held)))
+    for low in range(0, len(tried), PAIRS):
+        one, other = np.divmod(tried[low : low + PAIRS], len(held))
+        open_ = held[one] != held[other]
+        one, other = one[open_], other[open_]
+        good, spans = _near(around, one, other)
+        for i, j, span in zip(one[good].tolist(), other[good].tolist(), spans.tolist()):
+            if held[i] != held[j]:
                 yield [nodes[i], nodes[j], nodes[i], nodes[j], *span]
                 held[held == held[j]] = held[i]
 
@@ -679,7 +710,7 @@ def _all_repeats(docs: DataFrame) -> DataFrame:
     """Passages of equal or similar paragraphs and near passages, those that overlap made one for each keeper."""
     equal, near = _repeated(docs)
     texts = docs.select(F.monotonically_increasing_id().alias("row"), "text")
-    near = _in_points(texts, merged(near).drop("removed"))
+    near = _in_points(texts, merged(near).drop("removed").withColumn("n_paragraphs", F.lit(0)))
     return merged(equal.withColumn("n_paragraphs", F.lit(1)).unionByName(near))
 
 
@@ -702,7 +733,8 @@ def passages(docs: DataFrame) -> DataFrame:
     and its representative; positions are code points, the end exclusive. Passages of one document that different
     documents keep are rows of their own and may overlap. Documents without repeats have no row.
     Null and empty texts and those shorter than a paragraph have none; a passage that only one document repeats
-    stays; repeated rows are documents of their own, and the first of them keeps its text.
+    stays; repeated rows are documents of their own, and the first of them keeps its text. ``n_paragraphs`` counts
+    repeated paragraphs; it is 0 for a passage that is only near, as a whole, to one elsewhere.
     """
     spans = _all_repeats(docs)
     ids = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id")
