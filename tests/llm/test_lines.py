@@ -88,3 +88,12 @@ def test_query_equals_sql(spark, sf_dir):
     from tests import oracle
 
     assert oracle.differences(queries.op3_quality_rules(spark, sf_dir), oracle.connect(sf_dir), lines.SQL) is None
+
+
+def test_texts_are_judged_once(spark, tmp_path):
+    text = "\n".join(f"Line {i} has word{i * 3} and thing{i * 5} near place{i} and more to say here." for i in range(12))
+    rows = [(1, text, "en", "s", 9), (1, text, "en", "s", 9), (2, "short", "en", "s", 5), (None, None, None, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "d"))
+    found = lines.clean(spark.read.parquet(str(tmp_path / "d")))
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [r.doc_id for r in found.collect()] == [1, 1]
