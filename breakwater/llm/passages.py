@@ -17,7 +17,8 @@ documents are repeats: the first document keeps its text, the others lose theirs
 Near passages: a changed word leaves no similar paragraph around it, so longer passages meet by seeds, short runs of words
 cut like anchors, and are compared by the words around these (:func:`_near`): leaders of a key with all others, then
 what that leaves in several components by rare shingles. Passages of ``LEAST`` words or more that are similar as a
-whole always have a seed in common, in an equal run of 24 words.
+whole always have a seed in common, in an equal run of 24 words. Of words said on and on, where equal seeds overlap, the
+first and the last of them are seeds: texts are laid side by side by where such a run begins and where it ends.
 """
 
 from __future__ import annotations
@@ -151,9 +152,25 @@ class Paragraphs:
     def seeds(self) -> tuple[np.ndarray, np.ndarray]:
         """Places and keys of seeds, in texts that are long enough for a near passage."""
         hashes = shingles(self.words, SEED) if len(self.words) >= LEAST else np.zeros(0, np.uint64)
-        at = self._leasts(hashes, SEED_REACH, SEED, LEAST)
+        at = self._ends(hashes, self._leasts(hashes, SEED_REACH, SEED, LEAST))
         return at, (mixed(hashes[at]) | np.uint64(1)).view(np.int64)
 
+    def _ends(self, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """``at``, with the first and the last place in place of all those whose equal runs of words overlap on and on."""
+        found, apart, place = [], np.ones(len(at), bool), np.arange(len(hashes))
+        for period in range(1, SEED):
+            as_before = (place - self.first[place] >= period) & (self.left[place] >= SEED)
+            as_before[period:] &= hashes[period:] == hashes[:-period]
+            as_before = np.append(as_before, np.zeros(-len(hashes) % period + period, bool))
+            said = apart & (as_before[at] | as_before[at + period])
+            if not said.any():
+                continue
+            apart &= ~said
+            first, last = (np.where(x, y, np.arange(len(x))).reshape(-1, period) for x, y in ((as_before[:-period], -1), (as_before[period:], len(as_before))))
+            found.append(np.maximum.accumulate(first, axis=0).ravel()[at[said]])
+            found.append(np.minimum.accumulate(last[::-1], axis=0)[::-1].ravel()[at[said]])
+        return np.unique(np.concatenate((at[apart], *found)))
+
     def _around(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Words within which every passage of ``LEAST`` words lies that holds a seed."""
         return np.maximum(self.first[at], at - _MARGIN), np.minimum(self.last[at], at + LEAST)

@@ -273,3 +273,49 @@ def test_texts_cut_side_by_side_are_cut_as_alone():
     count = np.arange(len(together.seeds[0]))
     assert together.surroundings_of(count).tolist() == [x for own in alone for x in own.surroundings_of(np.arange(len(own.seeds[0]))).tolist()]
     assert [together.words_of(i) for i in count] == [own.words_of(i) for own in alone for i in range(len(own.seeds[0]))]
+
+
+def test_equal_runs_that_overlap_keep_their_first_and_last_place():
+    """Against the definition, on texts that say phrases of one to eleven words on and on."""
+    chance = random.Random(3)
+    for _ in range(60):
+        texts = []
+        for _ in range(chance.randrange(1, 4)):
+            words = []
+            while len(words) < chance.randrange(20, 120):
+                words += [chance.choice("ab") for _ in range(chance.randrange(1, 12))] * chance.randrange(1, 20) if chance.random() < 0.5 else prose(chance, 1)
+            texts.append(" ".join(words))
+        own = passages.Paragraphs(texts, WordNumbers())
+        hashes = passages.shingles(own.words, passages.SEED) if len(own.words) >= passages.LEAST else np.zeros(0, np.uint64)
+        wanted = set()
+
+        def same(a, b):
+            inside = own.first[at] <= min(a, b) and max(a, b) + passages.SEED <= own.last[at]
+            return inside and own.words[a : a + passages.SEED].tolist() == own.words[b : b + passages.SEED].tolist()
+
+        for at in own._leasts(hashes, passages.SEED_REACH, passages.SEED, passages.LEAST).tolist():
+            period = next((p for p in range(1, passages.SEED) if same(at, at - p) or same(at, at + p)), None)
+            first = last = at
+            while period and same(first, first - period):
+                first -= period
+            while period and same(last, last + period):
+                last += period
+            wanted |= {first, last}
+        assert own.seeds[0].tolist() == sorted(wanted)
+
+
+def test_a_word_said_on_and_on_claims_nothing_around_it(spark, tmp_path):
+    """Seeds of one run met each other, and so claimed words around it that no other document has."""
+    chance = random.Random(1)
+    docs = [(i, " ".join(prose(chance, 60) + ["the"] * (50 + i) + prose(chance, 60))) for i in range(4)]
+    found = passages.passages(saved(spark, tmp_path, docs)).collect()
+    assert {r.doc_id for r in found} == {0, 1, 2, 3} and len({r.class_id for r in found}) == 1
+    assert all(set(docs[r.doc_id][1][r.start : r.end].split()) == {"the"} for r in found)
+
+
+def test_variants_of_a_run_are_few_pairs():
+    """Every place of a run was a seed of one key, and so a node: forty or more of each text."""
+    chance = random.Random(2)
+    texts = [" ".join(prose(chance, 60) + ["the"] * chance.randrange(24, 70) + prose(chance, 60)) for _ in range(50)]
+    own = passages.Paragraphs(texts, WordNumbers())
+    assert np.unique(own.seeds[1], return_counts=True)[1].max() <= 100
