@@ -35,7 +35,7 @@ from pyspark.sql.window import Window
 from breakwater.llm import graph
 from breakwater.llm.bitmap import bitmap_of, mark, might_hold
 from breakwater.llm.common import shuffle_width, steady_scans, stored
-from breakwater.llm.words import WordNumbers, mixed, shingles
+from breakwater.llm.words import WordNumbers, mixed, shingles, word_bytes
 
 # Parameters: words of a shingle and of a paragraph, shingles around an anchor, similarity in percent, leading
 # paragraphs of a key that the others are compared with, rows of a key that one task takes before it is split.
@@ -44,7 +44,7 @@ _SPAN = PARAGRAPH - SHINGLE + 1
 _SECOND = np.uint64(0xA24BAED4963EE407)
 # Near passages: words of a seed, runs around the least one, least words of a passage, words by which the sides of a
 # passage may be out of step, pairs compared at a time; characters of the texts cut at a time.
-SEED, SEED_REACH, LEAST, SLIP, PAIRS, CHARACTERS = 9, 16, 51, 12, 1000, 1 << 20
+SEED, SEED_REACH, LEAST, SLIP, PAIRS, CHARACTERS = 9, 16, 51, 12, 1000, 1 << 18
 _MARGIN = LEAST - SEED
 _AROUND = 2 * _MARGIN + SEED - SHINGLE + 1  # shingles around a seed, which begins at place ``_MARGIN``
 _SIZE = LEAST - SHINGLE + 1
@@ -64,11 +64,15 @@ def recall(words: int, kept: float) -> float:
 
 def _word_places(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Code-point offsets at which words begin and end."""
-    data = np.frombuffer(raw, np.uint8)
-    word = ~((data == 32) | ((data >= 9) & (data <= 13)))
-    edges = np.diff(np.concatenate(([False], word, [False])).astype(np.int8))
-    points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
-    return points[np.flatnonzero(edges == 1)], points[np.flatnonzero(edges == -1)]
+    (begins, ends), points = word_bytes(raw), _points_before(raw)
+    return points[begins], points[ends]
+
+
+def _points_before(raw: bytes) -> np.ndarray:
+    """Code points before each byte and the end."""
+    if raw.isascii():
+        return np.arange(len(raw) + 1)
+    return np.concatenate(([0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)))
 
 
 def _least_places(hashes: np.ndarray, reach: int) -> np.ndarray:
@@ -97,12 +101,12 @@ class Paragraphs:
     """
 
     def __init__(self, texts: str | list[str], numbers: WordNumbers):
-        self.texts = [texts] if isinstance(texts, str) else texts
-        self.raws = [text.encode() for text in self.texts]
-        split = [raw.split() for raw in self.raws]
-        counts = np.array([len(words) for words in split], np.int64)
-        self.words = numbers.of([word for words in split for word in words])
-        last = np.cumsum(counts)
+        raws = [text.encode() for text in ([texts] if isinstance(texts, str) else texts)]
+        self.raw, ends = b"\n".join(raws), np.cumsum([len(raw) + 1 for raw in raws])
+        self.bytes = word_bytes(self.raw)
+        self.words = numbers.of_places(self.raw, *self.bytes)
+        self.starts, last = np.append(0, ends[:-1]), np.searchsorted(self.bytes[0], ends)
+        counts = np.diff(last, prepend=0)
         self.text, self.first, self.last = (np.repeat(x, counts) for x in (np.arange(len(counts)), last - counts, last))
         self.left = self.last - np.arange(len(self.words))
         self.hashes = shingles(self.words, SHINGLE) if len(self.words) >= PARAGRAPH else np.zeros(0, np.uint64)
@@ -122,10 +126,9 @@ class Paragraphs:
 
     @cached_property
     def _places(self) -> tuple[np.ndarray, np.ndarray]:
-        begins, ends = _word_places(b"\n".join(self.raws))
-        sizes = np.array([len(text) + 1 for text in self.texts], np.int64)
-        before = np.repeat(np.cumsum(sizes) - sizes, np.bincount(self.text, minlength=len(sizes)))
-        return (begins - before)[self.at], (ends - before)[self.at + PARAGRAPH - 1]
+        points = _points_before(self.raw)
+        before = points[self.starts[self.text[self.at]]]
+        return points[self.bytes[0][self.at]] - before, points[self.bytes[1][self.at + PARAGRAPH - 1]] - before
 
     @property
     def begins(self) -> np.ndarray:
@@ -146,7 +149,16 @@ class Paragraphs:
         return mixed(digests * np.uint64(3) + self.hashes[at + _SPAN - 1]).view(np.int64)
 
     def set_of(self, i: int) -> bytes:
-        return np.unique(self.hashes[self.at[i] : self.at[i] + _SPAN]).tobytes()
+        return self.sets_of(np.array([i]))[0]
+
+    def sets_of(self, some: np.ndarray) -> list[bytes]:
+        """Shingles of paragraphs, rising, each once."""
+        if not len(some):
+            return []
+        held = np.sort(np.lib.stride_tricks.sliding_window_view(self.hashes, _SPAN)[self.at[some]], axis=1)
+        again = (held[:, 1:] == held[:, :-1]).any(axis=1)
+        raw, size = held.tobytes(), 8 * _SPAN
+        return [np.unique(held[i]).tobytes() if more else raw[i * size : i * size + size] for i, more in enumerate(again.tolist())]
 
     @cached_property
     def seeds(self) -> tuple[np.ndarray, np.ndarray]:
@@ -159,6 +171,8 @@ class Paragraphs:
         """``at``, with the first and the last place in place of all those whose equal runs of words overlap on and on."""
         found, apart, place = [], np.ones(len(at), bool), np.arange(len(hashes))
         for period in range(1, SEED):
+            if not ((hashes[at] == hashes[at - period]) | (hashes[at] == np.roll(hashes, -period)[at]))[apart].any():
+                continue
             as_before = (place - self.first[place] >= period) & (self.left[place] >= SEED)
             as_before[period:] &= hashes[period:] == hashes[:-period]
             as_before = np.append(as_before, np.zeros(-len(hashes) % period + period, bool))
@@ -192,15 +206,20 @@ class Paragraphs:
         return (mixed(self.words) >> np.uint64(32)).astype(np.uint32)
 
     def words_of(self, i: int) -> bytes:
-        """Words around a seed as 32-bit numbers, after their number before it."""
-        at = self.seeds[0][i : i + 1]
-        begin, end = (int(x[0]) for x in self._around(at))
-        return int(at[0] - begin).to_bytes(4, "little") + self._short[begin:end].tobytes()
+        return self.all_words_of(np.array([i]))[0]
+
+    def all_words_of(self, some: np.ndarray) -> list[bytes]:
+        """Words around seeds as 32-bit numbers, after their number before the seed."""
+        at = self.seeds[0][some]
+        begins, ends = self._around(at)
+        raw, before = self._short.tobytes(), (at - begins).astype("<u4").tobytes()
+        places = zip(range(0, 4 * len(at), 4), (4 * begins).tolist(), (4 * ends).tolist())
+        return [before[k : k + 4] + raw[begin:end] for k, begin, end in places]
 
 
 def _apart(texts: np.ndarray, begins: np.ndarray, ends: np.ndarray, keys: np.ndarray, digests: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Equal runs of a text that overlap are one, so that a phrase said on and on is one row."""
-    order = np.lexsort((begins, digests, keys, texts))
+    """Equal runs of a text that overlap are one, so that a phrase said on and on is one row; begins rise in each text."""
+    order = np.argsort(mixed(mixed(digests.view(np.uint64)) + keys.view(np.uint64)) + texts.astype(np.uint64), kind="stable")
     texts, begins, ends, keys, digests = (x[order] for x in (texts, begins, ends, keys, digests))
     if not len(order):
         return begins, ends, keys, digests, texts
@@ -276,16 +295,17 @@ def _sets(asked: np.ndarray):
             for rows, texts in _portions(batch):
                 own, found, seen = Paragraphs(texts, numbers), ([], [], [], []), set()
                 seeds, seed_keys = own.seeds
-                for at, keys, digests_of, set_of in (
-                    (own.at, own.keys, own.digests_of, own.set_of),
-                    (seeds, seed_keys, own.surroundings_of, own.words_of),
+                for at, keys, digests_of, sets_of in (
+                    (own.at, own.keys, own.digests_of, own.sets_of),
+                    (seeds, seed_keys, own.surroundings_of, own.all_words_of),
                 ):
                     held = rows[own.text[at]]
                     some = np.flatnonzero(might_hold(asked, _marks(keys, held)))
-                    for i, unit in zip(some.tolist(), zip(held[some].tolist(), keys[some].tolist(), digests_of(some).tolist())):
+                    units = zip(held[some].tolist(), keys[some].tolist(), digests_of(some).tolist())
+                    for unit, tokens in zip(units, sets_of(some)):
                         if unit not in seen:
                             seen.add(unit)
-                            for column, part in zip(found, (*unit, set_of(i))):
+                            for column, part in zip(found, (*unit, tokens)):
                                 column.append(part)
                 columns = [pa.array(c, pa.int64()) for c in found[:3]] + [pa.array(found[3], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["row", "key", "digest", "tokens"])
@@ -374,6 +394,15 @@ def _link_batch(rows: list):
     return pa.RecordBatch.from_arrays([pa.array(columns[:, i]) for i in range(len(_LINK_NAMES))], _LINK_NAMES)
 
 
+def _own_links(node: int, tokens: bytes) -> list[list[int]]:
+    """A link of a node to itself that claims all its words, which two documents have, at an end of words said on and on."""
+    before, size = int.from_bytes(tokens[:4], "little"), len(tokens) // 4 - 1
+    at, long = 4 + 4 * before, 4 * SEED
+    places = (at + 4 * step for step in range(1 - SEED, SEED) if step and before + step >= 0)
+    said = any(tokens[place : place + long] == tokens[at : at + long] for place in places)
+    return [[node, node, node, node, -before, size - before, -before, size - before]] if said else []
+
+
 def _compare(batches: Iterable) -> Iterator:
     """Rows by ``key, salt, rank``, leaders first, to the pairs of a leader and a similar paragraph."""
     at, leaders = None, []
@@ -392,6 +421,7 @@ def _compare(batches: Iterable) -> Iterator:
                 for i, j, span in zip(one[good].tolist(), other[good].tolist(), spans.tolist()):
                     pair = [rows[i]["node"], rows[j]["node"]]
                     links.append([*pair, *pair, *span])
+                links += [link for row in rows if row["twice"] for link in _own_links(row["node"], row["tokens"])]
                 continue
             for row in rows:
                 own = np.frombuffer(row["tokens"], np.uint64)
@@ -420,23 +450,36 @@ def _rare(around: tuple[np.ndarray, np.ndarray], held: np.ndarray) -> tuple[np.n
     return rows[order], number[order]
 
 
-def _group_links(nodes: np.ndarray, around: tuple[np.ndarray, np.ndarray], held: np.ndarray) -> Iterator[list]:
-    """Links between components ``held`` of one key's rows, by rare shingles that they share."""
-    rows, number = _rare(around, held)
+def _bands(around: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """Two numbers of each row, one of which is equal in rows whose equal run is long enough for near passages.
+
+    Half of what such a run exceeds the seed by lies on one side of it.
+    """
+    side, bands = (_RUN - (SEED - SHINGLE) - 1) // 2 + 1, []
+    for begin in (_MARGIN - side, _MARGIN):
+        band = np.zeros(len(around[0]), np.uint64)
+        for column in around[0][:, begin : begin + side + SEED - SHINGLE + 1].T:
+            band = mixed(band * _SECOND + column)
+        bands.append(band)
+    return bands
+
+
+def _group_links(nodes: np.ndarray, around: tuple[np.ndarray, np.ndarray], bands: list[np.ndarray], held: np.ndarray) -> Iterator[list]:
+    """Links between components ``held`` of one key's rows, by rare shingles that they share; leaders have met all others."""
+    met = (bands[0][:, None] == bands[0]) | (bands[1][:, None] == bands[1])
+    met &= held[:, None] != held
+    met[:LEADERS], met[:, :LEADERS] = False, False
+    some = np.flatnonzero(met.any(axis=1))
+    if not len(some):
+        return
+    rows, number = _rare((around[0][some], around[1][some]), held[some])
+    rows = some[rows]
     sets = {members.tobytes(): members for members in np.split(rows, np.flatnonzero(np.diff(number)) + 1)}
     tried = np.zeros((len(held), len(held)), bool)
     for members in sets.values():
         if (held[members] != held[members[0]]).any():
             tried[members[:, None], members] = True
-    # Of a run long enough for near passages, half of what exceeds the seed lies on one side of it.
-    side, bands = (_RUN - (SEED - SHINGLE) - 1) // 2 + 1, np.zeros(tried.shape, bool)
-    for begin in (_MARGIN - side, _MARGIN):
-        part = around[0][:, begin : begin + side + SEED - SHINGLE + 1]
-        band = np.zeros(len(held), np.uint64)
-        for column in part.T:
-            band = mixed(band * _SECOND + column)
-        bands |= band[:, None] == band
-    tried = np.flatnonzero(np.triu(tried & bands & (held[:, None] != held)))
+    tried = np.flatnonzero(np.triu(tried & met))
     for low in range(0, len(tried), PAIRS):
         one, other = np.divmod(tried[low : low + PAIRS], len(held))
         open_ = held[one] != held[other]
@@ -464,7 +507,7 @@ def _groups_links(groups: list[list[tuple[int, int, bytes]]]) -> list[list]:
     good, spans = _near(around, one, other)
     one, other = one[good], other[good]
     links = np.concatenate((np.stack((nodes[one], nodes[other], nodes[one], nodes[other]), axis=1), spans), axis=1).tolist()
-    held = np.arange(len(nodes))
+    held, bands = np.arange(len(nodes)), _bands(around)
     by_group = np.searchsorted(starts, one, side="right") - 1
     order = np.argsort(by_group, kind="stable")
     bounds = np.searchsorted(by_group[order], np.arange(len(groups) + 1))
@@ -473,31 +516,32 @@ def _groups_links(groups: list[list[tuple[int, int, bytes]]]) -> list[list]:
         for i, j in zip((one[of] - start).tolist(), (other[of] - start).tolist()):
             if part[i] != part[j]:
                 part[part == part[j]] = part[i]
-        if (part != part[0]).any():
+        if size > LEADERS + 1 and (part != part[0]).any():
             own = slice(start, start + size)
-            links += _group_links(nodes[own], (around[0][own], around[1][own]), part)
+            links += _group_links(nodes[own], (around[0][own], around[1][own]), [band[own] for band in bands], part)
     return links
 
 
 def _near_links(batches: Iterable) -> Iterator:
     """Rows by ``key``, nodes without tokens and tokens without nodes, to links."""
     rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
-    groups, waiting = [], 0
+    groups, own, waiting = [], [], 0
     for _, group in groupby(rows, lambda row: row[0]):
         asked, sets = {}, {}
-        for _, digest, row, node, rank, tokens in group:
+        for _, digest, row, node, rank, twice, tokens in group:
             if tokens is None:
-                asked[digest, row] = (rank, node)
+                asked[digest, row] = (rank, node, twice)
             else:
                 sets[digest, row] = tokens
         if len(asked) > 1:
-            groups.append([(*found, sets[unit]) for unit, found in asked.items()])
+            groups.append([(rank, node, sets[unit]) for unit, (rank, node, _) in asked.items()])
+            own += [link for unit, (_, node, twice) in asked.items() if twice for link in _own_links(node, sets[unit])]
             waiting += len(asked)
         if waiting >= PAIRS:
-            yield _link_batch(_groups_links(groups))
-            groups, waiting = [], 0
+            yield _link_batch(_groups_links(groups) + own)
+            groups, own, waiting = [], [], 0
     if groups:
-        yield _link_batch(_groups_links(groups))
+        yield _link_batch(_groups_links(groups) + own)
 
 
 def _salted(frame: DataFrame) -> DataFrame:
@@ -514,30 +558,31 @@ def _is_seed() -> Column:
 
 
 def _met(texts: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``key, node, rank, splits, tokens`` of the nodes that share their key; sets are cut from their texts again.
+    """``key, node, rank, twice, splits, tokens`` of the nodes that share their key; sets are cut from their texts again.
 
     Seeds of keys that one task takes whole are linked there at once; of all others, the nodes.
     """
     held = Window.partitionBy("key")
     several = nodes.withColumn("n", F.count("*").over(held)).where("n > 1")
     ranked = several.withColumn("rank", F.row_number().over(held.orderBy(F.desc("rows"), "digest")))
-    ranked = stored(ranked.select("key", "digest", "node", "row", "rank", F.ceil(F.col("n") / SPLIT).cast("int").alias("splits")))
+    twice = (F.col("row") != F.col("last")).alias("twice")
+    ranked = stored(ranked.select("key", "digest", "node", "row", "rank", twice, F.ceil(F.col("n") / SPLIT).cast("int").alias("splits")))
     asked = bitmap_of(ranked.select(_mark()), shuffle_width(nodes.sparkSession))
     sets = stored(texts.mapInArrow(_sets(asked), "row long, key long, digest long, tokens binary"))
     whole = _is_seed() & (F.col("splits") == 1)
     large = ranked.where(_is_seed() & (F.col("splits") > 1)).select("key").distinct()
     seeds = sets.where(_is_seed()).join(F.broadcast(large), "key", "left_anti")
-    rows = ranked.where(whole).select("key", "digest", "row", "node", "rank", F.lit(None).cast("binary").alias("tokens"))
+    rows = ranked.where(whole).select("key", "digest", "row", "node", "rank", "twice", F.lit(None).cast("binary").alias("tokens"))
     rows = rows.unionByName(seeds, allowMissingColumns=True)
     links = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_near_links, _LINKS)
-    met = ranked.where(~whole).join(sets, ["row", "key", "digest"]).select("key", "node", "rank", "splits", "tokens")
+    met = ranked.where(~whole).join(sets, ["row", "key", "digest"]).select("key", "node", "rank", "twice", "splits", "tokens")
     return stored(met), stored(links)
 
 
 def _links(met: DataFrame) -> DataFrame:
     """Nodes of one key that are similar, each tried against the key's leaders."""
     leaders = F.when(F.col("rank") <= LEADERS, F.sequence(F.lit(0), F.col("splits") - 1)).otherwise(F.array(_salt("node")))
-    dealt = met.select("key", "node", "rank", "tokens", F.explode(leaders).alias("salt"))
+    dealt = met.select("key", "node", "rank", "twice", "tokens", F.explode(leaders).alias("salt"))
     ordered = dealt.repartition("key", "salt").sortWithinPartitions("key", "salt", "rank")
     return ordered.mapInArrow(_compare, _LINKS).distinct()
 
@@ -599,11 +644,13 @@ def _try_across(batches: Iterable) -> Iterator:
 def _across(met: DataFrame, found: DataFrame) -> DataFrame:
     """Components of ``found`` in one key that hold a similar pair; a node in none is its own component.
 
+    Keys with one node beside their leaders are left out, as all their pairs are tried by then.
     Sets of similarity ``PERCENT`` share one of their rarest tokens of the key, so only those that do meet. Many rows of
     one token are dealt into blocks, and each two blocks meet in a task.
     """
-    named = met.select("key", "node", "tokens").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    named = met.select("key", "node", "rank", "tokens").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    held = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("rank").alias("n"))
+    split = held.where((F.col("lo") != F.col("hi")) & (F.col("n") > LEADERS + 1)).select("key")
     left = stored(named.join(split, "key").select("key", "node", "component", "tokens"))
     words = left.mapInArrow(_words, "key long, node long, component long, places long, token long")
     times = words.groupBy("key", "token").agg(F.count("*").alias("times"), F.min("component").alias("lo"), F.max("component").alias("hi"))
@@ -632,13 +679,19 @@ def _components(met: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame,
     return found, whole.select(F.col("node").alias("component"), F.col("component").alias("whole")), _spans(stars.unionByName(across))
 
 
+# Rows are numbered by partition, from this bit on, and place in it; the factors spread both and the words over a bitmap.
+_PARTITION, _FACTORS = 33, (1000003, 15485863, 7919)
+
+
 def _word_mark() -> Column:
     """One number for a word in a row; the same as ``_word_marks``."""
-    return mark(F.shiftleft("row", _ROW_BITS).bitwiseXOR(F.shiftleft("word", 44))).alias("mark")
+    parts = F.col("row").bitwiseAND(F.lit((1 << _PARTITION) - 1)), F.shiftright("row", _PARTITION), F.col("word")
+    return mark(F.shiftleft(sum(part * factor for part, factor in zip(parts, _FACTORS)), _ROW_BITS)).alias("mark")
 
 
 def _word_marks(rows: np.ndarray, words: np.ndarray) -> np.ndarray:
-    return (rows << _ROW_BITS) ^ (words << 44)
+    parts = rows & ((1 << _PARTITION) - 1), rows >> _PARTITION, words
+    return sum(part * factor for part, factor in zip(parts, _FACTORS)) << _ROW_BITS
 
 
 def _points(asked: np.ndarray):
@@ -648,14 +701,16 @@ def _points(asked: np.ndarray):
         import pyarrow as pa
 
         for batch in batches:
-            columns = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                begins, ends = _word_places((text.as_py() or "").encode())
-                words = np.arange(len(begins))
-                some = might_hold(asked, _word_marks(np.full(len(words), row), words))
-                for column, part in zip(columns, (np.full(int(some.sum()), row), words[some], begins[some], ends[some])):
-                    column.append(part)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["row", "word", "begin", "end"])
+            for rows, texts in _portions(batch):
+                raws = [text.encode() for text in texts]
+                raw, ends = b"\n".join(raws), np.cumsum([len(own) + 1 for own in raws])
+                (begin, end), points = word_bytes(raw), _points_before(raw)
+                of = np.searchsorted(ends, begin, side="right")
+                words = np.arange(len(begin)) - np.searchsorted(of, of)
+                some = np.flatnonzero(might_hold(asked, _word_marks(rows[of], words)))
+                starts = points[np.append(0, ends[:-1])[of[some]]]
+                columns = rows[of[some]], words[some], points[begin[some]] - starts, points[end[some]] - starts
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["row", "word", "begin", "end"])
 
     return run
 
@@ -695,7 +750,7 @@ def _repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.count("*").alias("rows"), F.min("row").alias("row"), F.max("row").alias("last"), F.max("splits").alias("splits")
     )
     nodes = stored(counted.withColumn("node", F.monotonically_increasing_id()))
-    found, wholes, spans = _components(*_met(own, nodes.select("key", "digest", "node", "row", "rows")))
+    found, wholes, spans = _components(*_met(own, nodes.select("key", "digest", "node", "row", "last", "rows")))
     starred = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     classes = starred.join(wholes, "component", "left").withColumn("component", F.coalesce("whole", "component")).drop("whole")
     # Components and what they reach are worked out on distinct paragraphs, before their copies come in.

@@ -8,6 +8,10 @@ import numpy as np
 TABLE_WORDS = 250_000
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+# Words looked up all at once: a word takes the place of another one in its slot.
+_SLOT_BITS = 20
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_IN_WORD = np.array([k != 32 and not 9 <= k <= 13 for k in range(256)])
 
 
 class WordNumbers(dict):
@@ -18,6 +22,7 @@ class WordNumbers(dict):
 
         super().__init__()
         self.hash = xxhash.xxh64_intdigest
+        self.recent = np.zeros((2, 1 << _SLOT_BITS), np.uint64)
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = self.hash(word)
@@ -28,6 +33,29 @@ class WordNumbers(dict):
             self.clear()
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
+    def of_places(self, raw: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The numbers of words in place; words of up to 16 bytes that were met lately are looked up all at once."""
+        sizes, padded = ends - begins, raw + bytes(16)
+        eights = np.ndarray((len(padded) - 7,), "<u8", padded, 0, (1,))
+        low, high = (eights[begins + k] & _MASKS[np.clip(sizes - k, 0, 8)] for k in (0, 8))
+        names = mixed(mixed(low + sizes.astype(np.uint64) * _STEP) + high)
+        slots = (names >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+        found, short = self.recent[1][slots], sizes <= 16
+        new = np.flatnonzero(~short | (self.recent[0][slots] != names))
+        places = zip(begins[new].tolist(), ends[new].tolist())
+        found[new] = np.fromiter((self.hash(raw[i:j]) for i, j in places), np.uint64, len(new))
+        kept = new[short[new]]
+        self.recent[:, slots[kept]] = names[kept], found[kept]
+        return found
+
+
+def word_bytes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Places of bytes at which words begin and end."""
+    word = np.zeros(len(raw) + 2, bool)
+    word[1:-1] = _IN_WORD[np.frombuffer(raw, np.uint8)]
+    edges = np.flatnonzero(word[1:] != word[:-1])
+    return edges[::2], edges[1::2]
+
 
 def split_words(text: str, lower: bool = False) -> list[bytes]:
     """Runs of bytes other than ASCII white space, A-Z in lower case if asked for."""

@@ -319,3 +319,36 @@ def test_variants_of_a_run_are_few_pairs():
     texts = [" ".join(prose(chance, 60) + ["the"] * chance.randrange(24, 70) + prose(chance, 60)) for _ in range(50)]
     own = passages.Paragraphs(texts, WordNumbers())
     assert np.unique(own.seeds[1], return_counts=True)[1].max() <= 100
+
+
+def test_words_are_asked_for_one_by_one(spark):
+    """Marks of words of neighbouring rows were the same, so that nearly half of all words were looked up."""
+    rows = np.repeat(np.array([p << 33 | i for p in range(4) for i in range(400)]), 500)
+    words = np.tile(np.arange(500), 1600)
+    marks = passages._word_marks(rows, words)
+    assert len(np.unique(marks.view(np.uint64) >> np.uint64(38))) > 0.9 * len(rows)
+    some = np.arange(0, len(rows), 9973)
+    asked = spark.createDataFrame(list(zip(rows[some].tolist(), words[some].tolist())), "row long, word long")
+    found = sorted(r.mark for r in asked.select(passages._word_mark()).collect())
+    assert found == sorted((marks[some].view(np.uint64) >> np.uint64(38)).tolist())
+
+
+def test_words_in_place_are_the_words_of_the_text():
+    """Their numbers are those of the words, whatever stands around them, however long they are and whatever came before."""
+    chance = random.Random(5)
+    words = ["a" * k for k in range(1, 40)] + ["é" * k for k in range(1, 20)] + ["a\x00", "a\x00\x00", "ab", "ba", "\x00"] + prose(chance, 50)
+    numbers = WordNumbers()
+    for said in ([chance.choice(words) for _ in range(3000)], prose(chance, 3000), words, [], words[::-1]):
+        raw = "".join(word + chance.choice([" ", "\n", "\t\x0b ", "\r\x0c"]) for word in said).encode()
+        assert numbers.of_places(raw, *passages.word_bytes(raw)).tolist() == WordNumbers().of([word.encode() for word in said]).tolist()
+
+
+def test_copies_with_words_said_on_and_on_are_claimed_up_to_their_ends(spark, tmp_path, monkeypatch):
+    """Words that two documents have around a run are claimed with it, in one task and in blocks."""
+    chance = random.Random(4)
+    text = " ".join(prose(chance, 12) + ["the"] * 70 + prose(chance, 14))
+    docs = [(1, text), (1, text), (2, " ".join(prose(chance, 70) + ["the"] * 60 + prose(chance, 70)))]
+    for split, place in ((passages.SPLIT, "whole"), (2, "blocks")):
+        monkeypatch.setattr(passages, "SPLIT", split)
+        found = [r for r in passages.passages(saved(spark, tmp_path / place, docs)).collect() if r.doc_id == 1]
+        assert len(found) in (2, 3) and any((r.start, r.end) == (0, len(text)) and r.removed for r in found)
