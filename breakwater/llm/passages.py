@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from breakwater.llm import graph
-from breakwater.llm.bitmap import bitmap_of, mark, might_hold
-from breakwater.llm.common import shuffle_width, steady_scans, stored
+from breakwater.llm.bitmap import mark
+from breakwater.llm.common import steady_scans, stored
 from breakwater.llm.words import WordNumbers, mixed, shingles, word_bytes
 
 # Parameters: words of a shingle and of a paragraph, shingles around an anchor, similarity in percent, leading
@@ -77,11 +77,11 @@ def _points_before(raw: bytes) -> np.ndarray:
 
 def _least_places(hashes: np.ndarray, reach: int) -> np.ndarray:
     """The last least place of every window, from windows of half the length, which overlap where lengths do not double."""
-    at, length = np.arange(len(hashes)), 1
+    at, least, length = np.arange(len(hashes)), hashes, 1
     while length < reach:
         step = min(length, reach - length)
-        left, right = at[:-step], at[step:]
-        at, length = np.where(hashes[right] <= hashes[left], right, left), length + step
+        left, right = least[:-step], least[step:]
+        at, least, length = np.where(right <= left, at[step:], at[:-step]), np.minimum(left, right), length + step
     return at
 
 
@@ -94,11 +94,8 @@ def anchors(hashes: np.ndarray) -> np.ndarray:
     return found[found <= len(hashes) - _SPAN]
 
 
-class Paragraphs:
-    """Paragraphs and seeds of texts cut side by side; what else they have is worked out where it is asked for.
-
-    Keys of paragraphs are even, those of seeds odd, so that the two never meet.
-    """
+class Words:
+    """Words of texts laid side by side, and the runs of them that are asked for by the place of their first word."""
 
     def __init__(self, texts: str | list[str], numbers: WordNumbers):
         raws = [text.encode() for text in ([texts] if isinstance(texts, str) else texts)]
@@ -108,8 +105,55 @@ class Paragraphs:
         self.starts, last = np.append(0, ends[:-1]), np.searchsorted(self.bytes[0], ends)
         counts = np.diff(last, prepend=0)
         self.text, self.first, self.last = (np.repeat(x, counts) for x in (np.arange(len(counts)), last - counts, last))
+        self.firsts = last - counts
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return shingles(self.words, SHINGLE) if len(self.words) >= PARAGRAPH else np.zeros(0, np.uint64)
+
+    @cached_property
+    def _short(self) -> np.ndarray:
+        return (mixed(self.words) >> np.uint64(32)).astype(np.uint32)
+
+    @cached_property
+    def points(self) -> np.ndarray:
+        """Code points before each byte and the end."""
+        return _points_before(self.raw)
+
+    def places_of(self, texts: np.ndarray, points: np.ndarray) -> np.ndarray:
+        """Places of words that begin at code points of texts."""
+        return np.searchsorted(self.points[self.bytes[0]], self.points[self.starts[texts]] + points)
+
+    def around(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words within which every passage of ``LEAST`` words lies that holds a seed."""
+        return np.maximum(self.first[at], at - _MARGIN), np.minimum(self.last[at], at + LEAST)
+
+    def sets_at(self, at: np.ndarray) -> list[bytes]:
+        """Shingles of paragraphs, rising, each once."""
+        if not len(at):
+            return []
+        held = np.sort(np.lib.stride_tricks.sliding_window_view(self.hashes, _SPAN)[at], axis=1)
+        again = (held[:, 1:] == held[:, :-1]).any(axis=1)
+        raw, size = held.tobytes(), 8 * _SPAN
+        return [np.unique(held[i]).tobytes() if more else raw[i * size : i * size + size] for i, more in enumerate(again.tolist())]
+
+    def words_at(self, at: np.ndarray) -> list[bytes]:
+        """Words around seeds as 32-bit numbers, after their number before the seed."""
+        begins, ends = self.around(at)
+        raw, before = self._short.tobytes(), (at - begins).astype("<u4").tobytes()
+        places = zip(range(0, 4 * len(at), 4), (4 * begins).tolist(), (4 * ends).tolist())
+        return [before[k : k + 4] + raw[begin:end] for k, begin, end in places]
+
+
+class Paragraphs(Words):
+    """Paragraphs and seeds of texts cut side by side; what else they have is worked out where it is asked for.
+
+    Keys of paragraphs are even, those of seeds odd, so that the two never meet.
+    """
+
+    def __init__(self, texts: str | list[str], numbers: WordNumbers):
+        super().__init__(texts, numbers)
         self.left = self.last - np.arange(len(self.words))
-        self.hashes = shingles(self.words, SHINGLE) if len(self.words) >= PARAGRAPH else np.zeros(0, np.uint64)
         self.at = self._leasts(self.hashes, REACH, SHINGLE, PARAGRAPH)
         self.at = self.at[self.left[self.at] >= PARAGRAPH]
         second = mixed(self.hashes ^ _SECOND)
@@ -126,9 +170,8 @@ class Paragraphs:
 
     @cached_property
     def _places(self) -> tuple[np.ndarray, np.ndarray]:
-        points = _points_before(self.raw)
-        before = points[self.starts[self.text[self.at]]]
-        return points[self.bytes[0][self.at]] - before, points[self.bytes[1][self.at + PARAGRAPH - 1]] - before
+        before = self.points[self.starts[self.text[self.at]]]
+        return self.points[self.bytes[0][self.at]] - before, self.points[self.bytes[1][self.at + PARAGRAPH - 1]] - before
 
     @property
     def begins(self) -> np.ndarray:
@@ -149,16 +192,7 @@ class Paragraphs:
         return mixed(digests * np.uint64(3) + self.hashes[at + _SPAN - 1]).view(np.int64)
 
     def set_of(self, i: int) -> bytes:
-        return self.sets_of(np.array([i]))[0]
-
-    def sets_of(self, some: np.ndarray) -> list[bytes]:
-        """Shingles of paragraphs, rising, each once."""
-        if not len(some):
-            return []
-        held = np.sort(np.lib.stride_tricks.sliding_window_view(self.hashes, _SPAN)[self.at[some]], axis=1)
-        again = (held[:, 1:] == held[:, :-1]).any(axis=1)
-        raw, size = held.tobytes(), 8 * _SPAN
-        return [np.unique(held[i]).tobytes() if more else raw[i * size : i * size + size] for i, more in enumerate(again.tolist())]
+        return self.sets_at(self.at[[i]])[0]
 
     @cached_property
     def seeds(self) -> tuple[np.ndarray, np.ndarray]:
@@ -185,10 +219,6 @@ class Paragraphs:
             found.append(np.minimum.accumulate(last[::-1], axis=0)[::-1].ravel()[at[said]])
         return np.unique(np.concatenate((at[apart], *found)))
 
-    def _around(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Words within which every passage of ``LEAST`` words lies that holds a seed."""
-        return np.maximum(self.first[at], at - _MARGIN), np.minimum(self.last[at], at + LEAST)
-
     @cached_property
     def _sums(self) -> tuple[np.ndarray, np.ndarray]:
         powers, back = (np.cumprod(np.full(len(self.words), base)) for base in _BASES)
@@ -197,24 +227,12 @@ class Paragraphs:
     def surroundings_of(self, some: np.ndarray) -> np.ndarray:
         """Digests of seeds with the words around them."""
         at = self.seeds[0][some]
-        (begin, end), (sums, back) = self._around(at), self._sums
+        (begin, end), (sums, back) = self.around(at), self._sums
         run = (sums[end] - sums[begin]) * back[begin]
         return mixed(mixed(run) + ((at - begin) * 1000 + end - begin).astype(np.uint64)).view(np.int64)
 
-    @cached_property
-    def _short(self) -> np.ndarray:
-        return (mixed(self.words) >> np.uint64(32)).astype(np.uint32)
-
     def words_of(self, i: int) -> bytes:
-        return self.all_words_of(np.array([i]))[0]
-
-    def all_words_of(self, some: np.ndarray) -> list[bytes]:
-        """Words around seeds as 32-bit numbers, after their number before the seed."""
-        at = self.seeds[0][some]
-        begins, ends = self._around(at)
-        raw, before = self._short.tobytes(), (at - begins).astype("<u4").tobytes()
-        places = zip(range(0, 4 * len(at), 4), (4 * begins).tolist(), (4 * ends).tolist())
-        return [before[k : k + 4] + raw[begin:end] for k, begin, end in places]
+        return self.words_at(self.seeds[0][[i]])[0]
 
 
 def _apart(texts: np.ndarray, begins: np.ndarray, ends: np.ndarray, keys: np.ndarray, digests: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -243,19 +261,18 @@ def _joined_seeds(own: Paragraphs) -> tuple[np.ndarray, ...]:
 _UNITS = "row long, span long, key long, digest long"
 
 
-def _portions(batch) -> Iterator[tuple[np.ndarray, list[str]]]:
-    """Rows and texts of a batch, a bounded number of characters at a time (or one text)."""
-    rows, texts, size = [], [], 0
-    for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+def _portions(batch) -> Iterator[tuple]:
+    """Rows of a batch and their texts, a bounded number of characters at a time (or one text)."""
+    low, texts, size = 0, [], 0
+    for text in batch.column(1):
         text = text.as_py() or ""
-        if rows and size + len(text) > CHARACTERS:
-            yield np.array(rows, np.int64), texts
-            rows, texts, size = [], [], 0
-        rows.append(row)
+        if texts and size + len(text) > CHARACTERS:
+            yield batch.slice(low, len(texts)), texts
+            low, texts, size = low + len(texts), [], 0
         texts.append(text)
         size += len(text)
-    if rows:
-        yield np.array(rows, np.int64), texts
+    if texts:
+        yield batch.slice(low, len(texts)), texts
 
 
 def _cut(batches: Iterable) -> Iterator:
@@ -264,53 +281,38 @@ def _cut(batches: Iterable) -> Iterator:
 
     numbers = WordNumbers()
     for batch in batches:
-        for rows, texts in _portions(batch):
-            own = Paragraphs(texts, numbers)
+        for part, texts in _portions(batch):
+            rows, own = part.column(0).to_numpy(), Paragraphs(texts, numbers)
             begins, ends, keys, digests, of = _joined(own)
             words, _, seeds, around, held = _joined_seeds(own)
             parts = ((rows[of], rows[held]), (begins << 32 | ends, words), (keys, seeds), (digests, around))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p).astype(np.int64)) for p in parts], ["row", "span", "key", "digest"])
 
 
-_ROW_BITS = 38
-
-
-def _marks(keys: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """One number for each key in a row; the same as ``_mark``."""
-    return keys ^ (rows << _ROW_BITS)
+def _asked(part) -> tuple[np.ndarray, list]:
+    """Of a portion whose third column lists what is asked of each text: the texts, and the columns of what is asked."""
+    asked = part.column(2)
+    return np.repeat(np.arange(len(asked)), asked.value_lengths().to_numpy()), asked.flatten().flatten()
 
 
-def _mark() -> Column:
-    return mark(F.col("key").bitwiseXOR(F.shiftleft("row", _ROW_BITS))).alias("mark")
+_MET = "key long, node long, rank int, twice boolean, splits int, tokens binary"
 
 
-def _sets(asked: np.ndarray):
-    """``row, text`` to ``row, key, digest, tokens`` of the paragraphs that may be asked for."""
-
-    def run(batches: Iterable) -> Iterator:
-        import pyarrow as pa
-
-        numbers = WordNumbers()
-        for batch in batches:
-            for rows, texts in _portions(batch):
-                own, found, seen = Paragraphs(texts, numbers), ([], [], [], []), set()
-                seeds, seed_keys = own.seeds
-                for at, keys, digests_of, sets_of in (
-                    (own.at, own.keys, own.digests_of, own.sets_of),
-                    (seeds, seed_keys, own.surroundings_of, own.all_words_of),
-                ):
-                    held = rows[own.text[at]]
-                    some = np.flatnonzero(might_hold(asked, _marks(keys, held)))
-                    units = zip(held[some].tolist(), keys[some].tolist(), digests_of(some).tolist())
-                    for unit, tokens in zip(units, sets_of(some)):
-                        if unit not in seen:
-                            seen.add(unit)
-                            for column, part in zip(found, (*unit, tokens)):
-                                column.append(part)
-                columns = [pa.array(c, pa.int64()) for c in found[:3]] + [pa.array(found[3], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "key", "digest", "tokens"])
+def _sets(batches: Iterable) -> Iterator:
+    """``row, text`` and the units asked for, with the span of each in this text, to these units and their tokens."""
+    import pyarrow as pa
 
-    return run
+    numbers = WordNumbers()
+    for batch in batches:
+        for part, texts in _portions(batch):
+            own, (of, (spans, *columns)) = Words(texts, numbers), _asked(part)
+            spans, seed = spans.to_numpy(), columns[0].to_numpy() & 1 == 1
+            seeds, paragraphs = np.flatnonzero(seed), np.flatnonzero(~seed)
+            tokens = own.words_at(own.firsts[of[seeds]] + spans[seeds])
+            tokens += own.sets_at(own.places_of(of[paragraphs], spans[paragraphs] >> 32))
+            order = pa.array(np.concatenate((seeds, paragraphs)))
+            arrays = [column.take(order) for column in columns] + [pa.array(tokens, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "node", "rank", "twice", "splits", "tokens"])
 
 
 def _aligned(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -328,11 +330,19 @@ def _aligned(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return found, (places >= sizes[:, :1]) & (places < sizes[:, 1:])
 
 
+def _listed(there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places that each row has, rising, in as many columns as the fullest row asks for; and which of these are places."""
+    sizes = there.sum(axis=1)
+    places = np.argsort(~there, axis=1, kind="stable")[:, : sizes.max(initial=0)]
+    return places, np.arange(places.shape[1]) < sizes[:, None]
+
+
 def _near(around: tuple[np.ndarray, np.ndarray], one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which pairs hold near passages around their seed, and the passages: begin and end in words from the seed, of both.
 
     Near are passages of ``LEAST`` words or more whose shingles, in order and as often as they stand, have a Jaccard
-    similarity of ``PERCENT``. Passages end where they begin and end to be alike. Such passages have an equal run of
+    similarity of ``PERCENT``. Passages end where they begin and end to be alike: the one that shares most begins and ends
+    with a run that both sides have, as more of a run is only more alike. Such passages have an equal run of
     ``SEED + SEED_REACH - 1`` words: a gap costs four shingles of either, so there are too few gaps for shorter runs. It
     holds a seed, so pairs whose run around this seed is shorter are left to another one.
     """
@@ -361,21 +371,25 @@ def _near(around: tuple[np.ndarray, np.ndarray], one: np.ndarray, other: np.ndar
         where = where[some]
         hit, seed = where >= 0, slice(_MARGIN, _MARGIN + SEED - SHINGLE + 1)
         some, where, hit = (v[hit[:, seed].all(axis=1)] for v in (some, where, hit))
-        count = np.cumsum(hit, axis=1).astype(np.int16)
-        begin, end = slice(0, _MARGIN + 1), slice(_MARGIN + SEED - SHINGLE, _AROUND)
-        shared = count[:, None, end] - count[:, begin, None] + np.int16(1)
-        width = np.maximum(place[None, end] - place[begin, None] + 1, _SIZE).astype(np.int16)
-        other_width = np.maximum((where[:, None, end] - where[:, begin, None] + 1).astype(np.int16), np.int16(_SIZE))
-        alike = (100 + PERCENT) * shared.astype(np.int32) >= PERCENT * (width + other_width).astype(np.int32)
-        alike &= hit[:, None, end] & hit[:, begin, None]
-        best = np.where(alike, shared, np.int16(0)).reshape(len(some), alike.shape[1] * alike.shape[2])
+        count, row = np.cumsum(hit, axis=1), np.arange(len(some))[:, None]
+        goes_on = hit[:, 1:] & (where[:, 1:] == where[:, :-1] + 1) & hit[:, :-1]
+        begins, ends = hit[:, : _MARGIN + 1].copy(), hit[:, _MARGIN + SEED - SHINGLE :].copy()
+        begins[:, 1:] &= ~goes_on[:, :_MARGIN]
+        ends[:, :-1] &= ~goes_on[:, _MARGIN + SEED - SHINGLE :]
+        (begins, begun), (ends, ended) = _listed(begins), _listed(ends)
+        ends += _MARGIN + SEED - SHINGLE
+        shared = count[row, ends][:, None, :] - count[row, begins][:, :, None] + 1
+        width = np.maximum(ends[:, None, :] - begins[:, :, None] + 1, _SIZE)
+        other_width = np.maximum(where[row, ends].astype(np.int64)[:, None, :] - where[row, begins][:, :, None] + 1, _SIZE)
+        alike = ((100 + PERCENT) * shared >= PERCENT * (width + other_width)) & begun[:, :, None] & ended[:, None, :]
+        best = np.where(alike, shared, 0).reshape(len(some), alike.shape[1] * alike.shape[2])
+        if not best.size:
+            continue
         top = best.argmax(axis=1)
-        good = best[np.arange(len(some)), top] > 0
-        some, where, top = some[good], where[good], top[good]
-        begins, ends = top // alike.shape[2], _MARGIN + SEED - SHINGLE + top % alike.shape[2]
-        row = np.arange(len(some))
-        kept.append(low + long[some])
-        columns = (begins, ends + SHINGLE, where[row, begins], where[row, ends] + SHINGLE)
+        good = np.flatnonzero(best[row[:, 0], top] > 0)
+        begins, ends = begins[good, top[good] // alike.shape[2]], ends[good, top[good] % alike.shape[2]]
+        kept.append(low + long[some[good]])
+        columns = (begins, ends + SHINGLE, where[good, begins], where[good, ends] + SHINGLE)
         spans.append(np.stack(columns, axis=1) - _MARGIN)
     if not kept:
         return np.zeros(0, np.int64), np.zeros((0, 4), np.int64)
@@ -434,17 +448,32 @@ def _compare(batches: Iterable) -> Iterator:
         yield _link_batch(links)
 
 
-def _rare(around: tuple[np.ndarray, np.ndarray], held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and numbers of the rare shingles one of which any two near rows share, where several components hold it."""
+def _counted(around: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """Shingles of each row, each with how often it stood there before: as many numbers as shingles.
+
+    Near rows have ``_SHARED`` of these in common, as they share shingles as often as they stand. Were words that are
+    said on and on one number, two rows with little else in common would share the rarest ones of the few they have.
+    """
     shingled, there = around
-    rows = np.repeat(np.arange(len(held)), there.sum(axis=1))
-    tokens, rows = np.unique(np.stack((shingled[there], rows.astype(np.uint64)), axis=1), axis=0).T
-    rows, (_, number, times) = rows.astype(np.int64), np.unique(tokens, return_inverse=True, return_counts=True)
+    order = np.argsort(shingled, axis=1)
+    ordered, place = np.take_along_axis(shingled, order, axis=1), np.arange(shingled.shape[1])
+    new = np.ones(shingled.shape, bool)
+    new[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
+    times = place - np.maximum.accumulate(np.where(new, place, 0), axis=1)
+    counted, there = ordered + times.astype(np.uint64) * _SECOND, np.take_along_axis(there, order, axis=1)
+    return np.split(counted[there], np.cumsum(there.sum(axis=1))[:-1])
+
+
+def _rare(around: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and numbers of the rare shingles one of which any two near rows share."""
+    counted = _counted(around)
+    sizes = np.array([len(own) for own in counted])
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    _, number, times = np.unique(np.concatenate(counted), return_inverse=True, return_counts=True)
     order = np.lexsort((number, times[number], rows))
-    rows, number = rows[order], number[order]
-    sizes = np.bincount(rows, minlength=len(held))
+    number = number[order]
     nth = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    first = nth <= (there.sum(axis=1) - _SHARED)[rows]
+    first = (nth <= (sizes - _SHARED)[rows]) & (times[number] > 1)
     rows, number = rows[first], number[first]
     order = np.lexsort((rows, number))
     return rows[order], number[order]
@@ -472,7 +501,9 @@ def _group_links(nodes: np.ndarray, around: tuple[np.ndarray, np.ndarray], bands
     some = np.flatnonzero(met.any(axis=1))
     if not len(some):
         return
-    rows, number = _rare((around[0][some], around[1][some]), held[some])
+    rows, number = _rare((around[0][some], around[1][some]))
+    if not len(rows):
+        return
     rows = some[rows]
     sets = {members.tobytes(): members for members in np.split(rows, np.flatnonzero(np.diff(number)) + 1)}
     tried = np.zeros((len(held), len(held)), bool)
@@ -491,57 +522,57 @@ def _group_links(nodes: np.ndarray, around: tuple[np.ndarray, np.ndarray], bands
                 held[held == held[j]] = held[i]
 
 
-def _groups_links(groups: list[list[tuple[int, int, bytes]]]) -> list[list]:
-    """Links of whole keys; a row is its rank, node and tokens: the leaders with all others, then what that leaves apart."""
-    sizes = np.array([len(group) for group in groups])
-    starts = np.cumsum(sizes) - sizes
-    nodes = np.array([node for group in groups for _, node, _ in sorted(group)], np.int64)
-    around = _aligned([tokens for group in groups for _, _, tokens in sorted(group)])
-    one, other = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for leader in range(LEADERS):
-        for start, size in zip(starts.tolist(), sizes.tolist()):
-            if size > leader + 1:
-                one.append(np.full(size - leader - 1, start + leader))
-                other.append(np.arange(start + leader + 1, start + size))
-    one, other = np.concatenate(one), np.concatenate(other)
+def _groups_links(sizes: np.ndarray, nodes: np.ndarray, tokens: list[bytes]) -> list[list]:
+    """Links of whole keys of so many rows, which rise by rank: the leaders with all others, then what that leaves apart."""
+    starts, around = np.cumsum(sizes) - sizes, _aligned(tokens)
+    begins = np.repeat(starts, sizes)
+    nth = np.arange(len(nodes)) - begins
+    other = [np.flatnonzero(nth > leader) for leader in range(LEADERS)]
+    one, other = np.concatenate([begins[rows] + leader for leader, rows in enumerate(other)]), np.concatenate(other)
     good, spans = _near(around, one, other)
     one, other = one[good], other[good]
     links = np.concatenate((np.stack((nodes[one], nodes[other], nodes[one], nodes[other]), axis=1), spans), axis=1).tolist()
     held, bands = np.arange(len(nodes)), _bands(around)
     by_group = np.searchsorted(starts, one, side="right") - 1
     order = np.argsort(by_group, kind="stable")
-    bounds = np.searchsorted(by_group[order], np.arange(len(groups) + 1))
-    for g, (start, size) in enumerate(zip(starts.tolist(), sizes.tolist())):
-        part, of = held[start : start + size], order[bounds[g] : bounds[g + 1]]
-        for i, j in zip((one[of] - start).tolist(), (other[of] - start).tolist()):
+    bounds = np.searchsorted(by_group[order], np.arange(len(sizes) + 1))
+    for g in np.flatnonzero(sizes > LEADERS + 1).tolist():
+        own, of = slice(starts[g], starts[g] + sizes[g]), order[bounds[g] : bounds[g + 1]]
+        part = held[own]
+        for i, j in zip((one[of] - starts[g]).tolist(), (other[of] - starts[g]).tolist()):
             if part[i] != part[j]:
                 part[part == part[j]] = part[i]
-        if size > LEADERS + 1 and (part != part[0]).any():
-            own = slice(start, start + size)
+        if (part != part[0]).any():
             links += _group_links(nodes[own], (around[0][own], around[1][own]), [band[own] for band in bands], part)
     return links
 
 
 def _near_links(batches: Iterable) -> Iterator:
-    """Rows by ``key``, nodes without tokens and tokens without nodes, to links."""
-    rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
-    groups, own, waiting = [], [], 0
-    for _, group in groupby(rows, lambda row: row[0]):
-        asked, sets = {}, {}
-        for _, digest, row, node, rank, twice, tokens in group:
-            if tokens is None:
-                asked[digest, row] = (rank, node, twice)
-            else:
-                sets[digest, row] = tokens
-        if len(asked) > 1:
-            groups.append([(rank, node, sets[unit]) for unit, (rank, node, _) in asked.items()])
-            own += [link for unit, (_, node, twice) in asked.items() if twice for link in _own_links(node, sets[unit])]
-            waiting += len(asked)
-        if waiting >= PAIRS:
-            yield _link_batch(_groups_links(groups) + own)
-            groups, own, waiting = [], [], 0
-    if groups:
-        yield _link_batch(_groups_links(groups) + own)
+    """Rows by ``key, rank`` to links, whole keys at a time."""
+    import pyarrow as pa
+
+    waiting, rows = [], 0
+
+    def links(table) -> pa.RecordBatch:
+        keys, nodes = table.column("key").to_numpy(), table.column("node").to_numpy()
+        starts = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+        tokens = table.column("tokens").to_pylist()
+        own = [link for i in np.flatnonzero(table.column("twice").to_numpy()).tolist() for link in _own_links(int(nodes[i]), tokens[i])]
+        return _link_batch(_groups_links(np.diff(starts, append=len(keys)), nodes, tokens) + own)
+
+    for batch in batches:
+        waiting.append(batch)
+        rows += len(batch)
+        if rows < PAIRS:
+            continue
+        table = pa.Table.from_batches(waiting)
+        keys = table.column("key").to_numpy()
+        whole = int(np.flatnonzero(np.diff(keys, prepend=~keys[:1]))[-1])
+        if whole:
+            yield links(table.slice(0, whole))
+        waiting, rows = table.slice(whole).to_batches(), len(keys) - whole
+    if rows:
+        yield links(pa.Table.from_batches(waiting))
 
 
 def _salted(frame: DataFrame) -> DataFrame:
@@ -557,26 +588,25 @@ def _is_seed() -> Column:
     return F.col("key").bitwiseAND(F.lit(1)) == 1
 
 
+def _asking(texts: DataFrame, units: DataFrame, *columns: str | Column) -> DataFrame:
+    """``row, text`` of the texts that ``units`` ask, and a list of the columns of those: as many rows as there are texts."""
+    return texts.join(units.groupBy("row").agg(F.collect_list(F.struct(*columns)).alias("asked")), "row").select("row", "text", "asked")
+
+
 def _met(texts: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``key, node, rank, twice, splits, tokens`` of the nodes that share their key; sets are cut from their texts again.
 
+    Each text meets the list of what is asked of it, so that nothing else is cut, however many nodes there are.
     Seeds of keys that one task takes whole are linked there at once; of all others, the nodes.
     """
     held = Window.partitionBy("key")
     several = nodes.withColumn("n", F.count("*").over(held)).where("n > 1")
     ranked = several.withColumn("rank", F.row_number().over(held.orderBy(F.desc("rows"), "digest")))
-    twice = (F.col("row") != F.col("last")).alias("twice")
-    ranked = stored(ranked.select("key", "digest", "node", "row", "rank", twice, F.ceil(F.col("n") / SPLIT).cast("int").alias("splits")))
-    asked = bitmap_of(ranked.select(_mark()), shuffle_width(nodes.sparkSession))
-    sets = stored(texts.mapInArrow(_sets(asked), "row long, key long, digest long, tokens binary"))
+    twice, splits = (F.col("row") != F.col("last")).alias("twice"), F.ceil(F.col("n") / SPLIT).cast("int").alias("splits")
+    sets = stored(_asking(texts, ranked, "span", "key", "node", "rank", twice, splits).mapInArrow(_sets, _MET))
     whole = _is_seed() & (F.col("splits") == 1)
-    large = ranked.where(_is_seed() & (F.col("splits") > 1)).select("key").distinct()
-    seeds = sets.where(_is_seed()).join(F.broadcast(large), "key", "left_anti")
-    rows = ranked.where(whole).select("key", "digest", "row", "node", "rank", "twice", F.lit(None).cast("binary").alias("tokens"))
-    rows = rows.unionByName(seeds, allowMissingColumns=True)
-    links = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_near_links, _LINKS)
-    met = ranked.where(~whole).join(sets, ["row", "key", "digest"]).select("key", "node", "rank", "twice", "splits", "tokens")
-    return stored(met), stored(links)
+    links = sets.where(whole).select("key", "node", "rank", "twice", "tokens").repartition("key")
+    return stored(sets.where(~whole)), stored(links.sortWithinPartitions("key", "rank").mapInArrow(_near_links, _LINKS))
 
 
 def _links(met: DataFrame) -> DataFrame:
@@ -594,11 +624,12 @@ def _words(batches: Iterable) -> Iterator:
 
     for batch in batches:
         sets, places = [], []
-        for key, tokens in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()):
+        rows = list(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()))
+        counted = iter(_counted(_aligned([tokens for key, tokens in rows if key & 1])))
+        for key, tokens in rows:
             if key & 1:
-                shingled, there = _aligned([tokens])
-                sets.append(np.unique(shingled[there]).view(np.int64))
-                places.append(int(there.sum()) - _SHARED + 1)
+                sets.append(next(counted).view(np.int64))
+                places.append(len(sets[-1]) - _SHARED + 1)
             else:
                 sets.append(np.frombuffer(tokens, np.int64))
                 places.append(len(sets[-1]) + PERCENT * len(sets[-1]) // -100 + 1)
@@ -679,8 +710,9 @@ def _components(met: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame,
     return found, whole.select(F.col("node").alias("component"), F.col("component").alias("whole")), _spans(stars.unionByName(across))
 
 
-# Rows are numbered by partition, from this bit on, and place in it; the factors spread both and the words over a bitmap.
-_PARTITION, _FACTORS = 33, (1000003, 15485863, 7919)
+# One number for a word in a row, which only a test asks for since texts meet what is asked of them by their row. Rows are
+# numbered by partition, from this bit on, and place in it; the factors spread both and the words over 64 bits.
+_ROW_BITS, _PARTITION, _FACTORS = 38, 33, (1000003, 15485863, 7919)
 
 
 def _word_mark() -> Column:
@@ -694,37 +726,27 @@ def _word_marks(rows: np.ndarray, words: np.ndarray) -> np.ndarray:
     return sum(part * factor for part, factor in zip(parts, _FACTORS)) << _ROW_BITS
 
 
-def _points(asked: np.ndarray):
-    """``row, text`` to ``row, word, begin, end`` in code points, of the words that may be asked for."""
-
-    def run(batches: Iterable) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            for rows, texts in _portions(batch):
-                raws = [text.encode() for text in texts]
-                raw, ends = b"\n".join(raws), np.cumsum([len(own) + 1 for own in raws])
-                (begin, end), points = word_bytes(raw), _points_before(raw)
-                of = np.searchsorted(ends, begin, side="right")
-                words = np.arange(len(begin)) - np.searchsorted(of, of)
-                some = np.flatnonzero(might_hold(asked, _word_marks(rows[of], words)))
-                starts = points[np.append(0, ends[:-1])[of[some]]]
-                columns = rows[of[some]], words[some], points[begin[some]] - starts, points[end[some]] - starts
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["row", "word", "begin", "end"])
+def _points(batches: Iterable) -> Iterator:
+    """``row, text`` and the words asked for, begin and end first, to these with begin and end in code points."""
+    import pyarrow as pa
 
-    return run
+    for batch in batches:
+        for part, texts in _portions(batch):
+            raws = [text.encode() for text in texts]
+            raw, ends = b"\n".join(raws), np.cumsum([len(own) + 1 for own in raws])
+            (begin, end), points = word_bytes(raw), _points_before(raw)
+            starts = np.append(0, ends[:-1])
+            of, (first, last, *columns) = _asked(part)
+            firsts, before = np.searchsorted(begin, starts)[of], points[starts[of]]
+            arrays = [part.column(0).take(pa.array(of)), pa.array(points[begin[firsts + first.to_numpy()]] - before)]
+            arrays += [pa.array(points[end[firsts + last.to_numpy() - 1]] - before), *columns]
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "begin", "end", "keeper_row", "class_id", "n_paragraphs"])
 
 
 def _in_points(texts: DataFrame, near: DataFrame) -> DataFrame:
-    """``near`` with begin and end in code points in place of words; the texts are read once more."""
-    near = stored(near.withColumn("last", F.col("end") - 1))
-    words = near.select("row", F.col("begin").alias("word")).unionByName(near.select("row", F.col("last").alias("word")))
-    asked = bitmap_of(words.select(_word_mark()), shuffle_width(near.sparkSession))
-    places = stored(texts.mapInArrow(_points(asked), "row long, word long, begin long, end long"))
-    begins = places.select("row", F.col("word").alias("begin"), F.col("begin").alias("from"))
-    ends = places.select("row", F.col("word").alias("last"), F.col("end").alias("to"))
-    placed = near.join(begins, ["row", "begin"]).join(ends, ["row", "last"])
-    return placed.select("row", F.col("from").alias("begin"), F.col("to").alias("end"), "keeper_row", "class_id", "n_paragraphs")
+    """``near`` with begin and end in code points in place of words; the texts it is about are read once more."""
+    near = near.select("row", "begin", "end", "keeper_row", "class_id", "n_paragraphs")
+    return _asking(texts, near, *near.columns[1:]).mapInArrow(_points, near.schema)
 
 
 def _repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -747,11 +769,15 @@ def _repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     met = met.where((F.col("lo") != F.col("hi")) & (~_is_seed() | (F.col("least") != F.col("most"))))
     shared = stored(met.select("row", "span", "key", "digest", F.ceil(F.col("n") / SPLIT).cast("int").alias("splits")))
     counted = shared.groupBy("key", "digest").agg(
-        F.count("*").alias("rows"), F.min("row").alias("row"), F.max("row").alias("last"), F.max("splits").alias("splits")
+        F.count("*").alias("rows"),
+        F.min("row").alias("row"),
+        F.max("row").alias("last"),
+        F.max("splits").alias("splits"),
+        F.min_by("span", "row").alias("span"),
     )
     nodes = stored(counted.withColumn("node", F.monotonically_increasing_id()))
-    found, wholes, spans = _components(*_met(own, nodes.select("key", "digest", "node", "row", "last", "rows")))
-    starred = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    found, wholes, spans = _components(*_met(own, nodes.select("key", "digest", "node", "row", "last", "rows", "span")))
+    starred = nodes.drop("span").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     classes = starred.join(wholes, "component", "left").withColumn("component", F.coalesce("whole", "component")).drop("whole")
     # Components and what they reach are worked out on distinct paragraphs, before their copies come in.
     reach = classes.groupBy("component").agg(F.min("row").alias("keeper_row"), F.max("last").alias("last")).where("keeper_row <> last")

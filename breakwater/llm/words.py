@@ -14,6 +14,30 @@ _MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _IN_WORD = np.array([k != 32 and not 9 <= k <= 13 for k in range(256)])
 
 
+# Primes of xxHash.
+_PRIMES = tuple(map(np.uint64, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)))
+
+
+def _turned(numbers: np.ndarray, bits: int) -> np.ndarray:
+    return numbers << np.uint64(bits) | numbers >> np.uint64(64 - bits)
+
+
+def short_hashes(low: np.ndarray, high: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``xxh64_intdigest`` of words of up to 16 bytes, the first and the last eight bytes of which are numbers."""
+    p, q, r, s, t = _PRIMES
+    found = sizes.astype(np.uint64) + t
+    for eight, least in ((low, 8), (high, 16)):
+        found = np.where(sizes >= least, _turned(found ^ _turned(eight * q, 31) * p, 27) * p + s, found)
+    rest, left = np.where(sizes < 8, low, high), sizes % 8
+    four = _turned(found ^ (rest & np.uint64(0xFFFFFFFF)) * p, 23) * q + r
+    found, rest = np.where(left >= 4, four, found), np.where(left >= 4, rest >> np.uint64(32), rest)
+    for k in range(3):
+        found = np.where(left % 4 > k, _turned(found ^ (rest >> np.uint64(8 * k) & np.uint64(0xFF)) * t, 11) * p, found)
+    found = (found ^ found >> np.uint64(33)) * q
+    found = (found ^ found >> np.uint64(29)) * r
+    return found ^ found >> np.uint64(32)
+
+
 class WordNumbers(dict):
     """Word (bytes) to its 64-bit hash, each distinct word of a task hashed once."""
 
@@ -41,10 +65,10 @@ class WordNumbers(dict):
         names = mixed(mixed(low + sizes.astype(np.uint64) * _STEP) + high)
         slots = (names >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
         found, short = self.recent[1][slots], sizes <= 16
-        new = np.flatnonzero(~short | (self.recent[0][slots] != names))
-        places = zip(begins[new].tolist(), ends[new].tolist())
-        found[new] = np.fromiter((self.hash(raw[i:j]) for i, j in places), np.uint64, len(new))
-        kept = new[short[new]]
+        kept, long = np.flatnonzero(short & (self.recent[0][slots] != names)), np.flatnonzero(~short)
+        found[kept] = short_hashes(low[kept], high[kept], sizes[kept])
+        places = zip(begins[long].tolist(), ends[long].tolist())
+        found[long] = np.fromiter((self.hash(raw[i:j]) for i, j in places), np.uint64, len(long))
         self.recent[:, slots[kept]] = names[kept], found[kept]
         return found
 
@@ -66,9 +90,11 @@ def split_words(text: str, lower: bool = False) -> list[bytes]:
 def mixed(numbers: np.ndarray) -> np.ndarray:
     """A finaliser that spreads every bit over all others."""
     x = numbers ^ (numbers >> np.uint64(30))
-    x = x * _MIX[0]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
-    return x ^ (x >> np.uint64(31))
+    x *= _MIX[0]
+    x ^= x >> np.uint64(27)
+    x *= _MIX[1]
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def shingles(numbers: np.ndarray, size: int) -> np.ndarray:

@@ -352,3 +352,135 @@ def test_copies_with_words_said_on_and_on_are_claimed_up_to_their_ends(spark, tm
         monkeypatch.setattr(passages, "SPLIT", split)
         found = [r for r in passages.passages(saved(spark, tmp_path / place, docs)).collect() if r.doc_id == 1]
         assert len(found) in (2, 3) and any((r.start, r.end) == (0, len(text)) and r.removed for r in found)
+
+
+def kept_frames(monkeypatch):
+    """The frames that are stored from now on."""
+    frames, store = [], passages.stored
+    monkeypatch.setattr(passages, "stored", lambda frame: frames.append(store(frame)) or frames[-1])
+    return frames
+
+
+def test_only_what_meets_is_cut_again(spark, tmp_path, monkeypatch):
+    """A bitmap told what to cut again; filled up, as many millions of nodes do, it had every unit of every text cut."""
+    monkeypatch.setattr(passages, "bitmap_of", lambda marks, width: np.full(1 << 23, 255, np.uint8), raising=False)
+    docs, _ = corpus()
+    chance, rows = random.Random(8), []
+    for k in range(12):
+        said = prose(chance, 70)
+        rows += [(1000 + 2 * k + i, " ".join(prose(chance, 40) + words + prose(chance, 40))) for i, words in enumerate((said, edited(chance, said, 1)))]
+    docs, numbers, holders = docs + rows, WordNumbers(), {}
+    for i, text in docs:
+        own = passages.Paragraphs(text, numbers)
+        for keys, digests in ((own.keys, own.digests), (own.seeds[1], own.surroundings_of(np.arange(len(own.seeds[0]))))):
+            for key, digest in zip(keys.tolist(), digests.tolist()):
+                holders.setdefault(key, {}).setdefault(digest, set()).add(i)
+    wanted = sum(len(digests) for digests in holders.values() if len(digests) > 1 and len(set().union(*digests.values())) > 1)
+    frames = kept_frames(monkeypatch)
+    assert passages.passages(saved(spark, tmp_path, docs)).count()
+    cut = [frame for frame in frames if {"tokens", "word"} & set(frame.columns)]
+    assert wanted > 50 and max(frame.count() for frame in cut) == wanted
+
+
+def test_units_cut_again_are_those_of_the_first_reading():
+    """By the span of each in its text, among words of several bytes and blanks of any kind."""
+    import pyarrow as pa
+
+    chance, numbers = random.Random(5), WordNumbers()
+    texts = ["".join(word + chance.choice([" ", "\n é ", "\t\x0b "]) for word in prose(chance, size)) for size in (300, 0, 70, 20, 200)]
+    asked, wanted, node = [], {}, 0
+    for text in texts:
+        own, units = passages.Paragraphs(text, numbers), []
+        for i in range(0, len(own.at), 2):
+            units.append((int(own.begins[i]) << 32 | int(own.ends[i]), int(own.keys[i]), own.set_of(i)))
+        for i in range(0, len(own.seeds[0]), 3):
+            units.append((int(own.seeds[0][i]), int(own.seeds[1][i]), own.words_of(i)))
+        asked.append([])
+        for span, key, tokens in chance.sample(units, len(units)):
+            node += 1
+            wanted[node] = key, node, 1, False, 1, tokens
+            asked[-1].append({"span": span, "key": key, "node": node, "rank": 1, "twice": False, "splits": 1})
+    kinds = [("span", pa.int64()), ("key", pa.int64()), ("node", pa.int64()), ("rank", pa.int32()), ("twice", pa.bool_()), ("splits", pa.int32())]
+    columns = [pa.array(range(len(texts))), pa.array(texts), pa.array(asked, pa.list_(pa.struct(kinds)))]
+    batch = pa.RecordBatch.from_arrays(columns, ["row", "text", "asked"])
+    found = [tuple(row.values()) for part in passages._sets(iter([batch.slice(0, 1), batch.slice(1)])) for row in part.to_pylist()]
+    assert len(wanted) > 50 and len(found) == len(wanted) and all(wanted[row[1]] == row for row in found)
+
+
+def test_words_said_on_and_on_are_not_compared_with_all_others(monkeypatch):
+    """Texts of a few runs, of which they share one too short for a near passage: few shingles, so each was tried with all others."""
+    pairs, near = [], passages._near
+    texts = [" ".join([f"a{i}"] * 40 + ["the"] * 30 + [f"z{i}"] * 40) for i in range(120)]
+    own = passages.Paragraphs(texts, WordNumbers())
+    at, keys = own.seeds
+    key = max(keys.tolist(), key=keys.tolist().count)
+    tokens = [own.words_of(i) for i in np.flatnonzero(keys == key)]
+    monkeypatch.setattr(passages, "_near", lambda around, one, other: pairs.extend(one) or near(around, one, other))
+    around = passages._aligned(tokens)
+    links = list(passages._group_links(np.arange(len(tokens)), around, passages._bands(around), np.arange(len(tokens))))
+    assert len(tokens) >= 120 and links == [] and len(pairs) < 10 * len(tokens)
+
+
+def plain_near(x, y, seed):
+    """The most shingles that passages around a seed share, over all begins and ends; the pairing of shingles is that of ``_near``."""
+    where, last = {}, -1
+    near = sorted(range(-passages.SLIP, passages.SLIP + 1), key=abs)
+    for k, shingle in enumerate(x):
+        hit = next((k + step for step in near if shingle is not None and 0 <= k + step < len(y) and y[k + step] == shingle), -1)
+        if hit > last:
+            where[k] = hit
+        last = max(last, hit)
+    if any(k not in where for k in range(seed, seed + passages.SEED - passages.SHINGLE + 1)):
+        return 0
+    best = 0
+    for begin in (k for k in where if k <= seed):
+        for end in (k for k in where if k >= seed + passages.SEED - passages.SHINGLE):
+            shared = sum(begin <= k <= end for k in where)
+            wide = [max(b - a + 1, passages._SIZE) for a, b in ((begin, end), (where[begin], where[end]))]
+            if (100 + passages.PERCENT) * shared >= passages.PERCENT * sum(wide):
+                best = max(best, shared)
+    return best
+
+
+def test_passages_that_share_most_are_found_by_where_runs_begin_and_end():
+    """Against all begins and ends, on texts of few and of many words."""
+    chance, some = random.Random(4), 0
+    for words in (2, 4, 10**6):
+        said = [f"w{chance.randrange(words)}" for _ in range(93)]
+        texts = []
+        for _ in range(14):
+            one = list(said)
+            for _ in range(chance.randrange(7)):
+                at = chance.choice([k for k in range(93) if k < 38 or k > 54])
+                one[at] = f"new{chance.randrange(10**6)}"
+            texts.append(one[chance.randrange(20) : 93 - chance.randrange(20)] if words == 10**6 else one)
+        numbers = WordNumbers()
+        tokens = []
+        for one in texts:
+            at = max(k for k in range(len(one) - 8) if one[k : k + 9] == said[42:51] and k <= 42)
+            own = passages.Words(" ".join(one), numbers)
+            tokens.append(own.words_at(np.array([at]))[0])
+        around = passages._aligned(tokens)
+        rows = [[int(shingle) if there else None for shingle, there in zip(*row)] for row in zip(*around)]
+        one, other = np.triu_indices(len(texts), 1)
+        good, spans = passages._near(around, one, other)
+        found = dict(zip(good.tolist(), spans.tolist()))
+        for pair, (i, j) in enumerate(zip(one.tolist(), other.tolist())):
+            back = next((k for k in range(passages._MARGIN + 1) if rows[i][42 - k] is None or rows[i][42 - k] != rows[j][42 - k]), 43)
+            on = next((k for k in range(len(rows[i]) - 42) if rows[i][42 + k] is None or rows[i][42 + k] != rows[j][42 + k]), len(rows[i]) - 42)
+            best = plain_near(rows[i], rows[j], 42) if back and back + on - 1 >= passages._RUN else 0
+            assert (pair in found) == (best > 0), (words, i, j)
+            some += pair in found
+    assert some > 40
+
+
+def test_hashes_of_short_words_are_those_of_the_library():
+    import xxhash
+
+    from breakwater.llm.words import short_hashes
+
+    chance = random.Random(2)
+    words = [bytes(chance.randrange(256) for _ in range(size)) for size in range(1, 17) for _ in range(50)]
+    low, high = (np.array([int.from_bytes(word[k : k + 8], "little") for word in words], np.uint64) for k in (0, 8))
+    found = short_hashes(low, high, np.array([len(word) for word in words]))
+    assert found.tolist() == [xxhash.xxh64_intdigest(word) for word in words]
