@@ -493,11 +493,18 @@ def _bands(around: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
     return bands
 
 
-def _group_links(nodes: np.ndarray, around: tuple[np.ndarray, np.ndarray], bands: list[np.ndarray], held: np.ndarray) -> Iterator[list]:
-    """Links between components ``held`` of one key's rows, by rare shingles that they share; leaders have met all others."""
+def _group_links(
+    nodes: np.ndarray, around: tuple[np.ndarray, np.ndarray], bands: list[np.ndarray], held: np.ndarray, leaders: int = LEADERS, blocks: np.ndarray | None = None
+) -> Iterator[list]:
+    """Links between components ``held`` of one key's rows, by rare shingles that they share; leaders have met all others.
+
+    Of rows of two ``blocks``, those of one meet those of the other.
+    """
     met = (bands[0][:, None] == bands[0]) | (bands[1][:, None] == bands[1])
     met &= held[:, None] != held
-    met[:LEADERS], met[:, :LEADERS] = False, False
+    met[:leaders], met[:, :leaders] = False, False
+    if blocks is not None:
+        met &= blocks[:, None] != blocks
     some = np.flatnonzero(met.any(axis=1))
     if not len(some):
         return
@@ -623,16 +630,8 @@ def _words(batches: Iterable) -> Iterator:
     import pyarrow as pa
 
     for batch in batches:
-        sets, places = [], []
-        rows = list(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()))
-        counted = iter(_counted(_aligned([tokens for key, tokens in rows if key & 1])))
-        for key, tokens in rows:
-            if key & 1:
-                sets.append(next(counted).view(np.int64))
-                places.append(len(sets[-1]) - _SHARED + 1)
-            else:
-                sets.append(np.frombuffer(tokens, np.int64))
-                places.append(len(sets[-1]) + PERCENT * len(sets[-1]) // -100 + 1)
+        sets = [np.frombuffer(tokens, np.int64) for tokens in batch.column(3).to_pylist()]
+        places = [len(own) + PERCENT * len(own) // -100 + 1 for own in sets]
         sizes = np.array([len(own) for own in sets], np.int64)
         places = np.array(places, np.int64)
         columns = [np.repeat(x, sizes) for x in (*(batch.column(i).to_numpy() for i in range(3)), places)]
@@ -643,58 +642,81 @@ def _words(batches: Iterable) -> Iterator:
 def _try_across(batches: Iterable) -> Iterator:
     """Rows by ``key, token, one, other`` to pairs of components that hold a similar pair."""
     rows = (row for batch in batches for row in batch.to_pylist())
-    for (key, *_), group in groupby(rows, lambda row: (row["key"], row["token"], row["one"], row["other"])):
+    for _, group in groupby(rows, lambda row: (row["key"], row["token"], row["one"], row["other"])):
         group, links = list(group), []
         held, nodes = (np.array([row[name] for row in group]) for name in ("component", "node"))
-        if key & 1:
-            around = _aligned([row["tokens"] for row in group])
-        else:
-            sets = [np.frombuffer(row["tokens"], np.uint64) for row in group]
-            sizes = np.array([len(own) for own in sets])
-            flat, starts = np.concatenate(sets), np.cumsum(sizes) - sizes
+        sets = [np.frombuffer(row["tokens"], np.uint64) for row in group]
+        sizes = np.array([len(own) for own in sets])
+        flat, starts = np.concatenate(sets), np.cumsum(sizes) - sizes
         names, counts = np.unique(held, return_counts=True)
         for i in np.flatnonzero(held != names[counts.argmax()]):
-            if key & 1:
-                others = np.flatnonzero(held != held[i])
-                good, spans = _near(around, np.full(len(others), i), others)
-                others, spans = others[good], spans.tolist()
-            else:
-                own = sets[i]
-                found = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
-                shared = np.add.reduceat(found.astype(np.int64), starts)
-                others = np.flatnonzero((held != held[i]) & (100 * shared >= PERCENT * (sizes + sizes[i] - shared)))
-                spans = [[0, 0, 0, 0]] * len(others)
-            for j, span in zip(others, spans):
+            own = sets[i]
+            found = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+            shared = np.add.reduceat(found.astype(np.int64), starts)
+            for j in np.flatnonzero((held != held[i]) & (100 * shared >= PERCENT * (sizes + sizes[i] - shared))):
                 if held[j] != held[i]:
-                    links.append([held[i], held[j], nodes[i], nodes[j], *span])
+                    links.append([held[i], held[j], nodes[i], nodes[j], 0, 0, 0, 0])
                     held[held == held[j]] = held[i]
         if links:
             yield _link_batch(links)
 
 
-def _across(met: DataFrame, found: DataFrame) -> DataFrame:
-    """Components of ``found`` in one key that hold a similar pair; a node in none is its own component.
+def _try_blocks(batches: Iterable) -> Iterator:
+    """Rows by ``key, one, other, rank`` to pairs of components that hold a near pair."""
+    rows = (row for batch in batches for row in batch.to_pylist())
+    for (_, one, other), group in groupby(rows, lambda row: (row["key"], row["one"], row["other"])):
+        group = list(group)
+        held, nodes, blocks = (np.array([row[name] for row in group], np.int64) for name in ("component", "node", "block"))
+        around, leaders = _aligned([row["tokens"] for row in group]), sum(row["rank"] <= LEADERS for row in group)
+        named = dict(zip(nodes.tolist(), held.tolist()))
+        found = _group_links(nodes, around, _bands(around), held, leaders, None if one == other else blocks)
+        links = [[named[int(a)], named[int(b)], a, b, *span] for _, _, a, b, *span in found]
+        if links:
+            yield _link_batch(links)
+
+
+def _blocks(named: DataFrame) -> DataFrame:
+    """``named`` once for each block of its key: every two blocks, ``one`` and ``other``, meet in a task."""
+    blocks = named.withColumn("block", _salt("node")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
+    return blocks.withColumn("one", F.least("block", "with")).withColumn("other", F.greatest("block", "with")).drop("with", "splits")
+
+
+def _across_seeds(left: DataFrame) -> DataFrame:
+    """The same of seeds: each two rows of a key meet in one task alone, however many shingles they share."""
+    ordered = _blocks(left).repartition("key", "one", "other").sortWithinPartitions("key", "one", "other", "rank")
+    return ordered.mapInArrow(_try_blocks, _LINKS)
+
+
+def _across_sets(left: DataFrame) -> DataFrame:
+    """Components of paragraphs in one key that hold a similar pair.
 
-    Keys with one node beside their leaders are left out, as all their pairs are tried by then.
     Sets of similarity ``PERCENT`` share one of their rarest tokens of the key, so only those that do meet. Many rows of
     one token are dealt into blocks, and each two blocks meet in a task.
     """
-    named = met.select("key", "node", "rank", "tokens").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    held = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("rank").alias("n"))
-    split = held.where((F.col("lo") != F.col("hi")) & (F.col("n") > LEADERS + 1)).select("key")
-    left = stored(named.join(split, "key").select("key", "node", "component", "tokens"))
+    left = left.select("key", "node", "component", "tokens")
     words = left.mapInArrow(_words, "key long, node long, component long, places long, token long")
     times = words.groupBy("key", "token").agg(F.count("*").alias("times"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     nth = F.row_number().over(Window.partitionBy("node").orderBy("times", "token"))
     rare = words.join(times, ["key", "token"]).withColumn("nth", nth).where("nth <= places and lo <> hi")
-    blocks = rare.withColumn("splits", F.ceil(F.col("times") / SPLIT).cast("int")).withColumn("block", _salt("node"))
-    dealt = blocks.select("key", "token", "node", "component", "block", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("with"))
-    placed = dealt.select("key", "token", "node", "component", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other"))
+    placed = _blocks(rare.select("key", "token", "node", "component", F.ceil(F.col("times") / SPLIT).cast("int").alias("splits"))).drop("block")
     asked = placed.join(left.select("node", "tokens"), "node")
     ordered = asked.repartition("key", "token", "one", "other").sortWithinPartitions("key", "token", "one", "other")
     return ordered.mapInArrow(_try_across, _LINKS).distinct()
 
 
+def _across(met: DataFrame, found: DataFrame) -> DataFrame:
+    """Components of ``found`` in one key that hold a similar pair; a node in none is its own component.
+
+    Keys with one node beside their leaders are left out, as all their pairs are tried by then.
+    """
+    named = met.select("key", "node", "rank", "tokens").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    held = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("rank").alias("n"))
+    splits = F.ceil(F.col("n") / max(SPLIT // 2, 1)).cast("int").alias("splits")
+    split = held.where((F.col("lo") != F.col("hi")) & (F.col("n") > LEADERS + 1)).select("key", splits)
+    left = stored(named.join(split, "key").select("key", "node", "rank", "component", "splits", "tokens"))
+    return _across_sets(left.where(~_is_seed())).unionByName(_across_seeds(left.where(_is_seed())))
+
+
 def _spans(links: DataFrame) -> DataFrame:
     """``node, left, right``: the words around each seed that are in a near passage."""
     found = [links.select(F.col(side).alias("node"), F.col(f"{side}_begin").alias("left"), F.col(f"{side}_end").alias("right")) for side in ("one", "other")]

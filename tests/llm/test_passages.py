@@ -484,3 +484,27 @@ def test_hashes_of_short_words_are_those_of_the_library():
     low, high = (np.array([int.from_bytes(word[k : k + 8], "little") for word in words], np.uint64) for k in (0, 8))
     found = short_hashes(low, high, np.array([len(word) for word in words]))
     assert found.tolist() == [xxhash.xxh64_intdigest(word) for word in words]
+
+
+def test_two_rows_of_blocks_meet_once(spark, tmp_path, monkeypatch):
+    """Variants beside the leaders were tried for each rare shingle that they share, in keys that one task does not take whole."""
+    monkeypatch.setattr(passages, "SPLIT", 20)
+    chance, said = random.Random(3), prose(random.Random(2), 101)
+    texts = []
+    for k in range(60):
+        words = list(said)
+        for at in (10, 26, 74, 90):
+            words[at + k % 7 - 3] = f"new{k}"
+        texts.append(words if k % 2 else [*words[:40], *said[40:61], *prose(chance, 40)])
+    docs = saved(spark, tmp_path, [(i, " ".join(words)) for i, words in enumerate(texts)])
+    frames, map_in_arrow = [], type(docs).mapInArrow
+
+    def tapped(self, func, *args, **kwargs):
+        if func.__name__ in ("_try_across", "_try_blocks"):
+            frames.append(self)
+        return map_in_arrow(self, func, *args, **kwargs)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", tapped)
+    passages.passages(docs).count()
+    tried = [row for frame in frames for row in frame.select("key", "node", "one", "other").collect() if row.key & 1]
+    assert len(tried) > 100 and len(tried) == len(set(tried))
